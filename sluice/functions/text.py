@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Unicode blanks, as a class body.
-BLANK = r"\t-\r\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+BLANK = r"\p{Z}\t-\r\x{1C}-\x{1F}\x{85}"
 WORD = rf"[^{BLANK}]+"
 DIGIT = r"\p{Nd}"
 NUMBER = rf"{DIGIT}+(?:\.{DIGIT}+)?"
@@ -162,6 +162,22 @@ def ngrams(items: Column, n: int) -> Column:
     return let(items, lambda x: F.when(F.size(x) >= n, joined(x)).otherwise(empty))
 
 
+def hashed_ngrams(items: Column, n: int) -> Column:
+    """Hashes of all runs of ``n`` neighbouring items; like ``ngrams`` without the strings."""
+    empty = F.array().cast("array<bigint>")
+
+    def mixed(h: Column) -> Column:
+        count = F.size(h) - (n - 1)
+        grams = F.slice(h, F.lit(1), count)
+        for shift in range(1, n):
+            grams = F.zip_with(grams, F.slice(h, F.lit(shift + 1), count), lambda a, b: F.xxhash64(a, b))
+        return grams
+
+    return let(
+        F.transform(items, lambda w: F.xxhash64(w)), lambda h: F.when(F.size(h) >= n, mixed(h)).otherwise(empty)
+    )
+
+
 def truncate(text: Column, limit: int = 100, suffix: str = "...") -> Column:
     """Cut to ``limit`` characters, the suffix included."""
     return F.when(

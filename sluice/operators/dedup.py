@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.functions.text import WORD, chars_of, find_all, ngrams
+from sluice.functions.text import WORD, chars_of, find_all, hashed_ngrams, let
 from sluice.operators.skew import hot_among, hot_keys, skew_join
 from sluice.session import durable
 
@@ -102,7 +102,7 @@ def _settle(rows: list[tuple], threshold: float) -> list[tuple]:
     seen: list[frozenset] = []
     for first, chars in rows:
         letters = frozenset(chars)
-        if not any(len(letters & s) > threshold * len(letters | s) for s in seen):
+        if not any(len(letters & s) / len(letters | s) > threshold for s in seen):
             stay.append((first, chars))
             seen.append(letters)
     return stay
@@ -128,7 +128,7 @@ def _near_any(pivots: list[str], threshold: float):
                     rows[i, [alphabet[c] for c in chars if c in alphabet]] = 1.0
                 shared = (rows @ matrix).astype(np.float64)
                 union = part.str.len().to_numpy()[:, None] + sizes[None, :] - shared
-                found[at : at + 1024] = (shared > threshold * union).any(axis=1)
+                found[at : at + 1024] = (shared / union > threshold).any(axis=1)
             yield pd.Series(found)
 
     return near
@@ -139,11 +139,9 @@ def _near_any(pivots: list[str], threshold: float):
 
 def shingles(text: Column, n: int = 5) -> Column:
     """Hashes of the distinct word ``n``-grams; shorter texts are one shingle."""
-    words = find_all(F.lower(text), WORD)
-    grams = F.array_distinct(ngrams(words, n))
-    return F.when(
-        F.size(grams) > 0, F.transform(grams, lambda g: F.xxhash64(g))
-    ).otherwise(F.array(F.xxhash64(F.lower(text))))
+    grams = F.array_distinct(hashed_ngrams(find_all(F.lower(text), WORD), n))
+    whole = F.array(F.xxhash64(F.lower(text)))
+    return let(grams, lambda g: F.when(F.size(g) > 0, g).otherwise(whole))
 
 
 def band_keys(hashes: Column, num_perm: int, bands: int) -> Column:

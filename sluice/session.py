@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,6 +47,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and continue from the files."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` to a new table in the checkpoint folder and go on from it.
+
+    This cuts the lineage like a checkpoint. A columnar table also keeps column
+    pruning and lets the planner see true sizes.
+    """
+    folder = f"{checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+SMALL_INPUT = 1 << 30
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a small scan enough partitions for the row work behind it.
+
+    A file with one row group is one task, however many cores wait. Only inputs
+    below one gigabyte are repartitioned; larger ones split by themselves.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < SMALL_INPUT and len(df.inputFiles()) < cores else df
