@@ -84,9 +84,12 @@ def _(spark, sf):
 
 
 def s_positions(text: str, term: str) -> str:
-    """Offsets (from 0) of a term that cannot overlap itself."""
-    return (f"list_transform(range(1, len(string_split({text}, {term}))), lambda k: cast(list_sum(list_transform("
-            f"string_split({text}, {term})[1:k], lambda x: length(x))) as bigint) + (k - 1) * length({term}))")
+    """Offsets (from 0) of all occurrences; by splitting, or letter by letter if the term can overlap itself."""
+    split = (f"list_transform(range(1, len(string_split({text}, {term}))), lambda k: cast(list_sum(list_transform("
+             f"string_split({text}, {term})[1:k], lambda x: length(x))) as bigint) + (k - 1) * length({term}))")
+    each = f"list_filter(range(0, length({text})), lambda p: substr({text}, p + 1, length({term})) = {term})"
+    overlaps = f"(left({term}, 1) = right({term}, 1) or left({term}, 2) = right({term}, 2) and length({term}) > 2)"
+    return f"(case when {overlaps} then {each} else {split} end)"
 
 
 def s_answer(text: str, term: str, default: str) -> str:
