@@ -51,6 +51,14 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(text, rf"\A[{BLANK}]+|[{BLANK}]+\z", "")
 
 
+def replace_if(text: Column, literal: str, pattern: str, replacement: str) -> Column:
+    """``regexp_replace`` for texts that hold ``literal``, which every match needs."""
+    return let(
+        text,
+        lambda t: F.when(F.contains(t, F.lit(literal)), F.regexp_replace(t, pattern, replacement)).otherwise(t),
+    )
+
+
 def find_all(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 

@@ -68,9 +68,12 @@ def chunk_text(
         F.struct(F.lit(0).alias("chunk_number"), F.lit(0).alias("start"), text.alias("text"))
     ).cast(PIECES)
     pieces = F.coalesce(chunk_pieces(F.when(F.length(text) > size, text), size, overlap), whole)
+    trimmed = F.transform(pieces, lambda p: p.withField("text", strip(p["text"])))
+    kept = F.filter(trimmed, lambda p: F.length(p["text"]) >= min_len)
+    # The pieces of a text are in one cell here, so their number needs no shuffle.
+    counted = let(kept, lambda k: F.transform(k, lambda p: p.withField("total_chunks", F.size(k))))
     others = [c for c in df.columns if c != text_col]
-    out = df.select(*others, F.inline(pieces)).withColumnRenamed("text", text_col)
-    return out.withColumn(text_col, strip(text)).filter(F.length(text_col) >= min_len)
+    return df.select(*others, F.inline(counted)).withColumnRenamed("text", text_col)
 
 
 def chunk_fixed(

@@ -23,6 +23,7 @@ from sluice.functions.text import (
     let,
     quote,
     ratio,
+    replace_if,
     strip,
 )
 
@@ -30,6 +31,8 @@ from sluice.functions.text import (
 URL = r"(?i)https?://[a-z!$-_]+"
 EMAIL = r"(?i)\b[a-z0-9._%+-]+@[a-z0-9.-]+\.[a-z|]{2,}\b"
 MARKUP = [(r"<[^>]+>", ""), (URL, ""), (EMAIL, "")]
+# A match needs this literal; texts without it skip the pattern.
+NEEDED = ["<", "://", "@"]
 TAIL = [(r"[.!?]{3,}", "..."), (rf"({DIGIT})([a-zA-Z])", "$1 $2")]
 
 
@@ -52,7 +55,9 @@ def collapse_blanks(text: Column, keep_newlines: bool = False) -> Column:
 
 def strip_markup(text: Column) -> Column:
     """Remove tags, links and mail addresses."""
-    return _replace_all(text, MARKUP)
+    for (pattern, replacement), literal in zip(MARKUP, NEEDED):
+        text = replace_if(text, literal, pattern, replacement)
+    return text
 
 
 def collapse_marks(text: Column) -> Column:

@@ -282,15 +282,19 @@ def enrich(text: Column, terms: Column, explanations: dict[str, str] = V.EXPLANA
     names = F.transform(F.filter(terms, lambda t: t["type"] == V.TERM_TYPES["term"]), lambda t: t["term"])
     out = text
     for term, explanation in explanations.items():
-        found = F.array_contains(names, term)
-        explained = F.regexp_replace(out, quote(term) + "(?!（)", f"{term}（{explanation}）")
-        present = F.contains(out, F.lit(term + explanation))
-        out = F.when(found & ~present, explained).otherwise(out)
-        # Bind, or every further term would copy the expression twice.
-        out = let(out, lambda x: x)
+        out = let(out, _explain(term, explanation, F.array_contains(names, term)))
     return out
 
 
+def _explain(term: str, explanation: str, found: Column):
+    def step(text: Column) -> Column:
+        explained = F.regexp_replace(text, quote(term) + "(?!（)", f"{term}（{explanation}）")
+        present = F.contains(text, F.lit(term + explanation))
+        return F.when(found & ~present, explained).otherwise(text)
+
+    return step
+
+
 def domain_tags(text: Column) -> Column:
     tags = [F.when(text.rlike("|".join(map(quote, words))), F.lit(name)) for name, words in V.DOMAIN_KEYWORDS.items()]
     return F.array_compact(F.array(*tags))

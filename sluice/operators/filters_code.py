@@ -15,9 +15,9 @@ from sluice.functions.text import (
     barrier,
     count_of,
     find_all,
+    hashed_ngrams,
     let,
     lines_of,
-    ngrams,
     ratio,
     run_lengths,
     size_where,
@@ -118,7 +118,7 @@ def document_quality(text: Column, words: Column, lines: Column, limits: Documen
     )
     for n in (2, 3, 4, 5):
         limit = getattr(limits, f"max_frac_duplicate_{n}gram")
-        test = test & (duplicate_or_empty(ngrams(words, n)) <= limit)
+        test = test & (duplicate_or_empty(hashed_ngrams(words, n)) <= limit)
     return test & (unigram_entropy(words) >= limits.min_entropy_unigram)
 
 

@@ -27,6 +27,7 @@ from sluice.functions.text import (
     let,
     lines_of,
     ratio,
+    replace_if,
     size_where,
     strip,
     total_length,
@@ -66,7 +67,8 @@ def remove_emoji(text: Column) -> Column:
 
 
 def remove_html_url(text: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(text, rf"https?://[^{BLANK}<>\"]+", ""), r"<[^<>]+>", "")
+    links = replace_if(text, "://", rf"https?://[^{BLANK}<>\"]+", "")
+    return replace_if(links, "<", r"<[^<>]+>", "")
 
 
 # ---- predicates -------------------------------------------------------------

@@ -5,16 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.functions.text import BLANK, WORD_CHARS, find_all, let, ngrams, numbered, ratio, strip
+from sluice.functions.text import BLANK, WORD_CHARS, barrier, find_all, hashed_ngrams, let, numbered, ratio, strip
 from sluice.operators.chunking import token_count
 
 FINAL_PHRASE = r"(?i)final answer|the answer is|答案"
-BOX = r"(?s).*\\boxed\{([^{}]*)\}"
+BOX = r"\\boxed\{([^{}]*)\}"
 
 
 def boxed(text: Column) -> Column:
     """Content of the last box, or the whole text."""
-    return F.when(text.rlike(BOX), F.regexp_extract(text, BOX, 1)).otherwise(text)
+    # All boxes in one pass: a greedy prefix up to the last one would rescan
+    # texts without a box from every position.
+    boxes = F.regexp_extract_all(text, F.lit(BOX), F.lit(1))
+    return let(boxes, lambda b: F.when(F.size(b) > 0, F.element_at(b, -1)).otherwise(text))
 
 
 def normalize_answer(text: Column) -> Column:
@@ -25,8 +28,8 @@ def normalize_answer(text: Column) -> Column:
 
 def match_answer(prediction: Column, gold: Column) -> Column:
     """Does the normalised answer contain the normalised gold?"""
-    g = normalize_answer(gold)
-    return F.coalesce((g != "") & F.contains(normalize_answer(prediction), g), F.lit(False))
+    found = let(normalize_answer(gold), lambda g: (g != "") & F.contains(normalize_answer(prediction), g))
+    return F.coalesce(found, F.lit(False))
 
 
 def accuracy(df: DataFrame, flag: str) -> DataFrame:
@@ -39,9 +42,14 @@ def accuracy(df: DataFrame, flag: str) -> DataFrame:
 
 def ground_truth(prediction: Column, gold: Column, tolerance: float = 1e-6) -> Column:
     """Equal after normalising, as text or as numbers."""
-    a, b = normalize_answer(prediction), normalize_answer(gold)
-    close = F.abs(a.try_cast("double") - b.try_cast("double")) <= tolerance
-    return F.coalesce((a == b) | F.coalesce(close, F.lit(False)), F.lit(False))
+
+    def same(pair: Column) -> Column:
+        a, b = pair["a"], pair["b"]
+        close = F.abs(a.try_cast("double") - b.try_cast("double")) <= tolerance
+        return (a == b) | F.coalesce(close, F.lit(False))
+
+    pair = F.struct(normalize_answer(prediction).alias("a"), normalize_answer(gold).alias("b"))
+    return F.coalesce(let(pair, same), F.lit(False))
 
 
 def answer_format(answer: Column) -> Column:
@@ -53,13 +61,14 @@ def ngram_score(question: Column, answer: Column, n: int = 5) -> Column:
     """Distinct share of the word n-grams of question and answer; 1 if there are none."""
     words = find_all(F.lower(F.concat_ws(" ", question, answer)), WORD_CHARS)
     return let(
-        ngrams(words, n),
+        hashed_ngrams(words, n),
         lambda g: F.when(F.size(g) == 0, F.lit(1.0)).otherwise(ratio(F.size(F.array_distinct(g)), F.size(g))),
     )
 
 
 def ngram_filter(df: DataFrame, question: str, answer: str, low: float = 0.1, high: float = 1.0, n: int = 5) -> DataFrame:
-    return df.filter(ngram_score(F.col(question), F.col(answer), n).between(low, high))
+    scored = barrier(df, _score=ngram_score(F.col(question), F.col(answer), n))
+    return scored.filter(F.col("_score").between(low, high)).drop("_score")
 
 
 def token_length_filter(df: DataFrame, text_col: str, limit: int = 8192) -> DataFrame:

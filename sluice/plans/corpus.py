@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.operators import cleaning, dedup, enhance, quality
-from sluice.operators.chunking import chunk_text, number_chunks
+from sluice.operators.chunking import chunk_text
+from sluice.session import durable
 from sluice.sources.files import read_directory
 from sluice.sources.sinks import stage, write_dataset
 
@@ -33,6 +34,8 @@ def process_chunks(
     if with_clean:
         df = cleaning.clean(df, "content", language_col="language")
         if with_dedup:
+            # Read twice below; the cleaning itself runs once.
+            df = durable(df)
             # Only texts that pass the gate take part in duplicate detection.
             seen = df.filter("passed_gate")
             first = dedup.first_of_copies(seen, "cleaned", id_col).select(
@@ -61,7 +64,7 @@ def run_corpus(spark: SparkSession, source: str, output: str, *, size: int = 100
     pieces = chunk_text(long, "content", size, overlap)
     pieces = pieces.withColumn("file_id", F.col("chunk_id"))
     pieces = pieces.withColumn("chunk_id", F.sha2(F.concat_ws("|", "file_id", F.col("chunk_number").cast("string")), 256))
-    pieces = number_chunks(pieces, "file_id").drop("file_id", "start")
+    pieces = pieces.drop("file_id", "start")
     chunks = pieces.unionByName(whole, allowMissingColumns=True)
     done = stage(process_chunks(chunks, **options), "processed", f"{output}/stages")
     if "generated_qa" in done.columns:

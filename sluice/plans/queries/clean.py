@@ -10,8 +10,9 @@ from sluice.functions.text import BLANK, CJK, DIGIT
 from sluice.operators import cleaning as C
 from sluice.operators import dedup
 from sluice.plans.queries.registry import (
-    ZH, query, r6, s_count, s_list, s_ratio, s_strip, s_words, table, zh_documents,
+    ZH, query, r6, s_ratio, s_strip, s_words, table, zh_documents,
 )
+from sluice.session import durable
 
 
 def s_rules(x: str, rules) -> str:
@@ -167,7 +168,7 @@ def _(spark, sf):
 
 
 def _marked(spark, sf):
-    out = C.clean(both(spark, sf), "content")
+    out = durable(C.clean(both(spark, sf), "content"))
     good = out.filter("passed_gate")
     copies = dedup.exact_duplicates(good, "cleaned", "doc_id").filter("is_duplicate").select("doc_id", F.lit(True).alias("is_duplicate"))
     out = out.join(copies, "doc_id", "left").withColumn("is_duplicate", F.coalesce("is_duplicate", F.lit(False)))

@@ -206,13 +206,13 @@ where length(content) >= 10"""
 @query("chunk_overlapping", _chunk_sql(1000, 100, "base as (select doc_id, text as content from documents)"))
 def _(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", F.col("text").alias("content"))
-    return chunking.number_chunks(chunking.chunk_text(docs), "doc_id")
+    return chunking.chunk_text(docs)
 
 
 @query("chunk_overlapping_zh", _chunk_sql(300, 50, f"{ZH}, base as (select doc_id, content from zh)"))
 def _(spark, sf):
     docs = zh_documents(spark, sf).select("doc_id", "content")
-    return chunking.number_chunks(chunking.chunk_text(docs, size=300, overlap=50), "doc_id")
+    return chunking.chunk_text(docs, size=300, overlap=50)
 
 
 @query("chunk_fixed_stride", """
@@ -224,6 +224,15 @@ def _(spark, sf):
     return chunking.chunk_fixed(docs)
 
 
+@query("chunk_numbering", f"""
+with t as (select doc_id, len(regexp_extract_all(text, '{TOKEN}')) as k from documents)
+select doc_id, unnest(range(0, cast(ceil(k / 128.0) as int))) as chunk_number, cast(ceil(k / 128.0) as int) as total_chunks from t where k > 0""")
+def _(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", F.col("text").alias("content"))
+    pieces = chunking.chunk_tokens(docs, n=128).select("doc_id", "chunk_number")
+    return chunking.number_chunks(pieces, "doc_id")
+
+
 @query("chunk_by_tokens", f"""
 with t as (select doc_id, regexp_extract_all(text, '{TOKEN}') as k from documents),
 c as (select doc_id, k, unnest(range(0, greatest(len(k), 1), 512)) as p from t)

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluice.functions.language import language_tag
@@ -96,56 +96,86 @@ def read_markdown(spark: SparkSession, path, recursive: bool = True, min_length:
     return read_text(spark, path, recursive, min_length, "markdown")
 
 
+# Cell texts that mean "no value" (fixed values of the usual table reader).
+NO_VALUE = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+    "NULL", "NaN", "None", "n/a", "nan", "null",
+]
+MAX_HEADERS = 1000
+
+
 def row_text(columns: list[str]) -> Column:
-    """``name: value`` of all non-null cells."""
-    return F.concat_ws(
-        " | ", *[F.when(F.col(c).isNotNull(), F.concat(F.lit(f"{c}: "), F.col(c).cast("string"))) for c in columns]
-    )
+    """``name: value`` of all cells that hold a value."""
+
+    def cell(name: str) -> Column:
+        value = F.col(f"`{name}`").cast("string")
+        return F.when(~value.isin(NO_VALUE), F.concat(F.lit(f"{name}: "), value))
+
+    return F.concat_ws(" | ", *[cell(c) for c in columns])
 
 
 def table_rows(df: DataFrame, id_col: str | None = None) -> DataFrame:
     """Rows of any table as text."""
     columns = [c for c in df.columns if c != id_col]
-    text = row_text(columns).alias("content")
-    out = df.select(*( [id_col] if id_col else []), text)
+    out = df.select(*([id_col] if id_col else []), row_text(columns).alias("content"))
     return out.filter(strip(F.col("content")) != "")
 
 
-def read_csv_rows(spark: SparkSession, path, recursive: bool = True, one_schema: bool = False) -> DataFrame:
+def csv_headers(spark: SparkSession, path, recursive: bool = True) -> list[tuple[str, list[str]]]:
+    """Distinct header lines with the files that start with them.
+
+    The first line of a file is the first row of its first split. Only one row
+    per file reaches the driver, which lists the files anyway.
+    """
+    lines = spark.read.option("pathGlobFilter", _glob(EXTENSIONS["csv"]))
+    lines = lines.option("recursiveFileLookup", str(recursive).lower()).text(path)
+    first = (
+        lines.filter(F.col("_metadata.file_block_start") == 0)
+        .select(F.col("_metadata.file_path").alias("file"), F.col("value"), F.monotonically_increasing_id().alias("at"))
+        .groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    )
+    groups = first.groupBy("header").agg(F.collect_list("file").alias("files")).limit(MAX_HEADERS + 1).collect()
+    if len(groups) > MAX_HEADERS:
+        raise ValueError(f"more than {MAX_HEADERS} different CSV headers below {path}")
+    return [(g["header"], sorted(g["files"])) for g in groups]
+
+
+def read_csv_rows(spark: SparkSession, path, recursive: bool = True, one_header: bool = False,
+                  multi_line: bool = True) -> DataFrame:
     """One chunk per CSV row, cells labelled by the header of their own file.
 
-    Files are parsed whole by the CSV reader if they share a header
-    (``one_schema``). Otherwise the header line of each file is looked up by
-    file name and the row parsed against it, so mixed files need no loop.
-    ``row_number`` counts from 0 in each file.
+    Files are read by Spark's CSV reader, once per distinct header. With
+    ``one_header`` the first pass that looks for headers is left out. Quoted
+    line breaks need ``multi_line``, which reads a file in one task; without
+    it large files are split.
     """
-    reader = spark.read.option("pathGlobFilter", _glob(EXTENSIONS["csv"])).option("recursiveFileLookup", str(recursive).lower())
-    if one_schema:
-        table = reader.csv(path, header=True, multiLine=True, escape='"')
-        cells = row_text(table.columns)
-        rows = table.select(
-            cells.alias("content"), F.col("_metadata.file_path").alias("file_path"),
-            F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_size").alias("file_size"),
-            F.col("_metadata.file_modification_time").alias("modified_at"),
-        )
-        rows = rows.withColumn("row_number", F.monotonically_increasing_id())
+    if one_header:
+        groups = [path if isinstance(path, list) else [path]]
     else:
-        binary = _files(spark, path, EXTENSIONS["csv"], recursive)
-        lines = F.filter(
-            F.split(decode_bytes(F.col("content")), "\r\n|\r|\n(?=(?:[^\"]*\"[^\"]*\")*[^\"]*\\z)"), lambda s: strip(s) != ""
-        )
-        parsed = F.transform(lines, _csv_cells)
-        binary = binary.select(
-            F.col("path").alias("file_path"), F.element_at(F.split("path", "/"), -1).alias("file_name"),
-            F.col("length").alias("file_size"), F.col("modificationTime").alias("modified_at"), parsed.alias("cells"),
-        )
-        header = F.get("cells", F.lit(0))
-        body = F.slice("cells", F.lit(2), F.greatest(F.size("cells") - 1, F.lit(0)))
-        named = F.transform(body, lambda row, i: F.struct(
-            i.cast("long").alias("row_number"),
-            F.array_join(F.array_compact(F.zip_with(header, row, lambda h, c: F.when(c != "", F.concat(h, F.lit(": "), c)))), " | ").alias("content"),
-        ))
-        rows = binary.select("file_path", "file_name", "file_size", "modified_at", F.inline(named))
+        groups = [files for _, files in csv_headers(spark, path, recursive)]
+    parts = []
+    for files in groups:
+        reader = spark.read.option("pathGlobFilter", _glob(EXTENSIONS["csv"]))
+        reader = reader.option("recursiveFileLookup", str(recursive).lower())
+        table = reader.csv(files, header=True, multiLine=multi_line, quote='"', escape='"')
+        parts.append(_csv_chunks(table))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _csv_chunks(table: DataFrame) -> DataFrame:
+    meta = F.col("_metadata")
+    rows = table.select(
+        row_text(table.columns).alias("content"), meta["file_path"].alias("file_path"),
+        meta["file_name"].alias("file_name"), meta["file_size"].alias("file_size"),
+        meta["file_modification_time"].alias("modified_at"), meta["file_block_start"].alias("block"),
+        F.monotonically_increasing_id().alias("at"),
+    )
+    # Row numbers: place in the split plus the rows of the file's earlier splits.
+    splits = rows.groupBy("file_path", "block").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("file_path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
+    rows = rows.join(splits, ["file_path", "block"])
+    rows = rows.withColumn("row_number", F.col("at") - F.col("first") + F.col("before"))
     source = F.struct(
         "file_path", "file_name", "file_size", F.lit(".csv").alias("file_type"), F.lit("utf-8").alias("encoding"),
         F.lit(None).cast("string").alias("hash_value"), "modified_at",
@@ -154,46 +184,37 @@ def read_csv_rows(spark: SparkSession, path, recursive: bool = True, one_schema:
     return _chunks(rows, "csv", "row_number")
 
 
-def _csv_cells(line: Column) -> Column:
-    cells = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(r",(\"(?:[^\"]|\"\")*\"|[^,]*)"), F.lit(1))
-    return F.transform(
-        cells,
-        lambda c: F.when(
-            c.rlike(r"(?s)\A\".*\"\z"), F.replace(F.regexp_replace(c, r"\A\"|\"\z", ""), F.lit('""'), F.lit('"'))
-        ).otherwise(c),
-    )
-
-
-def json_leaves(df: DataFrame, json_col: str, min_length: int = 10, max_depth: int = 32) -> DataFrame:
+def json_leaves(df: DataFrame, json_col: str, min_length: int = 10, max_depth: int = 16) -> DataFrame:
     """One row per string leaf of a JSON document, with its path ``a.b[0].c``.
 
-    Levels are opened one by one until none is left, each as a flat explode,
-    so documents of any shape need no schema. Documents that do not parse give
-    no rows (see ``quarantine`` for keeping them).
+    Each step opens the objects and arrays of one level and passes leaves
+    through, so it is one lazy plan for documents of any shape, without a
+    schema. Documents that do not parse give no rows (see ``quarantine``);
+    one that is nested deeper than ``max_depth`` stops the job.
     """
+    spark = df.sparkSession
     others = [c for c in df.columns if c != json_col]
     level = df.select(*others, F.try_parse_json(json_col).alias("v"), F.lit("").alias("json_path"))
-    found: list[DataFrame] = []
     for _ in range(max_depth):
         kind = F.schema_of_variant("v")
-        tagged = level.filter(F.col("v").isNotNull()).withColumn("kind", kind)
-        found.append(
-            tagged.filter("kind = 'STRING'").select(
-                *others, "json_path", strip(F.col("v").cast("string")).alias("content")
-            ).filter(F.length("content") >= min_length)
+        inner = F.when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.col("v"))
+        level = level.withColumn("_inner", inner).lateralJoin(
+            spark.tvf.variant_explode_outer(F.col("_inner").outer())
         )
-        deeper = tagged.filter("kind like 'OBJECT%' or kind like 'ARRAY%'")
-        if deeper.isEmpty():
-            return reduce(DataFrame.unionByName, found)
-        view = f"sluice_level_{id(deeper)}"
-        deeper.createOrReplaceTempView(view)
-        path = """case when key is null then json_path || '[' || pos || ']'
-                       when json_path = '' then key else json_path || '.' || key end"""
-        named = ", ".join(f"`{c}`" for c in others) + ("," if others else "")
-        level = df.sparkSession.sql(
-            f"select {named} e.value as v, {path} as json_path from {view}, lateral variant_explode(v) e"
+        path = (
+            F.when(F.col("pos").isNull(), F.col("json_path"))
+            .when(F.col("key").isNull(), F.concat("json_path", F.lit("["), F.col("pos").cast("string"), F.lit("]")))
+            .when(F.col("json_path") == "", F.col("key"))
+            .otherwise(F.concat_ws(".", "json_path", "key"))
         )
-    raise ValueError(f"documents nested deeper than {max_depth} levels")
+        value = F.when(F.col("pos").isNull(), F.col("v")).otherwise(F.col("value"))
+        level = level.select(*others, value.alias("v"), path.alias("json_path"))
+    kind = F.schema_of_variant("v")
+    open_left = (kind.startswith("OBJECT") & (kind != "OBJECT<>")) | (kind.startswith("ARRAY") & (kind != "ARRAY<VOID>"))
+    checked = F.when(open_left, F.raise_error(F.lit(f"JSON nested deeper than {max_depth} levels"))).when(
+        kind == "STRING", strip(F.col("v").cast("string"))
+    )
+    return level.select(*others, "json_path", checked.alias("content")).filter(F.length("content") >= min_length)
 
 
 def read_json_leaves(spark: SparkSession, path, recursive: bool = True, min_length: int = 10) -> DataFrame:
