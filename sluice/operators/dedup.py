@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.functions.text import WORD, chars_of, find_all, hashed_ngrams, let
+from sluice.functions.text import WORD, barrier, chars_of, find_all, hashed_ngrams, let
 from sluice.operators.skew import hot_among, hot_keys, skew_join
 from sluice.session import durable
 
@@ -39,8 +39,14 @@ def exact_duplicates(df: DataFrame, text_col: str, order: str) -> DataFrame:
 
 
 def exact_dedup(df: DataFrame, text_col: str, order: str) -> DataFrame:
-    winners = first_of_copies(df, text_col, order).select(F.col("_first").alias(order))
-    return df.join(winners, order, "left_semi")
+    """The earliest copy of every text, in one scan and one shuffle.
+
+    Copies combine before the shuffle, so a text that fills a third of the
+    table arrives as one row per input partition.
+    """
+    row = F.struct(*[F.col(c) for c in df.columns])
+    first = df.groupBy(content_key(F.col(text_col)).alias("_key")).agg(F.min_by(row, order).alias("_row"))
+    return first.select("_row.*")
 
 
 def distinct_values(df: DataFrame, columns: list[str], value_name: str = "value") -> DataFrame:
@@ -180,6 +186,7 @@ def minhash_duplicates(
     ngram: int = 5,
     bands: int = 16,
     slots: int = 32,
+    hot_floor: int = 1_000_000,
 ) -> DataFrame:
     """``order`` values of the rows to drop.
 
@@ -187,59 +194,60 @@ def minhash_duplicates(
     shingle Jaccard score reaches ``threshold``. At 0.9 a pair shares one of 16
     bands of 8 with a probability of 0.9999; a shared band alone drops nothing.
 
-    Skew. Exact copies collapse by an aggregate first. Inside a band a row is
+    Skew. Exact copies collapse by an aggregate first. Keys with more than
+    ``hot_floor`` rows are salted in the joins. Inside a band a row is
     not paired with all others: it meets the earliest member first, and only
     rows still without a match go on, ``slots`` members per round, until they
     have met every earlier member. Members are found by ``min`` aggregates, so
     no bucket is ever gathered in one task, and nothing is capped.
     """
-    copies = first_of_copies(df, text_col, order)
-    unique = df.join(copies.select(F.col("_first").alias(order)), order, "left_semi")
-    docs = durable(unique.select(F.col(order).alias("id"), shingles(F.col(text_col), ngram).alias("grams")))
-    members = durable(
-        docs.select("id", F.posexplode(band_keys(F.col("grams"), num_perm, bands)).alias("band", "key"))
-    )
+    grams = shingles(F.col(text_col), ngram)
+    # The only scan of the texts. Later steps read the columns they need.
+    docs = df.select(F.col(order).alias("id"), content_key(F.col(text_col)).alias("copy"), grams.alias("grams"))
+    docs = durable(barrier(docs, bands=band_keys(F.col("grams"), num_perm, bands)))
+    first = docs.groupBy("copy").agg(F.min("id").alias("id"), F.min_by("bands", "id").alias("bands"))
+    members = durable(first.select("id", F.posexplode("bands").alias("band", "key")))
+    copies = docs.select("id").join(members.filter("band = 0").select("id"), "id", "left_anti")
     shared = members.groupBy("band", "key").agg(F.min("id").alias("target"), F.count(F.lit(1)).alias("n"))
     shared = durable(shared.filter("n > 1"))
-    hot = hot_among(shared, ["band", "key"], "n", members.count())
+    hot = hot_among(shared, ["band", "key"], "n", members.count(), hot_floor)
     # Rows of bands that hold others too; all later work is on these.
     members = durable(skew_join(members, shared.drop("n"), ["band", "key"], hot=hot))
-    meeting = members.filter("id > target").select("id", "target").distinct()
-    dropped = durable(_matching(meeting, docs, threshold))
     walk = members.filter("id > target")
-    waiting = durable(walk.join(dropped, "id", "left_anti").select("id", "band", "key"))
-    slot = F.pmod(F.xxhash64("id"), F.lit(slots)).cast("int")
+    found = durable(_matching(walk.select("id", "target").distinct(), docs, threshold, hot_floor))
+    dropped = found
+    waiting = durable(walk.join(found, "id", "left_anti").select("id", "band", "key"))
+    if waiting.isEmpty():
+        return copies.unionByName(dropped).withColumnRenamed("id", order)
     # Members not yet met, as targets; the earliest of each band is done.
+    slot = F.pmod(F.xxhash64("id"), F.lit(slots)).cast("int")
     targets = durable(
         walk.join(waiting.select("band", "key").distinct(), ["band", "key"], "left_semi")
         .select("id", "band", "key", slot.alias("slot"))
     )
     while not waiting.isEmpty():
-        front = targets.groupBy("band", "key", "slot").agg(F.min("id").alias("target"))
-        front = durable(front)
+        front = durable(targets.groupBy("band", "key", "slot").agg(F.min("id").alias("target")))
         if front.isEmpty():
             break
         meeting = skew_join(waiting, front.drop("slot"), ["band", "key"], hot=hot)
         meeting = meeting.filter("id > target").select("id", "target").distinct()
-        found = _matching(meeting, docs, threshold)
-        dropped = durable(dropped.unionByName(found))
-        targets = durable(
-            targets.join(front.withColumnRenamed("target", "id"), ["band", "key", "slot", "id"], "left_anti")
-        )
+        found = durable(_matching(meeting, docs, threshold, hot_floor))
+        dropped = dropped.unionByName(found)
+        met = front.withColumnRenamed("target", "id")
+        targets = durable(targets.join(met, ["band", "key", "slot", "id"], "left_anti"))
         ahead = targets.groupBy("band", "key").agg(F.min("id").alias("_next"))
         still = waiting.join(found, "id", "left_anti")
         still = skew_join(still, ahead, ["band", "key"], hot=hot).filter("id > _next")
         waiting = durable(still.select("id", "band", "key"))
-    copies_to_drop = exact_duplicates(df, text_col, order).filter("is_duplicate").select(F.col(order).alias("id"))
-    return copies_to_drop.unionByName(dropped).withColumnRenamed("id", order)
+    return copies.unionByName(dropped).withColumnRenamed("id", order)
 
 
-def _matching(pairs: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
+def _matching(pairs: DataFrame, docs: DataFrame, threshold: float, hot_floor: int) -> DataFrame:
     """Ids with at least one listed target whose exact Jaccard score is enough."""
     pairs = durable(pairs)
-    hot = hot_keys(pairs, ["target"])
+    hot = hot_keys(pairs, ["target"], hot_floor)
     theirs = docs.select(F.col("id").alias("target"), F.col("grams").alias("theirs"))
-    both = skew_join(pairs, theirs, ["target"], hot=hot).join(docs, "id")
+    both = skew_join(pairs, theirs, ["target"], hot=hot).join(docs.select("id", "grams"), "id")
     common = F.size(F.array_intersect("grams", "theirs"))
     score = common / (F.size("grams") + F.size("theirs") - common)
     return both.filter(score >= threshold).select("id").distinct()

@@ -155,7 +155,8 @@ def find_positions(text: Column, term: Column) -> Column:
     return let(
         F.struct(parts.alias("parts"), offsets.alias("offsets")),
         lambda s: F.filter(
-            F.transform(s["parts"], lambda p, i: F.when(F.startswith(p, term), F.get(s["offsets"], i))),
+            # Every cut is at an occurrence; the start of the text only if it begins with one.
+            F.transform(s["parts"], lambda p, i: F.when((i > 0) | F.startswith(text, term), F.get(s["offsets"], i))),
             lambda at: at.isNotNull(),
         ),
     )

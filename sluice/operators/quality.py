@@ -23,6 +23,7 @@ from sluice.functions.text import (
     size_where,
     strip,
 )
+from sluice.session import durable
 
 METRICS = list(V.METRIC_WEIGHTS)
 GRADES = {"excellent": (0.8, None), "good": (0.6, 0.8), "fair": (0.4, 0.6), "poor": (None, 0.4)}
@@ -239,30 +240,59 @@ def score_history(df: DataFrame, id_col: str) -> DataFrame:
     return wide.unpivot([id_col], ["overall", *METRICS], "metric", "score")
 
 
-def metric_summary(df: DataFrame, exact_median: bool = True) -> DataFrame:
-    """Mean, deviation, range and median per metric.
+def metric_summary(df: DataFrame, id_col: str, in_memory: int = 1_000_000) -> DataFrame:
+    """Mean, population deviation, range and exact median per metric."""
+    counts = score_history(df, id_col).groupBy("metric", "score").agg(F.count(F.lit(1)).alias("n"))
+    counts = durable(counts.filter(F.col("score").isNotNull()))
+    n, x = F.col("n"), F.col("score")
+    mean = F.sum(x * n) / F.sum(n)
+    spread = F.greatest(F.sum(x * x * n) / F.sum(n) - mean * mean, F.lit(0.0))
+    stats = counts.groupBy("metric").agg(
+        mean.alias("mean"), F.sqrt(spread).alias("std"), F.min(x).alias("min"), F.max(x).alias("max")
+    )
+    return stats.join(exact_median(counts, in_memory), "metric")
+
+
+def exact_median(counts: DataFrame, in_memory: int = 1_000_000) -> DataFrame:
+    """Median per ``metric`` of values (``score``) with their counts (``n``).
 
-    The exact median keeps a count per distinct score, which is bounded by the
-    scores' granularity only on small inputs; pass ``exact_median=False`` on a
-    large corpus for the mergeable sketch.
+    Few distinct values go through the exact percentile aggregate, which holds
+    them in memory. More are narrowed by histograms of 1024 bins around the
+    wanted rank until one value is left, so a round moves a bounded table.
     """
-    names = ["overall", *METRICS]
-    # All metrics in one pass, one row per metric at the end: the aggregate is
-    # over the whole table, so nothing is shuffled by metric.
-    middle = F.percentile if exact_median else F.percentile_approx
-    flat = df.select(*[F.col(f"quality.{m}").alias(m) for m in names])
-    stats = flat.agg(*[
-        F.struct(
-            F.avg(m).alias("mean"),
-            F.stddev_pop(m).alias("std"),
-            F.min(m).alias("min"),
-            F.max(m).alias("max"),
-            middle(m, F.lit(0.5)).alias("median"),
-        ).alias(m)
-        for m in names
-    ])
-    rows = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("s")) for m in names])
-    return stats.select(F.inline(rows)).select("metric", "s.*")
+    if counts.count() <= in_memory:
+        return counts.groupBy("metric").agg(F.percentile("score", F.lit(0.5), F.col("n")).alias("median"))
+    spark, bins = counts.sparkSession, 1024
+    ends = counts.groupBy("metric").agg(F.sum("n").alias("n"), F.min("score").alias("lo"), F.max("score").alias("hi"))
+    open_ranks = [
+        {"metric": r["metric"], "side": side, "lo": r["lo"], "hi": r["hi"], "rank": (r["n"] - 1 + side) // 2}
+        for r in ends.collect() for side in (0, 1)
+    ]
+    done: list[tuple[str, float]] = []
+    while open_ranks:
+        schema = "metric string, side int, lo double, hi double, rank bigint"
+        # Two rows per metric.
+        wanted = F.broadcast(spark.createDataFrame([tuple(r.values()) for r in open_ranks], schema))
+        width = F.col("hi") - F.col("lo")
+        place = F.when(width > 0, F.least(F.floor((F.col("score") - F.col("lo")) / F.nullif(width, F.lit(0.0)) * bins), F.lit(bins - 1))).otherwise(0)
+        near = counts.join(wanted, "metric").filter((F.col("score") >= F.col("lo")) & (F.col("score") <= F.col("hi")))
+        rows = near.groupBy("metric", "side", place.alias("bin")).agg(
+            F.sum("n").alias("n"), F.min("score").alias("lo"), F.max("score").alias("hi")
+        ).orderBy("metric", "side", "bin").collect()
+        following = []
+        for r in open_ranks:
+            before = 0
+            for b in (b for b in rows if b["metric"] == r["metric"] and b["side"] == r["side"]):
+                if before + b["n"] > r["rank"]:
+                    if b["lo"] == b["hi"]:
+                        done.append((r["metric"], b["lo"]))
+                    else:
+                        following.append({**r, "lo": b["lo"], "hi": b["hi"], "rank": r["rank"] - before})
+                    break
+                before += b["n"]
+        open_ranks = following
+    found = spark.createDataFrame(done, "metric string, score double")
+    return found.groupBy("metric").agg(F.avg("score").alias("median"))
 
 
 def evaluation_report(df: DataFrame, min_score: float = 0.7) -> DataFrame:

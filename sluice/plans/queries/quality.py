@@ -222,7 +222,7 @@ def _(spark, sf):
 with {SCORED}, {HISTORY} select metric, round(avg(score), 6) as mean, round(stddev_pop(score), 6) as std, round(min(score), 6) as min,
   round(max(score), 6) as max, round(median(score), 6) as median from history group by metric""")
 def _(spark, sf):
-    out = Q.metric_summary(scored(spark, sf))
+    out = Q.metric_summary(scored(spark, sf), "doc_id")
     return out.select("metric", *[F.round(c, 6).alias(c) for c in ("mean", "std", "min", "max", "median")])
 
 
