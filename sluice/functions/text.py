@@ -7,6 +7,7 @@ instead of ``\\w``, ``\\s`` and ``\\b``, whose meaning differs between engines.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -80,8 +81,9 @@ def chars_of(text: Column) -> Column:
 
 
 def ratio(part: Column, whole: Column) -> Column:
-    """``part / whole`` with 0 for an empty whole."""
-    return F.when(whole == 0, F.lit(0.0)).otherwise(part.cast("double") / F.nullif(whole, F.lit(0)))
+    """``part / whole`` with 0 for an empty whole; both are evaluated once."""
+    share = F.try_divide(part.cast("double"), whole.cast("double"))
+    return F.coalesce(share, F.when(whole.isNotNull(), F.lit(0.0)))
 
 
 def size_where(items: Column, test: Callable[[Column], Column]) -> Column:
@@ -97,8 +99,11 @@ def contains_cjk(text: Column) -> Column:
 
 
 def contains_any(text: Column, needles: list[str]) -> Column:
-    """True if any of the literal strings occurs."""
-    return text.rlike("|".join(quote(n) for n in needles))
+    """True if any of the literal strings occurs.
+
+    Byte searches in turn; for short lists that beats one alternation.
+    """
+    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(n)) for n in needles])
 
 
 def quote(literal: str) -> str:

@@ -17,6 +17,7 @@ from sluice.functions.text import (
     CJK_RUN,
     NUMBER,
     barrier,
+    contains_any,
     contains_cjk,
     find_all,
     hash_pick,
@@ -297,7 +298,7 @@ def _explain(term: str, explanation: str, found: Column):
 
 
 def domain_tags(text: Column) -> Column:
-    tags = [F.when(text.rlike("|".join(map(quote, words))), F.lit(name)) for name, words in V.DOMAIN_KEYWORDS.items()]
+    tags = [F.when(contains_any(text, words), F.lit(name)) for name, words in V.DOMAIN_KEYWORDS.items()]
     return F.array_compact(F.array(*tags))
 
 

@@ -58,7 +58,7 @@ def is_hydro_word(word: Column, vocabulary: list[str] = V.DOMAIN_VOCABULARY) ->
     """
     lowered = [v.lower() for v in vocabulary]
     inside = F.lower(word).rlike("|".join(map(quote, lowered)))
-    return inside | F.contains(F.lit("|".join(lowered)), F.lower(word))
+    return F.contains(F.lit("|".join(lowered)), F.lower(word)) | inside
 
 
 def relevance(text: Column, vocabulary: list[str] = V.DOMAIN_VOCABULARY) -> Column:
@@ -90,13 +90,16 @@ def has_variation(term: Column, text: Column) -> Column:
 
 def consistency(text: Column) -> Column:
     chinese, latin = count_of(text, f"[{CJK}]"), count_of(text, "[a-zA-Z]")
-    share = ratio(chinese, chinese + latin)
-    bonus = (
-        F.when(chinese + latin == 0, 0.0)
-        .when((share > 0.2) & (share < 0.8), 0.1)
-        .when((share > 0.9) | (share < 0.1), 0.05)
-        .otherwise(0.0)
-    )
+
+    def points(share: Column) -> Column:
+        return (
+            F.when((share > 0.2) & (share < 0.8), 0.1)
+            .when((share > 0.9) | (share < 0.1), 0.05)
+            .otherwise(0.0)
+        )
+
+    # Null share: no letters of either kind.
+    bonus = let(let(F.struct(chinese.alias("zh"), latin.alias("en")), lambda n: F.try_divide(n["zh"], n["zh"] + n["en"])), points)
 
     def repeated(terms: Column) -> Column:
         # Neighbours in sorted order: linear, and no shuffle by (chunk, term).
