@@ -141,11 +141,11 @@ def quality_gate(text: Column, min_length: int = 10, marks: str = V.GATE_CHARACT
     return let(F.size(F.array_distinct(chars_of(text))), decide)
 
 
-def with_clean_stats(df: DataFrame, original: str, cleaned: str) -> DataFrame:
+def with_clean_stats(df: DataFrame, original: str, cleaned: str, done: Column | None = None) -> DataFrame:
     before, after = F.length(original), F.length(cleaned)
     return df.select(
         "*",
-        F.lit(True).alias("is_cleaned"),
+        (F.lit(True) if done is None else done).alias("is_cleaned"),
         before.alias("original_length"),
         after.alias("cleaned_length"),
         ratio(after, before).alias("cleaning_ratio"),
@@ -190,7 +190,7 @@ def clean(
     text = F.when(blank, F.col(text_col)).otherwise(text)
     df = barrier(df, cleaned=text)
     df = df.withColumn("passed_gate", quality_gate(F.col("cleaned"), min_length))
-    return with_clean_stats(df, text_col, "cleaned")
+    return with_clean_stats(df, text_col, "cleaned", F.coalesce("passed_gate", F.lit(False)))
 
 
 def mark_status(df: DataFrame, duplicate_col: str | None = None, failed_col: str | None = None) -> DataFrame:
@@ -211,8 +211,8 @@ def drop_skipped(df: DataFrame) -> DataFrame:
 
 def final_content(df: DataFrame, text_col: str = "content") -> DataFrame:
     """Cleaned text where the gate passed and the row was kept, else the original."""
-    good = F.col("passed_gate") & (F.col("status") == "completed")
-    return df.withColumn(text_col, F.when(good, F.col("cleaned")).otherwise(F.col(text_col)))
+    good = F.coalesce(F.col("passed_gate") & (F.col("status") == "completed"), F.lit(False))
+    return df.withColumn(text_col, F.when(good, F.col("cleaned")).otherwise(F.col(text_col))).withColumn("is_cleaned", good)
 
 
 def extend_protected(protected: DataFrame, new: DataFrame) -> DataFrame:

@@ -12,8 +12,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.functions.text import BLANK, strip
+from sluice.functions.text import strip
 from sluice.operators.skew import hot_keys, skew_join
+from sluice.session import durable
 
 
 def render(df: DataFrame, template: str, columns: list[str], system: str = "", output: str = "prompt") -> DataFrame:
@@ -156,8 +157,12 @@ def conversation_of(turns: DataFrame, id_col: str, turn_col: str = "turn",
 
 def model_step(df: DataFrame, template: str, columns: list[str], fn: Callable[[list[str]], list[str]],
                output: str, system: str = "", responses: DataFrame | None = None) -> DataFrame:
-    """Render, send what is new, attach: the whole generator step."""
+    """Render, send what is new, attach: the whole generator step.
+
+    Responses are written before they are used, so no later step, retry or
+    lost executor sends a request again. Failed requests leave a null.
+    """
     asked = render(df, template, columns, system)
-    fresh = apply_model(pending(asked, responses), fn).select("request_id", "response")
+    fresh = durable(apply_model(pending(asked, responses), fn).filter("ok").select("request_id", "response"))
     known = fresh if responses is None else fresh.unionByName(responses.select("request_id", "response"))
     return attach(asked, known, output).drop("prompt", "request_id")

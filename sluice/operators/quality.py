@@ -23,6 +23,7 @@ from sluice.functions.text import (
     size_where,
     strip,
 )
+from sluice.operators.chunking import is_valid
 from sluice.session import durable
 
 METRICS = list(V.METRIC_WEIGHTS)
@@ -166,7 +167,8 @@ def evaluate(
 ) -> DataFrame:
     """``quality`` struct, ``quality_warning`` and ``improvement_suggestions``.
 
-    A metric that is switched off reads 0.0 and is left out of the mean.
+    A metric that is switched off reads 0.0 and is left out of the mean. Blank
+    texts get no score.
     """
     metrics = METRICS if metrics is None else metrics
     text = F.col(text_col)
@@ -184,9 +186,10 @@ def evaluate(
         overall(scores).alias("overall"),
         *[(scores[m] if m in scores else F.lit(0.0)).alias(m) for m in METRICS],
     )
-    df = df.withColumn("quality", quality).drop(*parts)
+    df = df.withColumn("quality", F.when(is_valid(text), quality)).drop(*parts)
     df = df.withColumn("quality_warning", F.col("quality.overall") < min_score)
-    return df.withColumn("improvement_suggestions", suggestions(text, F.col("quality"), n_terms))
+    advice = F.when(F.col("quality").isNotNull(), suggestions(text, F.col("quality"), n_terms))
+    return df.withColumn("improvement_suggestions", advice)
 
 
 def filter_by_quality(df: DataFrame, min_score: float = 0.7) -> DataFrame:
@@ -302,7 +305,7 @@ def evaluation_report(df: DataFrame, min_score: float = 0.7) -> DataFrame:
     """Grade counts and threshold compliance, in one row."""
     score = F.col("quality.overall")
     return df.agg(
-        F.count(F.lit(1)).alias("total_evaluated"),
+        F.count(score).alias("total_evaluated"),
         *_grade_counts(score),
         F.lit(min_score).alias("threshold"),
         F.count_if(score >= min_score).alias("qualified"),

@@ -68,6 +68,12 @@ def test_whole_stage_and_kb_update(spark):
     assert (terms.count(), entities.count(), relations.count()) == (21, 4, 4)
 
 
+def test_blank_text_has_no_score(spark):
+    df = Q.evaluate(frame(spark, HIGH, "  ", None))
+    assert [r["quality"] is None for r in df.orderBy("id").collect()] == [False, True, True]
+    assert Q.evaluation_report(df).first()["total_evaluated"] == 1 and Q.filter_by_quality(df, 0.0).count() == 1
+
+
 def test_switched_off_metric(spark):
     row = Q.evaluate(frame(spark, HIGH), metrics=["relevance"]).first()["quality"]
     assert row["overall"] == row["relevance"] and row["diversity"] == 0.0

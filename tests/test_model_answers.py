@@ -33,6 +33,21 @@ def test_failing_batch_marks_its_rows(spark):
     assert got == {"SAY GOOD": (True, None), None: (False, "no answer")}
 
 
+def test_chained_steps_send_each_request_once(spark, tmp_path):
+    log = str(tmp_path / "sent")
+
+    def model(prompts):
+        with open(log, "a") as out:
+            out.write("".join(p + "\n" for p in prompts))
+        return [p + "!" for p in prompts]
+
+    df = spark.createDataFrame([("a",), ("b",), ("a",)], "w string")
+    for step in ("x", "y", "z"):
+        df = M.model_step(df, f"{step} {{w}}", ["w"], model, step)
+    assert df.count() == 3 and df.count() == 3
+    assert sorted(open(log).read().split("\n")[:-1]) == ["x a", "x b", "y a", "y b", "z a", "z b"]
+
+
 def test_stored_responses_are_not_sent_again(spark):
     def model(prompts):
         assert "say a" not in prompts
