@@ -518,9 +518,16 @@ def _s_score(x: str) -> str:
     return f"(1 + ('0x' || substr(md5({x}), 1, 2))::int % 5)"
 
 
+REWORK = "'{{\"doc_id\": \"' || doc_id || '\", \"source\": \"{word}\"}}'"
+
+
 @query("recipe_score_and_rework", f"""
-with d as (select '{{"doc_id":"' || doc_id || '","source":"' || source || '"}}' as j, '{{"doc_id": "' || doc_id || '", "source": "refined"}}' as refined, doc_id from documents)
-select cast(doc_id as varchar) as doc_id, 'refined' as source from d where {_s_score('j')} between 2 and 3 and {_s_score('refined')} >= 4""")
+with d as (select '{{"doc_id":"' || doc_id || '","source":"' || source || '"}}' as j, {REWORK.format(word='refined')} as refined,
+  {REWORK.format(word='rewritten')} as rewritten, cast(doc_id as varchar) as doc_id, source from documents),
+s as (select *, {_s_score('j')} as first_score from d),
+w as (select * from s where first_score > 3 and {_s_score('rewritten')} >= 4 and (select count(*) from s where first_score > 1) < 200)
+select doc_id, 'refined' as source from s where first_score between 2 and 3 and {_s_score('refined')} >= 4
+union all select doc_id, 'rewritten' from w union all select doc_id, source from w""")
 def _(spark, sf):
     docs = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "source")
     return recipes.score_and_rework(docs, ["doc_id", "source"], _json_score(), _rework("refined"), _rework("rewritten"))
