@@ -50,7 +50,7 @@ def completeness(text: Column, n_terms: Column) -> Column:
     return F.least(F.lit(1.0), length * 0.3 + structure * 0.4 + density * 0.3)
 
 
-def is_hydro_word(word: Column, vocabulary: list[str] = V.DOMAIN_VOCABULARY) -> Column:
+def is_domain_word(word: Column, vocabulary: list[str] = V.DOMAIN_VOCABULARY) -> Column:
     """Some vocabulary word lies in ``word``, or ``word`` lies in one of them.
 
     One alternation and one substring test stand for the loop over the list:
@@ -69,7 +69,7 @@ def relevance(text: Column, vocabulary: list[str] = V.DOMAIN_VOCABULARY) -> Colu
     )
 
     def share(words: Column) -> Column:
-        return ratio(size_where(words, lambda w: is_hydro_word(w, vocabulary)), F.size(words))
+        return ratio(size_where(words, lambda w: is_domain_word(w, vocabulary)), F.size(words))
 
     term_score = F.least(F.lit(1.0), let(find_all(text, CJK_OR_LATIN), share) * 5)
     areas = _add([_points(contains_any(text, words), 0.25) for words in V.RELEVANCE_AREAS.values()])
@@ -215,7 +215,7 @@ def qa_score(df: DataFrame, name: str = "qa_quality") -> DataFrame:
         _points(contains_any(question, V.QUESTION_WORDS), 0.2),
         length_points(answer, 20, 200),
         _points(answer.rlike(DIGIT), 0.1),
-        _points(is_hydro_word(answer), 0.1),
+        _points(is_domain_word(answer), 0.1),
         F.when(usable, F.least(F.lit(0.2), relevant)).otherwise(0.0),
     ])
     trust = F.when(F.col("confidence").isNull() | (F.col("confidence") == 0), 1.0).otherwise(F.col("confidence"))

@@ -35,7 +35,7 @@ def s_completeness(x: str, n_terms: str) -> str:
 JOINED = "|".join(V.DOMAIN_VOCABULARY)
 
 
-def s_hydro(w: str) -> str:
+def s_domain_word(w: str) -> str:
     """Stated as the loop over the vocabulary."""
     words = "[" + ", ".join(s_str(v) for v in V.DOMAIN_VOCABULARY) + "]"
     return f"(len(list_filter({words}, lambda k: contains(lower({w}), k) or contains(k, lower({w})))) > 0)"
@@ -44,7 +44,7 @@ def s_hydro(w: str) -> str:
 def s_relevance(x: str) -> str:
     matched = s_sum([f"contains(lower({x}), '{v}')::int" for v in V.DOMAIN_VOCABULARY])
     words = f"regexp_extract_all({x}, '{CJK_OR_LATIN}')"
-    share = s_ratio(f"len(list_filter({words}, lambda w: {s_hydro('w')}))", f"len({words})")
+    share = s_ratio(f"len(list_filter({words}, lambda w: {s_domain_word('w')}))", f"len({words})")
     areas = s_sum([s_points(s_any(x, w), 0.25) for w in V.RELEVANCE_AREAS.values()])
     return (f"least(1.0::double, {matched} / {len(V.DOMAIN_VOCABULARY)}.0::double * 0.4::double "
             f"+ least(1.0::double, {share} * 5) * 0.3::double + {areas} * 0.3::double)")
@@ -98,10 +98,10 @@ def _(spark, sf):
 
 @query("quality_domain_words", f"""
 with {ZH}, w as (select distinct unnest(regexp_extract_all(content, '{CJK_OR_LATIN}')) as word from zh)
-select word, {s_hydro('word')}::int as on_topic from w""")
+select word, {s_domain_word('word')}::int as on_topic from w""")
 def _(spark, sf):
     words = zh_documents(spark, sf).select(F.explode(find_all(F.col("content"), CJK_OR_LATIN)).alias("word")).distinct()
-    return words.select("word", Q.is_hydro_word(F.col("word")).cast("int").alias("on_topic"))
+    return words.select("word", Q.is_domain_word(F.col("word")).cast("int").alias("on_topic"))
 
 
 BOTH = f"""{ZH}, b as (select doc_id, content from zh union all select -1 - doc_id, text from documents)"""
@@ -184,7 +184,7 @@ def _(spark, sf):
 S_QA = f"""(case when length(question) between 10 and 50 then 0.2::double when length(question) < 10 then 0.1::double else 0.15::double end
   + {s_points(s_any('question', V.QUESTION_WORDS), 0.2)}
   + case when length(answer) between 20 and 200 then 0.2::double when length(answer) < 20 then 0.1::double else 0.15::double end
-  + {s_points(f"regexp_matches(answer, '{DIGIT}')", 0.1)} + {s_points(s_hydro('answer'), 0.1)}
+  + {s_points(f"regexp_matches(answer, '{DIGIT}')", 0.1)} + {s_points(s_domain_word('answer'), 0.1)}
   + case when context <> '' and question <> '' then least(0.2::double, {s_ratio(
       f"len(list_intersect(list_distinct(regexp_extract_all(lower(question), '{CJK_OR_LATIN}')), regexp_extract_all(lower(context), '{CJK_OR_LATIN}')))",
       f"len(list_distinct(regexp_extract_all(lower(question), '{CJK_OR_LATIN}')))")}) else 0.0::double end)"""
