@@ -134,6 +134,17 @@ def _(spark, sf):
     return out.select("doc_id", "lang", F.md5("text").alias("text_hash"))
 
 
+NEAR_FIRST = SHINGLES.replace("text, ", "t, ").replace("lower(text)", "lower(t)").replace("from documents", "from r")
+
+
+@query("recipe_pretrain_text_dedup_first", f"""
+with {RBASE}, kept as (select doc_id, lang, t from base where {' and '.join(f'({x})' for x in TESTS)}), {NEAR_FIRST}
+select doc_id, lang, md5(t) as text_hash from kept where doc_id not in (select doc_id from pairs)""")
+def _(spark, sf):
+    out = recipes.pretrain_text(table(spark, sf, "documents"), "text", "doc_id", dedup_first=True)
+    return out.select("doc_id", "lang", F.md5("text").alias("text_hash"))
+
+
 def _stage_sql() -> str:
     parts = ["select 0 as step, 'start' as name, count(*) as rows from base"]
     for i, name in enumerate(recipes.PRETRAIN_FILTERS):

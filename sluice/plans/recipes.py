@@ -46,18 +46,22 @@ def refine_text(df: DataFrame, text_col: str) -> DataFrame:
 
 
 def pretrain_text(df: DataFrame, text_col: str, id_col: str, blocked: list[str] | None = None,
-                  extra: dict[str, T.Predicate] | None = None, near_dup: bool = True, **minhash) -> DataFrame:
+                  extra: dict[str, T.Predicate] | None = None, near_dup: bool = True, dedup_first: bool = False,
+                  **minhash) -> DataFrame:
     """Refiners, all heuristic filters in one scan, then near-duplicate removal.
 
-    Duplicates are looked for after the filters here: the order changes which
-    copy is compared, not which kinds of rows stay, and the shuffle sees only
-    rows worth keeping.
+    Both orders are in use. With duplicates last, as by default, only rows
+    worth keeping are compared. With ``dedup_first`` a row also goes if its
+    earlier near copy fails a filter afterwards.
     """
     tests = dict(PRETRAIN_FILTERS, **(extra or {}))
     if blocked:
         tests["blocklist"] = T.blocklist(blocked)
-    out = T.keep(refine_text(df, text_col), text_col, *tests.values())
-    return minhash_dedup(durable(out), text_col, id_col, **minhash) if near_dup else out
+    out = refine_text(df, text_col)
+    if near_dup and dedup_first:
+        out = minhash_dedup(durable(out), text_col, id_col, **minhash)
+    out = T.keep(out, text_col, *tests.values())
+    return out if not near_dup or dedup_first else minhash_dedup(durable(out), text_col, id_col, **minhash)
 
 
 def pretrain_stage_counts(df: DataFrame, text_col: str) -> DataFrame:
