@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sluice.llm import exact_dedup
+from sluice.llm import bpe, exact_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -22,6 +24,10 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def vocabulary() -> str:
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -33,3 +39,15 @@ select doc_id, keep_id, group_size, doc_id = keep_id as kept, text_sha256 from (
   from documents window same as (partition by coalesce(text, '')))""")
 def op7_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"), "text", "doc_id")
+
+
+@query("op4_bpe_trie")
+def op4_bpe_trie(spark, sf_dir):
+    coded = bpe.encode(table(spark, sf_dir, "documents"), "text", "doc_id", vocabulary())
+    coded = bpe.decode(coded, "token_ids", vocabulary())
+    return coded.select(
+        "doc_id",
+        F.size("token_ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
