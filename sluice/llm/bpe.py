@@ -15,6 +15,7 @@ from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -243,7 +244,7 @@ def decode(df: DataFrame, ids_col: str, path: str, out_col: str = "decoded") ->
     """``df`` with the text of its token ids; null ids give an empty text."""
 
     @F.pandas_udf("string")
-    def run(batches: Iterator) -> Iterator:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = once(("bpe", path), lambda: TrieEncoder(path))
         for batch in batches:
             yield batch.map(lambda ids: "" if ids is None else encoder.decode(ids.tolist()))
