@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, exact_dedup
+from sluice.llm import bpe, exact_dedup, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -51,3 +51,15 @@ def op4_bpe_trie(spark, sf_dir):
         F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op6_sum_of_squares_packing")
+def op6_sum_of_squares_packing(spark, sf_dir):
+    return packed(table(spark, sf_dir, "documents"))
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """Documents packed into sequences of 2048 tokens, with a checksum of each piece's ids."""
+    cut = packing.pieces(docs, "text", "doc_id", vocabulary())
+    cut = cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(cut, "length", ["doc_id", "piece"])
