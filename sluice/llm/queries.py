@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, exact_dedup, packing
+from sluice.llm import bpe, exact_dedup, packing, repetition
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -63,3 +63,8 @@ def packed(docs: DataFrame) -> DataFrame:
     cut = packing.pieces(docs, "text", "doc_id", vocabulary())
     cut = cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
     return packing.pack(cut, "length", ["doc_id", "piece"])
+
+
+@query("op2_repetition_coverage")
+def op2_repetition_coverage(spark, sf_dir):
+    return repetition.repetition(table(spark, sf_dir, "documents"), "text", "doc_id")
