@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, exact_dedup, packing, repetition
+from sluice.llm import bpe, exact_dedup, packing, repetition, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -68,3 +68,8 @@ def packed(docs: DataFrame) -> DataFrame:
 @query("op2_repetition_coverage")
 def op2_repetition_coverage(spark, sf_dir):
     return repetition.repetition(table(spark, sf_dir, "documents"), "text", "doc_id")
+
+
+@query("op10_simhash_near_duplicates")
+def op10_simhash_near_duplicates(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), "text", "doc_id")
