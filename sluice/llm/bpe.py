@@ -24,7 +24,7 @@ from tokenizers import Tokenizer
 from sluice.llm.workers import lists, once, steps
 
 # Spellings of one generation that a worker remembers.
-REMEMBERED = 150_000
+REMEMBERED = 250_000
 
 
 class TrieEncoder:
@@ -88,7 +88,7 @@ class TrieEncoder:
         """May ``token`` come after ``before``, the last token of a prefix?"""
         found = self.pairs.get((before, token))
         if found is None:
-            if len(self.pairs) > 5 * REMEMBERED:
+            if len(self.pairs) > REMEMBERED:
                 self.pairs.clear()
             found = self._stands(token) and self._apart(before, token, len(self.ranks))
             self.pairs[before, token] = found
@@ -96,49 +96,59 @@ class TrieEncoder:
 
     # ---- the trie
 
-    def _trie(self, words: Iterable[str]) -> dict:
-        """Nested nodes by character; a word's last character also has the end mark."""
-        root: dict = {}
-        for word in words:
-            node = root
-            for c in word[:-1]:
-                node = node.setdefault(c, {})
-            node[word[-1] + self.end] = None
-        return root
-
     def words(self, words: Iterable[str]) -> dict[str, tuple[int, ...]]:
-        """Encodings of distinct byte-level words, each prefix worked out once."""
+        """Encodings of distinct byte-level words, each prefix worked out once at most.
+
+        Sorted words are the leaves of their trie in depth-first order: the path
+        to a word goes on from the path to the word before where they part.
+        States stay on the path until it leaves their node. A state is worked
+        out when a longer prefix asks for it.
+        """
         found: dict[str, tuple[int, ...]] = {}
-        vocab, longest, follows, stands = self.vocab, self.longest, self._follows, self._stands
-        # Of each prefix on the path from the root: its last token and where that token starts.
-        tokens, starts = [-1], [0]
-        # Children before siblings: the states of a node's ancestors stay in place.
-        stack = [(iter(self._trie(words).items()), "")]
-        while stack:
-            children, prefix = stack[-1]
-            for key, below in children:
-                text, depth = prefix + key[0], len(prefix) + 1
-                spelled = prefix + key
-                for start in range(max(depth - longest, 0), depth):
-                    token = vocab.get(spelled[start:])
-                    if token is not None and (follows(tokens[start], token) if start else stands(token)):
-                        break
-                else:
-                    raise ValueError(f"no token ends {spelled!r}")
-                if below is None:
-                    ids = [token]
-                    while start:
-                        ids.append(tokens[start])
-                        start = starts[start]
-                    found[text] = tuple(reversed(ids))
-                else:
-                    del tokens[depth:], starts[depth:]
-                    tokens.append(token)
-                    starts.append(start)
-                    stack.append((iter(below.items()), text))
-                    break
-            else:
-                stack.pop()
+        vocab, end, longest = self.vocab, self.end, self.longest
+        pairs, follows, stands = self.pairs, self._follows, self._stands
+        # Of each prefix on the path: its last token (0 unknown) with one added, and where that token starts.
+        tokens, starts = [0], [0]
+        word = ""
+
+        def last(depth: int, mark: str) -> tuple[int, int]:
+            for start in range(max(depth - longest, 0), depth):
+                token = vocab.get(word[start:depth] + mark)
+                if token is None:
+                    continue
+                if start == 0:
+                    if stands(token):
+                        return token, 0
+                    continue
+                if not tokens[start]:
+                    settle(start)
+                before = tokens[start] - 1
+                fits = pairs.get((before, token))
+                if fits or (fits is None and follows(before, token)):
+                    return token, start
+            raise ValueError(f"no token ends {word[:depth]!r}")
+
+        def settle(depth: int) -> None:
+            token, starts[depth] = last(depth, "")
+            tokens[depth] = token + 1
+
+        for next_word in sorted(words):
+            shared = _shared(word, next_word)
+            word, size = next_word, len(next_word)
+            del tokens[shared + 1 :], starts[shared + 1 :]
+            tokens += [0] * (size - len(tokens))
+            starts += [0] * (size - len(starts))
+            if size > 200:
+                # In order, so that asking for a state never goes deep.
+                for depth in range(1, size):
+                    if not tokens[depth]:
+                        settle(depth)
+            token, start = last(size, end)
+            ids = [token]
+            while start:
+                ids.append(tokens[start] - 1)
+                start = starts[start]
+            found[word] = tuple(reversed(ids))
         return found
 
     # ---- texts
@@ -208,6 +218,16 @@ class TrieEncoder:
         return " ".join([tokens[i] for i in ids])
 
 
+def _shared(one: str, other: str) -> int:
+    """Length of the common prefix."""
+    size = 0
+    for a, b in zip(one, other):
+        if a != b:
+            break
+        size += 1
+    return size
+
+
 def spellings(text: str) -> list[str]:
     """The text split at white space as the tokenizer knows it.
 
@@ -220,24 +240,30 @@ def spellings(text: str) -> list[str]:
     return text.split()
 
 
-def encode(df: DataFrame, text_col: str, id_col: str, path: str) -> DataFrame:
+def encode(df: DataFrame, text_col: str, id_col: str, path: str, *, round_trip: bool = False) -> DataFrame:
     """``id_col`` and ``token_ids`` of every row.
 
     Null and empty texts give no ids. Rows are independent: repeated rows and
     null ids come back as they are. Memory per task is bounded by the longest
     text plus a fixed number of remembered spellings. Only the two named
-    columns are read.
+    columns are read. With ``round_trip`` the ids are decoded at once, in the
+    same worker, to a column ``decoded``.
     """
     rows = df.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     kind = df.schema[id_col].dataType.simpleString()
+    names = ["_id", "token_ids", *["decoded"] * round_trip]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = once(("bpe", path), lambda: TrieEncoder(path))
         for part in steps(batches, "_text"):
             ids = encoder.encode(part.column("_text").to_pylist())
-            yield pa.RecordBatch.from_arrays([part.column("_id"), lists(ids, np.int32)], names=["_id", "token_ids"])
+            columns = [part.column("_id"), lists(ids, np.int32)]
+            if round_trip:
+                columns.append(pa.array([encoder.decode(i.tolist()) for i in ids], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return rows.mapInArrow(run, f"_id {kind}, token_ids array<int>").withColumnRenamed("_id", id_col)
+    schema = f"_id {kind}, token_ids array<int>" + ", decoded string" * round_trip
+    return rows.mapInArrow(run, schema).withColumnRenamed("_id", id_col)
 
 
 def decode(df: DataFrame, ids_col: str, path: str, out_col: str = "decoded") -> DataFrame:

@@ -43,8 +43,7 @@ def op7_exact_dedup(spark, sf_dir):
 
 @query("op4_bpe_trie")
 def op4_bpe_trie(spark, sf_dir):
-    coded = bpe.encode(table(spark, sf_dir, "documents"), "text", "doc_id", vocabulary())
-    coded = bpe.decode(coded, "token_ids", vocabulary())
+    coded = bpe.encode(table(spark, sf_dir, "documents"), "text", "doc_id", vocabulary(), round_trip=True)
     return coded.select(
         "doc_id",
         F.size("token_ids").cast("long").alias("n_tokens"),

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 
 # Texts of one step inside a task, in characters.
-STEP_CHARS = 2_000_000
+STEP_CHARS = 1_000_000
 
 
 def once(key: Hashable, make: Callable):
