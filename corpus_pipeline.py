@@ -6,20 +6,49 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sluice.llm import exact_dedup
+from sluice.llm import exact_dedup, repeats, repetition, simhash
+from sluice.llm.queries import packed
 from sluice.session import checkpoint_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules on repetition reject go."""
+    return repetition.keep_good(docs, "text")
+
+
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each text stays."""
+    """One document of each text stays, the one with the largest id."""
     return exact_dedup.exact_dedup(docs, "text", "doc_id")
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays, the one with the smallest id."""
+    groups = simhash.near_duplicates(docs, "text", "doc_id")
+    return docs.join(groups.filter("doc_id <=> component_id").select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that a document with a smaller id has go from the text, by whole characters."""
+    cut = repeats.remove_repeats(docs, "text", "doc_id", whole_chars=True)
+    text = F.decode("kept", "UTF-8")
+    return cut.withColumns({"text": text, "n_chars": F.length(text).cast("long")}).select(*docs.columns)
+
+
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents as pieces with their places in sequences of 2048 tokens."""
+    return packed(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("quality rules", quality),
     ("exact dedup", exact_copies),
+    ("SimHash near-dedup", near_copies),
+    ("suffix-array dedup", repeated_passages),
+    ("best-fit packing", sequences),
 ]
 
 # Rolling hashes, near-duplicate components, byte spans and packing have no SQL form.

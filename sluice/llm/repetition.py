@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 from itertools import chain, count
 
 import numpy as np
@@ -116,17 +117,34 @@ def _lines(text: str) -> tuple[int, int, int, int]:
     return total, again, chars, chars_again
 
 
-def repetition(
-    df: DataFrame,
-    text_col: str,
-    id_col: str,
-    *,
-    gram_limits: dict[int, float] = GRAM_LIMITS,
-    line_limit: float = LINE_LIMIT,
-    line_chars_limit: float = LINE_CHARS_LIMIT,
-    least_words: int = 50,
-    most_repeat: float = 0.5,
-) -> DataFrame:
+@dataclass(frozen=True)
+class Rules:
+    """Limits of the verdict."""
+
+    gram_limits: dict[int, float] = field(default_factory=lambda: dict(GRAM_LIMITS))
+    line_limit: float = LINE_LIMIT
+    line_chars_limit: float = LINE_CHARS_LIMIT
+    least_words: int = 50
+    most_repeat: float = 0.5
+
+    def counts(self) -> list[str]:
+        return [
+            "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "line_chars",
+            "dup_line_chars", *[f"dup_chars_{n}" for n in sorted(self.gram_limits)],
+        ]
+
+    def judge(self, texts: list[str]) -> dict[str, np.ndarray]:
+        """Counts of each text, ``base_failed`` and ``kept``."""
+        c = measure(texts, sorted(self.gram_limits))
+        failed = (c["n_words"] < self.least_words) | (c["n_repeat_words"] > self.most_repeat * c["n_words"])
+        over = c["n_dup_lines"] > self.line_limit * c["n_lines"]
+        over |= c["dup_line_chars"] > self.line_chars_limit * c["line_chars"]
+        for n, limit in self.gram_limits.items():
+            over |= c[f"dup_chars_{n}"] > limit * c["word_chars"]
+        return c | {"base_failed": failed, "kept": ~(failed | over)}
+
+
+def repetition(df: DataFrame, text_col: str, id_col: str, rules: Rules = Rules()) -> DataFrame:
     """``id_col``, counts, ``base_failed`` and ``kept`` of every row.
 
     Words are runs of characters other than space and tab to carriage return;
@@ -140,26 +158,28 @@ def repetition(
     ids come back as they are, and only the two named columns are read. Memory
     is bounded by the longest text.
     """
-    lengths = sorted(gram_limits)
-    counts = [
-        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "line_chars",
-        "dup_line_chars", *[f"dup_chars_{n}" for n in lengths],
-    ]
+    counts = rules.counts()
+    names = ["_id", *counts, "base_failed", "kept"]
     kind = df.schema[id_col].dataType.simpleString()
     rows = df.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in steps(batches, "_text"):
-            found = measure(part.column("_text").to_pylist(), lengths)
-            columns = [part.column("_id"), *[pa.array(found[c]) for c in counts]]
-            yield pa.RecordBatch.from_arrays(columns, names=["_id", *counts])
-
-    out = rows.mapInArrow(run, f"_id {kind}, " + ", ".join(f"{c} long" for c in counts))
-    failed = (F.col("n_words") < least_words) | (F.col("n_repeat_words") > most_repeat * F.col("n_words"))
-    over = (F.col("n_dup_lines") > line_limit * F.col("n_lines")) | (
-        F.col("dup_line_chars") > line_chars_limit * F.col("line_chars")
-    )
-    for n, limit in gram_limits.items():
-        over |= F.col(f"dup_chars_{n}") > limit * F.col("word_chars")
-    out = out.withColumn("base_failed", failed).withColumn("kept", ~(failed | over))
-    return out.withColumnRenamed("_id", id_col)
+            found = rules.judge(part.column("_text").to_pylist())
+            columns = [part.column("_id"), *[pa.array(found[c]) for c in names[1:]]]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    schema = f"_id {kind}, " + ", ".join(f"{c} long" for c in counts) + ", base_failed boolean, kept boolean"
+    return rows.mapInArrow(run, schema).withColumnRenamed("_id", id_col)
+
+
+def keep_good(df: DataFrame, text_col: str, rules: Rules = Rules()) -> DataFrame:
+    """The rows of ``df`` that ``repetition`` keeps, with all their columns, in one pass."""
+    at = df.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in steps(batches, at):
+            texts = [t or "" for t in part.column(at).to_pylist()]
+            yield part.filter(pa.array(rules.judge(texts)["kept"]))
+
+    return df.mapInArrow(run, df.schema)

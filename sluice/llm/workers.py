@@ -25,7 +25,7 @@ def once(key: Hashable, make: Callable):
     return kept[key]
 
 
-def steps(batches: Iterator[pa.RecordBatch], column: str, most: int = STEP_CHARS) -> Iterator[pa.RecordBatch]:
+def steps(batches: Iterator[pa.RecordBatch], column: str | int, most: int = STEP_CHARS) -> Iterator[pa.RecordBatch]:
     """Slices of batches whose texts together stay near ``most`` characters."""
     for batch in batches:
         sizes = np.diff(np.frombuffer(batch.column(column).buffers()[1], dtype=np.int32)[
