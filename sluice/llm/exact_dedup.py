@@ -7,7 +7,7 @@ so a digest alone never decides. Only DataFrame functions are used.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -16,31 +16,43 @@ def content(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 
 
+# A digest with more than one in so many rows is dealt out by salts; so at most this many digests are.
+HOT_SHARE = 1024
+
+
 def distinct_texts(df: DataFrame, text_col: str, id_col: str, salts: int = 16) -> DataFrame:
     """One row per distinct text: ``digest``, ``keep_id`` (largest id), ``group_size``.
 
-    The salt is a hash of the input partition. The partial aggregate under the
-    first exchange is the local stage; each text then has at most one row per
-    input partition, the salted stage leaves at most ``salts`` of them, and the
-    last stage one. Two texts under one digest stop the job instead of being
-    taken for copies.
+    The partial aggregate under each exchange is the local stage: a text leaves
+    an input partition once. Digests with over a ``HOT_SHARE``-th of all rows
+    are merged in salted groups first, the salt being a hash of the input
+    partition, then across salts; other digests have one group. Two texts under
+    one digest stop the job instead of being taken for copies.
     """
-    rows = df.select(
-        F.col(id_col).alias("_id"),
-        content(F.col(text_col)).alias("_text"),
-        F.pmod(F.hash(F.spark_partition_id()), F.lit(salts)).alias("_salt"),
-    ).withColumn("digest", F.sha2("_text", 256))
-    salted = rows.groupBy("digest", "_salt", "_text").agg(
-        F.max("_id").alias("_keep"), F.count(F.lit(1)).alias("_n")
-    )
-    combined = (
-        salted.repartition("digest")
+    rows = df.select(F.col(id_col).alias("_id"), content(F.col(text_col)).alias("_text"))
+    rows = rows.withColumn("digest", F.sha2("_text", 256))
+    share = df.count() // HOT_SHARE
+    # At most HOT_SHARE rows, whatever the table holds.
+    hot = F.broadcast(rows.groupBy("digest").count().filter(F.col("count") > share).select("digest"))
+    salt = F.pmod(F.hash(F.spark_partition_id()), F.lit(salts))
+    totals = [F.max("_keep").alias("_keep"), F.sum("_n").alias("_n")]
+    merged = _merged(rows.join(hot, "digest", "left_anti"), []).unionByName(
+        _merged(rows.join(hot, "digest", "left_semi").withColumn("_salt", salt), ["_salt"])
         .groupBy("digest", "_text")
-        .agg(F.max("_keep").alias("keep_id"), F.sum("_n").alias("group_size"))
+        .agg(*totals)
     )
-    texts = F.count(F.lit(1)).over(Window.partitionBy("digest"))
-    alone = F.when(texts > 1, F.raise_error(F.lit("two texts share a digest")).cast("string")).otherwise(F.col("digest"))
-    return combined.select(alone.alias("digest"), "keep_id", "group_size")
+    one = merged.groupBy("digest").agg(*totals, F.count(F.lit(1)).alias("_texts"))
+    clash = F.raise_error(F.lit("two texts share a digest")).cast("string")
+    return one.select(
+        F.when(F.col("_texts") > 1, clash).otherwise(F.col("digest")).alias("digest"),
+        F.col("_keep").alias("keep_id"),
+        F.col("_n").alias("group_size"),
+    )
+
+
+def _merged(rows: DataFrame, salt: list[str]) -> DataFrame:
+    grouped = rows.groupBy("digest", *salt, "_text").agg(F.max("_id").alias("_keep"), F.count(F.lit(1)).alias("_n"))
+    return grouped.drop(*salt)
 
 
 def exact_groups(df: DataFrame, text_col: str, id_col: str, salts: int = 16) -> DataFrame:

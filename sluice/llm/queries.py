@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, exact_dedup, packing, repeats, repetition, simhash
+from sluice.llm import bpe, exact_dedup, packing, pages, repeats, repetition, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -84,3 +84,9 @@ def op8_interval_tree_repeats(spark, sf_dir):
         F.size("removed").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query("op9_nearest_url_differencing")
+def op9_nearest_url_differencing(spark, sf_dir):
+    found = pages.main_text(table(spark, sf_dir, "pages"), "html", "url", "page_id")
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
