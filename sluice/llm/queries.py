@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, exact_dedup, packing, pages, repeats, repetition, simhash
+from sluice.llm import bpe, exact_dedup, packing, pages, quotes, repeats, repetition, simhash
+from sluice.session import durable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -90,3 +91,74 @@ def op8_interval_tree_repeats(spark, sf_dir):
 def op9_nearest_url_differencing(spark, sf_dir):
     found = pages.main_text(table(spark, sf_dir, "pages"), "html", "url", "page_id")
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def mails(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each turn as a mail that answers the turn before and quotes it, with what that one quoted."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
+    before = Window.partitionBy("conv_id").orderBy("turn")
+
+    def quote(text, mark: str):
+        return F.concat(F.lit(mark), F.regexp_replace(text, "\n", f"\n{mark}"))
+
+    one, two = F.lag("text", 1).over(before), F.lag("text", 2).over(before)
+    quoted = F.concat(F.lit("\n\nOn that turn they wrote:\n"), quote(one, "> "))
+    older = F.concat(F.lit("\n> On that turn they wrote:\n"), quote(two, "> > "))
+    text = F.concat("text", F.coalesce(quoted, F.lit("")), F.coalesce(older, F.lit("")))
+    return turns.select("conv_id", "turn", text.alias("mail"))
+
+
+@query("op1_quotation_linking", r"""
+with recursive turns as (
+  select conv_id, turn, trim(coalesce(text, ''), chr(10) || chr(13) || chr(9) || ' ') as text,
+         lag(coalesce(text, '')) over (partition by conv_id order by turn) as quoted,
+         lag(coalesce(text, ''), 2) over (partition by conv_id order by turn) as older
+  from conversations),
+says as (
+  select distinct conv_id, turn, trim(regexp_replace(lower(part), '\s+', ' ', 'g')) as said
+  from turns, unnest(list_concat([text], regexp_split_to_array(text, '
+\s*
+'))) as t(part)),
+firsts as (select conv_id, said, min(turn) as first_turn from says where said <> '' group by all),
+quotes as (
+  select conv_id, turn, 1 as level, quoted as body from turns where quoted is not null
+  union all select conv_id, turn, 2, older from turns where older is not null),
+parts as (
+  select conv_id, turn, level, 0 as rank, trim(regexp_replace(lower(body), '\s+', ' ', 'g')) as said from quotes
+  union all
+  select conv_id, turn, level, 1, trim(regexp_replace(lower(part), '\s+', ' ', 'g'))
+  from quotes, unnest(regexp_split_to_array(body, '
+\s*
+')) as t(part)),
+linked as (
+  select p.conv_id, p.turn, min((level, rank, first_turn)) as best, count(distinct level) as n_linked
+  from parts p join firsts f on p.conv_id = f.conv_id and p.said = f.said and f.first_turn < p.turn
+  group by all),
+mail as (
+  select t.conv_id, t.turn, t.text, l.best[3] as parent, coalesce(n_linked, 0) as n_linked,
+         (trim(coalesce(quoted, ''), chr(10) || chr(13) || chr(9) || ' ') <> '')::bigint
+           + (trim(coalesce(older, ''), chr(10) || chr(13) || chr(9) || ' ') <> '')::bigint as n_quotes
+  from turns t left join linked l using (conv_id, turn)),
+chain as (
+  select conv_id, turn as leaf, turn, parent, text, n_quotes, n_linked from mail m
+  where not exists (select 1 from mail c where c.conv_id = m.conv_id and c.parent = m.turn)
+  union all
+  select c.conv_id, c.leaf, m.turn, m.parent, m.text, m.n_quotes, m.n_linked
+  from chain c join mail m on m.conv_id = c.conv_id and m.turn = c.parent)
+select conv_id, leaf as leaf_id, min(turn) as root_id, count(*) as n_messages,
+       sum(n_quotes)::bigint as n_quotes, sum(n_linked)::bigint as n_linked,
+       string_agg(text, chr(10) || chr(10) order by turn) as conversation
+from chain group by conv_id, leaf""")
+def op1_quotation_linking(spark, sf_dir):
+    linked = durable(quotes.link_quotes(mails(spark, sf_dir), "mail", "turn", ["conv_id"]))
+    paths = quotes.reply_paths(linked, "turn", ["conv_id"])
+    built = quotes.conversations(paths, "turn", ["conv_id"])
+    counts = linked.select("conv_id", F.col("turn").alias("_turn"), "n_quotes", "n_linked")
+    ids = built.select("conv_id", "leaf_id", F.explode("messages.id").alias("_turn"))
+    totals = ids.join(counts, ["conv_id", "_turn"]).groupBy("conv_id", "leaf_id").agg(
+        F.sum("n_quotes").alias("n_quotes"), F.sum("n_linked").alias("n_linked")
+    )
+    return built.join(totals, ["conv_id", "leaf_id"]).select(
+        "conv_id", "leaf_id", "root_id", F.size("messages").cast("long").alias("n_messages"), "n_quotes", "n_linked",
+        F.array_join("messages.text", "\n\n").alias("conversation"),
+    )
