@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, exact_dedup, packing, pages, quotes, repeats, repetition, simhash
+from sluice.llm import bpe, exact_dedup, maskedlm, packing, pages, quotes, repeats, repetition, simhash
 from sluice.session import durable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -162,3 +162,10 @@ def op1_quotation_linking(spark, sf_dir):
         "conv_id", "leaf_id", "root_id", F.size("messages").cast("long").alias("n_messages"), "n_quotes", "n_linked",
         F.array_join("messages.text", "\n\n").alias("conversation"),
     )
+
+
+@query("op5_masked_pseudo_likelihood")
+def op5_masked_pseudo_likelihood(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    classes, network = maskedlm.fit(docs, "text")
+    return maskedlm.score(docs, "text", "doc_id", classes, network)
