@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, exact_dedup, maskedlm, packing, pages, quotes, repeats, repetition, simhash
+from sluice.llm import bpe, cotraining, exact_dedup, maskedlm, packing, pages, quotes, repeats, repetition, simhash
 from sluice.session import durable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -169,3 +169,11 @@ def op5_masked_pseudo_likelihood(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     classes, network = maskedlm.fit(docs, "text")
     return maskedlm.score(docs, "text", "doc_id", classes, network)
+
+
+@query("op3_cotraining_quality")
+def op3_cotraining_quality(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    columns = cotraining.Columns("text", "doc_id", ["lang", "source"], ["n_chars"])
+    scores = cotraining.cotrain(docs, labels, columns, ["quality", "toxic"])
+    return scores.withColumn("kept", (F.col("quality_score") >= 0.5) & (F.col("toxic_score") < 0.5))
