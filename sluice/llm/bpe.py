@@ -164,7 +164,7 @@ class TrieEncoder:
                 if text.isalpha():
                     yield [text]
                     continue
-                if text[:-1].isalpha() and not text[-1].isdigit():
+                if text[:-1].isalpha() and text[-1].isprintable() and not text[-1].isdigit():
                     yield [text[:-1], text[-1]]
                     continue
             yield [w for w, _ in self.pre_tokenizer.pre_tokenize_str(text)]
