@@ -7,6 +7,8 @@ keeps a fitting partner open for whatever comes next.
 
 from __future__ import annotations
 
+import os
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,10 +18,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from sluice.llm.bpe import TrieEncoder
+from tokenizers import Tokenizer
+
+from sluice.llm.bpe import spellings
 from sluice.llm.workers import once, steps
 from sluice.session import durable
 
+# Spellings of one generation that a worker remembers.
+REMEMBERED_IDS = 500_000
 # Pieces that one task packs on average.
 PIECES_PER_TASK = 25_000
 
@@ -61,6 +67,50 @@ class SumOfSquares:
         return [s for found in self.open.values() for s in found]
 
 
+class Ids:
+    """Ids that the tokenizers library gives, each white-space free spelling asked for once in a while.
+
+    The tokenizer's words never cross white space, so a text's ids are those of
+    its spellings in a row. Texts that may hold special tokens go whole.
+    """
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.tokenizer = Tokenizer.from_file(path)
+        # A digit is always a word, and so a token, of its own.
+        (self.between,) = self.tokenizer.encode("0", add_special_tokens=False).ids
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _ask(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in found]
+
+    def _learn(self, new: list[str]) -> None:
+        """Ask for many spellings at once, a digit that none of them has between them."""
+        odd = [s for s in new if "0" in s]
+        self.known |= zip(odd, self._ask(odd))
+        plain = [s for s in new if "0" not in s]
+        if plain:
+            ids = self._ask([" 0 ".join(plain)])[0]
+            at = (4 * np.flatnonzero(np.frombuffer(ids, np.uint32) == self.between)).tolist()
+            self.known |= {s: ids[a:b] for s, a, b in zip(plain, [0, *[x + 4 for x in at]], [*at, len(ids)], strict=True)}
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as unsigned 32-bit numbers in the machine's order."""
+        known, older = self.known, self.older
+        cut = [None if "<|" in t else spellings(t) for t in texts]
+        new = set().union(*filter(None, cut)).difference(known)
+        known |= {s: older[s] for s in new if s in older}
+        new = [s for s in new if s not in older]
+        self._learn(new)
+        whole = iter(self._ask([t for t, c in zip(texts, cut) if c is None]))
+        out = [next(whole) if c is None else b"".join(map(known.__getitem__, c)) for c in cut]
+        if len(known) > REMEMBERED_IDS:
+            self.known, self.older = {}, known
+        return out
+
+
 def pieces(df: DataFrame, text_col: str, id_col: str, path: str, end_id: int = 0, capacity: int = 2048) -> DataFrame:
     """Documents as pieces of at most ``capacity`` tokens.
 
@@ -74,11 +124,11 @@ def pieces(df: DataFrame, text_col: str, id_col: str, path: str, end_id: int = 0
     rows = df.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = once(("bpe", path), lambda: TrieEncoder(path))
+        library = once(("ids", path), lambda: Ids(path))
         for part in steps(batches, "_text"):
             of, numbers, starts, lengths, data = [], [], [], [], []
-            for row, ids in enumerate(encoder.encode(part.column("_text").to_pylist())):
-                ids = np.append(ids, end_id).astype("<u4")
+            for row, ids in enumerate(library.encode(part.column("_text").to_pylist())):
+                ids = np.append(np.frombuffer(ids, np.uint32), np.uint32(end_id)).astype("<u4", copy=False)
                 for number, start in enumerate(range(0, len(ids), capacity)):
                     cut = ids[start : start + capacity]
                     of.append(row)
