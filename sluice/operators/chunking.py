@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -24,34 +26,49 @@ def is_valid(text: Column) -> Column:
     return F.coalesce(strip(text) != "", F.lit(False))
 
 
+def cut_ends(text: str) -> list[tuple[int, list[int]]]:
+    """For each separator, most wanted first, its length and where its occurrences end, in order."""
+    found = ((len(s), [m.start() + len(s) for m in re.finditer(f"(?={re.escape(s)})", text)]) for s in SEPARATORS)
+    return [(width, ends) for width, ends in found if ends]
+
+
+def piece_limits(text: str, size: int, overlap: int) -> Iterator[tuple[int, int]]:
+    """Start and end of the pieces of one text.
+
+    All separators are looked up once; each cut then is a binary search in
+    their sorted ends, the last that fits the window and leaves a piece.
+    """
+    table = cut_ends(text) if len(text) > size else []
+    begin = 0
+    while begin < len(text):
+        limit = begin + size
+        if limit >= len(text):
+            yield begin, len(text)
+            return
+        fitting = ((width, ends[bisect_right(ends, limit) - 1]) for width, ends in table if ends[0] <= limit)
+        cut = next((end for width, end in fitting if end - width > begin), limit)
+        yield begin, cut
+        # An overlap that would not move forward is left out.
+        begin = cut - overlap if cut - overlap > begin else cut
+
+
 def chunk_pieces(text: Column, size: int = 1000, overlap: int = 100) -> Column:
     """Cut one text at the last separator in each window of ``size`` characters.
 
     Where a cut falls depends on the cut before it, so this one step is an
     Arrow function; a row carries one document, so the work spreads with rows.
     """
-    separators = list(SEPARATORS)
-
-    def cut(content: str) -> list[dict]:
-        pieces, start, number, total = [], 0, 0, len(content)
-        while start < total:
-            end = min(start + size, total)
-            if end < total:
-                for separator in separators:
-                    at = content.rfind(separator, start, end)
-                    if at > start:
-                        end = at + len(separator)
-                        break
-            pieces.append({"chunk_number": number, "start": start, "text": content[start:end]})
-            back = end - overlap
-            start = end if end >= total or back <= start else back
-            number += 1
-        return pieces
+    # Bound here, so that the function travels with its helpers.
+    limits = piece_limits
 
     @F.pandas_udf(PIECES)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        def pieces(content: str) -> list[dict]:
+            places = enumerate(limits(content, size, overlap))
+            return [{"chunk_number": n, "start": a, "text": content[a:b]} for n, (a, b) in places]
+
         for batch in batches:
-            yield batch.map(cut, na_action="ignore")
+            yield batch.map(pieces, na_action="ignore")
 
     return run(text)
 

@@ -188,12 +188,19 @@ def domain_of(term: Column) -> Column:
     return out.otherwise(F.lit(V.DEFAULT_DOMAIN))
 
 
-def context_of(text: Column, limit: int = 200) -> Column:
+def context_of(text: Column, limit: int | None = 200) -> Column:
+    """The head of a text; the whole of it without ``limit``."""
+    if limit is None:
+        return text
     return F.when(F.length(text) > limit, F.concat(F.left(text, F.lit(limit)), F.lit("..."))).otherwise(text)
 
 
-def template_qa(text: Column, names: Column, key: Column, first: int = 3) -> Column:
-    """Questions for the first terms; type, template and partner picked by hash."""
+def _first(items: Column, n: int | None) -> Column:
+    return items if n is None else F.slice(items, F.lit(1), F.lit(n))
+
+
+def template_qa(text: Column, names: Column, key: Column, first: int | None = None, context: int | None = None) -> Column:
+    """Questions for the terms, or the ``first`` of them; type, template and partner picked by hash."""
     kinds = list(V.QA_TEMPLATES)
     kind_array = F.array(*[F.lit(k) for k in kinds])
     templates = F.array(*[F.array(*[F.lit(t) for t in V.QA_TEMPLATES[k]]) for k in kinds])
@@ -215,7 +222,7 @@ def template_qa(text: Column, names: Column, key: Column, first: int = 3) -> Col
                 i.cast("int").alias("ordinal"),
                 question.alias("question"),
                 answer_window(text, term, default).alias("answer"),
-                context_of(text).alias("context"),
+                context_of(text, context).alias("context"),
                 domain_of(term).alias("domain"),
                 F.lit(0.8).alias("confidence"),
                 F.lit("template").alias("method"),
@@ -223,15 +230,15 @@ def template_qa(text: Column, names: Column, key: Column, first: int = 3) -> Col
 
         return let(kind, fill)
 
-    return F.transform(F.slice(names, F.lit(1), F.lit(first)), pair)
+    return F.transform(_first(names, first), pair)
 
 
 def fact_pattern() -> str:
     return rf"{NUMBER}[{BLANK}]*(?:{'|'.join(V.FACT_UNITS)})"
 
 
-def numeric_qa(text: Column, first: int = 2, radius: int = 50) -> Column:
-    """Questions about the first measurements, with the text around each."""
+def numeric_qa(text: Column, first: int | None = None, radius: int = 50) -> Column:
+    """Questions about the measurements, or the ``first`` of them, with the text around each."""
 
     def pair(fact: Column, i: Column) -> Column:
         at = F.instr(text, fact) - 1
@@ -250,22 +257,37 @@ def numeric_qa(text: Column, first: int = 2, radius: int = 50) -> Column:
             ).cast(QA_FIELDS),
         )
 
-    return F.transform(F.slice(find_all(text, fact_pattern()), F.lit(1), F.lit(first)), pair)
+    return F.transform(_first(find_all(text, fact_pattern()), first), pair)
+
+
+@dataclass(frozen=True)
+class Limits:
+    """How much of a chunk becomes questions; None sets no limit."""
+
+    terms: int | None = None
+    facts: int | None = None
+    context: int | None = None
+    per_chunk: int | None = None
+
+
+# The limits of the domain toolkit.
+SHORT = Limits(terms=3, facts=2, context=200, per_chunk=5)
 
 
 def generate_qa(
-    df: DataFrame, id_col: str, text_col: str = "content", per_chunk: int = 5, model_qa: str | None = None
+    df: DataFrame, id_col: str, text_col: str = "content", limits: Limits = Limits(), model_qa: str | None = None
 ) -> DataFrame:
-    """``generated_qa``: template, then caller's model pairs, then numeric facts, capped."""
+    """``generated_qa``: template, then caller's model pairs, then numeric facts."""
     names = F.transform(F.col("extracted_terms"), lambda t: t["term"])
     text = F.col(text_col)
-    found = let(names, lambda n: template_qa(text, n, F.col(id_col).cast("string")))
+    key = F.col(id_col).cast("string")
+    found = let(names, lambda n: template_qa(text, n, key, limits.terms, limits.context))
     model = [F.col(model_qa).cast(QA)] if model_qa else []
-    pairs = F.concat(found, *model, numeric_qa(text))
-    return barrier(df, generated_qa=F.slice(pairs, F.lit(1), F.lit(per_chunk)))
+    pairs = F.concat(found, *model, numeric_qa(text, limits.facts))
+    return barrier(df, generated_qa=_first(pairs, limits.per_chunk))
 
 
-def limit_per_chunk(qa: DataFrame, id_col: str, n: int = 5) -> DataFrame:
+def limit_per_chunk(qa: DataFrame, id_col: str, n: int) -> DataFrame:
     """First ``n`` pairs of each chunk for pairs kept as rows."""
     rank = F.when(F.col("method") == "template", 0).when(F.col("method") == "model", 1).otherwise(2)
     order = Window.partitionBy(id_col).orderBy(rank, "ordinal")
@@ -312,6 +334,7 @@ def enhance(
     with_terms: bool = True,
     with_qa: bool = True,
     with_enrichment: bool = True,
+    limits: Limits = Limits(),
 ) -> DataFrame:
     """Whole enhancement order; domain tags read the enriched text."""
     if with_terms:
@@ -319,7 +342,7 @@ def enhance(
     else:
         df = df.withColumn("extracted_terms", F.array().cast(TERMS))
     if with_qa:
-        df = generate_qa(df, id_col, text_col)
+        df = generate_qa(df, id_col, text_col, limits)
     if with_enrichment:
         df = barrier(df, enriched=_enriched(df, text_col))
         df = df.withColumn("knowledge_enriched", F.col("enriched") != F.col(text_col))

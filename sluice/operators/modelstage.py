@@ -42,11 +42,15 @@ def pending(requests: DataFrame, responses: DataFrame | None = None) -> DataFram
     return unique if responses is None else unique.join(responses, "request_id", "left_anti")
 
 
-def apply_model(requests: DataFrame, fn: Callable[[list[str]], list[str]], batch: int = 100) -> DataFrame:
+def apply_model(requests: DataFrame, fn: Callable[[list[str]], list[str]], batch: int = 100,
+                concurrency: int | None = None) -> DataFrame:
     """Responses of the caller's batch function; a failing batch marks its rows.
 
-    Partitions are the unit of concurrency.
+    Partitions are the unit of concurrency: ``concurrency`` deals the requests
+    to so many. Without it they stay as they come, which may be few.
     """
+    if concurrency:
+        requests = requests.repartition(concurrency, "request_id")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -156,13 +160,21 @@ def conversation_of(turns: DataFrame, id_col: str, turn_col: str = "turn",
 
 
 def model_step(df: DataFrame, template: str, columns: list[str], fn: Callable[[list[str]], list[str]],
-               output: str, system: str = "", responses: DataFrame | None = None) -> DataFrame:
+               output: str, system: str = "", responses: DataFrame | None = None, *, concurrency: int | None = None,
+               errors: str | None = None) -> DataFrame:
     """Render, send what is new, attach: the whole generator step.
 
     Responses are written before they are used, so no later step, retry or
-    lost executor sends a request again. Failed requests leave a null.
+    lost executor sends a request again; the joined table is written too, so a
+    chain of steps does not repeat its joins. ``concurrency`` batches run at a
+    time. Failed requests leave a null; with ``errors`` that column says why.
     """
-    asked = render(df, template, columns, system)
-    fresh = durable(apply_model(pending(asked, responses), fn).filter("ok").select("request_id", "response"))
-    known = fresh if responses is None else fresh.unionByName(responses.select("request_id", "response"))
-    return attach(asked, known, output).drop("prompt", "request_id")
+    asked = durable(render(df, template, columns, system))
+    fresh = durable(apply_model(pending(asked, responses), fn, concurrency=concurrency))
+    known = fresh.filter("ok").select("request_id", "response")
+    known = known if responses is None else known.unionByName(responses.select("request_id", "response"))
+    out = attach_balanced(asked, known, output)
+    if errors:
+        failed = fresh.filter("not ok").select("request_id", F.col("error").alias(errors))
+        out = skew_join(out, failed, ["request_id"], "left", hot=hot_keys(asked, ["request_id"]))
+    return durable(out.drop("prompt", "request_id"))

@@ -246,28 +246,30 @@ def score_history(df: DataFrame, id_col: str) -> DataFrame:
     return wide.unpivot([id_col], ["overall", *METRICS], "metric", "score")
 
 
-def metric_summary(df: DataFrame, id_col: str, in_memory: int = 1_000_000) -> DataFrame:
-    """Mean, population deviation, range and exact median per metric."""
-    counts = score_history(df, id_col).groupBy("metric", "score").agg(F.count(F.lit(1)).alias("n"))
-    counts = durable(counts.filter(F.col("score").isNotNull()))
-    n, x = F.col("n"), F.col("score")
-    mean = F.sum(x * n) / F.sum(n)
-    spread = F.greatest(F.sum(x * x * n) / F.sum(n) - mean * mean, F.lit(0.0))
-    stats = counts.groupBy("metric").agg(
-        mean.alias("mean"), F.sqrt(spread).alias("std"), F.min(x).alias("min"), F.max(x).alias("max")
-    )
-    return stats.join(exact_median(counts, in_memory), "metric")
+def metric_summary(df: DataFrame, id_col: str) -> DataFrame:
+    """Mean, population deviation, range and exact median per metric.
+
+    All but the median come from one aggregate over the scores side by side; no
+    score is shuffled.
+    """
+    names = ["overall", *METRICS]
+    wide = durable(df.select(*[F.col(f"quality.{m}").cast("double").alias(m) for m in names]))
+    measures = {"mean": F.avg, "std": F.stddev_pop, "min": F.min, "max": F.max}
+    one = wide.agg(*[fn(m).alias(f"{m}_{n}") for m in names for n, fn in measures.items()])
+    rows = F.array(*[
+        F.struct(F.lit(m).alias("metric"), *[F.col(f"{m}_{n}").alias(n) for n in measures]) for m in names
+    ])
+    scores = wide.unpivot([], names, "metric", "score").filter("score is not null")
+    stats = one.select(F.inline(rows)).filter("mean is not null")
+    return stats.join(exact_median(scores.withColumn("n", F.lit(1))), "metric")
 
 
-def exact_median(counts: DataFrame, in_memory: int = 1_000_000) -> DataFrame:
+def exact_median(counts: DataFrame) -> DataFrame:
     """Median per ``metric`` of values (``score``) with their counts (``n``).
 
-    Few distinct values go through the exact percentile aggregate, which holds
-    them in memory. More are narrowed by histograms of 1024 bins around the
-    wanted rank until one value is left, so a round moves a bounded table.
+    Values are narrowed by histograms of 1024 bins around the wanted rank until
+    one is left, so a round moves a bounded table, whatever their number.
     """
-    if counts.count() <= in_memory:
-        return counts.groupBy("metric").agg(F.percentile("score", F.lit(0.5), F.col("n")).alias("median"))
     spark, bins = counts.sparkSession, 1024
     ends = counts.groupBy("metric").agg(F.sum("n").alias("n"), F.min("score").alias("lo"), F.max("score").alias("hi"))
     open_ranks = [

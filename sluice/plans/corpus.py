@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.operators import cleaning, dedup, enhance, quality
@@ -22,11 +22,13 @@ def process_chunks(
     with_evaluate: bool = True,
     min_score: float = 0.7,
     stage_dir: str | None = None,
+    order: Column | None = None,
 ) -> DataFrame:
     """All row steps over a chunk table; each can be left out.
 
     Rows are never lost here: a duplicate or a text that fails the gate keeps
-    its original content and says so in ``status`` and ``passed_gate``. With
+    its original content and says so in ``status`` and ``passed_gate``. Of equal
+    texts the first by ``order`` (default: the id) stays. With
     ``stage_dir`` the table is written after cleaning and enhancement, so a
     later run can start from there.
     """
@@ -38,8 +40,9 @@ def process_chunks(
             df = durable(df)
             # Only texts that pass the gate take part in duplicate detection.
             seen = df.filter("passed_gate")
-            first = dedup.first_of_copies(seen, "cleaned", id_col).select(
-                F.col("_first").alias(id_col), F.lit(True).alias("_kept")
+            rank = F.struct((F.lit(0) if order is None else order).alias("place"), F.col(id_col).alias("id"))
+            first = dedup.first_of_copies(seen.withColumn("_rank", rank), "cleaned", "_rank").select(
+                F.col("_first.id").alias(id_col), F.lit(True).alias("_kept")
             )
             df = df.join(first, id_col, "left")
             df = df.withColumn("is_duplicate", F.col("passed_gate") & F.col("_kept").isNull()).drop("_kept")
@@ -66,7 +69,9 @@ def run_corpus(spark: SparkSession, source: str, output: str, *, size: int = 100
     pieces = pieces.withColumn("chunk_id", F.sha2(F.concat_ws("|", "file_id", F.col("chunk_number").cast("string")), 256))
     pieces = pieces.drop("file_id", "start")
     chunks = pieces.unionByName(whole, allowMissingColumns=True)
-    done = stage(process_chunks(chunks, **options), "processed", f"{output}/stages")
+    # Files in order of their paths, and chunks as they stand in a file.
+    place = F.struct(F.col("source.file_path"), "chunk_number", "row_number", "json_path")
+    done = stage(process_chunks(chunks, order=place, **options), "processed", f"{output}/stages")
     if "generated_qa" in done.columns:
         qa = enhance.explode_qa(done, "chunk_id")
     else:

@@ -124,6 +124,10 @@ numeric_qa as (select doc_id, ordinal, replace('{V.FACT_QUESTION}', '{{fact}}',
 ALL_QA = f"""{TEMPLATE_QA}, {NUMERIC_QA}, all_qa as (select * from (select *, row_number() over (partition by doc_id
   order by case method when 'template' then 0 else 2 end, ordinal) - 1 as position
   from (select * from template_qa union all select * from numeric_qa)) where position < 5)"""
+# The same without limits.
+ALL_TERMS_QA = TEMPLATE_QA.replace("least(len(names), 3)", "len(names)").replace(
+    "case when length(content) > 200 then left(content, 200) || '...' else content end", "content")
+ALL_NUMBERS_QA = NUMERIC_QA.replace("')[1:2] as f", "') as f")
 QA_COLUMNS = ["doc_id", "ordinal", "question", "answer", "context", "domain", "confidence", "method"]
 
 
@@ -137,6 +141,13 @@ def _names():
 
 
 @query("qa_from_templates", f"with {TEMPLATE_QA} select {', '.join(QA_COLUMNS)} from template_qa")
+def _(spark, sf):
+    df = with_terms(spark, sf).withColumn("names", _names())
+    key = F.col("doc_id").cast("string")
+    return _qa_rows(df, E.template_qa(F.col("content"), F.col("names"), key, E.SHORT.terms, E.SHORT.context))
+
+
+@query("qa_from_all_terms", f"with {ALL_TERMS_QA} select {', '.join(QA_COLUMNS)} from template_qa")
 def _(spark, sf):
     df = with_terms(spark, sf).withColumn("names", _names())
     return _qa_rows(df, E.template_qa(F.col("content"), F.col("names"), F.col("doc_id").cast("string")))
@@ -164,6 +175,11 @@ def _(spark, sf):
 
 
 @query("qa_from_numbers", f"with {ZH}, {NUMERIC_QA} select {', '.join(QA_COLUMNS)} from numeric_qa")
+def _(spark, sf):
+    return _qa_rows(zh_documents(spark, sf), E.numeric_qa(F.col("content"), E.SHORT.facts))
+
+
+@query("qa_from_all_numbers", f"with {ZH}, {ALL_NUMBERS_QA} select {', '.join(QA_COLUMNS)} from numeric_qa")
 def _(spark, sf):
     return _qa_rows(zh_documents(spark, sf), E.numeric_qa(F.col("content")))
 
@@ -171,12 +187,23 @@ def _(spark, sf):
 @query("qa_limit_per_chunk", f"with {ALL_QA} select doc_id, ordinal, method, question from all_qa where position < 4")
 def _(spark, sf):
     df = with_terms(spark, sf).withColumn("names", _names())
-    pairs = F.concat(E.template_qa(F.col("content"), F.col("names"), F.col("doc_id").cast("string")), E.numeric_qa(F.col("content")))
+    key = F.col("doc_id").cast("string")
+    pairs = F.concat(
+        E.template_qa(F.col("content"), F.col("names"), key, E.SHORT.terms, E.SHORT.context),
+        E.numeric_qa(F.col("content"), E.SHORT.facts),
+    )
     return E.limit_per_chunk(_qa_rows(df, pairs), "doc_id", 4).select("doc_id", "ordinal", "method", "question")
 
 
 @query("qa_flattened", f"""
 with {ALL_QA} select doc_id, position, question, answer, context, domain, confidence, method from all_qa""")
+def _(spark, sf):
+    return E.explode_qa(E.generate_qa(with_terms(spark, sf), "doc_id", limits=E.SHORT), "doc_id")
+
+
+@query("qa_flattened_whole", f"""
+with {ALL_TERMS_QA}, {ALL_NUMBERS_QA}, {ALL_QA.split(NUMERIC_QA + ', ')[1].replace(' where position < 5', '')}
+select doc_id, position, question, answer, context, domain, confidence, method from all_qa""")
 def _(spark, sf):
     return E.explode_qa(E.generate_qa(with_terms(spark, sf), "doc_id"), "doc_id")
 
@@ -234,7 +261,7 @@ def _(spark, sf):
 with {ALL_QA} select (select count(*) from all_qa) as generated_qa_count, (select cast(sum(len(names)) as bigint) from named) as extracted_terms_count,
   {len(KB.terms)} as knowledge_base_terms, {len(KB.entities)} as knowledge_base_entities""")
 def _(spark, sf):
-    return E.enhance_stats(E.generate_qa(with_terms(spark, sf), "doc_id"), KB)
+    return E.enhance_stats(E.generate_qa(with_terms(spark, sf), "doc_id", limits=E.SHORT), KB)
 
 
 @query("enhance_whole", f"""

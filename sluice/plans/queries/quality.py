@@ -192,7 +192,7 @@ QA_SCORED = f"{ALL_QA}, qa_scored as (select doc_id, position, least(1.0::double
 
 
 def qa_scored(spark, sf):
-    return Q.qa_score(E.explode_qa(E.generate_qa(with_terms(spark, sf), "doc_id"), "doc_id"))
+    return Q.qa_score(E.explode_qa(E.generate_qa(with_terms(spark, sf), "doc_id", limits=E.SHORT), "doc_id"))
 
 
 @query("quality_qa_pairs", f"with {QA_SCORED} select doc_id, position, round(q, 6) as qa_quality from qa_scored")

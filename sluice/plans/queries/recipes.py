@@ -361,14 +361,14 @@ def _(spark, sf):
 
 # ---- model-call pattern -----------------------------------------------------
 
-TEMPLATE = "Rate the text from {source} in {lang}."
+TEMPLATE = "Rate the text from {source} in {lang}: {text}"
 
 
 def asked(spark, sf):
-    return M.render(table(spark, sf, "documents"), TEMPLATE, ["source", "lang"], "You are a judge.")
+    return M.render(table(spark, sf, "documents"), TEMPLATE, ["source", "lang", "text"], "You are a judge.")
 
 
-S_PROMPT = "'You are a judge.' || chr(10) || chr(10) || 'Rate the text from ' || source || ' in ' || lang || '.'"
+S_PROMPT = "'You are a judge.' || chr(10) || chr(10) || 'Rate the text from ' || source || ' in ' || lang || ': ' || text"
 ASKED = f"asked as (select *, {S_PROMPT} as prompt, sha256({S_PROMPT}) as request_id from documents)"
 SCORE_SQL = "(1 + ('0x' || substr(md5(prompt), 1, 2))::int % 6)"
 
@@ -433,7 +433,7 @@ def _(spark, sf):
 
 @query("model_parse_score", f"with {ASKED} select doc_id, case when {SCORE_SQL} between 1 and 5 then {SCORE_SQL} end as score from asked")
 def _(spark, sf):
-    step = M.model_step(table(spark, sf, "documents"), TEMPLATE, ["source", "lang"], score_model(), "response", "You are a judge.")
+    step = M.model_step(table(spark, sf, "documents"), TEMPLATE, ["source", "lang", "text"], score_model(), "response", "You are a judge.")
     return step.select("doc_id", M.parse_int_score(F.col("response")).alias("score"))
 
 
@@ -461,21 +461,38 @@ def _(spark, sf):
 
 @query("model_verdict_filter", f"with {ASKED} select doc_id, {SCORE_SQL} as score from asked where {SCORE_SQL} between 3 and 5")
 def _(spark, sf):
-    step = M.model_step(table(spark, sf, "documents"), TEMPLATE, ["source", "lang"], score_model(), "response", "You are a judge.")
+    step = M.model_step(table(spark, sf, "documents"), TEMPLATE, ["source", "lang", "text"], score_model(), "response", "You are a judge.")
     step = step.select("doc_id", M.parse_int_score(F.col("response")).alias("score"))
     return M.verdict_filter(step, F.col("score"), 3, 5)
 
 
+@query("model_failed_requests", f"""
+with {ASKED} select doc_id, ('0x' || substr(md5(prompt), 1, 1))::int % 4 <> 0 as answered,
+  case when ('0x' || substr(md5(prompt), 1, 1))::int % 4 = 0 then 'no answer' end as why from asked""")
+def _(spark, sf):
+    def careful(prompts: list[str]) -> list[str]:
+        import hashlib
+
+        if any(int(hashlib.md5(p.encode()).hexdigest()[0], 16) % 4 == 0 for p in prompts):
+            raise RuntimeError("no answer")
+        return ["fine"] * len(prompts)
+
+    requests = asked(spark, sf)
+    answers = M.apply_model(M.pending(requests), careful, batch=1, concurrency=16)
+    out = M.attach_balanced(requests, answers).join(answers.select("request_id", "error"), "request_id", "left")
+    return out.select("doc_id", F.col("response").isNotNull().alias("answered"), F.col("error").alias("why"))
+
+
 @query("model_verdict_label", f"with {ASKED} select doc_id, ({SCORE_SQL} between 3 and 5)::int as verdict from asked")
 def _(spark, sf):
-    step = M.model_step(table(spark, sf, "documents"), TEMPLATE, ["source", "lang"], score_model(), "response", "You are a judge.")
+    step = M.model_step(table(spark, sf, "documents"), TEMPLATE, ["source", "lang", "text"], score_model(), "response", "You are a judge.")
     step = step.select("doc_id", M.parse_int_score(F.col("response")).alias("score"))
     return M.verdict_filter(step, F.col("score"), 3, 5, keep_all=True).select("doc_id", "verdict")
 
 
 @query("model_category_counts", f"with {ASKED} select {SCORE_SQL} as score, count(*) as rows from asked group by 1")
 def _(spark, sf):
-    step = M.model_step(table(spark, sf, "documents"), TEMPLATE, ["source", "lang"], score_model(), "response", "You are a judge.")
+    step = M.model_step(table(spark, sf, "documents"), TEMPLATE, ["source", "lang", "text"], score_model(), "response", "You are a judge.")
     return reports.category_counts(step.select(M.parse_int_score(F.col("response"), 1, 6).alias("score")), "score")
 
 
@@ -525,7 +542,7 @@ REWORK = "'{{\"doc_id\": \"' || doc_id || '\", \"source\": \"{word}\"}}'"
 with d as (select '{{"doc_id":"' || doc_id || '","source":"' || source || '"}}' as j, {REWORK.format(word='refined')} as refined,
   {REWORK.format(word='rewritten')} as rewritten, cast(doc_id as varchar) as doc_id, source from documents),
 s as (select *, {_s_score('j')} as first_score from d),
-w as (select * from s where first_score > 3 and {_s_score('rewritten')} >= 4 and (select count(*) from s where first_score > 1) < 200)
+w as (select * from s where first_score > 3 and {_s_score('rewritten')} >= 4)
 select doc_id, 'refined' as source from s where first_score between 2 and 3 and {_s_score('refined')} >= 4
 union all select doc_id, 'rewritten' from w union all select doc_id, source from w""")
 def _(spark, sf):

@@ -91,10 +91,11 @@ def reasoning_answers(df: DataFrame, question: str, answer: str, gold: str, max_
 
 
 def score_and_rework(df: DataFrame, keys: list[str], scorer: Callable, refiner: Callable, rewriter: Callable,
-                     target: int = 200) -> DataFrame:
+                     target: int | None = None) -> DataFrame:
     """Score, route to refine or rewrite, score again, collect valid samples.
 
-    Rewriting happens only while the scored rows are below ``target``.
+    With a ``target`` rows are rewritten only while fewer rows are scored; by
+    default they always are.
     """
     packed = relational.pack_row(df.select(*keys), "sample")
     packed = packed.withColumn("sample_json", F.to_json("sample"))
@@ -110,7 +111,7 @@ def score_and_rework(df: DataFrame, keys: list[str], scorer: Callable, refiner:
         return relational.general_filter(out, F.col("final_score") >= 4)
 
     refined = rework(refine, refiner, "refine")
-    if relational.below_target(scored, target):
+    if target is None or relational.below_target(scored, target):
         done = relational.concat_tables(refined, rework(rewrite, rewriter, "rewrite"))
     else:
         done = refined.withColumn("rewrite", F.lit(None).cast("string"))

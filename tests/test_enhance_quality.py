@@ -90,6 +90,6 @@ def test_median_by_histogram_equals_percentile(spark):
     values = spark.range(1001).select(F.lit("m").alias("metric"), (F.pmod(F.xxhash64("id"), F.lit(397)) / 1000.0).alias("score"))
     counts = values.groupBy("metric", "score").agg(F.count(F.lit(1)).alias("n"))
     exact = values.agg(F.percentile("score", F.lit(0.5)).alias("x")).first()["x"]
-    assert Q.exact_median(counts, in_memory=0).first()["median"] == exact
+    assert Q.exact_median(counts).first()["median"] == exact
     even = spark.createDataFrame([("m", 0.1, 1), ("m", 0.2, 1), ("m", 0.4, 1), ("m", 0.9, 1)], "metric string, score double, n bigint")
-    assert abs(Q.exact_median(even, in_memory=0).first()["median"] - 0.3) < 1e-12
+    assert abs(Q.exact_median(even).first()["median"] - 0.3) < 1e-12
