@@ -80,13 +80,37 @@ FILTERS = {
     "line_with_javascript": (lambda: T.line_with_javascript(3), "len(list_filter(l, lambda s: contains(lower(s), 'javascript'))) < 3"),
     "id_card": (lambda: T.id_card(3), f"{s_count('t', T.ID_NUMBER)} < 3"),
 }
-BASE = f"base as (select doc_id, lang, source, text as t, {s_words('text')} as w, string_split(text, chr(10)) as l from documents)"
+# What a third of the documents is turned into, for tests that none of them would fail; read alike by both engines.
+TRIPS = {
+    "colon_end": "text || ': '",
+    "line_end_with_ellipsis": "replace(text, chr(10), '...' || chr(10)) || '...'",
+    "content_null": "nullif(text, text)",
+    "mean_word_length": "replace(text, ' ', '')",
+    "html_entity": "text || ' &nbsp; '",
+    "special_character": "text || chr(7)",
+    "watermark": "text || ' Confidential'",
+    "curly_bracket": "replace(text, ' ', '{}')",
+    "lorem_ipsum": "text || ' Lorem ipsum'",
+    "line_start_with_bullet": "'- ' || replace(text, chr(10), chr(10) || '- ')",
+    "line_with_javascript": "text || repeat(chr(10) || 'enable JavaScript', 3)",
+    "id_card": "text || repeat(' 123-45-6789', 3)",
+}
+
+
+def _tripped(name: str) -> str:
+    return f"case when doc_id % 3 = 0 then {TRIPS[name]} else text end" if name in TRIPS else "text"
+
+
+def _base(name: str) -> str:
+    return f"""docs as (select doc_id, lang, source, {_tripped(name)} as t from documents),
+base as (select *, {s_words('t')} as w, string_split(t, chr(10)) as l from docs)"""
 
 
 def _register(name, make, test):
-    @query(f"filter_{name}", f"with {BASE} select doc_id, lang, source from base where {test}")
+    @query(f"filter_{name}", f"with {_base(name)} select doc_id, lang, source from base where {test}")
     def _(spark, sf):
-        return T.keep(table(spark, sf, "documents"), "text", make()).select("doc_id", "lang", "source")
+        docs = table(spark, sf, "documents").withColumn("text", F.expr(_tripped(name)))
+        return T.keep(docs, "text", make()).select("doc_id", "lang", "source")
 
 
 for _name, (_make, _test) in FILTERS.items():
@@ -186,12 +210,16 @@ def _(spark, sf):
 # ---- code filters -----------------------------------------------------------
 # Pages stand in for code records: their markup is the text, their lines the lines.
 
-CODE = f"""c as (select page_id, html as t, string_split(html, '<') as l, {s_words('html')} as w, lower(split_part(url, '.', -1)) as ext, url,
-  length(regexp_replace(html, '<[^>]+>', '', 'g')) as visible, length(html) as total from pages)"""
+# Some carry a generator's notice, a long encoded run or mostly marks.
+S_CODE = """case page_id % 7 when 1 then 'auto-generated ' || html when 2 then repeat('QUJD', 3000) || html
+  when 3 then html || repeat('#|', length(html) * 2) else html end"""
+CODE = f"""p as (select page_id, url, {S_CODE} as html from pages),
+c as (select page_id, html as t, string_split(html, '<') as l, {s_words('html')} as w, lower(split_part(url, '.', -1)) as ext, url,
+  length(regexp_replace(html, '<[^>]+>', '', 'g')) as visible, length(html) as total from p)"""
 
 
 def code_records(spark, sf):
-    pages = table(spark, sf, "pages")
+    pages = table(spark, sf, "pages").withColumn("html", F.expr(S_CODE))
     kind = F.element_at(F.array(*[F.lit(k) for k in ("html", "text", "python", "md")]), (F.col("page_id") % 4 + 1).cast("int"))
     name = F.element_at(F.array(*[F.lit(k) for k in ("readme.md", "main.py", "x.html", "notes.txt", "data.md")]), (F.col("page_id") % 5 + 1).cast("int"))
     return pages.select(

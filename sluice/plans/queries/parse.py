@@ -271,17 +271,17 @@ def _(spark, sf):
 
 
 @query("contains_cjk", f"""
-with {ZH} select doc_id, regexp_matches(content, '[{CJK}]')::int as derived, 0 as original from zh""")
+with {ZH} select doc_id, regexp_matches(content, '[{CJK}]')::int as derived, (doc_id % 3 = 0)::int as original from zh""")
 def _(spark, sf):
     zh = zh_documents(spark, sf).select("doc_id", contains_cjk(F.col("content")).cast("int").alias("derived"))
-    docs = table(spark, sf, "documents").select("doc_id", contains_cjk(F.col("text")).cast("int").alias("original"))
+    docs = table(spark, sf, "documents").select("doc_id", contains_cjk(F.when(F.col("doc_id") % 3 == 0, F.concat("text", F.lit("文"))).otherwise(F.col("text"))).cast("int").alias("original"))
     return zh.join(docs, "doc_id")
 
 
-@query("non_empty_rows", f"select page_id, ({s_strip('title')} <> '')::int as valid from (select page_id, regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1) as title from pages)")
+@query("non_empty_rows", f"select page_id, coalesce({s_strip('title')} <> '', false)::int as valid from (select page_id, case when page_id % 3 = 0 then chr(9) || ' ' when page_id % 3 = 1 then regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1) end as title from pages)")
 def _(spark, sf):
-    p = table(spark, sf, "pages")
-    return p.select("page_id", chunking.is_valid(F.regexp_extract("html", "(?s)<h1>(.*?)</h1>", 1)).cast("int").alias("valid"))
+    title = F.when(F.col("page_id") % 3 == 0, "\t ").when(F.col("page_id") % 3 == 1, F.regexp_extract("html", "(?s)<h1>(.*?)</h1>", 1))
+    return table(spark, sf, "pages").select("page_id", chunking.is_valid(title).cast("int").alias("valid"))
 
 
 @query("truncate_text", "select doc_id, case when length(text) > 100 then left(text, 97) || '...' else text end as short from documents")
