@@ -39,14 +39,17 @@ def exact_duplicates(df: DataFrame, text_col: str, order: str) -> DataFrame:
 
 
 def exact_dedup(df: DataFrame, text_col: str, order: str) -> DataFrame:
-    """The earliest copy of every text, in one scan and one shuffle.
+    """The earliest copy of every text.
 
-    Copies combine before the shuffle, so a text that fills a third of the
-    table arrives as one row per input partition.
+    Only fingerprints and orders are aggregated, in hash tables; the rows that
+    lose are few as a rule, and are taken out by their unique ``order``. Texts
+    are neither sorted nor part of an aggregate.
     """
-    row = F.struct(*[F.col(c) for c in df.columns])
-    first = df.groupBy(content_key(F.col(text_col)).alias("_key")).agg(F.min_by(row, order).alias("_row"))
-    return first.select("_row.*")
+    key = content_key(F.col(text_col))
+    first = first_of_copies(df, text_col, order).withColumnRenamed("_key", "_first_key")
+    losers = df.select(key.alias("_key"), F.col(order).alias("_order"))
+    losers = losers.join(first, (F.col("_key") == F.col("_first_key")) & (F.col("_order") > F.col("_first"))).select("_order")
+    return df.join(losers, df[order] == losers["_order"], "left_anti")
 
 
 def distinct_values(df: DataFrame, columns: list[str], value_name: str = "value") -> DataFrame:

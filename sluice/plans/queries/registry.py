@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions.text import BLANK
-from sluice.session import checkpoint_dir, spread
+from sluice.session import intermediates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -27,18 +27,13 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-# Tables whose rows carry texts, so that work per row is large.
-TEXT_TABLES = {"documents", "pages", "conversations"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df) if name in TEXT_TABLES else df
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def scratch(spark: SparkSession) -> str:
     """A new folder below the shared checkpoint folder, for file round trips."""
-    return f"{checkpoint_dir(spark)}/files-{uuid.uuid4().hex}"
+    return f"{intermediates(spark)}/files-{uuid.uuid4().hex}"
 
 
 def r6(value: Column, name: str) -> Column:

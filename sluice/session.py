@@ -52,20 +52,18 @@ def durable(df: DataFrame) -> DataFrame:
     This cuts the lineage like a checkpoint. A columnar table also keeps column
     pruning and lets the planner see true sizes.
     """
-    folder = f"{checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    folder = f"{intermediates(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-SMALL_INPUT = 1 << 30
+def intermediates(spark: SparkSession) -> str:
+    """The folder that holds this application's intermediate tables."""
+    return f"{checkpoint_dir(spark)}/{spark.sparkContext.applicationId}"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a small scan enough partitions for the row work behind it.
-
-    A file with one row group is one task, however many cores wait. Only inputs
-    below one gigabyte are repartitioned; larger ones split by themselves.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if size < SMALL_INPUT and len(df.inputFiles()) < cores else df
+def drop_intermediates(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables; results not yet written can't be read after that."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(intermediates(spark))
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

@@ -5,8 +5,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -39,18 +41,33 @@ def _files(spark: SparkSession, path: str | list[str], extensions: list[str], re
 
 
 def decode_bytes(content: Column) -> Column:
-    """UTF-8 if valid, else GBK, else Latin-1.
+    """UTF-8 if valid, else GBK if valid, else Latin-1. Only bytes that are not UTF-8 go to Python."""
+    text = content.cast("string")
+    odd = _other_charset()(F.when(~F.is_valid_utf8(text), content))
+    return F.when(F.is_valid_utf8(text), text).otherwise(odd["text"])
 
-    GBK needs ``spark.sql.legacy.javaCharsets``; without it the fall-back is Latin-1.
-    """
-    spark = SparkSession.getActiveSession()
-    java = spark is not None and spark.conf.get("spark.sql.legacy.javaCharsets", "false") == "true"
-    latin = F.decode(content, "ISO-8859-1")
-    other = latin
-    if java:
-        gbk = F.decode(content, "GBK")
-        other = F.when(F.contains(gbk, F.lit("�")), latin).otherwise(gbk)
-    return F.when(F.is_valid_utf8(content.cast("string")), content.cast("string")).otherwise(other)
+
+def charset_of(content: Column) -> Column:
+    """The charset by which ``decode_bytes`` reads the bytes."""
+    text = content.cast("string")
+    odd = _other_charset()(F.when(~F.is_valid_utf8(text), content))
+    return F.when(F.is_valid_utf8(text), "utf-8").otherwise(odd["charset"])
+
+
+def _other_charset():
+    def read(data: bytes) -> tuple[str, str]:
+        try:
+            return data.decode("gbk"), "gbk"
+        except UnicodeDecodeError:
+            return data.decode("latin-1"), "latin-1"
+
+    @F.pandas_udf("text string, charset string")
+    def decode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [(None, None) if data is None else read(data) for data in batch]
+            yield pd.DataFrame(found, columns=["text", "charset"], dtype="object")
+
+    return decode
 
 
 def with_source_metadata(df: DataFrame) -> DataFrame:
@@ -63,7 +80,7 @@ def with_source_metadata(df: DataFrame) -> DataFrame:
             name.alias("file_name"),
             F.col("length").alias("file_size"),
             F.lower(F.regexp_extract(name, r"(\.[^.]*)\z", 1)).alias("file_type"),
-            F.when(F.is_valid_utf8(F.col("content").cast("string")), "utf-8").otherwise("other").alias("encoding"),
+            charset_of(F.col("content")).alias("encoding"),
             F.md5("content").alias("hash_value"),
             F.col("modificationTime").alias("modified_at"),
         ),

@@ -29,13 +29,12 @@ def test_text_files(spark, tmp_path):
     assert again == {r["chunk_id"] for r in rows.values()}
 
 
-def test_gbk_needs_the_session_setting(spark, tmp_path):
+def test_gbk_is_read_and_named(spark, tmp_path):
     write(tmp_path, "g.txt", "水文监测数据显示水位上升", "gbk")
-    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    try:
-        assert files.read_text(spark, str(tmp_path)).first()["content"] == "水文监测数据显示水位上升"
-    finally:
-        spark.conf.unset("spark.sql.legacy.javaCharsets")
+    write(tmp_path, "u.txt", "水文监测数据显示水位下降")
+    rows = {r["source"]["file_name"]: r for r in files.read_text(spark, str(tmp_path)).collect()}
+    assert rows["g.txt"]["content"] == "水文监测数据显示水位上升" and rows["g.txt"]["source"]["encoding"] == "gbk"
+    assert rows["u.txt"]["content"] == "水文监测数据显示水位下降" and rows["u.txt"]["source"]["encoding"] == "utf-8"
 
 
 def test_csv_with_different_headers(spark, tmp_path):
