@@ -127,7 +127,7 @@ def train(features: tuple, label: np.ndarray, rows: int, width: int, rounds: int
 
 def calibrate(scores: np.ndarray, label: np.ndarray) -> tuple[float, float]:
     """Slope and offset that turn a view's score into the log-odds of the label; slope 0 where it says nothing."""
-    scale = scores.std() or 1.0
+    scale = (scores.std() if len(scores) else 0.0) or 1.0
     x, a, b = scores / scale, 0.0, 0.0
     # Two rows of each class in advance keep the odds finite.
     x = np.append(x, [0, 0, 0, 0])
