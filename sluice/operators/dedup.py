@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions.text import WORD, barrier, chars_of, find_all, hashed_ngrams, let
-from sluice.operators.skew import hot_among, hot_keys, skew_join
 from sluice.session import durable
 
 
@@ -48,7 +47,7 @@ def exact_dedup(df: DataFrame, text_col: str, order: str) -> DataFrame:
     key = content_key(F.col(text_col))
     first = first_of_copies(df, text_col, order).withColumnRenamed("_key", "_first_key")
     losers = df.select(key.alias("_key"), F.col(order).alias("_order"))
-    losers = losers.join(first, (F.col("_key") == F.col("_first_key")) & (F.col("_order") > F.col("_first"))).select("_order")
+    losers = losers.join(first, F.col("_key").eqNullSafe(F.col("_first_key")) & (F.col("_order") > F.col("_first"))).select("_order")
     return df.join(losers, df[order] == losers["_order"], "left_anti")
 
 
@@ -188,69 +187,64 @@ def minhash_duplicates(
     threshold: float = 0.9,
     ngram: int = 5,
     bands: int = 16,
-    slots: int = 32,
-    hot_floor: int = 1_000_000,
 ) -> DataFrame:
     """``order`` values of the rows to drop.
 
-    A row is dropped if an earlier row shares a band with it and their exact
-    shingle Jaccard score reaches ``threshold``. At 0.9 a pair shares one of 16
-    bands of 8 with a probability of 0.9999; a shared band alone drops nothing.
-
-    Skew. Exact copies collapse by an aggregate first. Keys with more than
-    ``hot_floor`` rows are salted in the joins. Inside a band a row is
-    not paired with all others: it meets the earliest member first, and only
-    rows still without a match go on, ``slots`` members per round, until they
-    have met every earlier member. Members are found by ``min`` aggregates, so
-    no bucket is ever gathered in one task, and nothing is capped.
+    A row is dropped if an earlier row of the rows that share a band has an
+    exact shingle Jaccard score of ``threshold`` with it. At 0.9 a pair shares
+    one of 16 bands of 8 with a probability of 0.9999; a band alone drops nothing.
+
+    The number of jobs is fixed. Exact copies collapse by an aggregate. Every
+    row of a shared band meets the band's earliest row, found by ``min``; most
+    near copies leave here. What is left meets earlier rows through its rarest
+    shingles: sets with the score share one of each other's ``n - ceil(t n) + 1``
+    rarest, so rows that only share a frequent phrase never meet, and no pair
+    is lost. Pairs whose sizes alone rule the score out are left before any
+    shingles move. Shingles are worked out for rows in shared bands only.
     """
-    grams = shingles(F.col(text_col), ngram)
-    # The only scan of the texts. Later steps read the columns they need.
-    docs = df.select(F.col(order).alias("id"), content_key(F.col(text_col)).alias("copy"), grams.alias("grams"))
-    docs = durable(barrier(docs, bands=band_keys(F.col("grams"), num_perm, bands)))
-    first = docs.groupBy("copy").agg(F.min("id").alias("id"), F.min_by("bands", "id").alias("bands"))
-    members = durable(first.select("id", F.posexplode("bands").alias("band", "key")))
+    text = F.col(text_col)
+    grams = shingles(text, ngram)
+    rows = df.select(F.col(order).alias("id"), content_key(text).alias("copy"), grams.alias("grams"))
+    # Bands and sizes stay, the shingles do not: they are longer than the text.
+    rows = barrier(rows, bands=band_keys(F.col("grams"), num_perm, bands), n=F.size("grams")).drop("grams")
+    docs = durable(rows)
+    first = docs.groupBy("copy").agg(F.min("id").alias("id"), F.min_by("bands", "id").alias("bands"), F.first("n").alias("n"))
+    members = durable(first.select("id", "n", F.posexplode("bands").alias("band", "key")))
     copies = docs.select("id").join(members.filter("band = 0").select("id"), "id", "left_anti")
-    shared = members.groupBy("band", "key").agg(F.min("id").alias("target"), F.count(F.lit(1)).alias("n"))
-    shared = durable(shared.filter("n > 1"))
-    hot = hot_among(shared, ["band", "key"], "n", members.count(), hot_floor)
-    # Rows of bands that hold others too; all later work is on these.
-    members = durable(skew_join(members, shared.drop("n"), ["band", "key"], hot=hot))
-    walk = members.filter("id > target")
-    found = durable(_matching(walk.select("id", "target").distinct(), docs, threshold, hot_floor))
-    dropped = found
-    waiting = durable(walk.join(found, "id", "left_anti").select("id", "band", "key"))
-    if waiting.isEmpty():
-        return copies.unionByName(dropped).withColumnRenamed("id", order)
-    # Members not yet met, as targets; the earliest of each band is done.
-    slot = F.pmod(F.xxhash64("id"), F.lit(slots)).cast("int")
-    targets = durable(
-        walk.join(waiting.select("band", "key").distinct(), ["band", "key"], "left_semi")
-        .select("id", "band", "key", slot.alias("slot"))
+    shared = members.groupBy("band", "key").agg(
+        F.min_by(F.struct("id", "n"), "id").alias("low"), F.count(F.lit(1)).alias("rows")
+    ).filter("rows > 1")
+    crowded = durable(members.join(shared.select("band", "key", "low"), ["band", "key"]))
+    ids = crowded.select("id").distinct()
+    sets = durable(df.select(F.col(order).alias("id"), text.alias("_t")).join(ids, "id", "left_semi").select(
+        "id", shingles(F.col("_t"), ngram).alias("grams")
+    ))
+    star = crowded.filter("id > low.id").select("id", "n", F.col("low.id").alias("target"), F.col("low.n").alias("target_n"))
+    found = durable(_matching(star, sets, threshold))
+    waiting = durable(crowded.filter("id > low.id").select("id", "band", "key").join(found, "id", "left_anti"))
+    # Rows of bands that hold a waiting row, with their rarest shingles among these rows.
+    near = crowded.join(waiting.select("band", "key").distinct(), ["band", "key"], "left_semi").select("id", "n").distinct()
+    each = durable(near.join(sets, "id").select("id", "n", F.explode("grams").alias("gram")))
+    times = each.groupBy("gram").agg(F.count(F.lit(1)).alias("times"))
+    rare = each.join(times.filter("times > 1"), "gram", "left").groupBy("id", "n").agg(
+        F.array_sort(F.collect_list(F.struct(F.coalesce("times", F.lit(1)).alias("times"), "gram"))).alias("sorted")
     )
-    while not waiting.isEmpty():
-        front = durable(targets.groupBy("band", "key", "slot").agg(F.min("id").alias("target")))
-        if front.isEmpty():
-            break
-        meeting = skew_join(waiting, front.drop("slot"), ["band", "key"], hot=hot)
-        meeting = meeting.filter("id > target").select("id", "target").distinct()
-        found = durable(_matching(meeting, docs, threshold, hot_floor))
-        dropped = dropped.unionByName(found)
-        met = front.withColumnRenamed("target", "id")
-        targets = durable(targets.join(met, ["band", "key", "slot", "id"], "left_anti"))
-        ahead = targets.groupBy("band", "key").agg(F.min("id").alias("_next"))
-        still = waiting.join(found, "id", "left_anti")
-        still = skew_join(still, ahead, ["band", "key"], hot=hot).filter("id > _next")
-        waiting = durable(still.select("id", "band", "key"))
-    return copies.unionByName(dropped).withColumnRenamed("id", order)
-
-
-def _matching(pairs: DataFrame, docs: DataFrame, threshold: float, hot_floor: int) -> DataFrame:
+    length = F.col("n") - F.ceil(F.lit(threshold) * F.col("n") - 1e-9).cast("int") + 1
+    # A shingle of one row only meets nobody.
+    rare = durable(rare.select("id", "n", F.explode(F.slice("sorted", F.lit(1), length)).alias("g")).filter("g.times > 1").select("id", "n", "g.gram"))
+    left = rare.join(waiting.select("id").distinct(), "id", "left_semi")
+    right = rare.select(F.col("id").alias("target"), F.col("n").alias("target_n"), "gram")
+    pairs = left.join(right, "gram").filter("id > target").select("id", "n", "target", "target_n")
+    late = _matching(pairs, sets, threshold)
+    return copies.unionByName(found).unionByName(late).withColumnRenamed("id", order)
+
+
+def _matching(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """Ids with at least one listed target whose exact Jaccard score is enough."""
-    pairs = durable(pairs)
-    hot = hot_keys(pairs, ["target"], hot_floor)
-    theirs = docs.select(F.col("id").alias("target"), F.col("grams").alias("theirs"))
-    both = skew_join(pairs, theirs, ["target"], hot=hot).join(docs.select("id", "grams"), "id")
+    fit = F.least("n", "target_n") >= threshold * F.greatest("n", "target_n")
+    pairs = pairs.filter(fit).select("id", "target").distinct()
+    theirs = sets.select(F.col("id").alias("target"), F.col("grams").alias("theirs"))
+    both = pairs.join(theirs, "target").join(sets, "id")
     common = F.size(F.array_intersect("grams", "theirs"))
     score = common / (F.size("grams") + F.size("theirs") - common)
     return both.filter(score >= threshold).select("id").distinct()

@@ -44,8 +44,8 @@ def test_minhash_equals_brute_force_under_skew(spark):
     rows = corpus()
     df = spark.createDataFrame(rows, "id bigint, text string")
     for threshold in (0.9, 0.6):
-        # One row per band makes nearly everything a candidate; tiny floors force salting and many rounds.
-        got = D.minhash_duplicates(df, "text", "id", threshold=threshold, bands=128, slots=2, hot_floor=1)
+        # One row per band makes nearly everything a candidate.
+        got = D.minhash_duplicates(df, "text", "id", threshold=threshold, bands=128)
         assert sorted(r["id"] for r in got.collect()) == brute(rows, threshold)
 
 
@@ -59,6 +59,23 @@ def test_minhash_default_finds_close_copies(spark):
     assert D.minhash_duplicates(again, "text", "id").count() == 0
 
 
+def test_bucket_of_unlike_rows_takes_a_fixed_number_of_jobs(spark, monkeypatch):
+    """Rows that share a long phrase, and so bands, but not enough to be copies."""
+    written = []
+    keep = D.durable
+    monkeypatch.setattr(D, "durable", lambda df: written.append(1) or keep(df))
+    counts = []
+    for n in (200, 4000):
+        phrase = F.concat_ws(" ", *[F.lit(f"p{i}") for i in range(30)])
+        own = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(15)), lambda i: F.concat(F.lit("w"), F.xxhash64("id", i).cast("string"))), " ")
+        df = spark.range(n).select("id", F.concat_ws(" ", phrase, own).alias("text"))
+        written.clear()
+        # One row per band: the phrase makes all rows share bands.
+        assert D.minhash_duplicates(df, "text", "id", num_perm=32, bands=32).count() == 0
+        counts.append(len(written))
+    assert counts[0] == counts[1]
+
+
 def test_exact(spark):
     df = spark.createDataFrame([(3, "a"), (1, "a"), (2, "b"), (4, None), (5, "a")], "id int, t string")
     assert sorted(r["id"] for r in D.exact_dedup(df, "t", "id").collect()) == [1, 2, 4]
