@@ -130,8 +130,10 @@ def link_quotes(df: DataFrame, text_col: str, id_col: str, scope: list[str] | No
 def reply_paths(linked: DataFrame, id_col: str, scope: list[str] | None = None) -> DataFrame:
     """``linked`` with ``path``: ids from the first message of the conversation to this one.
 
-    Every round doubles how far a message sees up its replies. Sorting by
-    ``path`` puts a conversation in reply order; its first id is the root.
+    Every round doubles how far a message sees up its replies, and those that
+    see the first message are done. Sorting by ``path`` puts a conversation in
+    reply order; its first id is the root. A path is as long as its message is
+    deep.
     """
     scope = scope or []
     key = [f"_s{i}" for i in range(len(scope))]
@@ -140,14 +142,17 @@ def reply_paths(linked: DataFrame, id_col: str, scope: list[str] | None = None)
         F.col(id_col).alias("_id"), F.col("parent_id").alias("_up"), F.array(F.col(id_col)).alias("path"),
     )
     see = durable(see)
-    while not see.filter("_up is not null").isEmpty():
-        above = see.select(*[F.col(k).alias(f"_a{k}") for k in key], F.col("_id").alias("_aid"), F.col("_up").alias("_far"), F.col("path").alias("_head"))
+    done, far = see.filter("_up is null"), see.filter("_up is not null")
+    while not far.isEmpty():
+        above = done.unionByName(far).select(*[F.col(k).alias(f"_a{k}") for k in key], F.col("_id").alias("_aid"), F.col("_up").alias("_far"), F.col("path").alias("_head"))
         up = F.col("_up") == F.col("_aid")
         for k in key:
             up &= F.col(k).eqNullSafe(F.col(f"_a{k}"))
-        see = durable(see.join(above, up, "left").select(
+        far = durable(far.join(above, up, "left").select(
             *key, "_id", F.col("_far").alias("_up"), F.concat(F.coalesce("_head", F.array().cast(see.schema["path"].dataType)), "path").alias("path"),
         ))
+        done, far = done.unionByName(far.filter("_up is null")), far.filter("_up is not null")
+    see = done
     same = linked[id_col].eqNullSafe(see["_id"])
     for c, k in zip(scope, key):
         same &= linked[c].eqNullSafe(see[k])
