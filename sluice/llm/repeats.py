@@ -28,7 +28,7 @@ from sluice.session import durable
 
 GRAM = 24
 # Text of one stored chunk of rows, and suffixes of one suffix array, both about.
-CHUNK_BYTES = 8_000_000
+CHUNK_BYTES = 5_000_000
 SUFFIXES = 300_000
 # Anchors are told apart by this many bits.
 KEY_BITS = 48
@@ -92,7 +92,7 @@ def contexts(data: np.ndarray, ends: np.ndarray, size: int) -> tuple[np.ndarray,
     crossing = np.zeros(windows + 1, dtype=np.int32)
     np.add.at(crossing, np.clip(ends[:-1] - size + 1, 0, windows), 1)
     np.add.at(crossing, np.clip(ends[:-1], 0, windows), -1)
-    anchor[np.cumsum(crossing[:-1]) > 0] = -1
+    anchor[np.cumsum(crossing[:-1], dtype=np.int32) > 0] = -1
     first = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
     count = np.diff(np.append(first, windows))
     inside = anchor[first] >= 0
@@ -303,7 +303,7 @@ class Chunk:
             start = self.first[self.chosen][hit] + shift
             np.add.at(edges, start, 1)
             np.add.at(edges, start + self.size, -1)
-        return np.cumsum(edges[:-1]) > 0
+        return np.cumsum(edges[:-1], dtype=np.int32) > 0
 
 
 KEY_ROWS = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("keys", pa.binary()), ("marks", pa.binary())])

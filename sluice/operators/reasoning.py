@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.text import BLANK, WORD_CHARS, barrier, find_all, hashed_ngrams, let, numbered, ratio, strip
 from sluice.operators.chunking import token_count
+from sluice.operators.skew import hot_keys, skew_join
 
 FINAL_PHRASE = r"(?i)final answer|the answer is|答案"
 BOX = r"\\boxed\{([^{}]*)\}"
@@ -40,6 +41,23 @@ def accuracy(df: DataFrame, flag: str) -> DataFrame:
     )
 
 
+def semantic_match(df: DataFrame, verdicts: DataFrame, question: str, answer: str, output: str = "matched") -> DataFrame:
+    """``df`` with a judge's verdict on each pair of question and answer, and whether there is one (``judged``).
+
+    ``verdicts`` has the same two columns and a boolean ``verdict``, one row per
+    pair. Pairs meet by a hash, so long texts are not sorted; a pair without a
+    verdict does not match.
+    """
+    def pair(frame: DataFrame) -> Column:
+        blank = F.lit("")
+        return F.sha2(F.concat_ws("\u0001", F.coalesce(frame[question], blank), F.coalesce(frame[answer], blank)), 256)
+
+    said = verdicts.select(pair(verdicts).alias("_pair"), F.col("verdict").alias("_said"))
+    marked = df.withColumn("_pair", pair(df))
+    out = skew_join(marked, said, ["_pair"], "left", hot=hot_keys(marked, ["_pair"]))
+    return out.withColumn(output, F.coalesce("_said", F.lit(False))).withColumn("judged", F.col("_said").isNotNull()).drop("_pair", "_said")
+
+
 def ground_truth(prediction: Column, gold: Column, tolerance: float = 1e-6) -> Column:
     """Equal after normalising, as text or as numbers."""
 

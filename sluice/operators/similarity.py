@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.functions.text import WORD_CHARS, find_all
+from sluice.functions.text import WORD_CHARS, find_all, let
 from sluice.session import durable
 
 BLOCK_FLOATS = 1 << 20
@@ -161,18 +161,16 @@ def with_most_similar_text(df: DataFrame, id_col: str, vector_col: str, text_col
 def k_center(df: DataFrame, id_col: str, vector_col: str, k: int = 5, start=None) -> DataFrame:
     """``k`` ids chosen greedily, each farthest from those before; starts at the smallest id.
 
-    Per round one vector goes out and one row comes back; the running distance
-    to the nearest centre is written out now and then to keep the plan short.
+    A round is one job over the stored vectors: one aggregate finds the farthest
+    row, the smaller id on ties, and brings its vector along. The running
+    distance to the nearest centre is written out now and then to keep the plan short.
     """
     rows = df.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
-    first = rows.orderBy("id").first() if start is None else rows.filter(F.col("id") == start).first()
+    open_rows = durable(rows.filter("id is not null and v is not null")).withColumn("near", F.lit(float("inf")))
+    begin = open_rows if start is None else open_rows.filter(F.col("id") == start)
+    farthest = F.min(F.struct((-F.col("near")).alias("far"), "id", "v")).alias("row")
     chosen: list[tuple] = []
-    spark = df.sparkSession
-    schema = f"rank int, {id_col} {df.schema[id_col].dataType.simpleString()}"
-    if first is None:
-        return spark.createDataFrame([], schema)
-    open_rows = rows.withColumn("near", F.lit(float("inf")))
-    current = first
+    current = begin.agg(farthest).first()["row"]
     while current is not None:
         chosen.append((len(chosen), current["id"]))
         if len(chosen) == k:
@@ -183,23 +181,22 @@ def k_center(df: DataFrame, id_col: str, vector_col: str, k: int = 5, start=None
         )
         if len(chosen) % 8 == 0:
             open_rows = durable(open_rows)
-        # Farthest row, the smaller id on ties: one aggregate, no sort.
-        far = open_rows.agg(F.max("near").alias("top")).first()["top"]
-        if far is None:
-            break
-        current = open_rows.filter(F.col("near") == far).orderBy("id").first()
-    return spark.createDataFrame(chosen, schema)
+        current = open_rows.agg(farthest).first()["row"]
+    return df.sparkSession.createDataFrame(chosen, f"rank int, {id_col} {df.schema[id_col].dataType.simpleString()}")
 
 
-def group_centroids(df: DataFrame, group_col: str, vector_col: str, width: int) -> DataFrame:
-    """Mean vector per group; partial sums combine before the shuffle."""
-    means = [F.avg(F.get(vector_col, F.lit(i)).cast("double")) for i in range(width)]
-    return df.groupBy(group_col).agg(F.array(*means).alias("centroid"))
+def group_centroids(df: DataFrame, group_col: str, vector_col: str) -> DataFrame:
+    """Mean vector per group, of any width; partial sums of each place combine before the shuffle."""
+    places = df.select(group_col, F.posexplode(vector_col).alias("_at", "_x"))
+    means = places.groupBy(group_col, "_at").agg(F.avg(F.col("_x").cast("double")).alias("_mean"))
+    # A group has as many rows here as its vectors are wide.
+    packed = means.groupBy(group_col).agg(F.array_sort(F.collect_list(F.struct("_at", "_mean"))).alias("_m"))
+    return packed.select(group_col, F.col("_m._mean").alias("centroid"))
 
 
-def best_of_group(df: DataFrame, group_col: str, id_col: str, vector_col: str, width: int) -> DataFrame:
+def best_of_group(df: DataFrame, group_col: str, id_col: str, vector_col: str) -> DataFrame:
     """The candidate closest to its group's mean by cosine; smaller id on ties."""
-    joined = df.join(group_centroids(df, group_col, vector_col, width), group_col)
+    joined = df.join(group_centroids(df, group_col, vector_col), group_col)
     v, c = F.col(vector_col), F.col("centroid")
     norm = F.sqrt(dot(v, v) * dot(c, c))
     cosine = F.round(F.when(norm > 0, dot(v, c) / norm).otherwise(0.0), 9)
@@ -208,12 +205,27 @@ def best_of_group(df: DataFrame, group_col: str, id_col: str, vector_col: str, w
 
 
 def hashed_embedding(df: DataFrame, text_col: str, output: str = "embedding", width: int = 256) -> DataFrame:
-    """Normalised hashed TF-IDF vector of a text."""
-    from pyspark.ml.feature import IDF, HashingTF, Normalizer
-    from pyspark.ml.functions import vector_to_array
-
-    tokens = df.withColumn("_tokens", F.coalesce(find_all(F.lower(text_col), WORD_CHARS), F.array().cast("array<string>")))
-    counted = HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=width).transform(tokens)
-    weighted = IDF(inputCol="_tf", outputCol="_idf").fit(counted).transform(counted)
-    scaled = Normalizer(inputCol="_idf", outputCol="_unit").transform(weighted)
-    return scaled.withColumn(output, vector_to_array("_unit", "float32")).drop("_tokens", "_tf", "_idf", "_unit")
+    """Normalised TF-IDF vector of a text over ``width`` buckets of words.
+
+    A word's bucket comes from its MD5, so any engine can build the vector. In
+    how many texts a bucket occurs is counted over all rows, which gives one
+    bounded array of weights. A text without words gets zeros.
+    """
+    words = F.coalesce(find_all(F.lower(text_col), WORD_CHARS), F.array().cast("array<string>"))
+    buckets = F.transform(words, lambda w: F.conv(F.left(F.md5(w), F.lit(6)), 16, 10).cast("int") % width)
+
+    @F.pandas_udf("array<float>")
+    def counts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield batch.map(lambda b: np.bincount(np.asarray(b, dtype=np.int64), minlength=width).astype(np.float32))
+
+    counted = durable(df.withColumn(output, counts(buckets)))
+    met = counted.select(F.posexplode(output).alias("at", "n")).filter("n > 0").groupBy("at").agg(F.count(F.lit(1)).alias("texts"))
+    texts = dict(met.collect())
+    total = counted.count()
+    idf = F.array(*[F.lit(float(np.log((total + 1) / (texts.get(i, 0) + 1)))) for i in range(width)])
+    weighted = counted.withColumn(output, F.zip_with(output, idf, lambda n, w: n * w))
+    length = F.sqrt(dot(F.col(output), F.col(output)))
+    unit = let(F.struct(F.col(output).alias("v"), length.alias("n")), lambda x: F.transform(
+        x["v"], lambda y: F.when(x["n"] > 0, y / x["n"]).otherwise(F.lit(0.0)).cast("float")))
+    return weighted.withColumn(output, unit)

@@ -138,14 +138,21 @@ c as (select label, i, avg(x) as m from flat group by label, i),
 s as (select label, vec_id, round(sum(x * m) / sqrt(sum(x * x) * sum(m * m)), 9) as cosine from flat join c using (label, i) group by label, vec_id)
 select label, vec_id, round(cosine, 6) as cosine from (select *, row_number() over (partition by label order by cosine desc, vec_id) as n from s) where n = 1""")
 def _(spark, sf):
-    out = N.best_of_group(table(spark, sf, "embeddings"), "label", "vec_id", "embedding", 64)
+    out = N.best_of_group(table(spark, sf, "embeddings"), "label", "vec_id", "embedding")
     return out.select("label", "vec_id", F.round("cosine", 6).alias("cosine"))
 
 
-@query("hashed_text_embedding")
+@query("hashed_text_embedding", f"""
+with t as (select doc_id, unnest(regexp_extract_all(lower(text), '{WORD_CHARS}')) as w from documents),
+b as (select doc_id, ('0x' || left(md5(w), 6))::int % 256 as bucket, count(*) as n from t group by all),
+d as (select bucket, count(*) as texts from b group by 1),
+v as (select doc_id, bucket, n * ln(((select count(*) from documents) + 1.0::double) / (texts + 1)) as x from b join d using (bucket)),
+u as (select doc_id, bucket, x / nullif(sqrt(sum(x * x) over (partition by doc_id)), 0) as x from v)
+select doc_id, bucket, round(x, 4) as weight from u where round(x, 4) > 0""")
 def _(spark, sf):
-    out = N.hashed_embedding(table(spark, sf, "documents"), "text")
-    return out.select("doc_id", F.size("embedding").alias("width"), F.round(N.dot(F.col("embedding"), F.col("embedding")), 3).alias("norm"))
+    out = N.hashed_embedding(table(spark, sf, "documents").select("doc_id", "text"), "text")
+    places = out.select("doc_id", F.posexplode("embedding").alias("bucket", "x"))
+    return places.select("doc_id", "bucket", F.round(F.col("x").cast("double"), 4).alias("weight")).filter("weight > 0")
 
 
 # ---- answers ----------------------------------------------------------------
@@ -189,13 +196,29 @@ def _(spark, sf):
     return A.accuracy(rows, "hit").withColumn("accuracy", F.round("accuracy", 6))
 
 
-@query("semantic_match_accuracy", """
-select count(*) as total, count(*) filter (v) as matched, round(avg(v::int), 6) as accuracy
-from (select coalesce(quality = 1, false) as v from documents left join labels using (doc_id))""")
+VERDICTS = """judged as (select text as question, source as answer, max(quality) = 1 as verdict
+  from documents join labels using (doc_id) group by 1, 2)"""
+
+
+def judged_rows(spark, sf):
+    """Documents as questions with their source as answer, next to what a judge said of some of them."""
+    docs = table(spark, sf, "documents").select("doc_id", F.col("text").alias("question"), F.col("source").alias("answer"))
+    verdicts = docs.join(table(spark, sf, "labels"), "doc_id").groupBy("question", "answer").agg((F.max("quality") == 1).alias("verdict"))
+    return A.semantic_match(docs, verdicts, "question", "answer")
+
+
+@query("semantic_match", f"""
+with {VERDICTS} select doc_id, coalesce(verdict, false) as matched, verdict is not null as judged
+from documents d left join judged j on d.text = j.question and d.source = j.answer""")
+def _(spark, sf):
+    return judged_rows(spark, sf).select("doc_id", "matched", "judged")
+
+
+@query("semantic_match_accuracy", f"""
+with {VERDICTS} select count(*) as total, count(*) filter (v) as matched, round(avg(v::int), 6) as accuracy
+from (select coalesce(verdict, false) as v from documents d left join judged j on d.text = j.question and d.source = j.answer)""")
 def _(spark, sf):
-    verdicts = table(spark, sf, "labels").select("doc_id", (F.col("quality") == 1).alias("verdict"))
-    rows = table(spark, sf, "documents").join(verdicts, "doc_id", "left").withColumn("verdict", F.coalesce("verdict", F.lit(False)))
-    return A.accuracy(rows, "verdict").withColumn("accuracy", F.round("accuracy", 6))
+    return A.accuracy(judged_rows(spark, sf), "matched").withColumn("accuracy", F.round("accuracy", 6))
 
 
 S_TOKENS = "list_filter(regexp_extract_all(lower({x}), '" + WORD_CHARS + "'), lambda w: w not in ('a', 'an', 'the'))"
