@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.functions.text import strip
+from sluice.functions.text import let, strip
 from sluice.operators.skew import hot_keys, skew_join
 from sluice.session import durable
 
@@ -97,6 +97,24 @@ def parse_int_score(text: Column, low: int = 1, high: int = 5) -> Column:
     return F.when(number.between(low, high), number)
 
 
+def dimension_scores(text: Column, names: list[str], low: float = 1, high: float = 5) -> Column:
+    """A struct with the response's score for each named dimension and ``overall``, the mean of those given.
+
+    The response is a JSON object of numbers. A score that is missing or out of
+    scale is null; without any score ``overall`` is null.
+    """
+    given = F.from_json(unfence(text), "map<string,string>", {"mode": "PERMISSIVE"})
+
+    def scores(found: Column) -> Column:
+        each = [F.try_element_at(found, F.lit(n)).try_cast("double") for n in names]
+        each = [F.when(x.between(low, high), x) for x in each]
+        known = F.array_compact(F.array(*each))
+        mean = F.aggregate(known, F.lit(0.0), lambda a, b: a + b) / F.nullif(F.size(known), F.lit(0))
+        return F.struct(*[x.alias(n) for x, n in zip(each, names)], mean.alias("overall"))
+
+    return let(given, scores)
+
+
 def has_keys(text: Column, keys: list[str]) -> Column:
     """Is the response a JSON object with all the keys?"""
     found = F.json_object_keys(unfence(text))

@@ -460,6 +460,30 @@ def _(spark, sf):
     return step.select("doc_id", M.parse_int_score(F.col("response")).alias("score"))
 
 
+DIMENSIONS = ["correctness", "clarity", "depth", "safety", "format", "style"]
+S_SCORES = " || ', ' || ".join(f"""'"{n}": ' || cast((doc_id + {3 * i}) % 7 as varchar(9))""" for i, n in enumerate(DIMENSIONS))
+S_RATED = f"""case doc_id % 5 when 0 then 'no json' when 1 then '```json' || chr(10) || '{{' || {S_SCORES} || '}}' || chr(10) || '```'
+  when 2 then '{{"clarity": 4}}' else '{{' || {S_SCORES} || '}}' end"""
+
+
+def _s_dimension(i: int, name: str) -> str:
+    value = f"(doc_id + {3 * i}) % 7"
+    whole = f"case when doc_id % 5 in (1, 3, 4) and {value} between 1 and 5 then ({value})::double end"
+    return f"case when doc_id % 5 = 2 then {'4.0::double' if name == 'clarity' else 'null'} else {whole} end"
+
+
+S_EACH = ", ".join(f"{_s_dimension(i, n)} as {n}" for i, n in enumerate(DIMENSIONS))
+
+
+@query("model_dimension_scores", f"""
+with s as (select doc_id, {S_EACH} from documents)
+select *, round(list_avg(list_filter([{', '.join(DIMENSIONS)}], lambda x: x is not null)), 6) as overall from s""")
+def _(spark, sf):
+    rated = table(spark, sf, "documents").select("doc_id", F.expr(S_RATED).alias("response"))
+    scores = rated.select("doc_id", F.inline(F.array(M.dimension_scores(F.col("response"), DIMENSIONS))))
+    return scores.withColumn("overall", F.round("overall", 6))
+
+
 @query("model_invalid_formats", "select count(*) filter (doc_id % 4 in (1, 2)) as invalid_response from documents")
 def _(spark, sf):
     return M.count_invalid(json_responses(spark, sf), ["response"], ["question", "answer"])
