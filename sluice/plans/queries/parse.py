@@ -101,6 +101,17 @@ def _(spark, sf):
     return back.select("doc_id", "lang", F.md5("text").alias("text_hash"), "n_chars")
 
 
+@query("source_json_array", "select doc_id, lang, md5(text) as text_hash from documents")
+def _(spark, sf):
+    """A hundred documents per file, each file one array."""
+    folder = scratch(spark)
+    docs = table(spark, sf, "documents").withColumn("part", F.floor(F.col("doc_id") / 100))
+    arrays = docs.groupBy("part").agg(F.to_json(F.collect_list(F.struct("doc_id", "text", "lang"))).alias("value"))
+    arrays.repartition("part").write.partitionBy("part").text(folder)
+    back = files.read_records(spark, folder, "doc_id bigint, text string, lang string", fmt="json")
+    return back.select("doc_id", "lang", F.md5("text").alias("text_hash"))
+
+
 @query("stage_round_trip", "select doc_id, lang, source, md5(text) as text_hash from documents")
 def _(spark, sf):
     kept = sinks.stage(table(spark, sf, "documents"), "documents", scratch(spark))
