@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.language import language_tag
 from sluice.functions.text import strip
+from sluice.session import durable
 
 EXTENSIONS = {
     "text": ["txt", "text"],
@@ -201,37 +202,37 @@ def _csv_chunks(table: DataFrame) -> DataFrame:
     return _chunks(rows, "csv", "row_number")
 
 
-def json_leaves(df: DataFrame, json_col: str, min_length: int = 10, max_depth: int = 16) -> DataFrame:
+def json_leaves(df: DataFrame, json_col: str, min_length: int = 10) -> DataFrame:
     """One row per string leaf of a JSON document, with its path ``a.b[0].c``.
 
-    Each step opens the objects and arrays of one level and passes leaves
-    through, so it is one lazy plan for documents of any shape, without a
-    schema. Documents that do not parse give no rows (see ``quarantine``);
-    one that is nested deeper than ``max_depth`` stops the job.
+    A round opens the objects and arrays of one level and keeps what is open
+    still, as a stored table; rounds end with the deepest document, and a leaf
+    takes part in one only. No schema is needed. Documents that do not parse
+    give no rows here; ``unparsed_json`` has them.
     """
     spark = df.sparkSession
     others = [c for c in df.columns if c != json_col]
     level = df.select(*others, F.try_parse_json(json_col).alias("v"), F.lit("").alias("json_path"))
-    for _ in range(max_depth):
-        kind = F.schema_of_variant("v")
-        inner = F.when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.col("v"))
-        level = level.withColumn("_inner", inner).lateralJoin(
-            spark.tvf.variant_explode_outer(F.col("_inner").outer())
-        )
+    kind = F.schema_of_variant("v")
+    is_open = kind.startswith("OBJECT") | kind.startswith("ARRAY")
+    found = []
+    while True:
+        leaves = level.filter(kind == "STRING").select(*others, "json_path", strip(F.col("v").cast("string")).alias("content"))
+        found.append(leaves.filter(F.length("content") >= min_length))
+        inner = level.filter(is_open).lateralJoin(spark.tvf.variant_explode(F.col("v").outer()))
         path = (
-            F.when(F.col("pos").isNull(), F.col("json_path"))
-            .when(F.col("key").isNull(), F.concat("json_path", F.lit("["), F.col("pos").cast("string"), F.lit("]")))
+            F.when(F.col("key").isNull(), F.concat("json_path", F.lit("["), F.col("pos").cast("string"), F.lit("]")))
             .when(F.col("json_path") == "", F.col("key"))
             .otherwise(F.concat_ws(".", "json_path", "key"))
         )
-        value = F.when(F.col("pos").isNull(), F.col("v")).otherwise(F.col("value"))
-        level = level.select(*others, value.alias("v"), path.alias("json_path"))
-    kind = F.schema_of_variant("v")
-    open_left = (kind.startswith("OBJECT") & (kind != "OBJECT<>")) | (kind.startswith("ARRAY") & (kind != "ARRAY<VOID>"))
-    checked = F.when(open_left, F.raise_error(F.lit(f"JSON nested deeper than {max_depth} levels"))).when(
-        kind == "STRING", strip(F.col("v").cast("string"))
-    )
-    return level.select(*others, "json_path", checked.alias("content")).filter(F.length("content") >= min_length)
+        level = durable(inner.select(*others, F.col("value").alias("v"), path.alias("json_path")).filter(is_open | (kind == "STRING")))
+        if level.isEmpty():
+            return reduce(DataFrame.unionByName, found)
+
+
+def unparsed_json(df: DataFrame, json_col: str) -> DataFrame:
+    """The rows whose document is not JSON."""
+    return df.filter(F.col(json_col).isNotNull() & F.try_parse_json(json_col).isNull())
 
 
 def read_json_leaves(spark: SparkSession, path, recursive: bool = True, min_length: int = 10) -> DataFrame:

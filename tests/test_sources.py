@@ -62,9 +62,12 @@ def test_json_leaves(spark, tmp_path):
     write(tmp_path, "bad.json", "{not json")
     rows = {r["json_path"]: r["content"] for r in files.read_json_leaves(spark, str(tmp_path)).collect()}
     assert rows == {"a.b[1].c": "a long enough leaf", "t": "the top level text"}
-    deep = spark.createDataFrame([(json.dumps({"a": {"b": {"c": "0123456789"}}}),)], "j string")
-    with pytest.raises(Exception, match="nested deeper"):
-        files.json_leaves(deep, "j", max_depth=2).collect()
+    deep = "0123456789"
+    for i in range(40):
+        deep = [deep] if i % 2 else {"k": deep}
+    df = spark.createDataFrame([(1, json.dumps(deep)), (2, "{bad"), (3, None), (4, '"a top level string"')], "id int, j string")
+    assert {(r["id"], r["content"]) for r in files.json_leaves(df, "j").collect()} == {(1, "0123456789"), (4, "a top level string")}
+    assert [r["id"] for r in files.unparsed_json(df, "j").collect()] == [2]
 
 
 def test_directory_and_formats(spark, tmp_path):
