@@ -15,7 +15,6 @@ from sluice.functions.text import (
     CJK,
     CJK_RUN,
     DIGIT,
-    WORD,
     barrier,
     chars_of,
     contains_cjk,

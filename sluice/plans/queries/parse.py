@@ -8,7 +8,7 @@ from sluice.functions.language import CJK_SHARE, STOP_WORDS, detect_language, la
 from sluice.functions.text import CJK, TOKEN, contains_cjk, format_size, truncate
 from sluice.operators import chunking
 from sluice.plans.queries.registry import (
-    WS, ZH, query, s_count, s_list, s_ratio, s_strip, scratch, table, zh_documents,
+    ZH, query, s_count, s_ratio, s_strip, scratch, table, zh_documents,
 )
 from sluice.sources import files, pages, sinks
 from sluice.streaming import incremental

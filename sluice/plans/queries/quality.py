@@ -8,7 +8,7 @@ from sluice.functions import values as V
 from sluice.functions.text import CJK, CJK_OR_LATIN, DIGIT, WORD_CHARS, find_all
 from sluice.operators import quality as Q
 from sluice.operators import reports as R
-from sluice.plans.queries.enhance import ALL_QA, KB, TERMS, with_terms
+from sluice.plans.queries.enhance import ALL_QA, TERMS, with_terms
 from sluice.operators import enhance as E
 from sluice.plans.queries.registry import ZH, query, r6, s_count, s_ratio, s_str, s_strip, table, zh_documents
 
