@@ -23,7 +23,7 @@ from sluice.llm.workers import steps
 from sluice.session import durable
 
 # Labelled rows that are sampled at most; a fifth of them calibrates, the rest trains.
-LABELLED = 6000
+LABELLED = 4000
 # Rows a view hands over per class and round, and rounds.
 HANDED, ROUNDS = 200, 2
 # A view hands over rows of which it gives a label at least this probability.
@@ -190,22 +190,22 @@ def gathered(rows: DataFrame, columns: Columns, extra: list[str]) -> tuple[pd.Da
     views = []
     for view in "01":
         sizes = [len(f) for f in found[f"f{view}"]]
-        row = np.repeat(np.arange(len(found)), sizes)
-        flat = [np.concatenate([*found[c], np.zeros(0)]) for c in (f"f{view}", f"x{view}")]
-        views.append((row, flat[0].astype(np.int64), flat[1]))
-    return found[extra], views
+        row = np.repeat(np.arange(len(found), dtype=np.int32), sizes)
+        kinds = ((f"f{view}", np.int32), (f"x{view}", np.float32))
+        views.append((row, *[np.concatenate([np.zeros(0, kind), *found[c]]).astype(kind, copy=False) for c, kind in kinds]))
+    return found[extra].copy(), views
 
 
 def _some(features: tuple, keep: np.ndarray) -> tuple:
     """The features of some rows, renumbered."""
     row, feature, value = features
-    place = np.cumsum(keep) - 1
+    place = np.cumsum(keep, dtype=np.int32) - 1
     inside = keep[row]
     return place[row[inside]], feature[inside], value[inside]
 
 
 def _both(a: tuple, rows: int, b: tuple) -> tuple:
-    return np.concatenate([a[0], b[0] + rows]), np.concatenate([a[1], b[1]]), np.concatenate([a[2], b[2]])
+    return np.concatenate([a[0], b[0] + np.int32(rows)]), np.concatenate([a[1], b[1]]), np.concatenate([a[2], b[2]])
 
 
 def scored(rows: DataFrame, columns: Columns, weights: dict[tuple[str, int], np.ndarray], kind: str) -> DataFrame:
@@ -254,7 +254,8 @@ def cotrain(
     found, views = gathered(rows.join(F.broadcast(sample), "_id"), columns, ["_id", *targets])
     held = np.array([xxhash.xxh64_intdigest(str(i)) % 5 == 0 for i in found["_id"]], dtype=bool)
     width = [(1 << TEXT_BITS) + SHAPES, 1 << META_BITS]
-    data = {(t, v): (_some(views[v], ~held), found[t].to_numpy(float)[~held]) for t in targets for v in (0, 1)}
+    taught = [_some(view, ~held) for view in views]
+    data = {(t, v): (taught[v], found[t].to_numpy(float)[~held]) for t in targets for v in (0, 1)}
 
     def fitted() -> tuple[dict[tuple[str, int], np.ndarray], dict[tuple[str, int], tuple[float, float]]]:
         weights = {k: train(x, y, len(y), width[k[1]]) for k, (x, y) in data.items()}
