@@ -21,11 +21,11 @@ from pyspark.sql.types import StructField, StructType
 from tokenizers import Tokenizer
 
 from sluice.llm.bpe import spellings
-from sluice.llm.workers import once, steps
+from sluice.llm.workers import steps
 from sluice.session import durable
 
 # Spellings of one generation that a worker remembers.
-REMEMBERED_IDS = 500_000
+REMEMBERED_IDS = 400_000
 # Pieces that one task packs on average.
 PIECES_PER_TASK = 25_000
 
@@ -124,7 +124,8 @@ def pieces(df: DataFrame, text_col: str, id_col: str, path: str, end_id: int = 0
     rows = df.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        library = once(("ids", path), lambda: Ids(path))
+        # Made anew for each task: what it remembers is given back with it.
+        library = Ids(path)
         for part in steps(batches, "_text"):
             of, numbers, starts, lengths, data = [], [], [], [], []
             for row, ids in enumerate(library.encode(part.column("_text").to_pylist())):

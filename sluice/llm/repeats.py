@@ -28,7 +28,7 @@ from sluice.session import durable
 
 GRAM = 24
 # Text of one stored chunk of rows, and suffixes of one suffix array, both about.
-CHUNK_BYTES = 5_000_000
+CHUNK_BYTES = 3_000_000
 SUFFIXES = 300_000
 # Anchors are told apart by this many bits.
 KEY_BITS = 48
