@@ -1,9 +1,10 @@
 """Masked pseudo-likelihood: every token predicted from the words on both sides.
 
 A small network sees two words to the left and two to the right of a place and
-predicts the class of the word that stands there; the share of a word in its
-class comes from counts over the whole corpus. The logarithms of these
-conditional probabilities, summed over all tokens, score a document.
+predicts the class of the word that stands there: common words are classes of
+their own, rare words share classes. The share of a word in its class comes from
+the counts of all words of the corpus, a table that grows with it. The logarithms
+of these conditional probabilities, summed over all tokens, score a document.
 """
 
 from __future__ import annotations
@@ -20,90 +21,221 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.workers import steps
+from sluice.session import durable
 
-BUCKETS = 1 << 16
-SINGLE, CLASSES, HIDDEN = 64, 128, 32
+# Words that are classes of their own; all classes, as groups of members.
+SINGLE, GROUPS, MEMBERS, HIDDEN = 3072, 64, 64, 32
+CLASSES = GROUPS * MEMBERS
+# Common words whose counts every task holds; the counts of all others are joined.
+KNOWN = 1 << 17
 # Places seen: offsets from the masked word.
 AROUND = (-2, -1, 1, 2)
-# One token in so many trains in each round, in every document.
-STRIDE, ROUNDS, BATCH = 8, 2, 1024
+# One token in ``STRIDE`` trains in each round, other ones in the next: every token trains.
+STRIDE, ROUNDS, BATCH = 2, 2, 8192
+# Parts in which networks are averaged.
+PARTS = 64
 
 
-def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Word buckets of texts laid end to end, and the words of each text."""
+def vocabulary(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different words of texts as 64-bit hashes, the place of each token's word in them, and the tokens of each text."""
     number: dict[bytes, int] = defaultdict(count().__next__)
     words = [t.lower().encode().split() for t in texts]
     sizes = np.array([len(w) for w in words], dtype=np.int64)
     ids = np.fromiter(map(number.__getitem__, chain.from_iterable(words)), np.int64, int(sizes.sum()))
-    bucket = np.fromiter((xxhash.xxh64_intdigest(w) % BUCKETS for w in number), np.int64, len(number))
-    return (bucket[ids] if len(number) else ids), sizes
+    return np.fromiter(map(xxhash.xxh64_intdigest, number), np.uint64, len(number)).view(np.int64), ids, sizes
+
+
+def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Words of texts laid end to end, as 64-bit hashes, and the tokens of each text."""
+    words, ids, sizes = vocabulary(texts)
+    return words[ids], sizes
+
+
+@dataclass
+class Known:
+    """What every task holds of the vocabulary: common words in order, with class and count; words of each shared class."""
+
+    words: np.ndarray
+    classes: np.ndarray
+    counts: np.ndarray
+    totals: np.ndarray
+
+    def find(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of words among the common ones, and whether they are there."""
+        at = np.minimum(np.searchsorted(self.words, words), max(len(self.words) - 1, 0))
+        return at, self.words[at] == words if len(self.words) else np.zeros(len(words), dtype=bool)
+
+    def __getitem__(self, words: np.ndarray) -> np.ndarray:
+        """Classes of words: that of a common word, or one by hash."""
+        at, met = self.find(words)
+        of = SINGLE + words % (CLASSES - SINGLE)
+        of[met] = self.classes[at[met]]
+        return of.astype(np.int16)
+
+    def shares(self, words: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Logarithm of the share of words in their classes, given how often they occur.
+
+        One added to every count: a word never met still has a probability.
+        """
+        of = self[words]
+        return np.where(of < SINGLE, 0.0, np.log(counts + 1.0) - np.log(self.totals[of]))
+
+
+@dataclass
+class Shares:
+    """Shares of any words, counts looked up in the table; for few words, on the driver."""
+
+    known: Known
+    table: DataFrame
+
+    def __getitem__(self, words: np.ndarray) -> np.ndarray:
+        some = self.table.filter(F.col("word").isin([int(w) for w in np.unique(words)])).collect()
+        counts = {r.word: r.n for r in some}
+        return self.known.shares(words, np.array([counts.get(int(w), 0) for w in words], dtype=float))
 
 
 @dataclass
 class Classes:
-    """Word buckets in classes: the most frequent alone, the rest by hash."""
+    """Words in classes: the most frequent alone, the rest by hash. ``table`` has the count of every word."""
 
-    of: np.ndarray
-    share: np.ndarray
+    of: Known
+    share: Shares
+    table: DataFrame
 
     @classmethod
-    def from_counts(cls, counts: np.ndarray) -> Classes:
-        order = np.lexsort([np.arange(BUCKETS), -counts])
-        of = SINGLE + (np.arange(BUCKETS) * 2654435761 >> 7) % (CLASSES - SINGLE)
-        of[order[:SINGLE]] = np.arange(SINGLE)
-        # One added to every count: a bucket never met still has a probability.
-        total = np.bincount(of, counts + 1.0, minlength=CLASSES)
-        return cls(of.astype(np.int16), np.log((counts + 1.0) / total[of]).astype(np.float32))
+    def from_counts(cls, table: DataFrame) -> Classes:
+        # Words by size of count, in sixteenths of an octave: a few hundred rows.
+        level = F.floor(16 * F.log2("n"))
+        sizes = table.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect()
+        common, above = F.lit(True), 0
+        for size, n in sizes:
+            if above + n > KNOWN:
+                # Of the words at the limit as many as have room; words are hashes, so any range of them is a sample.
+                cut = int(-(2**63) + (KNOWN - above) / n * 2**64)
+                common = (level > size) | ((level == size) & (F.col("word") < F.lit(min(cut, 2**63 - 1))))
+                break
+            above += n
+        found = table.filter(common).toPandas()
+        words, counts = found["word"].to_numpy(np.int64), found["n"].to_numpy(np.int64)
+        shared = CLASSES - SINGLE
+        of = SINGLE + words % shared
+        single = np.lexsort([words, -counts])[:SINGLE]
+        totals = np.ones(CLASSES)
+        for residue, total in table.groupBy(F.pmod("word", F.lit(shared))).agg(F.sum(F.col("n") + 1)).collect():
+            totals[SINGLE + residue] += total
+        np.subtract.at(totals, of[single], counts[single] + 1)
+        of[single] = np.arange(len(single))
+        totals[: len(single)] = counts[single] + 1
+        order = np.argsort(words)
+        known = Known(words[order], of[order].astype(np.int16), counts[order], totals)
+        return cls(known, Shares(known, table), table)
 
 
 class Network:
-    """Tables of what each class adds at each place, one hidden layer, a softmax over classes."""
+    """Tables of what each class adds at each place, one hidden layer, a softmax over groups of classes and one over
+    the members of the group."""
 
     def __init__(self, values: np.ndarray | None = None):
-        shapes = [(len(AROUND), CLASSES + 1, HIDDEN), (HIDDEN,), (HIDDEN, CLASSES), (CLASSES,)]
-        size = sum(int(np.prod(s)) for s in shapes)
+        self.shapes = [
+            (len(AROUND), CLASSES + 1, HIDDEN), (HIDDEN,), (HIDDEN, GROUPS), (GROUPS,), (GROUPS, HIDDEN, MEMBERS), (GROUPS, MEMBERS)
+        ]
+        size = sum(int(np.prod(s)) for s in self.shapes)
         if values is None:
             values = np.random.default_rng(5).normal(0, 0.1, size)
         self.values = np.array(values, dtype=np.float32)
-        cuts = np.cumsum([int(np.prod(s)) for s in shapes])[:-1]
-        self.parts = [p.reshape(s) for p, s in zip(np.split(self.values, cuts), shapes)]
+        self.cuts = np.cumsum([int(np.prod(s)) for s in self.shapes])[:-1]
+        self.parts = self.split(self.values)
+
+    def split(self, values: np.ndarray) -> list[np.ndarray]:
+        return [p.reshape(s) for p, s in zip(np.split(values, self.cuts), self.shapes)]
+
+    @classmethod
+    def of_shares(cls, totals: np.ndarray) -> Network:
+        """A network that starts from the share of each class, whatever stands around."""
+        own = cls()
+        mass = totals.reshape(GROUPS, MEMBERS)
+        own.parts[3][:] = np.log(mass.sum(axis=1) / mass.sum())
+        own.parts[5][:] = np.log(mass / mass.sum(axis=1, keepdims=True))
+        return own
 
     def hidden(self, context: np.ndarray) -> np.ndarray:
         places, bias = self.parts[:2]
         total = bias + places[0][context[0]]
         for place, classes in zip(places[1:], context[1:]):
             total += place[classes]
-        return np.tanh(total)
+        return np.tanh(total, out=total)
+
+    def members(self, hidden: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+        """What the layer of each row's group gives; rows are ordered by group. And the rows of each group."""
+        ends = np.searchsorted(group, np.arange(GROUPS + 1))
+        runs = [(g, slice(ends[g], ends[g + 1])) for g in np.flatnonzero(np.diff(ends))]
+        out = self.parts[5][group]
+        for g, run in runs:
+            out[run] += hidden[run] @ self.parts[4][g]
+        return out, runs
 
     def log_probabilities(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-        out = self.hidden(context) @ self.parts[2] + self.parts[3]
-        out -= out.max(axis=1, keepdims=True)
-        return out[np.arange(len(target)), target] - np.log(np.exp(out).sum(axis=1))
+        order = np.argsort(target, kind="stable")
+        group, member = np.divmod(target[order], MEMBERS)
+        hidden = self.hidden(context[:, order])
+        found, rows = np.empty(len(target)), np.arange(len(target))
+        total = 0
+        for out, at in ((hidden @ self.parts[2] + self.parts[3], group), (self.members(hidden, group)[0], member)):
+            out -= out.max(axis=1, keepdims=True)
+            total = total + out[rows, at] - np.log(np.exp(out).sum(axis=1))
+        found[order] = total
+        return found
 
     def gradient(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-        hidden = self.hidden(context)
-        out = hidden @ self.parts[2] + self.parts[3]
-        out = np.exp(out - out.max(axis=1, keepdims=True))
-        out /= out.sum(axis=1, keepdims=True)
-        out[np.arange(len(target)), target] -= 1
-        out /= len(target)
-        back = (out @ self.parts[2].T) * (1 - hidden**2)
-        one = np.eye(CLASSES + 1, dtype=np.float32)
-        places = np.stack([one[c].T @ back for c in context])
-        return np.concatenate([places.ravel(), back.sum(axis=0), (hidden.T @ out).ravel(), out.sum(axis=0)])
+        order = np.argsort(target, kind="stable")
+        context, target = context[:, order], target[order]
+        group, member = np.divmod(target, MEMBERS)
+        hidden, rows = self.hidden(context), np.arange(len(target))
+        first = hidden @ self.parts[2] + self.parts[3]
+        second, runs = self.members(hidden, group)
+        for out, at in ((first, group), (second, member)):
+            out -= out.max(axis=1, keepdims=True)
+            np.exp(out, out=out)
+            out /= out.sum(axis=1, keepdims=True)
+            out[rows, at] -= 1
+            out /= len(target)
+        gradient = np.zeros(len(self.values), dtype=np.float32)
+        places, bias, groups, group_bias, layers, layer_bias = self.split(gradient)
+        back = first @ self.parts[2].T
+        for g, run in runs:
+            back[run] += second[run] @ self.parts[4][g].T
+            layers[g] = hidden[run].T @ second[run]
+            layer_bias[g] = second[run].sum(axis=0)
+        groups[:], group_bias[:] = hidden.T @ first, first.sum(axis=0)
+        back *= 1 - hidden**2
+        bias[:] = back.sum(axis=0)
+        for place, classes in zip(places, context):
+            by = np.argsort(classes, kind="stable")
+            classes = classes[by]
+            starts = np.flatnonzero(np.diff(classes, prepend=-1))
+            place[classes[starts]] = np.add.reduceat(back[by], starts, axis=0)
+        return gradient
 
 
 class Adam:
     def __init__(self, size: int, rate: float = 0.01):
         self.mean, self.square, self.time, self.rate = np.zeros(size, np.float32), np.zeros(size, np.float32), 0, rate
+        self.room = np.empty(size, np.float32)
 
     def step(self, network: Network, gradient: np.ndarray) -> None:
         self.time += 1
-        self.mean += 0.1 * (gradient - self.mean)
-        self.square += 0.01 * (gradient**2 - self.square)
-        mean = self.mean / (1 - 0.9**self.time)
-        square = self.square / (1 - 0.99**self.time)
-        network.values -= self.rate * mean / (np.sqrt(square) + 1e-6)
+        room = self.room
+        self.mean *= 0.9
+        self.mean += np.multiply(gradient, 0.1, out=room)
+        self.square *= 0.99
+        gradient *= gradient
+        self.square += np.multiply(gradient, 0.01, out=room)
+        np.sqrt(self.square, out=room)
+        room *= 1 / np.sqrt(1 - 0.99**self.time)
+        room += 1e-6
+        np.divide(self.mean, room, out=room)
+        room *= self.rate / (1 - 0.9**self.time)
+        network.values -= room
 
 
 def contexts(classes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -118,63 +250,69 @@ def contexts(classes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
-def bucket_counts(rows: DataFrame) -> np.ndarray:
-    """How often each word bucket occurs, over all documents; ``BUCKETS`` numbers at most reach the driver."""
+def word_counts(rows: DataFrame) -> DataFrame:
+    """How often each word occurs, over all documents: a table of ``word`` and ``n``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(BUCKETS, dtype=np.int64)
         for part in steps(batches, "_text"):
-            total += np.bincount(tokens(part.column("_text").to_pylist())[0], minlength=BUCKETS)
-        met = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(met), pa.array(total[met])], names=["bucket", "n"])
+            words, ids, _ = vocabulary(part.column("_text").to_pylist())
+            yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(np.bincount(ids, minlength=len(words)))], names=["word", "n"])
 
-    found = rows.select("_text").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    counts = np.zeros(BUCKETS)
-    for bucket, n in found.collect():
-        counts[bucket] = n
-    return counts
+    counted = rows.select("_text").mapInArrow(run, "word long, n long")
+    return durable(counted.groupBy("word").agg(F.sum("n").alias("n")))
 
 
 def train(rows: DataFrame, classes: Classes, network: Network, number: int) -> Network:
     """One round: every task goes on from ``network`` with its documents; the mean by tokens is the result.
 
-    The means are taken by Spark parameter by parameter, so the driver gets one
+    Networks are averaged in parts, inside tasks, so the driver gets one
     network, whatever the number of tasks.
     """
-    start = network.values
+    start, known, stride, size = network.values, classes.of, STRIDE, BATCH
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, seen = Network(start), 0
         adam = Adam(len(start), 0.01 / (number + 1))
         for part in steps(batches, "_text"):
-            bucket, sizes = tokens(part.column("_text").to_pylist())
-            target = classes.of[bucket]
-            # Every document trains from its first words on, another in each round.
+            words, ids, sizes = vocabulary(part.column("_text").to_pylist())
+            target = known[words][ids]
             place = np.arange(len(target)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            chosen = np.flatnonzero(place % STRIDE == number % STRIDE)
+            chosen = np.flatnonzero(place % stride == number % stride)
             chosen = np.random.default_rng(len(chosen)).permutation(chosen)
             around = contexts(target, sizes)
-            for at in range(0, len(chosen), BATCH):
-                some = chosen[at : at + BATCH]
+            for at in range(0, len(chosen), size):
+                some = chosen[at : at + size]
                 adam.step(own, own.gradient(around[:, some], target[some]))
             seen += len(chosen)
+        parts = [p.tobytes() for p in np.array_split(own.values, PARTS)]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([own.values.astype(np.float64)], pa.list_(pa.float64())), pa.array([float(seen)])], names=["own", "seen"]
+            [pa.array(range(PARTS), pa.int32()), pa.array(parts, pa.binary()), pa.array([float(seen)] * PARTS)],
+            names=["at", "own", "seen"],
         )
 
-    trained = rows.select("_text").mapInArrow(run, "own array<double>, seen double").filter("seen > 0")
-    each = trained.select(F.posexplode("own").alias("at", "value"), "seen")
-    mean = each.groupBy("at").agg((F.sum(F.col("value") * F.col("seen")) / F.sum("seen")).alias("value")).collect()
-    values = start.copy()
-    for at, value in mean:
-        values[at] = value
-    return Network(values)
+    def mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, list] = {}
+        for batch in batches:
+            for at, own, seen in zip(*(c.to_pylist() for c in batch.columns)):
+                total = sums.setdefault(at, [0.0, 0.0])
+                total[0] = total[0] + np.frombuffer(own, np.float32) * seen
+                total[1] += seen
+        means = [(v / n).astype(np.float32).tobytes() for v, n in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(sums, pa.int32()), pa.array(means, pa.binary())], names=["at", "own"])
+
+    trained = rows.select("_text").mapInArrow(run, "at int, own binary, seen double").filter("seen > 0")
+    found = trained.repartition("at").mapInArrow(mean, "at int, own binary").collect()
+    parts = np.array_split(start, PARTS)
+    for at, own in found:
+        parts[at] = np.frombuffer(own, np.float32)
+    return Network(np.concatenate(parts))
 
 
 def fit(df: DataFrame, text_col: str) -> tuple[Classes, Network]:
-    """Classes and network of a corpus; both of fixed size, gathered from every document."""
+    """Classes and network of a corpus, from all tokens of every document; the network is of fixed size."""
     rows = df.select(F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    classes, network = Classes.from_counts(bucket_counts(rows)), Network()
+    classes = Classes.from_counts(word_counts(rows))
+    network = Network.of_shares(classes.of.totals)
     for number in range(ROUNDS):
         network = train(rows, classes, network, number)
     return classes, network
@@ -186,27 +324,41 @@ def score(df: DataFrame, text_col: str, id_col: str, classes: Classes, network:
     Tokens are lower-case words between white space; all of them are predicted.
     Null, empty and blank texts have no tokens, a sum of 0 and no mean. Rows are
     scored one by one, so repeated rows have one score. Only two columns are read.
+    Counts of words that are not common are joined from the table of words.
     """
     kind = df.schema[id_col].dataType.simpleString()
     rows = df.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    values = network.values
+    values, known = network.values, classes.of
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Network(values)
         for part in steps(batches, "_text"):
-            bucket, sizes = tokens(part.column("_text").to_pylist())
-            target = classes.of[bucket]
+            words, ids, sizes = vocabulary(part.column("_text").to_pylist())
+            at, met = known.find(words)
+            counts = np.zeros(len(words))
+            counts[met] = known.counts[at[met]]
+            target = known[words][ids]
             around = contexts(target, sizes)
             found = np.zeros(len(target))
-            for at in range(0, len(target), 4096):
-                found[at : at + 4096] = own.log_probabilities(around[:, at : at + 4096], target[at : at + 4096])
-            found += classes.share[bucket]
-            total = np.bincount(np.repeat(np.arange(len(sizes)), sizes), found, minlength=len(sizes))
-            mean = pa.array(total / np.maximum(sizes, 1), mask=sizes == 0)
+            for at in range(0, len(target), BATCH):
+                found[at : at + BATCH] = own.log_probabilities(around[:, at : at + BATCH], target[at : at + BATCH])
+            found += known.shares(words, counts)[ids]
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            total = np.bincount(row, found, minlength=len(sizes))
+            open_ = ~met[ids]
+            ends = np.concatenate([[0], np.cumsum(np.bincount(row[open_], minlength=len(sizes)))]).astype(np.int32)
+            rare = pa.ListArray.from_arrays(pa.array(ends), pa.array(words[ids[open_]]))
             yield pa.RecordBatch.from_arrays(
-                [part.column("_id"), pa.array(sizes), pa.array(total), mean],
-                names=["_id", "n_tokens", "log_likelihood", "mean_log_likelihood"],
+                [part.column("_id"), pa.array(sizes), pa.array(total), rare], names=["_id", "n_tokens", "common", "rare"]
             )
 
-    schema = f"_id {kind}, n_tokens long, log_likelihood double, mean_log_likelihood double"
-    return rows.mapInArrow(run, schema).withColumnRenamed("_id", id_col)
+    found = rows.mapInArrow(run, f"_id {kind}, n_tokens long, common double, rare array<long>")
+    found = durable(found.withColumn("row", F.monotonically_increasing_id()))
+    # A common word is known to the tasks, so no word here has more than a small share of the rows.
+    rare = found.select("row", F.explode("rare").alias("word")).join(classes.table, "word")
+    rare = rare.groupBy("row").agg(F.sum(F.log(F.col("n") + 1.0)).alias("rare_sum"))
+    total = F.col("common") + F.coalesce("rare_sum", F.lit(0.0))
+    return found.select("_id", "row", "n_tokens", "common").join(rare, "row", "left").select(
+        F.col("_id").alias(id_col), "n_tokens", total.alias("log_likelihood"),
+        F.when(F.col("n_tokens") > 0, total / F.col("n_tokens")).alias("mean_log_likelihood"),
+    )

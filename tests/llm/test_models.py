@@ -110,3 +110,22 @@ def test_cotraining_edges(spark, docs, texts, nothing):
     assert cotraining.cotrain(nothing, labels, columns, ["good"]).count() == 0
     bare = docs.select(F.col("doc_id"), F.col("text"))
     assert cotraining.cotrain(bare, labels, cotraining.Columns("text", "doc_id", [], []), ["good"]).count() == len(texts)
+
+
+def test_every_token_trains_and_every_word_counts(spark):
+    # The constants of production: rounds cover all places, far more words than once had buckets.
+    assert {n % maskedlm.STRIDE for n in range(maskedlm.ROUNDS)} == set(range(maskedlm.STRIDE)) and maskedlm.SINGLE >= 1024
+    rows = [(i, " ".join(f"v{i * 500 + k}" for k in range(500)) + " common" * 9) for i in range(300)] + [(300, "v7 " * 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    table = maskedlm.word_counts(df.select(F.col("text").alias("_text")))
+    assert table.count() == 150_001 and table.agg(F.sum("n")).first()[0] == 300 * 509 + 5
+    assert {r.n for r in table.filter(F.col("word").isin([int(w) for w in maskedlm.tokens(["common v7"])[0]])).collect()} == {2700, 6}
+    classes, network = maskedlm.fit(df, "text")
+    # More words than tasks hold: some counts are joined.
+    assert len(classes.of.words) < 150_001
+    got = {r.doc_id: r.log_likelihood for r in maskedlm.score(df, "text", "doc_id", classes, network).collect()}
+    for i in (0, 299, 300):
+        words, sizes = maskedlm.tokens([rows[i][1]])
+        around = maskedlm.contexts(classes.of[words], sizes)
+        want = (network.log_probabilities(around, classes.of[words]) + classes.share[words]).sum()
+        assert got[i] == pytest.approx(float(want), rel=1e-4)
