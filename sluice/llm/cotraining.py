@@ -1,9 +1,12 @@
 """Co-training: a text and a metadata classifier teach each other with confident labels.
 
 Both views start from a bounded sample of labelled rows. In every round both
-score all documents, and the rows one view is surest of go, with the label it
-gives them, to the training rows of the other. At the end each view is calibrated on
-labelled rows it never trained on, and the calibrated views are added up.
+score all documents, and every document one view is sure of teaches the other
+with the label it gives: the features of these documents are counted by label in
+Spark, the counts give a weight for each feature, and the labelled rows decide
+how much the sum of these weights says beside their own features. At the end
+each view is calibrated on labelled rows it never trained on, and the calibrated
+views are added up.
 """
 
 from __future__ import annotations
@@ -22,10 +25,11 @@ from pyspark.sql import functions as F
 from sluice.llm.workers import steps
 from sluice.session import durable
 
-# Labelled rows that are sampled at most; a fifth of them calibrates, the rest trains.
+# Labelled rows that are sampled at most for a target; a fifth of them calibrates, the rest trains.
 LABELLED = 4000
-# Rows a view hands over per class and round, and rounds.
-HANDED, ROUNDS = 200, 2
+ROUNDS = 2
+# Parts in which counts are added up.
+PARTS = 64
 # A view hands over rows of which it gives a label at least this probability.
 SURE = 0.95
 TEXT_BITS, META_BITS = 18, 10
@@ -99,13 +103,37 @@ def telling(features: tuple, label: np.ndarray, width: int) -> np.ndarray:
     """Features held by clearly different shares of the two classes, three rows at least; and those every row has."""
     row, feature, value = features
     held = feature[value != 0]
-    ones, rows = label.sum(), len(label)
     count = np.bincount(held, minlength=width)
     with_label = np.bincount(held, label[row[value != 0]], minlength=width)
+    return apart(count, with_label, label.sum(), len(label))
+
+
+def apart(count: np.ndarray, with_label: np.ndarray, ones: float, rows: int) -> np.ndarray:
+    """``telling`` from the rows that hold each feature, all and those of the label."""
     share = count / max(rows, 1)
     error = np.sqrt(share * (1 - share) * (1 / max(ones, 1) + 1 / max(rows - ones, 1)))
-    apart = np.abs(with_label / max(ones, 1) - (count - with_label) / max(rows - ones, 1))
-    return ((apart > ERRORS * error) & (count >= 3)) | (share > 0.5)
+    gap = np.abs(with_label / max(ones, 1) - (count - with_label) / max(rows - ones, 1))
+    return ((gap > ERRORS * error) & (count >= 3)) | (share > 0.5)
+
+
+def counted(counts: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Weights from the rows of either label that hold each feature: log-odds of telling ones, none without rows of both."""
+    if not rows.all():
+        return np.zeros(counts.shape[1])
+    shares = np.log((counts + 1) / (rows[:, None] + 2))
+    return np.where(apart(counts.sum(axis=0), counts[1], rows[1], rows.sum()), shares[1] - shares[0], 0.0)
+
+
+def taught(features: tuple, label: np.ndarray, lesson: np.ndarray) -> np.ndarray:
+    """Weights of a view: ``train`` on labelled rows, to which ``lesson``, weights learnt from other rows, is one more feature."""
+    rows, width = len(label), len(lesson)
+    told = logit(lesson, features, rows)
+    spread = told.std() if rows else 0.0
+    if not spread:
+        return train(features, label, rows, width)
+    more = np.arange(rows), np.full(rows, width), (told - told.mean()) / spread
+    weights = train(tuple(np.concatenate([a, b]) for a, b in zip(features, more)), label, rows, width + 1)
+    return (weights[:width] + weights[width] / spread * lesson).astype(np.float32)
 
 
 def train(features: tuple, label: np.ndarray, rows: int, width: int, rounds: int = 200, damp: float = 1e-4) -> np.ndarray:
@@ -204,10 +232,6 @@ def _some(features: tuple, keep: np.ndarray) -> tuple:
     return place[row[inside]], feature[inside], value[inside]
 
 
-def _both(a: tuple, rows: int, b: tuple) -> tuple:
-    return np.concatenate([a[0], b[0] + np.int32(rows)]), np.concatenate([a[1], b[1]]), np.concatenate([a[2], b[2]])
-
-
 def scored(rows: DataFrame, columns: Columns, weights: dict[tuple[str, int], np.ndarray], kind: str) -> DataFrame:
     """Scores of every row by each target and view: columns ``<target>_<view>``."""
     names = [f"{t}_{v}" for t, v in weights]
@@ -221,6 +245,54 @@ def scored(rows: DataFrame, columns: Columns, weights: dict[tuple[str, int], np.
     return rows.mapInArrow(run, f"_id {kind}, " + ", ".join(f"{n} double" for n in names))
 
 
+def lessons(
+    rows: DataFrame, columns: Columns, weights: dict[tuple[str, int], np.ndarray], lines: dict[tuple[str, int], tuple[float, float]]
+) -> dict[tuple[str, int], np.ndarray]:
+    """What each view is taught: weights from the features, by label, of every row that the other view is sure of.
+
+    Tasks count, and counts are added up in parts inside tasks, so the driver gets
+    numbers of a fixed size, however many rows there are.
+    """
+    sure = float(np.log(SURE / (1 - SURE)))
+    # For each target and view, two rows of counts by label; the last column counts the rows themselves.
+    shapes = {k: (2, len(w) + 1) for k, w in weights.items()}
+    ends = np.cumsum([0, *[int(np.prod(s)) for s in shapes.values()]])
+
+    def split(values: np.ndarray) -> dict[tuple[str, int], np.ndarray]:
+        return {k: values[a:b].reshape(s) for (k, s), a, b in zip(shapes.items(), ends, ends[1:])}
+
+    def out(parts: dict[int, np.ndarray]) -> pa.RecordBatch:
+        values = [v.tobytes() for v in parts.values()]
+        return pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(values, pa.binary())], names=["at", "counts"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(ends[-1], dtype=np.int64)
+        counts = split(total)
+        for part in steps(batches, "_text"):
+            views = columns.features(part)
+            for (t, v), found in counts.items():
+                slope, offset = lines[t, 1 - v]
+                odds = logit(weights[t, 1 - v], views[1 - v], part.num_rows) * slope + offset
+                row, feature, value = views[v]
+                for label, chosen in enumerate((odds <= -sure, odds >= sure)):
+                    found[label, :-1] += np.bincount(feature[chosen[row] & (value != 0)], minlength=found.shape[1] - 1)
+                    found[label, -1] += chosen.sum()
+        yield out(dict(enumerate(np.array_split(total, PARTS))))
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for at, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                sums[at] = sums.get(at, 0) + np.frombuffer(counts, np.int64)
+        yield out(sums)
+
+    kind = "at int, counts binary"
+    parts = np.array_split(np.zeros(ends[-1], dtype=np.int64), PARTS)
+    for at, counts in rows.mapInArrow(run, kind).repartition("at").mapInArrow(add, kind).collect():
+        parts[at] = np.frombuffer(counts, np.int64)
+    return {k: counted(c[:, :-1], c[:, -1]) for k, c in split(np.concatenate(parts)).items()}
+
+
 def cotrain(
     df: DataFrame,
     labels: DataFrame,
@@ -228,16 +300,15 @@ def cotrain(
     targets: list[str],
     *,
     labelled: int = LABELLED,
-    handed: int = HANDED,
     rounds: int = ROUNDS,
 ) -> DataFrame:
     """``id`` and, per target, ``<target>_score``, ``<target>_text`` and ``<target>_meta`` of every row.
 
-    ``labels`` has the id and 0/1 ``targets``. At most ``labelled`` of its ids,
-    picked by a hash, are used: four fifths train, one fifth calibrates. Every
-    round scores all rows with both views; per class the ``handed`` unlabelled
-    rows that a view is surest of, its probability calibrated and at least
-    ``SURE``, become training rows of the other view. The
+    ``labels`` has the id and 0/1 ``targets``, null where a row has no label for
+    one. For each target at most ``labelled`` of its ids, picked by a hash, are
+    used: four fifths train, one fifth calibrates. Every round scores all other
+    rows with both views; all those to which a view gives a label with a
+    calibrated probability of at least ``SURE`` teach the other view. The
     views are probabilities by one view alone, the score combines both. Null
     texts are empty, null metadata is a value of its own; an id that labels
     give twice counts once, with the larger value. Where labels are missing
@@ -248,47 +319,36 @@ def cotrain(
     rows = columns.select(df)
     known = labels.filter(F.col(columns.id).isNotNull()).groupBy(F.col(columns.id).alias("_id")).agg(
         *[F.max(t).cast("int").alias(t) for t in targets]
-    ).dropna()
-    # At most ``labelled`` rows, so they can be sent to every task.
-    sample = durable(known.orderBy(F.xxhash64("_id"), "_id").limit(labelled))
+    )
+    sample = None
+    for t in targets:
+        some = known.filter(F.col(t).isNotNull()).orderBy(F.xxhash64("_id"), "_id").limit(labelled)
+        sample = some if sample is None else sample.union(some)
+    # At most ``labelled`` rows for each target, so they can be sent to every task.
+    sample = durable(sample.distinct())
     found, views = gathered(rows.join(F.broadcast(sample), "_id"), columns, ["_id", *targets])
     held = np.array([xxhash.xxh64_intdigest(str(i)) % 5 == 0 for i in found["_id"]], dtype=bool)
     width = [(1 << TEXT_BITS) + SHAPES, 1 << META_BITS]
-    taught = [_some(view, ~held) for view in views]
-    data = {(t, v): (taught[v], found[t].to_numpy(float)[~held]) for t in targets for v in (0, 1)}
+    labels_of = {t: found[t].to_numpy(float) for t in targets}
+    known_to = {t: ~np.isnan(label) for t, label in labels_of.items()}
+    lesson = {(t, v): np.zeros(width[v]) for t in targets for v in (0, 1)}
 
     def fitted() -> tuple[dict[tuple[str, int], np.ndarray], dict[tuple[str, int], tuple[float, float]]]:
-        weights = {k: train(x, y, len(y), width[k[1]]) for k, (x, y) in data.items()}
-        lines = {}
-        for (t, v), w in weights.items():
-            label = found[t].to_numpy(float)[held]
-            lines[t, v] = calibrate(logit(w, _some(views[v], held), len(label)), label)
+        weights, lines = {}, {}
+        for (t, v), told in lesson.items():
+            trains, calibrates = known_to[t] & ~held, known_to[t] & held
+            w = weights[t, v] = taught(_some(views[v], trains), labels_of[t][trains], told)
+            label = labels_of[t][calibrates]
+            lines[t, v] = calibrate(logit(w, _some(views[v], calibrates), len(label)), label)
         return weights, lines
 
+    others = rows.filter(F.col("_id").isNotNull()).join(F.broadcast(sample.select("_id")), "_id", "left_anti")
     for _ in range(rounds):
-        weights, lines = fitted()
-        scores = durable(scored(rows, columns, weights, kind).join(F.broadcast(sample.select("_id")), "_id", "left_anti"))
-        picks = None
-        for t, v in weights:
-            slope, offset = lines[t, v]
-            odds = F.col(f"{t}_{v}") * slope + offset
-            for label, sign in ((1, 1), (0, -1)):
-                sure = scores.filter(F.col("_id").isNotNull() & (odds * sign >= float(np.log(SURE / (1 - SURE)))))
-                sure = sure.orderBy(-sign * odds, F.xxhash64("_id")).limit(handed)
-                sure = sure.select("_id", F.lit(t).alias("target"), F.lit(v).alias("view"), F.lit(label).alias("label"))
-                picks = sure if picks is None else picks.unionByName(sure)
-        # ``handed`` rows per class, view and target: a bounded table again.
-        picks = durable(picks.distinct())
-        lesson, extra = gathered(rows.join(F.broadcast(picks), "_id"), columns, ["_id", "target", "view", "label"])
-        for t, v in weights:
-            # What one view is sure of teaches the other.
-            chosen = ((lesson["target"] == t) & (lesson["view"] == 1 - v)).to_numpy()
-            x, y = data[t, v]
-            data[t, v] = _both(x, len(y), _some(extra[v], chosen)), np.append(y, lesson["label"].to_numpy(float)[chosen])
+        lesson = lessons(others, columns, *fitted())
     weights, lines = fitted()
     out = scored(rows, columns, weights, kind)
     for t in targets:
-        label = found[t].to_numpy(float)[held]
+        label = labels_of[t][known_to[t] & held]
         prior = np.log((label.sum() + 1) / (len(label) - label.sum() + 1))
         odds: list[Column] = [F.col(f"{t}_{v}") * lines[t, v][0] + lines[t, v][1] for v in (0, 1)]
         for name, odd in (("text", odds[0]), ("meta", odds[1]), ("score", odds[0] + odds[1] - float(prior))):

@@ -129,3 +129,45 @@ def test_every_token_trains_and_every_word_counts(spark):
         around = maskedlm.contexts(classes.of[words], sizes)
         want = (network.log_probabilities(around, classes.of[words]) + classes.share[words]).sum()
         assert got[i] == pytest.approx(float(want), rel=1e-4)
+
+
+def test_every_sure_document_teaches(spark):
+    # 1,200 rows of each label that metadata is sure of; one word of each label stands in few of them, none labelled.
+    rows = []
+    for i in range(2600):
+        good = i % 2
+        words = [f"w{(i * 31 + k * 17) % 200}" for k in range(30)] + ([["late0", "late1"][good]] if i >= 200 and i % 20 < 2 else [])
+        rows.append((i, " ".join(words), ["dump", "news"][good], 1, good))
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, size long, good int")
+    columns = cotraining.Columns("text", "doc_id", ["source"], ["size"])
+    width = [(1 << cotraining.TEXT_BITS) + cotraining.SHAPES, 1 << cotraining.META_BITS]
+    table = columns.select(df.filter("doc_id >= 200"))
+    weights = {("good", v): np.zeros(width[v], dtype=np.float32) for v in (0, 1)}
+    news = cotraining.meta_features([["news"]], np.zeros((0, 1)))[1][0]
+    weights["good", 1][news] = 20
+    told = cotraining.lessons(table, columns, weights, {("good", 0): (1.0, 0.0), ("good", 1): (1.0, -10.0)})
+    late = [cotraining.text_features([w])[1][0] for w in ("late0", "late1")]
+    # 120 of 1,200 rows of one label and none of the other: all of them count, not the first 200.
+    assert told["good", 0][late[1]] == pytest.approx(np.log(121 / 1)) and told["good", 0][late[0]] == pytest.approx(-np.log(121 / 1))
+    # The text view is sure of nothing and teaches nothing.
+    assert not told["good", 1].any()
+    # And the whole: documents with these words get a view of their own by text alone.
+    labels = df.filter("doc_id < 200").select("doc_id", "good")
+    got = {r.doc_id: r.good_score for r in cotraining.cotrain(df.drop("good"), labels, columns, ["good"]).collect()}
+    assert np.mean([(got[i] >= 0.5) == bool(i % 2) for i in range(200, 2600)]) > 0.99
+
+
+def test_a_row_may_have_labels_for_some_targets(spark):
+    rng = random.Random(8)
+    rows = corpus(rng, 900)
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, size long, good int")
+    # No row has labels for both targets.
+    good = F.when(F.col("doc_id") % 2 == 0, F.col("good"))
+    bad = F.when(F.col("doc_id") % 2 == 1, 1 - F.col("good"))
+    labels = df.filter("doc_id < 600").select("doc_id", good.alias("good"), bad.alias("bad"))
+    columns = cotraining.Columns("text", "doc_id", ["source"], ["size"])
+    got = {r.doc_id: r for r in cotraining.cotrain(df.drop("good"), labels, columns, ["good", "bad"]).collect()}
+    for i, *_, g in rows:
+        assert 0 <= got[i].good_score <= 1
+    assert np.mean([(got[i].good_score >= 0.5) == bool(g) for i, *_, g in rows[600:]]) > 0.85
+    assert np.mean([(got[i].bad_score < 0.5) == bool(g) for i, *_, g in rows[600:]]) > 0.85
