@@ -151,15 +151,15 @@ select conv_id, leaf as leaf_id, min(turn) as root_id, count(*) as n_messages,
 from chain group by conv_id, leaf""")
 def op1_quotation_linking(spark, sf_dir):
     linked = durable(quotes.link_quotes(mails(spark, sf_dir), "mail", "turn", ["conv_id"]))
-    paths = quotes.reply_paths(linked, "turn", ["conv_id"])
-    built = quotes.conversations(paths, "turn", ["conv_id"])
-    counts = linked.select("conv_id", F.col("turn").alias("_turn"), "n_quotes", "n_linked")
-    ids = built.select("conv_id", "leaf_id", F.explode("messages.id").alias("_turn"))
-    totals = ids.join(counts, ["conv_id", "_turn"]).groupBy("conv_id", "leaf_id").agg(
-        F.sum("n_quotes").alias("n_quotes"), F.sum("n_linked").alias("n_linked")
+    said = quotes.conversation_rows(linked, "turn", ["conv_id"])
+    # The whole text of a conversation is one cell, because that cell is the result.
+    built = said.groupBy("conv_id", "leaf_id").agg(
+        F.min("turn").alias("root_id"), F.count("*").alias("n_messages"),
+        F.sum("n_quotes").alias("n_quotes"), F.sum("n_linked").alias("n_linked"),
+        F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("messages"),
     )
-    return built.join(totals, ["conv_id", "leaf_id"]).select(
-        "conv_id", "leaf_id", "root_id", F.size("messages").cast("long").alias("n_messages"), "n_quotes", "n_linked",
+    return built.select(
+        "conv_id", "leaf_id", "root_id", "n_messages", "n_quotes", "n_linked",
         F.array_join("messages.text", "\n\n").alias("conversation"),
     )
 

@@ -181,3 +181,38 @@ def conversations(paths: DataFrame, id_col: str, scope: list[str] | None = None)
         F.array_sort(F.collect_list(F.struct(F.col("_of").alias("id"), "text"))).alias("messages")
     )
     return cells.withColumn("root_id", F.col("messages")[0]["id"])
+
+
+def conversation_rows(linked: DataFrame, id_col: str, scope: list[str] | None = None) -> DataFrame:
+    """The conversations as rows: ``linked`` with ``leaf_id`` and ``back``, the replies from a message down to the leaf.
+
+    No message holds a path and no conversation has to fit one cell. Jumps of
+    one message up are doubled, a pair of ids each; every round takes what a
+    leaf has found up by the jump, so each row of the result is found once.
+    Ids grow along a chain, so sorting by id is reply order.
+    """
+    scope = scope or []
+    key = [f"_s{i}" for i in range(len(scope))]
+
+    def meet(left: DataFrame, right: DataFrame, kind: str = "inner") -> DataFrame:
+        """Rows of ``left`` whose ``_id`` is ``_aid`` of ``right``, in the same scope."""
+        right = right.withColumnsRenamed({k: f"_a{k}" for k in key})
+        same = F.col("_id").eqNullSafe(F.col("_aid"))
+        for k in key:
+            same &= F.col(k).eqNullSafe(F.col(f"_a{k}"))
+        return left.join(right, same, kind)
+
+    nodes = linked.select(*[F.col(c).alias(k) for c, k in zip(scope, key)], F.col(id_col).alias("_id"), F.col("parent_id").alias("_up"))
+    jump = nodes.filter("_up is not null").select(*key, F.col("_id").alias("_aid"), "_up").distinct()
+    jump, far = durable(jump), 1
+    leaves = meet(nodes, jump.select(*key, F.col("_up").alias("_aid")).distinct(), "left_anti")
+    found = durable(leaves.select(*key, F.col("_id").alias("_leaf"), "_id", F.lit(0).cast("long").alias("_back")).distinct())
+    while not jump.isEmpty():
+        more = meet(found, jump).select(*key, "_leaf", F.col("_up").alias("_id"), (F.col("_back") + far).alias("_back"))
+        found = found.unionByName(durable(more))
+        lower = jump.select(*key, F.col("_aid").alias("_from"), F.col("_up").alias("_id"))
+        jump, far = durable(meet(lower, jump).select(*key, F.col("_from").alias("_aid"), "_up")), far * 2
+    same = F.col(id_col).eqNullSafe(F.col("_id"))
+    for c, k in zip(scope, key):
+        same &= F.col(c).eqNullSafe(F.col(k))
+    return linked.join(found, same).select(*linked.columns, F.col("_leaf").alias("leaf_id"), F.col("_back").alias("back"))

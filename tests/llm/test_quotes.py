@@ -55,3 +55,20 @@ def test_empty(spark):
     df = spark.createDataFrame([], "id long, body string")
     linked = quotes.link_quotes(df, "body", "id")
     assert quotes.conversations(quotes.reply_paths(linked, "id"), "id").count() == 0
+
+
+def test_conversations_as_rows(spark, monkeypatch):
+    df = spark.createDataFrame(MAILS, "id long, list string, body string")
+    linked = quotes.link_quotes(df, "body", "id", ["list"])
+    built = quotes.conversations(quotes.reply_paths(linked, "id", ["list"]), "id", ["list"]).collect()
+    # Intermediate tables of a chain of n turns hold one id a row, 2 n rows of jumps for each round, and no lists.
+    kept, wide = [], quotes.durable
+    monkeypatch.setattr(quotes, "durable", lambda t: kept.append(wide(t)) or kept[-1])
+    got = {(r.list, r.leaf_id, r.id, r.text) for r in quotes.conversation_rows(linked, "id", ["list"]).collect()}
+    assert got == {(r.list, r.leaf_id, m.id, m.text) for r in built for m in r.messages}
+    chain = spark.range(300).selectExpr("id", "nullif(id - 1, -1) as parent_id", "'t' as text")
+    kept.clear()
+    rows = quotes.conversation_rows(chain, "id").collect()
+    assert sorted((r.leaf_id, r.back, r.id) for r in rows) == [(299, k, 299 - k) for k in range(300)]
+    assert not any("array" in kind for t in kept for _, kind in t.dtypes)
+    assert sum(t.count() for t in kept if "_leaf" in t.columns) == 300
