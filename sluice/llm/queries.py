@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, cotraining, exact_dedup, maskedlm, packing, pages, quotes, repeats, repetition, simhash
+from sluice.functions.text import let
+from sluice.llm import bpe, cotraining, exact_dedup, maskedlm, packing, pages, quotes, repeats, repetition, runs, simhash
+from sluice.llm import sketch, spectrum
 from sluice.session import durable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -177,3 +179,95 @@ def op3_cotraining_quality(spark, sf_dir):
     columns = cotraining.Columns("text", "doc_id", ["lang", "source"], ["n_chars"])
     scores = cotraining.cotrain(docs, labels, columns, ["quality", "toxic"])
     return scores.withColumn("kept", (F.col("quality_score") >= 0.5) & (F.col("toxic_score") < 0.5))
+
+
+def with_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents; in one of ten, picked by the checksum of its id, a tail of words repeats its first few."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    # A null id has no checksum and keeps its text.
+    h = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(1))
+
+    def changed(words: Column) -> Column:
+        n, g = F.size(words), F.floor(h / 10)
+        a = (g % n).cast("int")
+        p = (F.floor((n - a) / (3 + g % 8)) + 1).cast("int")
+        tail = F.transform(F.sequence(a, n - 1), lambda i: F.get(words, a + (i - a) % p))
+        return F.when(n > 0, F.array_join(F.concat(F.slice(words, 1, a), tail), " ")).otherwise("")
+
+    periodic = let(F.array_remove(F.split("text", sketch.SPACE), ""), changed)
+    return docs.select("doc_id", F.when(h % 10 == 0, periodic).otherwise(F.col("text")).alias("text"))
+
+
+@query("op11_block_convolution_runs")
+def op11_block_convolution_runs(spark, sf_dir):
+    found = runs.periodic_runs(with_periods(spark, sf_dir), "text", "doc_id")
+    nothing = F.lit(None).cast("struct<start: long, length: long, period: long>")
+    # Lengths in periods are compared as fractions; of equal ones the first in order stays.
+    best = F.reduce(
+        "runs", nothing,
+        lambda b, r: F.when(b.isNull() | (r["length"] * b["period"] > b["length"] * r["period"]), r).otherwise(b),
+    )
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    ).select(
+        "doc_id", "n_runs", "best.start", "best.length", "best.period",
+        F.floor(F.lit(1000) * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        "runs_sha256", "collapsed_sha256",
+    )
+
+
+@query("op12_threshold_sketch", r"""
+with docs as (select distinct doc_id, coalesce(text, '') as text from documents),
+follow as (
+  select doc_id, text, coalesce(lead(text) over in_order, first_value(text) over in_order) as after
+  from docs window in_order as (order by doc_id nulls first, md5(text) rows between unbounded preceding and unbounded following)),
+edit as (
+  select doc_id, text, after,
+         left(text, (length(text) - length(text) // 2)::int) || left(after, (length(text) // 2)::int) as edited
+  from follow),
+words as (
+  select doc_id, text, edited, regexp_extract_all(text, '[^ 	-]+') as w,
+         regexp_extract_all(edited, '[^ 	-]+') as e, regexp_extract_all(after, '[^ 	-]+') as a
+  from edit),
+hashes as (
+  select doc_id, text, edited,
+         list_transform(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1), lambda i: md5(array_to_string(w[i:i+4], ' '))) as w,
+         list_transform(range(1, greatest(len(e) - 4, least(len(e), 1)) + 1), lambda i: md5(array_to_string(e[i:i+4], ' '))) as e,
+         list_transform(range(1, greatest(len(a) - 4, least(len(a), 1)) + 1), lambda i: md5(array_to_string(a[i:i+4], ' '))) as a
+  from words),
+kept as (
+  select doc_id, text, edited,
+         case when list_min(w) < '2' then list_filter(w, lambda h: h < '2') else list_sort(w)[1:1] end as w,
+         case when list_min(e) < '2' then list_filter(e, lambda h: h < '2') else list_sort(e)[1:1] end as e,
+         case when list_min(a) < '2' then list_filter(a, lambda h: h < '2') else list_sort(a)[1:1] end as a
+  from hashes),
+sketches as (
+  select doc_id, text, edited,
+         list_sort(list_distinct(list_transform(w, lambda h: left(h, 16)))) as w,
+         list_sort(list_distinct(list_transform(e, lambda h: left(h, 16)))) as e,
+         list_sort(list_distinct(list_transform(a, lambda h: left(h, 16)))) as a
+  from kept)
+select doc_id, length(text) as n_chars, sha256(edited) as edited_sha256,
+       array_to_string(w, '') as fingerprint, array_to_string(e, '') as edited_fingerprint,
+       case when least(len(w), len(e)) > 0 then len(list_intersect(w, e)) / least(len(w), len(e))
+            else (len(w) = len(e))::int::double end as near_edited,
+       case when least(len(w), len(a)) > 0 then len(list_intersect(w, a)) / least(len(w), len(a))
+            else (len(w) = len(a))::int::double end as near_next
+from sketches""")
+def op12_threshold_sketch(spark, sf_dir):
+    found = sketch.edited_pairs(table(spark, sf_dir, "documents"), "text", "doc_id")
+    return found.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        F.array_join("hashes", "").alias("fingerprint"), F.array_join("edited_hashes", "").alias("edited_fingerprint"),
+        sketch.likeness(F.col("hashes"), F.col("edited_hashes")).alias("near_edited"),
+        sketch.likeness(F.col("hashes"), F.col("next_hashes")).alias("near_next"),
+    )
+
+
+@query("op13_incremental_whitening")
+def op13_incremental_whitening(spark, sf_dir):
+    found = spectrum.whiten(table(spark, sf_dir, "embeddings"), "embedding", "vec_id")
+    # A sum beyond a long has no place in this result.
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
