@@ -6,8 +6,10 @@ no join and no shuffle. Dictionaries are parameters of checked size.
 
 from __future__ import annotations
 
+import unicodedata
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -23,7 +25,6 @@ from sluice.functions.text import (
     hash_pick,
     let,
     quote,
-    strip,
 )
 from sluice.operators.cleaning import segment_marked
 
@@ -147,38 +148,62 @@ def term_rows(df: DataFrame, id_col: str) -> DataFrame:
 
 def find_positions(text: Column, term: Column) -> Column:
     """Start offsets (from 0) of all occurrences, overlapping ones included."""
-    parts = F.split(text, F.concat(F.lit(r"(?=\Q"), term, F.lit(r"\E)")))
-    offsets = F.aggregate(
-        F.transform(parts, lambda p: F.length(p)),
-        F.array(F.lit(0)),
-        lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)),
-    )
-    return let(
-        F.struct(parts.alias("parts"), offsets.alias("offsets")),
-        lambda s: F.filter(
-            # Every cut is at an occurrence; the start of the text only if it begins with one.
-            F.transform(s["parts"], lambda p, i: F.when((i > 0) | F.startswith(text, term), F.get(s["offsets"], i))),
-            lambda at: at.isNotNull(),
-        ),
-    )
 
+    @F.pandas_udf("array<int>")
+    def positions(texts: pd.Series, terms: pd.Series) -> pd.Series:
+        def of(found: str | None, word: str | None) -> list[int] | None:
+            if found is None or word is None:
+                return None
+            out, at = [], found.find(word) if word else -1
+            while at >= 0:
+                out.append(at)
+                at = found.find(word, at + 1)
+            return out
 
-def answer_window(text: Column, term: Column, default: Column, radius: int = 100, floor: int = 20) -> Column:
-    """Longest trimmed window around an occurrence, the first on ties."""
+        return pd.Series(list(map(of, texts, terms)), dtype=object)
 
-    def window(at: Column) -> Column:
-        begin = F.greatest(at - radius, F.lit(0))
-        return strip(F.substring(text, begin + 1, at - begin + F.length(term) + radius))
+    return positions(text, term)
 
-    def longest(windows: Column) -> Column:
-        usable = F.filter(windows, lambda w: F.length(w) > floor)
-        return F.aggregate(
-            usable,
-            F.lit(None).cast("string"),
-            lambda best, w: F.when(best.isNull() | (F.length(w) > F.length(best)), w).otherwise(best),
-        )
 
-    return F.coalesce(let(F.transform(find_positions(text, term), window), longest), default)
+def windows_around(text: Column, words: Column, radius: int, floor: int | None = None) -> Column:
+    """For each of ``words`` the trimmed text around it, null where it does not occur.
+
+    With ``floor`` that is the longest window around any occurrence, the first
+    on ties, and longer than ``floor``; without, the window of the first one. A
+    text is searched once per word and never copied.
+    """
+    blanks = "".join(c for c in map(chr, range(0x3001)) if unicodedata.category(c)[0] == "Z" or c in "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85")
+
+    @F.pandas_udf("array<string>")
+    def windows(texts: pd.Series, lists: pd.Series) -> pd.Series:
+        def around(found: str, word: str) -> str | None:
+            best, at = None, found.find(word) if word else -1
+            while at >= 0:
+                begin, end = max(at - radius, 0), at + len(word) + radius
+                window = found[begin:end].strip(blanks)
+                if floor is None:
+                    return window
+                if len(window) > (floor if best is None else len(best)):
+                    best = window
+                    if len(window) == len(word) + 2 * radius:
+                        break
+                at = found.find(word, at + 1)
+            return best
+
+        def of(found: str | None, words) -> list[str | None] | None:
+            return None if found is None or words is None else [around(found, w) for w in words]
+
+        return pd.Series(list(map(of, texts, lists)), dtype=object)
+
+    return windows(text, words)
+
+
+ANSWER_RADIUS, ANSWER_FLOOR, FACT_RADIUS = 100, 20, 50
+
+
+def answer_window(text: Column, term: Column, default: Column, radius: int = ANSWER_RADIUS, floor: int = ANSWER_FLOOR) -> Column:
+    """Longest trimmed window around an occurrence, the first on ties."""
+    return F.coalesce(F.get(windows_around(text, F.array(term), radius, floor), F.lit(0)), default)
 
 
 def domain_of(term: Column) -> Column:
@@ -201,6 +226,11 @@ def _first(items: Column, n: int | None) -> Column:
 
 def template_qa(text: Column, names: Column, key: Column, first: int | None = None, context: int | None = None) -> Column:
     """Questions for the terms, or the ``first`` of them; type, template and partner picked by hash."""
+    windows = windows_around(text, _first(names, first), ANSWER_RADIUS, ANSWER_FLOOR)
+    return let(F.struct(names.alias("n"), windows.alias("w")), lambda s: _template_pairs(text, s["n"], s["w"], key, first, context))
+
+
+def _template_pairs(text: Column, names: Column, windows: Column, key: Column, first: int | None, context: int | None) -> Column:
     kinds = list(V.QA_TEMPLATES)
     kind_array = F.array(*[F.lit(k) for k in kinds])
     templates = F.array(*[F.array(*[F.lit(t) for t in V.QA_TEMPLATES[k]]) for k in kinds])
@@ -221,7 +251,7 @@ def template_qa(text: Column, names: Column, key: Column, first: int | None = No
             return F.struct(
                 i.cast("int").alias("ordinal"),
                 question.alias("question"),
-                answer_window(text, term, default).alias("answer"),
+                F.coalesce(F.get(windows, i), default).alias("answer"),
                 context_of(text, context).alias("context"),
                 domain_of(term).alias("domain"),
                 F.lit(0.8).alias("confidence"),
@@ -237,27 +267,23 @@ def fact_pattern() -> str:
     return rf"{NUMBER}[{BLANK}]*(?:{'|'.join(V.FACT_UNITS)})"
 
 
-def numeric_qa(text: Column, first: int | None = None, radius: int = 50) -> Column:
+def numeric_qa(text: Column, first: int | None = None, radius: int = FACT_RADIUS) -> Column:
     """Questions about the measurements, or the ``first`` of them, with the text around each."""
+    facts = _first(find_all(text, fact_pattern()), first)
+    sentences = windows_around(text, facts, radius)
 
-    def pair(fact: Column, i: Column) -> Column:
-        at = F.instr(text, fact) - 1
-        begin = F.greatest(at - radius, F.lit(0))
-        sentence = strip(F.substring(text, begin + 1, at - begin + F.length(fact) + radius))
-        return let(
-            sentence,
-            lambda s: F.struct(
-                i.cast("int").alias("ordinal"),
-                F.replace(F.lit(V.FACT_QUESTION), F.lit("{fact}"), fact).alias("question"),
-                F.replace(F.lit(V.FACT_ANSWER), F.lit("{sentence}"), s).alias("answer"),
-                s.alias("context"),
-                F.lit(V.FACT_DOMAIN).alias("domain"),
-                F.lit(0.7).alias("confidence"),
-                F.lit("content").alias("method"),
-            ).cast(QA_FIELDS),
-        )
+    def pair(fact: Column, sentence: Column, i: Column) -> Column:
+        return F.struct(
+            i.cast("int").alias("ordinal"),
+            F.replace(F.lit(V.FACT_QUESTION), F.lit("{fact}"), fact).alias("question"),
+            F.replace(F.lit(V.FACT_ANSWER), F.lit("{sentence}"), sentence).alias("answer"),
+            sentence.alias("context"),
+            F.lit(V.FACT_DOMAIN).alias("domain"),
+            F.lit(0.7).alias("confidence"),
+            F.lit("content").alias("method"),
+        ).cast(QA_FIELDS)
 
-    return F.transform(_first(find_all(text, fact_pattern()), first), pair)
+    return F.transform(F.arrays_zip(facts.alias("f"), sentences.alias("s")), lambda x, i: pair(x["f"], x["s"], i))
 
 
 @dataclass(frozen=True)
@@ -281,7 +307,7 @@ def generate_qa(
     names = F.transform(F.col("extracted_terms"), lambda t: t["term"])
     text = F.col(text_col)
     key = F.col(id_col).cast("string")
-    found = let(names, lambda n: template_qa(text, n, key, limits.terms, limits.context))
+    found = template_qa(text, names, key, limits.terms, limits.context)
     model = [F.col(model_qa).cast(QA)] if model_qa else []
     pairs = F.concat(found, *model, numeric_qa(text, limits.facts))
     return barrier(df, generated_qa=_first(pairs, limits.per_chunk))

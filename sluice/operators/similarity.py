@@ -227,5 +227,5 @@ def hashed_embedding(df: DataFrame, text_col: str, output: str = "embedding", wi
     weighted = counted.withColumn(output, F.zip_with(output, idf, lambda n, w: n * w))
     length = F.sqrt(dot(F.col(output), F.col(output)))
     unit = let(F.struct(F.col(output).alias("v"), length.alias("n")), lambda x: F.transform(
-        x["v"], lambda y: F.when(x["n"] > 0, y / x["n"]).otherwise(F.lit(0.0)).cast("float")))
+        x["v"], lambda y: F.when(x["n"] > 0, y / x["n"]).otherwise(F.lit(0.0))))
     return weighted.withColumn(output, unit)

@@ -201,8 +201,12 @@ def _(spark, sf):
     return E.explode_qa(E.generate_qa(with_terms(spark, sf), "doc_id", limits=E.SHORT), "doc_id")
 
 
+# All pairs without any limit.
+WHOLE_QA = f"{ALL_TERMS_QA}, {ALL_NUMBERS_QA}, {ALL_QA.split(NUMERIC_QA + ', ')[1].replace(' where position < 5', '')}"
+
+
 @query("qa_flattened_whole", f"""
-with {ALL_TERMS_QA}, {ALL_NUMBERS_QA}, {ALL_QA.split(NUMERIC_QA + ', ')[1].replace(' where position < 5', '')}
+with {WHOLE_QA}
 select doc_id, position, question, answer, context, domain, confidence, method from all_qa""")
 def _(spark, sf):
     return E.explode_qa(E.generate_qa(with_terms(spark, sf), "doc_id"), "doc_id")
@@ -265,7 +269,7 @@ def _(spark, sf):
 
 
 @query("enhance_whole", f"""
-with {ALL_QA}, e as (select doc_id, names, content as original, {s_enriched('content', 'names')} as content from named),
+with {WHOLE_QA}, e as (select doc_id, names, content as original, {s_enriched('content', 'names')} as content from named),
 n as (select doc_id, count(*) as pairs, string_agg(question, '|' order by position) as questions from all_qa group by doc_id)
 select doc_id, content, array_to_string(names, '|') as names, coalesce(pairs, 0) as pairs, coalesce(questions, '') as questions,
   {s_tags('content')} as tags, (content <> original)::int as knowledge_enriched from e left join n using (doc_id)""")

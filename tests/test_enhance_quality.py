@@ -43,7 +43,13 @@ def test_overlapping_positions(spark):
 
 
 def test_qa(spark):
-    df = E.generate_qa(E.extract_terms(frame(spark, HIGH, "水文")), "id")
+    terms = E.extract_terms(frame(spark, HIGH, "水文"))
+    whole = E.generate_qa(terms, "id").orderBy("id").first()
+    # Without limits every term and every measurement gives a pair, with the whole text as its context.
+    methods = [q["method"] for q in whole["generated_qa"]]
+    assert methods.count("template") == len(whole["extracted_terms"]) > 3 and len(methods) == 11
+    assert {q["context"] for q in whole["generated_qa"] if q["method"] == "template"} == {HIGH}
+    df = E.generate_qa(terms, "id", limits=E.SHORT)
     first, second = [r["generated_qa"] for r in df.orderBy("id").collect()]
     assert len(first) == 5 and [q["method"] for q in first] == ["template"] * 3 + ["content"] * 2
     assert first[3]["question"] == "文中提到的1200mm这个数据代表什么含义？" and first[3]["domain"] == "数据"
