@@ -32,6 +32,8 @@ CHUNK_BYTES = 3_000_000
 SUFFIXES = 300_000
 # Anchors are told apart by this many bits.
 KEY_BITS = 48
+# An anchor with more contexts than this, over all chunks, is split into single windows.
+HOT_CONTEXTS = 1024
 NO_DOC = np.iinfo(np.int64).max
 
 
@@ -100,6 +102,23 @@ def contexts(data: np.ndarray, ends: np.ndarray, size: int) -> tuple[np.ndarray,
     return keys[anchor[first]] >> np.uint64(64 - KEY_BITS), first, count
 
 
+def slice_hashes(data: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """A hash of each slice of ``length`` bytes from ``first`` (ascending) on."""
+    out, step = np.zeros(len(first), dtype=np.uint64), 1 << 20
+    room = step + int(length.max(initial=0))
+    powers = np.cumprod(np.full(room + 1, 0x9E3779B97F4A7C15, dtype=np.uint64))
+    for at in range(0, len(data), step):
+        a, b = np.searchsorted(first, [at, at + step])
+        if a == b:
+            continue
+        start = first[a:b] - at
+        part = data[at : at + room].astype(np.uint64) + np.uint64(1)
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(part * powers[: len(part)])])
+        out[a:b] = (sums[start + length[a:b]] - sums[start]) * powers[room - start]
+    out = (out ^ (out >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return out ^ (out >> np.uint64(32))
+
+
 # ---- the interval tree ------------------------------------------------------
 
 
@@ -249,22 +268,41 @@ class Chunk:
         high = np.full(len(self.keys), np.iinfo(np.int64).min)
         np.minimum.at(low, self.of_key, self.doc)
         np.maximum.at(high, self.of_key, self.doc)
+        # Different contexts of each anchor, and the lowest bit set where two documents have it.
+        hashes = slice_hashes(np.frombuffer(self.text, np.uint8), self.first, self.count + self.size - 1)
+        order = np.lexsort([hashes, self.of_key])
+        new = np.concatenate([[True], (np.diff(self.of_key[order]) > 0) | (np.diff(hashes[order]) != 0)])[: len(order)]
+        marks = np.bincount(self.of_key[order], new, len(self.keys)).astype(np.uint32) << 1 | (low < high)
         rows = [
-            (bucket, number, packed(np.diff(self.keys[s], prepend=np.uint64(0))), packed((low < high)[s].astype(np.uint8)))
+            (bucket, number, packed(np.diff(self.keys[s], prepend=np.uint64(0))), packed(marks[s].astype(np.uint32)))
             for bucket, s in self.buckets(self.keys)
         ]
         return table(rows, KEY_ROWS)
 
     def shared(self, flags: dict[int, bytes]) -> None:
-        """Keep the contexts whose anchor other documents have, equal ones as one."""
-        marks = np.zeros(len(self.keys), dtype=bool)
+        """Keep the contexts whose anchor other documents have, equal ones as one.
+
+        Contexts of a hot anchor are cut into their windows, each under a key of
+        its own bytes: equal windows still meet, and nothing else does.
+        """
+        marks = np.zeros(len(self.keys), dtype=np.uint8)
         for bucket, s in self.buckets(self.keys):
             if bucket in flags:
-                marks[s] = unpacked(flags[bucket], np.uint8).astype(bool)
-        chosen = np.flatnonzero(marks[self.of_key])
+                marks[s] = unpacked(flags[bucket], np.uint8)
+        mark, text = marks[self.of_key], self.text
+        cold, hot = np.flatnonzero(mark == 1), np.flatnonzero(mark == 2)
+        each = np.repeat(hot, self.count[hot])
+        shift = np.arange(len(each)) - np.repeat(np.cumsum(self.count[hot]) - self.count[hot], self.count[hot])
+        windows = self.first[each] + shift
+        own = slice_hashes(np.frombuffer(text, np.uint8), windows, np.full(len(windows), self.size)) >> np.uint64(64 - KEY_BITS)
+        keys = np.concatenate([self.keys[self.of_key[cold]], own])
         # In order of keys, so that buckets are slices.
-        self.chosen = chosen[np.argsort(self.of_key[chosen], kind="stable")]
-        first, count, text = self.first[self.chosen], self.count[self.chosen], self.text
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        first = np.concatenate([self.first[cold], windows])[order]
+        count = np.concatenate([self.count[cold], np.ones(len(windows), np.int64)])[order]
+        doc = np.concatenate([self.doc[cold], self.doc[each]])[order]
+        self.chosen_first, self.chosen_count, self.chosen_doc = first, count, doc
         number: dict[bytes, int] = {}
         stops = (first + count + self.size - 1).tolist()
         self.local = np.fromiter(
@@ -272,10 +310,10 @@ class Chunk:
         )
         self.texts = list(number)
         self.low = np.full(len(number), NO_DOC)
-        np.minimum.at(self.low, self.local, self.doc[self.chosen])
+        np.minimum.at(self.low, self.local, doc)
         self.counts, self.text_keys = np.zeros(len(number), np.int64), np.zeros(len(number), np.uint64)
         self.counts[self.local] = count
-        self.text_keys[self.local] = self.keys[self.of_key[self.chosen]]
+        self.text_keys[self.local] = keys
 
     def context_rows(self, number: int) -> pa.Table:
         """Per bucket the different contexts with their smallest document here."""
@@ -294,25 +332,25 @@ class Chunk:
         bits = np.zeros(len(self.texts), dtype=np.uint32)
         for bucket, s in self.buckets(self.text_keys):
             bits[s] = unpacked(marks[bucket], np.uint32)
-        doc, count = self.doc[self.chosen], self.count[self.chosen]
+        first, doc, count = self.chosen_first, self.chosen_doc, self.chosen_count
         # A context that a smaller document of the chunk also has goes whole.
         gone = np.where(doc > self.low[self.local], np.uint32(0xFFFFFFFF), bits[self.local])
         edges = np.zeros(len(self.text) + 1, dtype=np.int32)
         for shift in range(int(count.max(initial=0))):
             hit = (shift < count) & ((gone >> np.uint32(shift)) & np.uint32(1)).astype(bool)
-            start = self.first[self.chosen][hit] + shift
+            start = first[hit] + shift
             np.add.at(edges, start, 1)
             np.add.at(edges, start + self.size, -1)
         return np.cumsum(edges[:-1], dtype=np.int32) > 0
 
 
-KEY_ROWS = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("keys", pa.binary()), ("marks", pa.binary())])
+KEY_ROWS = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("keys", pa.binary()), ("marks", pa.binary())])
 CONTEXT_ROWS = pa.schema([
-    ("bucket", pa.int32()), ("chunk", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary()), ("docs", pa.binary()),
+    ("bucket", pa.int64()), ("chunk", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary()), ("docs", pa.binary()),
     ("texts", pa.binary()),
 ])
-MARK_ROWS = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("kind", pa.int32()), ("marks", pa.binary())])
-MARK_DDL = "chunk long, bucket int, kind int, marks binary"
+MARK_ROWS = pa.schema([("chunk", pa.int64()), ("bucket", pa.int64()), ("kind", pa.int32()), ("marks", pa.binary())])
+MARK_DDL = "chunk long, bucket long, kind int, marks binary"
 
 
 def table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
@@ -321,15 +359,16 @@ def table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
 
 
 def repeated_anchors(group: pa.Table) -> pa.Table:
-    """One bucket: which anchors of each chunk occur in another document."""
+    """One bucket: which anchors of each chunk occur in another document (1), and which of them are hot (2)."""
     chunks, keys = group.column("chunk").to_pylist(), []
     for data in group.column("keys").to_pylist():
         keys.append(np.cumsum(unpacked(data, np.uint64), dtype=np.uint64))
-    marks = [unpacked(m, np.uint8) for m in group.column("marks").to_pylist()]
+    marks = np.concatenate([unpacked(m, np.uint32) for m in group.column("marks").to_pylist()])
     _, of, times = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
     known = np.zeros(len(times), dtype=bool)
-    np.logical_or.at(known, of, np.concatenate(marks) > 0)
-    flags = (known | (times > 1))[of].astype(np.uint8)
+    np.logical_or.at(known, of, (marks & 1) > 0)
+    hot = np.bincount(of, marks >> 1, len(times)) > HOT_CONTEXTS
+    flags = ((known | (times > 1)) * (1 + hot))[of].astype(np.uint8)
     cuts = np.cumsum([len(k) for k in keys])[:-1]
     bucket = group.column("bucket")[0].as_py()
     return table([(c, bucket, 0, packed(f)) for c, f in zip(chunks, np.split(flags, cuts))], MARK_ROWS)
@@ -374,7 +413,12 @@ def resolve(group: pa.Table, size: int) -> pa.Table:
     return table([(c, bucket, 1, packed(b)) for c, b in zip(chunks, np.split(bits, cuts))], MARK_ROWS)
 
 
-def remove_repeats(df: DataFrame, text_col: str, id_col: str, *, size: int = 50, whole_chars: bool = False) -> DataFrame:
+ADDED = ("n_bytes", "removed", "kept")
+
+
+def remove_repeats(
+    df: DataFrame, text_col: str, id_col: str, *, size: int = 50, whole_chars: bool = False, added: tuple[str, str, str] = ADDED
+) -> DataFrame:
     """``df`` with ``n_bytes``, ``removed`` (spans of ``start`` and ``length``) and ``kept`` (bytes).
 
     Texts are UTF-8 bytes. A byte goes if a string of ``size`` bytes that covers
@@ -382,19 +426,20 @@ def remove_repeats(df: DataFrame, text_col: str, id_col: str, *, size: int = 50,
     and overlaps count. With ``whole_chars`` a character that is not wholly
     covered stays whole. Null and empty texts have no bytes. Rows with equal ids
     never remove from each other, so repeated rows stay alike; a null id is
-    larger than any other. The added names must not be columns of ``df``.
-    An empty table gives no rows.
+    larger than any other. ``added`` names the new columns; a column of ``df``
+    with such a name is replaced. An empty table gives no rows.
 
     Texts are stored once in chunks of rows. A passage that many documents share
-    leaves a chunk once, whatever their number; a bucket gets at most one
-    context per chunk for each different text around an anchor.
+    leaves a chunk once, whatever their number. The number of buckets follows
+    that of chunks. An anchor with over ``HOT_CONTEXTS`` contexts is split into
+    its windows, which spread over the buckets by their own bytes.
     """
     if not 2 * GRAM < size + 1 or size - GRAM + 1 > 32:
         raise ValueError(f"size must lie between {2 * GRAM} and {GRAM + 31}")
     chunks = chunked(df)
-    bits = min(16, max(3, chunks.count().bit_length() + 1))
+    bits = min(KEY_BITS, max(3, chunks.count().bit_length() + 1))
     text_at, id_at = df.columns.index(text_col), df.columns.index(id_col)
-    names = [*df.columns, "n_bytes", "removed", "kept"]
+    stay = [i for i, c in enumerate(df.columns) if c not in added]
 
     def load(rows: bytes) -> Chunk:
         return Chunk(rows, text_at, id_at, size, bits)
@@ -419,20 +464,21 @@ def remove_repeats(df: DataFrame, text_col: str, id_col: str, *, size: int = 50,
         open_chunk = load(chunk.column("rows")[0].as_py())
         open_chunk.shared(flags_of(marks, 0))
         gone = open_chunk.removed(flags_of(marks, 1))
-        return _cut_rows(open_chunk, gone, whole_chars, names)
+        return _cut_rows(open_chunk, gone, whole_chars, stay, added)
 
-    anchors = chunks.mapInArrow(keys_of, "bucket int, chunk long, keys binary, marks binary")
+    anchors = chunks.mapInArrow(keys_of, "bucket long, chunk long, keys binary, marks binary")
     flags = durable(anchors.groupBy("bucket").applyInArrow(repeated_anchors, MARK_DDL))
     found = chunks.groupBy("chunk").cogroup(flags.groupBy("chunk")).applyInArrow(
-        contexts_of, "bucket int, chunk long, keys binary, counts binary, docs binary, texts binary"
+        contexts_of, "bucket long, chunk long, keys binary, counts binary, docs binary, texts binary"
     )
     marks = durable(found.groupBy("bucket").applyInArrow(lambda group: resolve(group, size), MARK_DDL))
     span = StructType().add("start", "long").add("length", "long")
-    schema = StructType([*df.schema.fields]).add("n_bytes", "long").add("removed", ArrayType(span)).add("kept", "binary")
+    schema = StructType([df.schema.fields[i] for i in stay])
+    schema = schema.add(added[0], "long").add(added[1], ArrayType(span)).add(added[2], "binary")
     return chunks.groupBy("chunk").cogroup(flags.union(marks).groupBy("chunk")).applyInArrow(cut, schema)
 
 
-def _cut_rows(chunk: Chunk, gone: np.ndarray, whole_chars: bool, names: list[str]) -> pa.Table:
+def _cut_rows(chunk: Chunk, gone: np.ndarray, whole_chars: bool, stay: list[int], added: tuple[str, ...]) -> pa.Table:
     data = np.frombuffer(chunk.text, np.uint8)
     if whole_chars and len(data):
         # A character goes only if all its bytes do.
@@ -447,5 +493,6 @@ def _cut_rows(chunk: Chunk, gone: np.ndarray, whole_chars: bool, names: list[str
         spans.append([{"start": s, "length": e - s} for s, e in edge.tolist()])
         kept.append(data[a:b][~part].tobytes() if len(edge) else chunk.text[a:b])
     kind = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
-    added = [pa.array(sizes, pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary())]
-    return pa.Table.from_arrays([*chunk.rows.columns, *added], names=names)
+    new = [pa.array(sizes, pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary())]
+    names = [*(chunk.rows.column_names[i] for i in stay), *added]
+    return pa.Table.from_arrays([*(chunk.rows.columns[i] for i in stay), *new], names=names)

@@ -204,3 +204,18 @@ def near_duplicates(df: DataFrame, text_col: str, id_col: str, *, n: int = 3, mo
     ids = joined.select("fp", "root").join(lowest, "root").select("fp", "component_id")
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
     return rows.join(ids, "fp").select(rows[id_col], digits, "component_id")
+
+
+def drop_near_duplicates(df: DataFrame, text_col: str, id_col: str, *, n: int = 3, most: int = 2) -> DataFrame:
+    """The rows of ``df`` without near duplicates: of every component the row with the smallest id stays.
+
+    A row without id loses to any other; of rows with one id the one with the
+    smallest digest of its text stays, so that ids may repeat. Rows repeated with
+    one id and text are one document and stay together. Null, empty and blank
+    texts are one group. All columns come back as they are, whatever their names.
+    """
+    digest = F.sha2(F.coalesce(df[text_col], F.lit("")), 256)
+    rank = F.struct(df[id_col].isNull().alias("none"), df[id_col].alias("id"), digest.alias("digest"))
+    groups = near_duplicates(df.select(rank.alias("rank"), df[text_col].alias("text")), "text", "rank", n=n, most=most)
+    stays = groups.filter(F.col("rank") == F.col("component_id")).select("rank.*").distinct().toDF("_none", "_stays", "_digest")
+    return df.join(stays, df[id_col].eqNullSafe(F.col("_stays")) & (digest == F.col("_digest")), "left_semi")

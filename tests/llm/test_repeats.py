@@ -45,11 +45,47 @@ def test_matches_brute_force(spark, monkeypatch, chunk):
 
 
 def test_edge_rows(docs, texts, nothing):
-    names = ["doc_id", "text", "chunk", "rows", "start"]
-    got = repeats.remove_repeats(docs.select(names), "text", "doc_id")
-    assert got.columns == [*names, "n_bytes", "removed", "kept"]
-    assert result(got) == brute([(i, (t or "").encode()) for i, t in texts])
-    assert repeats.remove_repeats(nothing.select(names), "text", "doc_id").count() == 0
+    docs, nothing = (d.select("*", *[F.lit(i).alias(c) for i, c in enumerate(("removed", "n_bytes", "bucket"))]) for d in (docs, nothing))
+    got = repeats.remove_repeats(docs, "text", "doc_id")
+    assert got.columns == [*(c for c in docs.columns if c not in repeats.ADDED), *repeats.ADDED]
+    want = brute([(i, (t or "").encode()) for i, t in texts])
+    assert result(got) == want
+    apart = repeats.remove_repeats(docs, "text", "doc_id", added=("a", "b", "c"))
+    assert apart.columns == [*docs.columns, "a", "b", "c"] and {r.kept for r in apart.collect()} == {docs.first()["kept"]}
+    assert sorted(str((r.doc_id, r.a, bytes(r.c))) for r in apart.collect()) == want
+    assert repeats.remove_repeats(nothing, "text", "doc_id").count() == 0
+
+
+def test_hot_anchor_is_spread(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "CHUNK_BYTES", 20_000)
+    rng, common = random.Random(9), "the head that every page has, with a name: "
+    rows = [(i, "".join(rng.choice("abcdef") for _ in range(30)) + common + "".join(rng.choice("abcdef") for _ in range(30))) for i in range(400)]
+    rows += [(1000 + i, rows[i][1][rng.randrange(20):]) for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = brute([(i, t.encode()) for i, t in rows])
+    for hot in (10, 100_000):
+        monkeypatch.setattr(repeats, "HOT_CONTEXTS", hot)
+        assert result(repeats.remove_repeats(df, "text", "doc_id")) == want
+    # Under a limit of 10 no key is left with more than the windows that are equal.
+    data = "\n".join(t for _, t in rows).encode()
+    chunk = repeats.Chunk.__new__(repeats.Chunk)
+    chunk.size, chunk.bits, chunk.text, chunk.ends = 50, 6, data, repeats.np.array([len(data)])
+    key, chunk.first, chunk.count = repeats.contexts(repeats.np.frombuffer(data, "u1"), chunk.ends, 50)
+    chunk.doc = repeats.np.arange(len(chunk.first))
+    chunk.keys, chunk.of_key = repeats.np.unique(key, return_inverse=True)
+    chunk.shared({b: repeats.packed(repeats.np.full(s.stop - s.start, 2, "u1")) for b, s in chunk.buckets(chunk.keys)})
+    assert len(repeats.np.unique(chunk.text_keys)) == len(chunk.texts) == len({data[i : i + 50] for i in range(len(data) - 49)})
+
+
+def test_slice_hashes():
+    data = repeats.np.frombuffer(bytes(random.Random(2).choice(b"ab") for _ in range(3000)) * 800, "u1")
+    rng = random.Random(3)
+    first = repeats.np.array(sorted(rng.randrange(len(data) - 100) for _ in range(5000)))
+    length = repeats.np.array([rng.randrange(1, 90) for _ in first])
+    names = {}
+    for h, a, n in zip(repeats.slice_hashes(data, first, length).tolist(), first.tolist(), length.tolist()):
+        assert names.setdefault(h, data[a : a + n].tobytes()) == data[a : a + n].tobytes()
+    assert len(names) == len({data[a : a + n].tobytes() for a, n in zip(first.tolist(), length.tolist())})
 
 
 def test_characters_stay_whole(spark):
