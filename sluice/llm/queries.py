@@ -222,14 +222,17 @@ def op11_block_convolution_runs(spark, sf_dir):
 with docs as (select distinct doc_id, coalesce(text, '') as text from documents),
 follow as (
   select doc_id, text, coalesce(lead(text) over in_order, first_value(text) over in_order) as after
-  from docs window in_order as (order by doc_id nulls first, md5(text) rows between unbounded preceding and unbounded following)),
+  from docs window in_order as (order by doc_id nulls first, md5(coalesce(doc_id::varchar, '') || '|' || text) rows between unbounded preceding and unbounded following)),
 edit as (
   select doc_id, text, after,
          left(text, (length(text) - length(text) // 2)::int) || left(after, (length(text) // 2)::int) as edited
   from follow),
 words as (
-  select doc_id, text, edited, regexp_extract_all(text, '[^ 	-]+') as w,
-         regexp_extract_all(edited, '[^ 	-]+') as e, regexp_extract_all(after, '[^ 	-]+') as a
+  select doc_id, text, edited, regexp_extract_all(text, '[^ 	-
+]+') as w,
+         regexp_extract_all(edited, '[^ 	-
+]+') as e, regexp_extract_all(after, '[^ 	-
+]+') as a
   from edit),
 hashes as (
   select doc_id, text, edited,

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.functions.text import let
+from sluice.functions.text import barrier, let
 from sluice.session import durable
 
 WORDS = 5
@@ -48,6 +48,18 @@ def sketch(text: Column, words: int = WORDS, fraction: float = FRACTION) -> Colu
     return let(shingle_hashes(text, words), of)
 
 
+def packed(hashes: Column) -> Column:
+    """A sketch as 8 bytes a hash, for the way through an exchange."""
+    return F.unhex(F.array_join(hashes, ""))
+
+
+def unpacked(data: Column) -> Column:
+    digits = F.lower(F.hex(data))
+    places = F.sequence(F.lit(0), F.length(data) - 8, F.lit(8))
+    return let(digits, lambda d: F.when(F.length(data) > 0, F.transform(places, lambda i: F.substring(d, 2 * i + 1, F.lit(16)))).otherwise(
+        F.array().cast("array<string>")))
+
+
 def merged(one: Column, other: Column) -> Column:
     """Sketch of two texts taken together, but for shingles across their seam."""
     return F.array_sort(F.array_union(one, other))
@@ -98,7 +110,7 @@ def edited_pairs(df: DataFrame, text_col: str, id_col: str, words: int = WORDS,
     """Each document beside an edited form of itself and beside the document after it.
 
     Documents follow each other by ascending id (null ids first), those of one
-    id by the MD5 of their text; after the last comes the first. The edited
+    id by a digest that includes their text; after the last comes the first. The edited
     text is the document with the last half of its characters, rounded down,
     replaced by as many first characters of the next document, or by all it
     has. Columns: ``id_col``, ``n_chars``, ``edited`` (text), ``hashes``,
@@ -111,22 +123,26 @@ def edited_pairs(df: DataFrame, text_col: str, id_col: str, words: int = WORDS,
     hot id spreads by its texts and no window holds a text.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = df.select(F.col(id_col).alias("_id"), F.md5(text).alias("_key"), text.alias("_text"))
+    # One column that is never null is the key of a document, so that both joins take the texts from one exchange.
+    mark = F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit("|"), text)
+    rows = df.select(F.col(id_col).alias("_id"), F.md5(mark).alias("_key"), text.alias("_text"))
     keys = durable(rows.select("_id", "_key", F.length("_text").alias("_n")).distinct())
-    follows = successors(keys, ["_id", "_key"])
-    wants = follows.select(
-        F.col("next._id").alias("_nid"), F.col("next._key").alias("_nkey"), F.col("_id").alias("_pid"),
-        F.col("_key").alias("_pkey"), F.floor(F.col("_n") / 2).cast("int").alias("_half"),
+    wants = successors(keys, ["_id", "_key"]).select(
+        F.col("next._key").alias("_key"), F.col("_id").alias("_before_id"), F.col("_key").alias("_before"), F.floor(F.col("_n") / 2).cast("int").alias("_half")
     )
-    texts = rows.dropDuplicates(["_id", "_key"]).select("_id", "_key", "_text", sketch(F.col("_text"), words, fraction).alias("_own"))
-    heads = texts.join(wants, F.col("_id").eqNullSafe(F.col("_nid")) & (F.col("_key") == F.col("_nkey"))).select(
-        "_pid", "_pkey", "_half", F.expr("substring(_text, 1, _half)").alias("_head"), F.col("_own").alias("_next")
+    texts = rows.select("_key", "_text").dropDuplicates(["_key"])
+    own = sketch(F.col("_text"), words, fraction)
+    heads = texts.join(wants, "_key").select(
+        F.col("_before").alias("_key"), F.col("_before_id").alias("_id"), "_half", F.expr("substring(_text, 1, _half)").alias("_head"), packed(own).alias("_next")
     )
-    met = texts.join(heads, F.col("_id").eqNullSafe(F.col("_pid")) & (F.col("_key") == F.col("_pkey")))
     n = F.length("_text")
-    edited = F.concat(F.substring("_text", F.lit(1), n - F.col("_half")), F.col("_head"))
-    met = met.select("_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "_own", "_next")
-    return met.select(
-        F.col("_id").alias(id_col), "n_chars", "edited", F.col("_own").alias("hashes"),
-        sketch(F.col("edited"), words, fraction).alias("edited_hashes"), F.col("_next").alias("next_hashes"),
+    met = texts.join(heads, "_key")
+    met = met.select(
+        F.col("_id").alias(id_col), n.cast("long").alias("n_chars"), "_text", "_next",
+        F.concat(F.substring("_text", F.lit(1), n - F.col("_half")), F.col("_head")).alias("edited"),
+    )
+    # Bound, so that no reader of a column has it worked out again.
+    met = barrier(
+        met, hashes=own, edited_hashes=sketch(F.col("edited"), words, fraction), next_hashes=unpacked(F.col("_next"))
     )
+    return met.select(id_col, "n_chars", "edited", "hashes", "edited_hashes", "next_hashes")

@@ -17,6 +17,10 @@ def brute(text, fraction=0.125):
     return sorted({h[:16] for h in below or hashes[:1]})
 
 
+def digest(i, text):
+    return hashlib.md5(f"{'' if i is None else i}|{text}".encode()).hexdigest()
+
+
 def like(a, b):
     least = min(len(a), len(b))
     return len(set(a) & set(b)) / least if least else float(len(a) == len(b))
@@ -24,7 +28,7 @@ def like(a, b):
 
 def test_query_against_brute_force(spark, docs, texts, tmp_path):
     docs.write.parquet(f"{tmp_path}/documents.parquet")
-    rows = sorted({(i, t or "") for i, t in texts}, key=lambda r: (r[0] is not None, r[0], hashlib.md5(r[1].encode()).hexdigest()))
+    rows = sorted({(i, t or "") for i, t in texts}, key=lambda r: (r[0] is not None, r[0], digest(*r)))
     want = []
     for (i, text), (_, after) in zip(rows, rows[1:] + rows[:1]):
         half = len(text) // 2
