@@ -11,6 +11,7 @@ the merges leave ``p t`` as it is.
 from __future__ import annotations
 
 import json
+from array import array
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
@@ -46,13 +47,15 @@ class TrieEncoder:
         self.made = {new: (r, a, b) for r, (a, b, new) in enumerate(merges)}
         if len(self.made) < len(merges):
             raise ValueError("two merges make one token")
-        self.longest = max(map(len, vocab))
+        self.sizes = _sizes_by_tail(vocab, self.end)
         library = Tokenizer.from_file(path)
         self.normalizer, self.pre_tokenizer = library.normalizer, library.pre_tokenizer
         self.pairs: dict[tuple[int, int], bool] = {}
         self.single: dict[int, bool] = {}
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        # Of each spelling its ids, as 32-bit numbers, and their tokens joined by spaces.
+        self.known: tuple[dict[str, bytes], dict[str, str]] = ({}, {})
+        self.older: tuple[dict[str, bytes], dict[str, str]] = ({}, {})
+        self.blank: set[str] = set()
 
     # ---- which tokens may stand side by side
 
@@ -105,15 +108,16 @@ class TrieEncoder:
         out when a longer prefix asks for it.
         """
         found: dict[str, tuple[int, ...]] = {}
-        vocab, end, longest = self.vocab, self.end, self.longest
+        vocab, end, sizes = self.vocab, self.end, self.sizes
         pairs, follows, stands = self.pairs, self._follows, self._stands
         # Of each prefix on the path: its last token (0 unknown) with one added, and where that token starts.
         tokens, starts = [0], [0]
         word = ""
 
         def last(depth: int, mark: str) -> tuple[int, int]:
-            for start in range(max(depth - longest, 0), depth):
-                token = vocab.get(word[start:depth] + mark)
+            for size in sizes.get(word[depth - 3 : depth] + mark, (2, 1)) if depth > 2 else (2, 1):
+                start = depth - size
+                token = vocab.get(word[start:depth] + mark) if start >= 0 else None
                 if token is None:
                     continue
                 if start == 0:
@@ -169,11 +173,15 @@ class TrieEncoder:
                     continue
             yield [w for w, _ in self.pre_tokenizer.pre_tokenize_str(text)]
 
-    def _learn(self, spellings: list[str]) -> dict[str, tuple[int, ...]]:
+    def _learn(self, spellings: list[str]) -> None:
         """Encodings of pieces of text that are not remembered."""
         cut = dict(zip(spellings, self._parts(spellings)))
         words = self.words(set(chain.from_iterable(cut.values())))
-        return {s: words[p[0]] if len(p) == 1 else tuple(chain.from_iterable(map(words.get, p))) for s, p in cut.items()}
+        tokens = self.tokens
+        ids = {w: array("i", found).tobytes() for w, found in words.items()}
+        texts = {w: " ".join([tokens[i] for i in found]) for w, found in words.items()}
+        self.known[0].update((s, ids[p[0]] if len(p) == 1 else b"".join([ids[w] for w in p])) for s, p in cut.items())
+        self.known[1].update((s, texts[p[0]] if len(p) == 1 else " ".join([texts[w] for w in p])) for s, p in cut.items())
 
     def _segments(self, text: str) -> list[list[str] | int]:
         """Spellings between white space, and ids of special tokens written in the text."""
@@ -190,26 +198,42 @@ class TrieEncoder:
         return parts
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text, as the tokenizer gives them without added special tokens.
+        """Ids of each text, as the tokenizer gives them without added special tokens."""
+        return [np.frombuffer(ids, np.int32) for ids, _ in self.encode_and_decode(texts)]
+
+    def encode_and_decode(self, texts: list[str]) -> list[tuple[bytes, str]]:
+        """Ids of each text, as 32-bit numbers, and what they decode to.
 
         Spellings are remembered in two generations of bounded size, so that
         frequent ones stay.
         """
         cut = [self._segments(t) for t in texts]
         met = set(chain.from_iterable(p for parts in cut for p in parts if isinstance(p, list)))
-        known = self.known
+        known, texts_of = self.known
         fresh = [s for s in met if s not in known]
-        old = self.older
-        known |= {s: old[s] for s in fresh if s in old}
-        known |= self._learn([s for s in fresh if s not in old])
+        old, old_texts = self.older
+        back = [s for s in fresh if s in old]
+        known.update((s, old[s]) for s in back)
+        texts_of.update((s, old_texts[s]) for s in back)
+        self._learn([s for s in fresh if s not in old])
+        # A spelling that the tokenizer drops has no tokens.
+        none = {s for s in fresh if not known[s]}
+        self.blank |= none
         out = []
         for parts in cut:
-            ids = chain.from_iterable(
-                chain.from_iterable(map(known.__getitem__, p)) if isinstance(p, list) else (p,) for p in parts
-            )
-            out.append(np.fromiter(ids, np.int32))
+            ids, words = [], []
+            for p in parts:
+                if isinstance(p, list):
+                    if self.blank and not self.blank.isdisjoint(p):
+                        p = [s for s in p if s not in self.blank]
+                    ids.append(b"".join(map(known.__getitem__, p)))
+                    words.append(" ".join(map(texts_of.__getitem__, p)))
+                else:
+                    ids.append(array("i", [p]).tobytes())
+                    words.append(self.tokens[p])
+            out.append((b"".join(ids), " ".join(filter(None, words))))
         if len(known) > REMEMBERED:
-            self.known, self.older = {}, known
+            self.known, self.older, self.blank = ({}, {}), self.known, set()
         return out
 
     def decode(self, ids: Iterable[int]) -> str:
@@ -218,6 +242,16 @@ class TrieEncoder:
         return " ".join([tokens[i] for i in ids])
 
 
+def _sizes_by_tail(vocab: Iterable[str], end: str) -> dict[str, tuple[int, ...]]:
+    """Lengths that tokens have, longest first, by their last three characters with the mark of a word's end if they have one."""
+    sizes: dict[str, set[int]] = {}
+    for token in vocab:
+        for text, mark in ((token, ""), (token.removesuffix(end), end))[: 1 + token.endswith(end)]:
+            if len(text) > 2:
+                sizes.setdefault(text[-3:] + mark, {1, 2}).add(len(text))
+    return {tail: tuple(sorted(found, reverse=True)) for tail, found in sizes.items()}
+
+
 def _shared(one: str, other: str) -> int:
     """Length of the common prefix."""
     size = 0
@@ -256,10 +290,10 @@ def encode(df: DataFrame, text_col: str, id_col: str, path: str, *, round_trip:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = once(("bpe", path), lambda: TrieEncoder(path))
         for part in steps(batches, "_text"):
-            ids = encoder.encode(part.column("_text").to_pylist())
-            columns = [part.column("_id"), lists(ids, np.int32)]
+            found = encoder.encode_and_decode(part.column("_text").to_pylist())
+            columns = [part.column("_id"), lists([np.frombuffer(ids, np.int32) for ids, _ in found], np.int32)]
             if round_trip:
-                columns.append(pa.array([encoder.decode(i.tolist()) for i in ids], pa.string()))
+                columns.append(pa.array([text for _, text in found], pa.string()))
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = f"_id {kind}, token_ids array<int>" + ", decoded string" * round_trip

@@ -8,6 +8,7 @@ keeps a fitting partner open for whatever comes next.
 from __future__ import annotations
 
 import os
+import re
 from array import array
 from collections.abc import Iterator
 
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 from sluice.llm.bpe import spellings
 from sluice.llm.workers import steps
@@ -67,6 +68,10 @@ class SumOfSquares:
         return [s for found in self.open.values() for s in found]
 
 
+# A Latin word with at most one mark behind it: case apart, the tokenizer takes letters and mark as they are.
+_PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([!-/:-@\[-`{-~]?)").fullmatch
+
+
 class Ids:
     """Ids that the tokenizers library gives, each white-space free spelling asked for once in a while.
 
@@ -81,13 +86,39 @@ class Ids:
         (self.between,) = self.tokenizer.encode("0", add_special_tokens=False).ids
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        # The same model for words that need no pattern to be cut, and the tokens that end a word.
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        suffix, vocabulary = self.tokenizer.model.end_of_word_suffix, self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
 
     def _ask(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
     def _learn(self, new: list[str]) -> None:
-        """Ask for many spellings at once, a digit that none of them has between them."""
+        """Ask for many spellings at once.
+
+        Latin words with at most one mark behind them are cut here; their ids
+        part at tokens that end a word. Others are told apart by a digit that
+        none of them has, put between them.
+        """
+        found = list(map(_PLAIN, new))
+        clear = [s for s, m in zip(new, found) if m]
+        if clear and self.ends.any():
+            cut = [m[1] if m.end(1) == m.end() else f"{m[1]} {m[2]}" for m in found if m]
+            (encoding,) = self.plain.encode_batch_fast([" ".join(cut).lower()], add_special_tokens=False)
+            ids = np.array(encoding.ids, dtype=np.uint32)
+            at = np.flatnonzero(self.ends[ids])
+            words = np.cumsum([1 + (" " in c) for c in cut])
+            if len(at) == words[-1]:
+                cuts, data = (4 * (at[words - 1] + 1)).tolist(), ids.tobytes()
+                self.known |= {s: data[a:b] for s, a, b in zip(clear, [0, *cuts], cuts)}
+                new = [s for s, m in zip(new, found) if not m]
         odd = [s for s in new if "0" in s]
         self.known |= zip(odd, self._ask(odd))
         plain = [s for s in new if "0" not in s]
@@ -158,29 +189,29 @@ def pack(df: DataFrame, size_col: str, key_cols: list[str], capacity: int = 2048
     what gaps are left. Sequences that are not full then are opened again, and
     their pieces packed once more by the same rule, largest first. A task holds
     counts per gap and its open sequences. Pieces with equal keys and sizes may
-    change places between runs. An empty table gives no rows.
+    change places between runs. Columns of ``df`` named like the two added ones
+    are replaced, others of any name come back. An empty table gives no rows.
     """
-    items = durable(df)
-    small = F.col(size_col) <= capacity // 16
-    order = [F.when(small, -F.col(size_col)), F.xxhash64(*key_cols), F.col(size_col)]
-    first = durable(_placed(items, items.count(), key_cols, order, size_col, capacity))
-    is_open = first.filter("_open").select("_bin")
-    placed = first.filter("not _open")
-    loose = durable(placed.join(is_open, "_bin", "left_semi").select(*df.columns))
-    order = [-F.col(size_col), F.xxhash64(*key_cols)]
-    again = _placed(loose, loose.count(), key_cols, order, size_col, capacity).filter("not _open")
+    row, size, key = F.struct(*df.columns), F.col(size_col).cast("long"), F.xxhash64(*key_cols)
+    items = durable(df.select(row.alias("row"), size.alias("size"), key.alias("key")))
+    small = F.col("size") <= capacity // 16
+    order = [F.when(small, -F.col("size")), F.col("key"), F.col("size")]
+    first = durable(_placed(items, items.count(), order, capacity))
+    is_open = first.filter("open").select("bin")
+    placed = first.filter("not open")
+    loose = durable(placed.join(is_open, "bin", "left_semi").select(*items.columns))
+    again = _placed(loose, loose.count(), [-F.col("size"), F.col("key")], capacity).filter("not open")
     # Sequences of the second pass are told apart by their sign.
-    again = again.withColumn("_bin", -1 - F.col("_bin"))
-    done = placed.join(is_open, "_bin", "left_anti").select(*placed.columns).unionByName(again)
-    return done.select(*df.columns, F.col("_bin").alias("sequence_id"), F.col("_at").alias("offset"))
+    again = again.withColumn("bin", -1 - F.col("bin"))
+    done = placed.join(is_open, "bin", "left_anti").select(*placed.columns).unionByName(again)
+    stay = [F.col("row").getField(c).alias(c) for c in df.columns if c not in ("sequence_id", "offset")]
+    return done.select(*stay, F.col("bin").alias("sequence_id"), F.col("at").alias("offset"))
 
 
-def _placed(df: DataFrame, rows: int, key_cols: list[str], order: list[Column], size_col: str, capacity: int) -> DataFrame:
-    """``df`` with its ``_bin`` and ``_at``; then a row for each bin that is ``_open``."""
+def _placed(df: DataFrame, rows: int, order: list[Column], capacity: int) -> DataFrame:
+    """``df`` (``row``, ``size``, ``key``) with its ``bin`` and ``at``; then a row for each bin that is ``open``."""
     tasks = max(1, -(-rows // PIECES_PER_TASK))
-    schema = StructType([StructField(f.name, f.dataType) for f in df.schema])
-    schema = schema.add("_bin", "long").add("_at", "long").add("_open", "boolean")
-    at = df.columns.index(size_col)
+    schema = StructType([StructField(f.name, f.dataType) for f in df.schema]).add("bin", "long").add("at", "long").add("open", "boolean")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer, base, kinds = SumOfSquares(capacity), TaskContext.get().partitionId() << 40, []
@@ -191,11 +222,11 @@ def _placed(df: DataFrame, rows: int, key_cols: list[str], order: list[Column],
 
         for batch in batches:
             kinds = batch.schema.types
-            places = np.array([packer.place(n) for n in batch.column(at).to_pylist()], dtype=np.int64).reshape(-1, 2)
+            places = np.array([packer.place(n) for n in batch.column(1).to_pylist()], dtype=np.int64).reshape(-1, 2)
             yield rows(batch.columns, places[:, 0], pa.array(places[:, 1]), False)
         left = np.array(packer.leftovers(), dtype=np.int64)
         if len(left):
             yield rows([pa.nulls(len(left), k) for k in kinds], left, pa.nulls(len(left), pa.int64()), True)
 
-    dealt = df.repartition(tasks, F.xxhash64(*key_cols)).sortWithinPartitions(*order)
+    dealt = df.repartition(tasks, "key").sortWithinPartitions(*order)
     return dealt.mapInArrow(run, schema)

@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from sluice.llm import bpe, packing
@@ -113,3 +114,22 @@ def test_many_tasks_stay_dense(spark, monkeypatch):
     assert sorted((r.doc_id, r.length) for r in packed) == rows
     bound = -(-sum(n for _, n in rows) // 2048)
     assert check_places(packed, 2048) <= 1.05 * bound
+
+
+def test_spellings_cut_here_have_the_ids_of_the_library(path, library):
+    rng = random.Random(8)
+    letters = "abcXYZäöÜßéÀÿŁİıǅɏ×÷µªʰж中'-,.!?`{0٣́­"
+    texts = [" ".join("".join(rng.choice(letters) for _ in range(rng.randrange(1, 9))) + rng.choice(["", ",", "'", "s'", "..", "'s"]) for _ in range(400)) for _ in range(40)]
+    ids = packing.Ids(path)
+    for text, data in zip(texts, ids.encode(texts)):
+        assert np.frombuffer(data, np.uint32).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_names_of_columns_do_not_clash(spark):
+    names = ["size", "row", "key", "bin", "at", "open", "_bin", "_at", "_open", "sequence_id", "offset"]
+    df = spark.range(50).select("id", (F.col("id") % 7 + 1).alias("length"), *[F.lit(f"own {c}").alias(c) for c in names])
+    got = packing.pack(df, "length", ["id"], 16)
+    assert got.columns == ["id", "length", *names]
+    rows = got.collect()
+    assert len(rows) == 50 and all(r[c] == f"own {c}" for r in rows for c in names[:-2])
+    assert len({(r.sequence_id, r.offset) for r in rows}) == 50
