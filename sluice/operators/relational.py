@@ -87,3 +87,33 @@ def choose_rows(df: DataFrame, key: str, n: int = 5, seed: str = "0") -> DataFra
 def rows_per_key(spark: SparkSession, keys: DataFrame, key: str, n: int) -> DataFrame:
     """``n`` numbered seed rows for every key."""
     return keys.select(key).distinct().withColumn("seed", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+
+
+def common_rows(one: DataFrame, other: DataFrame) -> DataFrame:
+    """Rows in both tables, as often as in the one that has them less often."""
+    return one.intersectAll(other.select(*one.columns))
+
+
+def missing_rows(one: DataFrame, other: DataFrame) -> DataFrame:
+    """Rows of ``one`` that ``other`` lacks, as often as they are missing there."""
+    return one.exceptAll(other.select(*one.columns))
+
+
+def audit_split(whole: DataFrame, parts: dict[str, DataFrame], columns: list[str]) -> DataFrame:
+    """What a split did to a table: a row per finding with its number of rows.
+
+    ``lost``: rows of the table in no part; ``added``: rows of the parts that the
+    table lacks; ``leaked <a> <b>``: rows that two parts share, compared by
+    ``columns``. Tables are compared as multisets, so a repeated row that lost one
+    of its copies counts. Nulls are equal to each other.
+    """
+    rows = {name: part.select(*columns) for name, part in parts.items()}
+    all_parts = reduce(lambda a, b: a.unionAll(b), rows.values())
+    base = whole.select(*columns)
+    found = {"lost": missing_rows(base, all_parts), "added": missing_rows(all_parts, base)}
+    names = sorted(rows)
+    for i, a in enumerate(names):
+        for b in names[i + 1 :]:
+            found[f"leaked {a} {b}"] = common_rows(rows[a], rows[b])
+    counts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("finding"), "rows") for name, df in found.items()]
+    return reduce(lambda a, b: a.unionAll(b), counts)

@@ -6,7 +6,7 @@ import importlib
 
 from sluice.plans.queries import registry
 
-GROUPS = ["parse", "clean", "enhance", "quality", "filters", "recipes"]
+GROUPS = ["parse", "clean", "enhance", "quality", "filters", "recipes", "audits"]
 
 
 def _load() -> None:
