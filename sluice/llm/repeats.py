@@ -35,6 +35,7 @@ KEY_BITS = 48
 # An anchor with more contexts than this, over all chunks, is split into single windows.
 HOT_CONTEXTS = 1024
 NO_DOC = np.iinfo(np.int64).max
+_MIX = np.uint64(0xD6E8FEB86659FD93)
 
 
 # ---- anchors ----------------------------------------------------------------
@@ -99,7 +100,8 @@ def contexts(data: np.ndarray, ends: np.ndarray, size: int) -> tuple[np.ndarray,
     count = np.diff(np.append(first, windows))
     inside = anchor[first] >= 0
     first, count = first[inside], count[inside]
-    return keys[anchor[first]] >> np.uint64(64 - KEY_BITS), first, count
+    # The smallest of many hashes is small; mixed again, anchors spread evenly.
+    return keys[anchor[first]] * _MIX >> np.uint64(64 - KEY_BITS), first, count
 
 
 def slice_hashes(data: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -269,10 +271,13 @@ class Chunk:
         np.minimum.at(low, self.of_key, self.doc)
         np.maximum.at(high, self.of_key, self.doc)
         # Different contexts of each anchor, and the lowest bit set where two documents have it.
-        hashes = slice_hashes(np.frombuffer(self.text, np.uint8), self.first, self.count + self.size - 1)
-        order = np.lexsort([hashes, self.of_key])
-        new = np.concatenate([[True], (np.diff(self.of_key[order]) > 0) | (np.diff(hashes[order]) != 0)])[: len(order)]
-        marks = np.bincount(self.of_key[order], new, len(self.keys)).astype(np.uint32) << 1 | (low < high)
+        different = np.bincount(self.of_key, minlength=len(self.keys))
+        some = np.flatnonzero(different[self.of_key] > 1)
+        hashes = slice_hashes(np.frombuffer(self.text, np.uint8), self.first[some], self.count[some] + self.size - 1)
+        _, once = np.unique(hashes ^ (self.of_key[some].astype(np.uint64) * _MIX), return_index=True)
+        different[different > 1] = 0
+        different += np.bincount(self.of_key[some][once], minlength=len(self.keys))
+        marks = different.astype(np.uint32) << 1 | (low < high)
         rows = [
             (bucket, number, packed(np.diff(self.keys[s], prepend=np.uint64(0))), packed(marks[s].astype(np.uint32)))
             for bucket, s in self.buckets(self.keys)
