@@ -24,16 +24,19 @@ from sluice.llm.workers import steps
 from sluice.session import durable
 
 # Words that are classes of their own; all classes, as groups of members.
-SINGLE, GROUPS, MEMBERS, HIDDEN = 3072, 64, 64, 32
+SINGLE, GROUPS, MEMBERS, HIDDEN = 3072, 64, 64, 16
 CLASSES = GROUPS * MEMBERS
 # Common words whose counts every task holds; the counts of all others are joined.
 KNOWN = 1 << 17
 # Places seen: offsets from the masked word.
 AROUND = (-2, -1, 1, 2)
-# One token in ``STRIDE`` trains in each round, other ones in the next: every token trains.
-STRIDE, ROUNDS, BATCH = 2, 2, 8192
-# Parts in which networks are averaged.
-PARTS = 64
+# Tokens of one shard of documents, which one network sees between two averages. A shard depends on ids and texts
+# alone, so files and partitions do not change what is learnt.
+SHARD_TOKENS = 1 << 18
+# A round trains on one shard in ``ROUNDS``, the next round on others: every token trains once.
+ROUNDS, BATCH, RATE = 4, 4096, 0.02
+# Parts in which networks are averaged, and shards that one task trains on.
+PARTS, SHARDS_PER_TASK = 64, 4
 
 
 def vocabulary(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -81,26 +84,13 @@ class Known:
         return np.where(of < SINGLE, 0.0, np.log(counts + 1.0) - np.log(self.totals[of]))
 
 
-@dataclass
-class Shares:
-    """Shares of any words, counts looked up in the table; for few words, on the driver."""
-
-    known: Known
-    table: DataFrame
-
-    def __getitem__(self, words: np.ndarray) -> np.ndarray:
-        some = self.table.filter(F.col("word").isin([int(w) for w in np.unique(words)])).collect()
-        counts = {r.word: r.n for r in some}
-        return self.known.shares(words, np.array([counts.get(int(w), 0) for w in words], dtype=float))
-
-
 @dataclass
 class Classes:
     """Words in classes: the most frequent alone, the rest by hash. ``table`` has the count of every word."""
 
     of: Known
-    share: Shares
     table: DataFrame
+    tokens: int
 
     @classmethod
     def from_counts(cls, table: DataFrame) -> Classes:
@@ -121,14 +111,16 @@ class Classes:
         of = SINGLE + words % shared
         single = np.lexsort([words, -counts])[:SINGLE]
         totals = np.ones(CLASSES)
-        for residue, total in table.groupBy(F.pmod("word", F.lit(shared))).agg(F.sum(F.col("n") + 1)).collect():
-            totals[SINGLE + residue] += total
+        tokens = 0
+        for residue, total, words_met in table.groupBy(F.pmod("word", F.lit(shared))).agg(F.sum("n"), F.count("n")).collect():
+            totals[SINGLE + residue] += total + words_met
+            tokens += total
         np.subtract.at(totals, of[single], counts[single] + 1)
         of[single] = np.arange(len(single))
         totals[: len(single)] = counts[single] + 1
         order = np.argsort(words)
         known = Known(words[order], of[order].astype(np.int16), counts[order], totals)
-        return cls(known, Shares(known, table), table)
+        return cls(known, table, tokens)
 
 
 class Network:
@@ -186,7 +178,8 @@ class Network:
         found[order] = total
         return found
 
-    def gradient(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
+    def gradient(self, context: np.ndarray, target: np.ndarray) -> tuple[list[np.ndarray], list[tuple[np.ndarray, np.ndarray]]]:
+        """Of the mean loss: for each part but the first, and for each place the rows of its table that are met, with theirs."""
         order = np.argsort(target, kind="stable")
         context, target = context[:, order], target[order]
         group, member = np.divmod(target, MEMBERS)
@@ -199,43 +192,43 @@ class Network:
             out /= out.sum(axis=1, keepdims=True)
             out[rows, at] -= 1
             out /= len(target)
-        gradient = np.zeros(len(self.values), dtype=np.float32)
-        places, bias, groups, group_bias, layers, layer_bias = self.split(gradient)
+        layers, layer_bias = np.zeros_like(self.parts[4]), np.zeros_like(self.parts[5])
         back = first @ self.parts[2].T
         for g, run in runs:
             back[run] += second[run] @ self.parts[4][g].T
             layers[g] = hidden[run].T @ second[run]
             layer_bias[g] = second[run].sum(axis=0)
-        groups[:], group_bias[:] = hidden.T @ first, first.sum(axis=0)
         back *= 1 - hidden**2
-        bias[:] = back.sum(axis=0)
-        for place, classes in zip(places, context):
+        places = []
+        for classes in context:
             by = np.argsort(classes, kind="stable")
             classes = classes[by]
             starts = np.flatnonzero(np.diff(classes, prepend=-1))
-            place[classes[starts]] = np.add.reduceat(back[by], starts, axis=0)
-        return gradient
+            places.append((classes[starts], np.add.reduceat(back[by], starts, axis=0)))
+        return [back.sum(axis=0), hidden.T @ first, first.sum(axis=0), layers, layer_bias], places
 
 
 class Adam:
-    def __init__(self, size: int, rate: float = 0.01):
-        self.mean, self.square, self.time, self.rate = np.zeros(size, np.float32), np.zeros(size, np.float32), 0, rate
-        self.room = np.empty(size, np.float32)
+    """Steps by running means of gradients and of their squares; rows of the tables move when they are met."""
 
-    def step(self, network: Network, gradient: np.ndarray) -> None:
+    def __init__(self, network: Network):
+        empty = np.zeros_like(network.values)
+        self.network, self.time = network, 0
+        self.mean, self.square = network.split(empty), network.split(empty.copy())
+
+    def step(self, dense: list[np.ndarray], places: list[tuple[np.ndarray, np.ndarray]], rate: float) -> None:
         self.time += 1
-        room = self.room
-        self.mean *= 0.9
-        self.mean += np.multiply(gradient, 0.1, out=room)
-        self.square *= 0.99
-        gradient *= gradient
-        self.square += np.multiply(gradient, 0.01, out=room)
-        np.sqrt(self.square, out=room)
-        room *= 1 / np.sqrt(1 - 0.99**self.time)
-        room += 1e-6
-        np.divide(self.mean, room, out=room)
-        room *= self.rate / (1 - 0.9**self.time)
-        network.values -= room
+        rate *= np.sqrt(1 - 0.99**self.time) / (1 - 0.9**self.time)
+        for part, mean, square, gradient in zip(self.network.parts[1:], self.mean[1:], self.square[1:], dense):
+            mean *= 0.9
+            mean += 0.1 * gradient
+            square *= 0.99
+            square += 0.01 * gradient * gradient
+            part -= rate * mean / (np.sqrt(square) + 1e-6)
+        for table, means, squares, (rows, gradient) in zip(self.network.parts[0], self.mean[0], self.square[0], places):
+            mean = means[rows] = 0.9 * means[rows] + 0.1 * gradient
+            square = squares[rows] = 0.99 * squares[rows] + 0.01 * gradient * gradient
+            table[rows] -= rate * mean / (np.sqrt(square) + 1e-6)
 
 
 def contexts(classes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -262,60 +255,124 @@ def word_counts(rows: DataFrame) -> DataFrame:
     return durable(counted.groupBy("word").agg(F.sum("n").alias("n")))
 
 
-def train(rows: DataFrame, classes: Classes, network: Network, number: int) -> Network:
-    """One round: every task goes on from ``network`` with its documents; the mean by tokens is the result.
+def coded(df: DataFrame, text_col: str, id_col: str, classes: Classes) -> DataFrame:
+    """The documents as class numbers, two bytes a token, so that texts are cut into words once more only.
 
-    Networks are averaged in parts, inside tasks, so the driver gets one
-    network, whatever the number of tasks.
+    Columns: ``_id``, ``order`` (a hash of id and text), ``n_tokens``, ``classes``,
+    ``common`` (logarithms of the shares that the task knows) and ``rare`` (words
+    whose counts are joined).
     """
-    start, known, stride, size = network.values, classes.of, STRIDE, BATCH
+    kind = df.schema[id_col].dataType.simpleString()
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    order = F.xxhash64(F.col(id_col).cast("string"), text)
+    rows = df.select(F.col(id_col).alias("_id"), order.alias("order"), text.alias("_text"))
+    known = classes.of
+    names = ["_id", "order", "n_tokens", "classes", "common", "rare"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, seen = Network(start), 0
-        adam = Adam(len(start), 0.01 / (number + 1))
         for part in steps(batches, "_text"):
             words, ids, sizes = vocabulary(part.column("_text").to_pylist())
-            target = known[words][ids]
-            place = np.arange(len(target)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            chosen = np.flatnonzero(place % stride == number % stride)
-            chosen = np.random.default_rng(len(chosen)).permutation(chosen)
-            around = contexts(target, sizes)
-            for at in range(0, len(chosen), size):
-                some = chosen[at : at + size]
-                adam.step(own, own.gradient(around[:, some], target[some]))
-            seen += len(chosen)
-        parts = [p.tobytes() for p in np.array_split(own.values, PARTS)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(range(PARTS), pa.int32()), pa.array(parts, pa.binary()), pa.array([float(seen)] * PARTS)],
-            names=["at", "own", "seen"],
-        )
+            at, met = known.find(words)
+            counts = np.zeros(len(words))
+            counts[met] = known.counts[at[met]]
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            common = np.bincount(row, known.shares(words, counts)[ids], minlength=len(sizes))
+            open_ = ~met[ids]
+            ends = np.concatenate([[0], np.cumsum(np.bincount(row[open_], minlength=len(sizes)))]).astype(np.int32)
+            rare = pa.ListArray.from_arrays(pa.array(ends), pa.array(words[ids[open_]]))
+            data, stops = known[words][ids].tobytes(), (2 * np.cumsum(sizes)).tolist()
+            found = [data[a:b] for a, b in zip([0, *stops], stops)]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("_id"), part.column("order"), pa.array(sizes), pa.array(found, pa.binary()), pa.array(common), rare], names=names
+            )
+
+    return durable(rows.mapInArrow(run, f"_id {kind}, order long, n_tokens long, classes binary, common double, rare array<long>"))
+
+
+def sharded(documents: DataFrame, tokens: int) -> DataFrame:
+    """Shards of about ``SHARD_TOKENS`` tokens: ``round``, ``classes`` and ``sizes``, documents in order of their hash."""
+    count = max(ROUNDS, -(-tokens // SHARD_TOKENS))
+
+    def pack(group: pa.Table) -> pa.Table:
+        order = np.lexsort([group.column("n_tokens").to_numpy(), group.column("order").to_numpy()])
+        group = group.take(pa.array(order))
+        data = b"".join(group.column("classes").to_pylist())
+        return pa.table({"shard": group.column("shard")[:1], "classes": pa.array([data], pa.binary()), "sizes": pa.array([group.column("n_tokens").to_pylist()], pa.list_(pa.int64()))})
+
+    rows = documents.filter("n_tokens > 0").select(F.pmod("order", F.lit(count)).alias("shard"), "order", "n_tokens", "classes")
+    found = rows.groupBy("shard").applyInArrow(pack, "shard long, classes binary, sizes array<long>")
+    return durable(found.withColumn("round", (F.col("shard") % ROUNDS).cast("int")))
+
+
+def train(shards: DataFrame, network: Network, number: int) -> Network:
+    """One round: for every shard of it a network goes on from ``network``; their mean by tokens is the result.
+
+    Networks are summed in tasks and averaged in parts, so the driver gets one
+    network, whatever the number of shards.
+    """
+    start, size, rate = network.values, BATCH, RATE / (1 + number / 2)
+
+    def learn(classes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        own = Network(start)
+        adam, around = Adam(own), contexts(classes, sizes)
+        chosen = np.random.default_rng(len(classes)).permutation(len(classes))
+        around, target = around[:, chosen], classes[chosen]
+        steps_ = range(0, len(target), size)
+        for done, at in enumerate(steps_):
+            adam.step(*own.gradient(around[:, at : at + size], target[at : at + size]), rate * (1 - 0.9 * done / len(steps_)))
+        return own.values
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, seen = np.zeros(len(start)), 0
+        for batch in batches:
+            for data, sizes in zip(batch.column("classes"), batch.column("sizes")):
+                classes = np.frombuffer(data.as_py(), np.int16)
+                total += learn(classes, sizes.values.to_numpy()) * float(len(classes))
+                seen += len(classes)
+        if seen:
+            parts = [p.tobytes() for p in np.array_split(total, PARTS)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(range(PARTS), pa.int32()), pa.array(parts, pa.binary()), pa.array([float(seen)] * PARTS)],
+                names=["at", "own", "seen"],
+            )
 
     def mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, list] = {}
         for batch in batches:
             for at, own, seen in zip(*(c.to_pylist() for c in batch.columns)):
                 total = sums.setdefault(at, [0.0, 0.0])
-                total[0] = total[0] + np.frombuffer(own, np.float32) * seen
+                total[0] = total[0] + np.frombuffer(own)
                 total[1] += seen
         means = [(v / n).astype(np.float32).tobytes() for v, n in sums.values()]
         yield pa.RecordBatch.from_arrays([pa.array(sums, pa.int32()), pa.array(means, pa.binary())], names=["at", "own"])
 
-    trained = rows.select("_text").mapInArrow(run, "at int, own binary, seen double").filter("seen > 0")
+    # A shard is half a megabyte, so files are cut finer than for a scan.
+    own = shards.filter(F.col("round") == number).select("shard", "classes", "sizes")
+    dealt = own.repartition(max(1, own.count() // SHARDS_PER_TASK), "shard")
+    trained = dealt.select("classes", "sizes").mapInArrow(run, "at int, own binary, seen double")
     found = trained.repartition("at").mapInArrow(mean, "at int, own binary").collect()
     parts = np.array_split(start, PARTS)
-    for at, own in found:
-        parts[at] = np.frombuffer(own, np.float32)
+    for at, values in found:
+        parts[at] = np.frombuffer(values, np.float32)
     return Network(np.concatenate(parts))
 
 
-def fit(df: DataFrame, text_col: str) -> tuple[Classes, Network]:
-    """Classes and network of a corpus, from all tokens of every document; the network is of fixed size."""
-    rows = df.select(F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    classes = Classes.from_counts(word_counts(rows))
-    network = Network.of_shares(classes.of.totals)
+def learn(documents: DataFrame, classes: Classes) -> Network:
+    """The network of a corpus, from all tokens of its coded documents; it is of fixed size."""
+    network, shards = Network.of_shares(classes.of.totals), sharded(documents, classes.tokens)
     for number in range(ROUNDS):
-        network = train(rows, classes, network, number)
-    return classes, network
+        network = train(shards, network, number)
+    return network
+
+
+def classes_of(df: DataFrame, text_col: str) -> Classes:
+    return Classes.from_counts(word_counts(df.select(F.coalesce(F.col(text_col), F.lit("")).alias("_text"))))
+
+
+def fit(df: DataFrame, text_col: str, id_col: str) -> tuple[Classes, Network]:
+    """Classes and network of a corpus."""
+    classes = classes_of(df, text_col)
+    return classes, learn(coded(df, text_col, id_col, classes), classes)
 
 
 def score(df: DataFrame, text_col: str, id_col: str, classes: Classes, network: Network) -> DataFrame:
@@ -326,33 +383,35 @@ def score(df: DataFrame, text_col: str, id_col: str, classes: Classes, network:
     scored one by one, so repeated rows have one score. Only two columns are read.
     Counts of words that are not common are joined from the table of words.
     """
-    kind = df.schema[id_col].dataType.simpleString()
-    rows = df.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    values, known = network.values, classes.of
+    return scored(coded(df, text_col, id_col, classes), id_col, classes, network)
+
+
+def fit_and_score(df: DataFrame, text_col: str, id_col: str) -> DataFrame:
+    """Columns of ``score`` for the corpus that the network learns from; its texts are coded once."""
+    classes = classes_of(df, text_col)
+    documents = coded(df, text_col, id_col, classes)
+    return scored(documents, id_col, classes, learn(documents, classes))
+
+
+def scored(documents: DataFrame, id_col: str, classes: Classes, network: Network) -> DataFrame:
+    kind, values = documents.schema["_id"].dataType.simpleString(), network.values
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Network(values)
-        for part in steps(batches, "_text"):
-            words, ids, sizes = vocabulary(part.column("_text").to_pylist())
-            at, met = known.find(words)
-            counts = np.zeros(len(words))
-            counts[met] = known.counts[at[met]]
-            target = known[words][ids]
+        for batch in batches:
+            sizes = batch.column("n_tokens").to_numpy()
+            target = np.frombuffer(b"".join(batch.column("classes").to_pylist()), np.int16)
             around = contexts(target, sizes)
             found = np.zeros(len(target))
             for at in range(0, len(target), BATCH):
                 found[at : at + BATCH] = own.log_probabilities(around[:, at : at + BATCH], target[at : at + BATCH])
-            found += known.shares(words, counts)[ids]
-            row = np.repeat(np.arange(len(sizes)), sizes)
-            total = np.bincount(row, found, minlength=len(sizes))
-            open_ = ~met[ids]
-            ends = np.concatenate([[0], np.cumsum(np.bincount(row[open_], minlength=len(sizes)))]).astype(np.int32)
-            rare = pa.ListArray.from_arrays(pa.array(ends), pa.array(words[ids[open_]]))
+            total = np.bincount(np.repeat(np.arange(len(sizes)), sizes), found, minlength=len(sizes)) + batch.column("common").to_numpy()
             yield pa.RecordBatch.from_arrays(
-                [part.column("_id"), pa.array(sizes), pa.array(total), rare], names=["_id", "n_tokens", "common", "rare"]
+                [batch.column("_id"), batch.column("n_tokens"), pa.array(total), batch.column("rare")], names=["_id", "n_tokens", "common", "rare"]
             )
 
-    found = rows.mapInArrow(run, f"_id {kind}, n_tokens long, common double, rare array<long>")
+    found = documents.select("_id", "n_tokens", "classes", "common", "rare")
+    found = found.mapInArrow(run, f"_id {kind}, n_tokens long, common double, rare array<long>")
     found = durable(found.withColumn("row", F.monotonically_increasing_id()))
     # A common word is known to the tasks, so no word here has more than a small share of the rows.
     rare = found.select("row", F.explode("rare").alias("word")).join(classes.table, "word")

@@ -121,7 +121,6 @@ says as (
   from turns, unnest(list_concat([text], regexp_split_to_array(text, '
 \s*
 '))) as t(part)),
-firsts as (select conv_id, said, min(turn) as first_turn from says where said <> '' group by all),
 quotes as (
   select conv_id, turn, 1 as level, quoted as body from turns where quoted is not null
   union all select conv_id, turn, 2, older from turns where older is not null),
@@ -132,12 +131,14 @@ parts as (
   from quotes, unnest(regexp_split_to_array(body, '
 \s*
 ')) as t(part)),
+sayers as (
+  select p.conv_id, p.turn, level, rank, max(s.turn) as sayer
+  from parts p join says s on p.conv_id = s.conv_id and p.said = s.said and p.said <> '' and s.turn < p.turn
+  group by p.conv_id, p.turn, level, rank, p.said),
 linked as (
-  select p.conv_id, p.turn, min((level, rank, first_turn)) as best, count(distinct level) as n_linked
-  from parts p join firsts f on p.conv_id = f.conv_id and p.said = f.said and f.first_turn < p.turn
-  group by all),
+  select conv_id, turn, min((level, rank, -sayer)) as best, count(distinct level) as n_linked from sayers group by all),
 mail as (
-  select t.conv_id, t.turn, t.text, l.best[3] as parent, coalesce(n_linked, 0) as n_linked,
+  select t.conv_id, t.turn, t.text, -l.best[3] as parent, coalesce(n_linked, 0) as n_linked,
          (trim(coalesce(quoted, ''), chr(10) || chr(13) || chr(9) || ' ') <> '')::bigint
            + (trim(coalesce(older, ''), chr(10) || chr(13) || chr(9) || ' ') <> '')::bigint as n_quotes
   from turns t left join linked l using (conv_id, turn)),
@@ -168,9 +169,7 @@ def op1_quotation_linking(spark, sf_dir):
 
 @query("op5_masked_pseudo_likelihood")
 def op5_masked_pseudo_likelihood(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    classes, network = maskedlm.fit(docs, "text")
-    return maskedlm.score(docs, "text", "doc_id", classes, network)
+    return maskedlm.fit_and_score(table(spark, sf_dir, "documents"), "text", "doc_id")
 
 
 @query("op3_cotraining_quality")

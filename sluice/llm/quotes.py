@@ -1,14 +1,14 @@
 """Conversations rebuilt from messages that quote each other.
 
 Quote levels are read line by line, quoted passages are normalised and hashed,
-and the hashes are joined to the messages that first said the same. The quotes
+and the hashes are joined to the messages that last said the same before. The quotes
 then say who answers whom; conversations come out in reply order without them.
 Only DataFrame functions are used.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.session import durable
@@ -80,20 +80,60 @@ def passages(text: Column) -> Column:
     return F.filter(F.array_distinct(F.concat(whole, parts)), lambda e: e["said"])
 
 
+def _pair(one: Column, other: Column) -> Column:
+    """Hash of a passage together with the one that it answers."""
+    return F.sha2(F.concat(F.sha2(normal(one), 256), F.sha2(normal(other), 256)), 256)
+
+
+def _answered(runs: Column, level: Column) -> Column:
+    """Body of the first run one level deeper, null without one."""
+    return F.get(F.filter(runs, lambda r: (r["level"] == level + 1) & (normal(r["body"]) != "")), F.lit(0))["body"]
+
+
+def last_sayers(said: DataFrame, quoted: DataFrame, key: list[str]) -> DataFrame:
+    """``quoted`` (``key``, ``hash``, ``_id``, ...) with ``_sayer``: the last message before that said the passage.
+
+    Sayers and quoting messages are dealt by ranges of scope, hash and id, so a
+    phrase that everybody uses spreads over many ranges. Inside a range the last
+    sayer runs along; what ranges before it found comes from a table with a row
+    for each range and hash. Quotes that nobody said before are left out.
+    """
+    own = [c for c in quoted.columns if c not in (*key, "hash", "_id")]
+    events = said.select(*key, "hash", "_id", F.col("_id").alias("_said")).unionByName(quoted, allowMissingColumns=True)
+    dealt = durable(events.repartitionByRange(*key, "hash", "_id").withColumn("_part", F.spark_partition_id()))
+    group = [*key, "hash"]
+    ends = dealt.groupBy("_part", *group).agg(F.max("_said").alias("_end"))
+    earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select("_part", *group, F.max("_end").over(earlier).alias("_before")).filter("_before is not null")
+    # Of rows with one id the quoting ones come first, so a message never answers itself.
+    running = Window.partitionBy("_part", *group).orderBy("_id", F.col("_said").isNotNull()).rowsBetween(Window.unboundedPreceding, -1)
+    seen = dealt.withColumn("_here", F.max("_said").over(running)).filter("_said is null")
+    a, b = seen.alias("a"), ends.alias("b")
+    same = F.col("a._part") == F.col("b._part")
+    for c in group:
+        same &= F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
+    met = a.join(b, same, "left").select(*[F.col(f"a.{c}").alias(c) for c in (*group, "_id", *own)], F.coalesce("_here", "_before").alias("_sayer"))
+    return met.filter("_sayer is not null and _sayer < _id")
+
+
 def link_quotes(df: DataFrame, text_col: str, id_col: str, scope: list[str] | None = None) -> DataFrame:
     """``scope``, ``id_col``, ``parent_id``, ``n_quotes``, ``n_linked`` and ``text`` (without quotes) per message.
 
     Ids give the order in which messages were sent. A quoted passage belongs to
-    the first message (of its ``scope``, such as a mailing list; null scopes
-    are one) that said it itself, whole or as a paragraph, if that was sent
-    before. The parent is the author of the passage quoted at the lowest level,
-    whole passages before paragraphs, upper ones before lower ones. Texts are
-    matched without case and white space. Null and empty texts have neither
-    quotes nor text; a message without id links nowhere and is nobody's parent.
-    Repeated rows come back once. Passages that many messages hold meet in an
-    aggregate, so a phrase everybody uses costs one row. Other columns are not read.
+    the last message (of its ``scope``, such as a mailing list; null scopes
+    are one) that said it itself, whole or as a paragraph, before it was quoted.
+    If the passage comes with a deeper quote, a message that said the one in
+    answer to the other goes before those that only said it. The parent is the
+    author of the passage quoted at the lowest level, whole passages before
+    paragraphs, upper ones before lower ones. Texts are matched without case and
+    white space. Null and empty texts have neither quotes nor text; a message
+    without id links nowhere and is nobody's parent. Repeated rows come back
+    once. Other columns, whatever their names, are not read; ``scope`` columns
+    may have any name but those of the result.
     """
     scope = scope or []
+    if taken := {"parent_id", "n_quotes", "n_linked", "text", id_col} & set(scope):
+        raise ValueError(f"names of the result: {sorted(taken)}")
     scopes = [F.col(c).alias(f"_s{i}") for i, c in enumerate(scope)]
     key = [f"_s{i}" for i in range(len(scope))]
     rows = df.select(*scopes, F.col(id_col).alias("_id"), quoted_runs(F.col(text_col)).alias("_runs")).distinct()
@@ -102,17 +142,22 @@ def link_quotes(df: DataFrame, text_col: str, id_col: str, scope: list[str] | No
         *key, "_id", F.regexp_replace(F.array_join(F.transform(own, lambda r: r["body"]), "\n"), r"^\s+|\s+$", "").alias("text"),
         F.filter("_runs", lambda r: (r["level"] > 0) & (normal(r["body"]) != "")).alias("_quotes"),
     ))
-    says = rows.select(*key, "_id", F.explode(passages(F.col("text"))).alias("p"))
-    first = says.groupBy(*key, F.col("p.hash").alias("hash")).agg(F.min("_id").alias("_first"))
-    quotes = rows.select(*key, "_id", F.posexplode("_quotes").alias("at", "q"))
-    quotes = quotes.select(*key, "_id", "at", "q.level", F.explode(passages(F.col("q.body"))).alias("p"))
-    quotes = quotes.select(*key, "_id", "at", "level", "p.rank", "p.hash").alias("l")
-    same = F.col("l.hash") == F.col("r.hash")
-    for k in key:
-        same &= F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}"))
-    linked = quotes.join(first.alias("r"), same).filter("_first < _id")
-    best = linked.groupBy(*[F.col(f"l.{k}") for k in key], "_id").agg(
-        F.min(F.struct("level", "rank", "at", "_first")).alias("best"), F.count_distinct("at").alias("n_linked")
+    sent = rows.filter("_id is not null")
+    # What is said as an answer has a hash with what it answers, ranked before the rest.
+    answer = _answered(F.col("_quotes"), F.lit(0))
+    says = sent.select(*key, "_id", F.explode(passages(F.col("text"))["hash"]).alias("hash")).unionByName(
+        sent.filter(answer.isNotNull() & (normal(F.col("text")) != "")).select(*key, "_id", _pair(F.col("text"), answer).alias("hash"))
+    ).distinct()
+    quotes = sent.select(*key, "_id", "_quotes", F.posexplode("_quotes").alias("at", "q"))
+    deeper = _answered(F.slice("_quotes", F.col("at") + 1, F.size("_quotes")), F.col("q.level"))
+    quotes = quotes.select(*key, "_id", "at", "q.level", "q.body", deeper.alias("deeper"))
+    pair = F.struct(F.lit(-1).alias("rank"), _pair(F.col("body"), F.col("deeper")).alias("hash"), F.lit(True).alias("said"))
+    found = F.concat(passages(F.col("body")), F.when(F.col("deeper").isNotNull(), F.array(pair)).otherwise(F.array().cast("array<struct<rank:int,hash:string,said:boolean>>")))
+    quotes = quotes.select(*key, "_id", "at", "level", F.posexplode(found).alias("place", "p"))
+    quotes = quotes.select(*key, "_id", "at", "level", "place", "p.rank", "p.hash")
+    linked = last_sayers(says, quotes, key)
+    best = linked.groupBy(*key, "_id").agg(
+        F.min_by("_sayer", F.struct("level", "rank", "at", "place")).alias("_parent"), F.count_distinct("at").alias("n_linked")
     ).alias("b")
     mine = F.col("m._id") == F.col("b._id")
     for k in key:
@@ -120,69 +165,13 @@ def link_quotes(df: DataFrame, text_col: str, id_col: str, scope: list[str] | No
     return rows.alias("m").join(best, mine, "left").select(
         *[F.col(f"m.{k}").alias(c) for k, c in zip(key, scope)],
         F.col("m._id").alias(id_col),
-        F.col("best._first").alias("parent_id"),
+        F.col("_parent").alias("parent_id"),
         F.size("_quotes").cast("long").alias("n_quotes"),
         F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"),
         "text",
     )
 
 
-def reply_paths(linked: DataFrame, id_col: str, scope: list[str] | None = None) -> DataFrame:
-    """``linked`` with ``path``: ids from the first message of the conversation to this one.
-
-    Every round doubles how far a message sees up its replies, and those that
-    see the first message are done. Sorting by ``path`` puts a conversation in
-    reply order; its first id is the root. A path is as long as its message is
-    deep.
-    """
-    scope = scope or []
-    key = [f"_s{i}" for i in range(len(scope))]
-    see = linked.select(
-        *[F.col(c).alias(k) for c, k in zip(scope, key)],
-        F.col(id_col).alias("_id"), F.col("parent_id").alias("_up"), F.array(F.col(id_col)).alias("path"),
-    )
-    see = durable(see)
-    done, far = see.filter("_up is null"), see.filter("_up is not null")
-    while not far.isEmpty():
-        above = done.unionByName(far).select(*[F.col(k).alias(f"_a{k}") for k in key], F.col("_id").alias("_aid"), F.col("_up").alias("_far"), F.col("path").alias("_head"))
-        up = F.col("_up") == F.col("_aid")
-        for k in key:
-            up &= F.col(k).eqNullSafe(F.col(f"_a{k}"))
-        far = durable(far.join(above, up, "left").select(
-            *key, "_id", F.col("_far").alias("_up"), F.concat(F.coalesce("_head", F.array().cast(see.schema["path"].dataType)), "path").alias("path"),
-        ))
-        done, far = done.unionByName(far.filter("_up is null")), far.filter("_up is not null")
-    see = done
-    same = linked[id_col].eqNullSafe(see["_id"])
-    for c, k in zip(scope, key):
-        same &= linked[c].eqNullSafe(see[k])
-    return linked.join(see, same).select(*linked.columns, "path")
-
-
-def conversations(paths: DataFrame, id_col: str, scope: list[str] | None = None) -> DataFrame:
-    """A conversation for each message nobody answered: ``messages`` from the first one down to it.
-
-    ``messages`` is an array of ids and texts in reply order, so a cell is as
-    long as its chain of replies, whatever the number of branches.
-    """
-    scope = scope or []
-    answered = paths.filter("parent_id is not null").select(*scope, F.col("parent_id").alias(id_col)).distinct()
-    a, b = paths.alias("a"), answered.alias("b")
-    same = F.col(f"a.{id_col}") == F.col(f"b.{id_col}")
-    for c in scope:
-        same &= F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
-    leaves = a.join(b, same, "left_anti").select(*scope, F.col(id_col).alias("leaf_id"), F.explode("path").alias("_of"))
-    texts = paths.select(*[F.col(c).alias(f"_t{i}") for i, c in enumerate(scope)], F.col(id_col).alias("_tid"), "text")
-    said = F.col("_of").eqNullSafe(F.col("_tid"))
-    for i, c in enumerate(scope):
-        said &= F.col(c).eqNullSafe(F.col(f"_t{i}"))
-    # Ids grow along a chain, so sorting by id is reply order.
-    cells = leaves.join(texts, said).groupBy(*scope, "leaf_id").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("_of").alias("id"), "text"))).alias("messages")
-    )
-    return cells.withColumn("root_id", F.col("messages")[0]["id"])
-
-
 def conversation_rows(linked: DataFrame, id_col: str, scope: list[str] | None = None) -> DataFrame:
     """The conversations as rows: ``linked`` with ``leaf_id`` and ``back``, the replies from a message down to the leaf.
 

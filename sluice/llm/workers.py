@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import types
 from collections.abc import Callable, Hashable, Iterator
@@ -22,6 +23,8 @@ def once(key: Hashable, make: Callable):
     kept = home.__dict__.setdefault("kept", {})
     if key not in kept:
         kept[key] = make()
+        # What stays need not be looked through by the collector.
+        gc.freeze()
     return kept[key]
 
 

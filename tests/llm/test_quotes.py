@@ -35,37 +35,59 @@ def test_links_paths_and_conversations(spark):
         (6, "l"): (None, 0, 0, ""), (7, "l"): (None, 0, 0, ""), (8, None): (None, 1, 0, ""),
         (9, "l"): (None, 1, 0, "new"), (None, "l"): (None, 1, 0, ""),
     }
-    paths = quotes.reply_paths(linked, "id", ["list"])
-    assert {r.id: r.path for r in paths.filter("id <= 4").collect()} == {1: [1], 2: [1, 2], 3: [1, 2, 3], 4: [1, 4]}
-    built = {(r.leaf_id, r.list): [(m.id, m.text) for m in r.messages] for r in quotes.conversations(paths, "id", ["list"]).collect()}
-    assert [i for i, _ in built[3, "l"]] == [1, 2, 3] and built[4, "l"][-1] == (4, "No.")
-    assert (1, "l") not in built and built[5, "m"] == [(5, "other list")]
+    built = conversations(quotes.conversation_rows(linked, "id", ["list"]), "list")
+    assert [i for i, _ in built["l", 3]] == [1, 2, 3] and built["l", 4] == [(1, MAILS[0][2]), (4, "No.")]
+    assert ("l", 1) not in built and built["m", 5] == [(5, "other list")]
+
+
+def conversations(rows, scope=None):
+    """Messages of each conversation in reply order."""
+    found = {}
+    for r in sorted(rows.collect(), key=lambda r: -r.back):
+        found.setdefault((r[scope] if scope else None, r.leaf_id), []).append((r.id, r.text))
+    return found
+
+
+def parents(spark, rows):
+    df = spark.createDataFrame(rows, "id long, body string").repartition(3)
+    return {r.id: r.parent_id for r in quotes.link_quotes(df, "body", "id").collect()}
+
+
+def test_last_sayer_before_the_quote(spark):
+    rows = [(1, "Hello all"), (2, "Yes."), (3, "Why?"), (4, "Yes."), (5, "So\n> Yes.\n> > Why?"), (6, "Yes."), (7, "> yes."), (2, "Late")]
+    assert parents(spark, rows) == {1: None, 2: None, 3: None, 4: None, 5: 4, 6: None, 7: 6}
+    # The deeper quote tells which of two that said the same is meant.
+    rows = [(1, "Hello all"), (2, "Yes.\n> Hello all"), (3, "Why?"), (4, "Yes.\n> Why?"), (5, "A\n> Yes.\n> > Hello all"), (6, "B\n> Yes.\n> > Why?"), (7, "C\n> Yes.")]
+    assert parents(spark, rows) == {1: None, 2: 1, 3: None, 4: 3, 5: 2, 6: 4, 7: 4}
+
+
+def test_phrase_of_everybody_spreads(spark, monkeypatch):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = [(i, "Yes." if i % 3 else "Other\n> Yes.") for i in range(600)]
+        got = parents(spark, rows)
+        assert got == {i: (i - 1 if i and i % 3 == 0 else None) for i in range(600)}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
 def test_long_chain_and_no_scope(spark):
     rows = [(0, "message 0")] + [(i, f"message {i}\n> message {i - 1}") for i in range(1, 40)]
     linked = quotes.link_quotes(spark.createDataFrame(rows, "id long, body string"), "body", "id")
-    paths = quotes.reply_paths(linked, "id")
-    assert {r.id: r.path for r in paths.collect()} == {i: list(range(i + 1)) for i in range(40)}
-    only = quotes.conversations(paths, "id").collect()
-    assert len(only) == 1 and only[0].root_id == 0 and len(only[0].messages) == 40
+    assert {r.id: r.parent_id for r in linked.collect()} == {i: i - 1 if i else None for i in range(40)}
+    assert conversations(quotes.conversation_rows(linked, "id")) == {(None, 39): [(i, f"message {i}") for i in range(40)]}
 
 
 def test_empty(spark):
     df = spark.createDataFrame([], "id long, body string")
     linked = quotes.link_quotes(df, "body", "id")
-    assert quotes.conversations(quotes.reply_paths(linked, "id"), "id").count() == 0
+    assert linked.count() == quotes.conversation_rows(linked, "id").count() == 0
 
 
 def test_conversations_as_rows(spark, monkeypatch):
-    df = spark.createDataFrame(MAILS, "id long, list string, body string")
-    linked = quotes.link_quotes(df, "body", "id", ["list"])
-    built = quotes.conversations(quotes.reply_paths(linked, "id", ["list"]), "id", ["list"]).collect()
     # Intermediate tables of a chain of n turns hold one id a row, 2 n rows of jumps for each round, and no lists.
     kept, wide = [], quotes.durable
     monkeypatch.setattr(quotes, "durable", lambda t: kept.append(wide(t)) or kept[-1])
-    got = {(r.list, r.leaf_id, r.id, r.text) for r in quotes.conversation_rows(linked, "id", ["list"]).collect()}
-    assert got == {(r.list, r.leaf_id, m.id, m.text) for r in built for m in r.messages}
     chain = spark.range(300).selectExpr("id", "nullif(id - 1, -1) as parent_id", "'t' as text")
     kept.clear()
     rows = quotes.conversation_rows(chain, "id").collect()
