@@ -22,28 +22,31 @@ def sentences(n, rng):
 
 def test_gradient_is_that_of_the_loss():
     rng = np.random.default_rng(1)
-    context = rng.integers(0, maskedlm.CLASSES + 1, (4, 30))
-    target = rng.integers(0, maskedlm.CLASSES, 30)
+    context = rng.integers(0, maskedlm.CLASSES + 1, (4, 30)).astype(np.int16)
+    target = rng.integers(0, maskedlm.CLASSES, 30).astype(np.int16)
     network = maskedlm.Network()
-    network.values = network.values.astype(np.float64)
-    exact = network.gradient(context, target)
-    for at in rng.integers(0, len(network.values), 40):
+    dense, places = network.gradient(context, target)
+    exact = np.zeros_like(network.values)
+    parts = network.split(exact)
+    for part, gradient in zip(parts[1:], dense):
+        part[:] = gradient
+    for table, (rows, gradient) in zip(parts[0], places):
+        table[rows] = gradient
+    for at in [*rng.integers(0, len(network.values), 40), *np.flatnonzero(exact)[:: len(np.flatnonzero(exact)) // 40]]:
         step = []
         for d in (1e-2, -1e-2):
             values = network.values.copy()
             values[at] += d
             step.append(-maskedlm.Network(values).log_probabilities(context, target).mean())
-        assert abs((step[0] - step[1]) / 2e-2 - exact[at]) < 2e-4
+        assert abs((step[0] - step[1]) / 2e-2 - exact[at]) < 3e-4
 
 
-def test_learns_from_both_sides(spark, monkeypatch):
-    # Little text, so all of it trains, in small steps.
-    for name, value in (("STRIDE", 1), ("BATCH", 64), ("ROUNDS", 4)):
-        monkeypatch.setattr(maskedlm, name, value)
+def test_learns_from_both_sides(spark):
+    # The constants of production.
     rng = random.Random(3)
-    rows = list(enumerate(sentences(600, rng)))
+    rows = list(enumerate(sentences(6000, rng)))
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
-    classes, network = maskedlm.fit(df, "text")
+    classes, network = maskedlm.fit(df, "text", "doc_id")
     fresh = sentences(50, rng)
     mixed = [" ".join(rng.sample(t.split(), 60)) for t in fresh]
     test = spark.createDataFrame(list(enumerate(fresh + mixed)), "doc_id long, text string")
@@ -53,24 +56,41 @@ def test_learns_from_both_sides(spark, monkeypatch):
     assert ordered > -2.5 and ordered > shuffled + 1
 
 
+def test_layout_does_not_matter_and_training_gains(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    means = []
+    for parts in (4, 64):
+        classes, network = maskedlm.fit(docs.repartition(parts), "text", "doc_id")
+        rows = maskedlm.score(docs, "text", "doc_id", classes, network).collect()
+        means.append({r.doc_id: r.mean_log_likelihood for r in rows if r.n_tokens})
+    assert max(abs(means[0][i] - means[1][i]) for i in means[0]) < 0.05
+    raw = maskedlm.Network.of_shares(classes.of.totals)
+    rows = maskedlm.score(docs, "text", "doc_id", classes, raw).agg(F.sum("log_likelihood"), F.sum("n_tokens")).first()
+    fitted = maskedlm.score(docs, "text", "doc_id", classes, network).agg(F.sum("log_likelihood")).first()[0]
+    assert (fitted - rows[0]) / rows[1] > 0.5
+
+
 def test_sum_over_all_tokens(docs, texts, nothing):
-    classes, network = maskedlm.fit(docs, "text")
+    classes, network = maskedlm.fit(docs, "text", "doc_id")
+    counts = {r.word: r.n for r in classes.table.collect()}
     got = sorted((str(r.doc_id), r.n_tokens, r.log_likelihood, r.mean_log_likelihood) for r in
                  maskedlm.score(docs, "text", "doc_id", classes, network).collect() if r.n_tokens < 1000)
     want = []
     for i, t in texts:
-        bucket, sizes = maskedlm.tokens([t or ""])
-        if len(bucket) >= 1000:
+        words, sizes = maskedlm.tokens([t or ""])
+        if len(words) >= 1000:
             continue
-        around = maskedlm.contexts(classes.of[bucket], sizes)
-        total = float((network.log_probabilities(around, classes.of[bucket]) + classes.share[bucket]).sum()) if len(bucket) else 0.0
-        want.append((str(i), len(bucket), total, total / len(bucket) if len(bucket) else None))
+        around = maskedlm.contexts(classes.of[words], sizes)
+        shares = classes.of.shares(words, np.array([counts[int(w)] for w in words], dtype=float))
+        total = float((network.log_probabilities(around, classes.of[words]) + shares).sum()) if len(words) else 0.0
+        want.append((str(i), len(words), total, total / len(words) if len(words) else None))
     for a, b in zip(got, sorted(want, key=lambda r: (r[0], r[1]))):
         assert a[:2] == b[:2] and a[2] == pytest.approx(b[2], rel=1e-4)
         assert (a[3] is None) == (b[3] is None)
+    assert sum(counts.values()) == classes.tokens
     for k in range(1, 5):
         assert maskedlm.contexts(np.arange(k), np.array([k])).shape == (4, k)
-    classes, network = maskedlm.fit(nothing, "text")
+    classes, network = maskedlm.fit(nothing, "text", "doc_id")
     assert maskedlm.score(nothing, "text", "doc_id", classes, network).count() == 0
 
 
@@ -113,21 +133,27 @@ def test_cotraining_edges(spark, docs, texts, nothing):
 
 
 def test_every_token_trains_and_every_word_counts(spark):
-    # The constants of production: rounds cover all places, far more words than once had buckets.
-    assert {n % maskedlm.STRIDE for n in range(maskedlm.ROUNDS)} == set(range(maskedlm.STRIDE)) and maskedlm.SINGLE >= 1024
     rows = [(i, " ".join(f"v{i * 500 + k}" for k in range(500)) + " common" * 9) for i in range(300)] + [(300, "v7 " * 5)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
     table = maskedlm.word_counts(df.select(F.col("text").alias("_text")))
     assert table.count() == 150_001 and table.agg(F.sum("n")).first()[0] == 300 * 509 + 5
     assert {r.n for r in table.filter(F.col("word").isin([int(w) for w in maskedlm.tokens(["common v7"])[0]])).collect()} == {2700, 6}
-    classes, network = maskedlm.fit(df, "text")
+    classes = maskedlm.classes_of(df, "text")
     # More words than tasks hold: some counts are joined.
     assert len(classes.of.words) < 150_001
+    # Every token lies in one shard, and every shard in one round.
+    documents = maskedlm.coded(df, "text", "doc_id", classes)
+    shards = maskedlm.sharded(documents, 20 * maskedlm.SHARD_TOKENS).collect()
+    assert {r.round for r in shards} == set(range(maskedlm.ROUNDS)) and len({r.shard for r in shards}) == len(shards)
+    assert sum(map(sum, (r.sizes for r in shards))) == sum(len(r.classes) // 2 for r in shards) == classes.tokens == 300 * 509 + 5
+    network = maskedlm.learn(documents, classes)
     got = {r.doc_id: r.log_likelihood for r in maskedlm.score(df, "text", "doc_id", classes, network).collect()}
     for i in (0, 299, 300):
         words, sizes = maskedlm.tokens([rows[i][1]])
         around = maskedlm.contexts(classes.of[words], sizes)
-        want = (network.log_probabilities(around, classes.of[words]) + classes.share[words]).sum()
+        counts = {r.word: r.n for r in classes.table.filter(F.col("word").isin([int(w) for w in words])).collect()}
+        shares = classes.of.shares(words, np.array([counts[int(w)] for w in words], dtype=float))
+        want = (network.log_probabilities(around, classes.of[words]) + shares).sum()
         assert got[i] == pytest.approx(float(want), rel=1e-4)
 
 
