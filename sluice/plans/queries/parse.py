@@ -8,7 +8,7 @@ from sluice.functions.language import CJK_SHARE, STOP_WORDS, detect_language, la
 from sluice.functions.text import CJK, TOKEN, contains_cjk, format_size, truncate
 from sluice.operators import chunking
 from sluice.plans.queries.registry import (
-    ZH, query, s_count, s_ratio, s_strip, scratch, table, zh_documents,
+    ZH, query, rename_files, s_count, s_ratio, s_strip, scratch, table, zh_documents,
 )
 from sluice.sources import files, pages, sinks
 from sluice.streaming import incremental
@@ -38,6 +38,15 @@ def _(spark, sf):
     return files.read_csv_rows(spark, folder).select("content", "data_type")
 
 
+@query("source_csv_split_files", f"""
+select concat_ws(' | ', 'p_partkey: ' || p_partkey, 'p_name: ' || p_name, 'p_brand: ' || p_brand, 'p_type: ' || p_type,
+  'p_size: ' || p_size) as content, 'csv' as data_type from ({PART})""")
+def _(spark, sf):
+    folder = scratch(spark)
+    _parts(spark, sf).write.csv(folder, header=True)
+    return files.read_csv_rows(spark, folder, multi_line=False).select("content", "data_type")
+
+
 TEXTS = """texts as (select source, string_agg(text, chr(10) order by doc_id) || chr(10) as body from documents group by source)"""
 
 
@@ -61,6 +70,27 @@ def _(spark, sf):
     return df.select("folder", F.md5("content").alias("text_hash"), F.length("content").alias("n"), "data_type")
 
 
+@query("source_markdown_files", f"""
+with {TEXTS} select source as folder, md5({s_strip('body')}) as text_hash, 'markdown' as data_type, '.md' as file_type
+from texts where length({s_strip('body')}) >= 10""")
+def _(spark, sf):
+    folder = _text_folder(spark, sf)
+    rename_files(spark, f"{folder}/*/*.txt", ".txt", ".md")
+    df = _folder_source(files.read_markdown(spark, folder))
+    return df.select("folder", F.md5("content").alias("text_hash"), "data_type", "source.file_type")
+
+
+@query("source_accepted_formats", f"""
+with {TEXTS} select source as folder, case when source in ('src2', 'src3', 'src4') then 'markdown' else 'text' end as data_type
+from texts where length({s_strip('body')}) >= 10 and not starts_with(source, 'src1')""")
+def _(spark, sf):
+    """Files of accepted extensions only: those of some sources get one that no reader knows."""
+    folder = _text_folder(spark, sf)
+    rename_files(spark, f"{folder}/source=src1*/*.txt", ".txt", ".log")
+    rename_files(spark, f"{folder}/source=src[2-4]/*.txt", ".txt", ".MD")
+    return _folder_source(files.read_directory(spark, folder)).select("folder", "data_type")
+
+
 @query("source_metadata", f"""
 with {TEXTS} select source as folder, strlen(body) as file_size, '.txt' as file_type, md5(body) as hash_value, 'utf-8' as encoding from texts""")
 def _(spark, sf):

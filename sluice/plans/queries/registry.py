@@ -36,6 +36,16 @@ def scratch(spark: SparkSession) -> str:
     return f"{intermediates(spark)}/files-{uuid.uuid4().hex}"
 
 
+def rename_files(spark: SparkSession, pattern: str, old: str, new: str) -> None:
+    """Give the files of ``pattern`` another ending: Spark's writers choose their own."""
+    jvm, context = spark.sparkContext._jvm, spark.sparkContext
+    path = jvm.org.apache.hadoop.fs.Path(pattern)
+    system = path.getFileSystem(context._jsc.hadoopConfiguration())
+    for found in system.globStatus(path) or []:
+        name = found.getPath().toString()
+        system.rename(found.getPath(), jvm.org.apache.hadoop.fs.Path(name.removesuffix(old) + new))
+
+
 def r6(value: Column, name: str) -> Column:
     return F.round(value, 6).alias(name)
 

@@ -5,10 +5,14 @@
 
 from __future__ import annotations
 
+import csv
+import io
 from collections.abc import Iterator
 from functools import reduce
+from itertools import islice
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -119,7 +123,6 @@ NO_VALUE = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
     "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
-MAX_HEADERS = 1000
 
 
 def row_text(columns: list[str]) -> Column:
@@ -139,67 +142,74 @@ def table_rows(df: DataFrame, id_col: str | None = None) -> DataFrame:
     return out.filter(strip(F.col("content")) != "")
 
 
-def csv_headers(spark: SparkSession, path, recursive: bool = True) -> list[tuple[str, list[str]]]:
-    """Distinct header lines with the files that start with them.
+def read_csv_rows(spark: SparkSession, path, recursive: bool = True, multi_line: bool = True) -> DataFrame:
+    """One chunk per CSV row, cells labelled by the header of their own file.
 
-    The first line of a file is the first row of its first split. Only one row
-    per file reaches the driver, which lists the files anyway.
+    All files are read by one scan, however many headers there are; no list of
+    files or headers reaches the driver. Quoted line breaks need ``multi_line``,
+    which reads a file whole, in one task (2 GB at most, charsets as in
+    ``read_text``). Without it files of any size are split at line breaks and
+    read as UTF-8. Blank lines do not count as rows, cells beyond the header have
+    no label and are left out, and rows without a value give no chunk.
     """
-    lines = spark.read.option("pathGlobFilter", _glob(EXTENSIONS["csv"]))
-    lines = lines.option("recursiveFileLookup", str(recursive).lower()).text(path)
-    first = (
-        lines.filter(F.col("_metadata.file_block_start") == 0)
-        .select(F.col("_metadata.file_path").alias("file"), F.col("value"), F.monotonically_increasing_id().alias("at"))
-        .groupBy("file").agg(F.min_by("value", "at").alias("header"))
-    )
-    groups = first.groupBy("header").agg(F.collect_list("file").alias("files")).limit(MAX_HEADERS + 1).collect()
-    if len(groups) > MAX_HEADERS:
-        raise ValueError(f"more than {MAX_HEADERS} different CSV headers below {path}")
-    return [(g["header"], sorted(g["files"])) for g in groups]
+    rows = _whole_csv(spark, path, recursive) if multi_line else _split_csv(spark, path, recursive)
+    return _chunks(rows.filter(strip(F.col("content")) != ""), "csv", "row_number")
 
 
-def read_csv_rows(spark: SparkSession, path, recursive: bool = True, one_header: bool = False,
-                  multi_line: bool = True) -> DataFrame:
-    """One chunk per CSV row, cells labelled by the header of their own file.
+def _whole_csv(spark: SparkSession, path, recursive: bool) -> DataFrame:
+    df = with_source_metadata(_files(spark, path, EXTENSIONS["csv"], recursive))
+    df = df.select("source", decode_bytes(F.col("content")).alias("text"))
+    empty, most, names = frozenset(NO_VALUE), 10_000, ["source", "content", "row_number"]
 
-    Files are read by Spark's CSV reader, once per distinct header. With
-    ``one_header`` the first pass that looks for headers is left out. Quoted
-    line breaks need ``multi_line``, which reads a file in one task; without
-    it large files are split.
-    """
-    if one_header:
-        groups = [path if isinstance(path, list) else [path]]
-    else:
-        groups = [files for _, files in csv_headers(spark, path, recursive)]
-    parts = []
-    for files in groups:
-        reader = spark.read.option("pathGlobFilter", _glob(EXTENSIONS["csv"]))
-        reader = reader.option("recursiveFileLookup", str(recursive).lower())
-        table = reader.csv(files, header=True, multiLine=multi_line, quote='"', escape='"')
-        parts.append(_csv_chunks(table))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _csv_chunks(table: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        csv.field_size_limit(2**31 - 1)
+        for batch in batches:
+            for at, text in enumerate(batch.column("text")):
+                rows = (r for r in csv.reader(io.StringIO((text.as_py() or "").removeprefix("\ufeff"), newline="")) if r)
+                header = [name or f"_c{i}" for i, name in enumerate(next(rows, []))]
+                start = 0
+                while some := list(islice(rows, most)):
+                    found = [" | ".join(f"{n}: {c}" for n, c in zip(header, row) if c not in empty) for row in some]
+                    numbers = pa.array(range(start, start + len(some)), pa.int64())
+                    source = batch.column("source").take(pa.array([at] * len(some)))
+                    yield pa.RecordBatch.from_arrays([source, pa.array(found, pa.string()), numbers], names=names)
+                    start += len(some)
+
+    return df.mapInArrow(run, f"source {df.schema['source'].dataType.simpleString()}, content string, row_number long")
+
+
+def csv_cells(line: Column) -> Column:
+    """Cells of a CSV line without line breaks inside; doubled quotes stand for one."""
+    cells = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(r',("(?:[^"]|"")*"|[^,]*)'), F.lit(1))
+    return F.transform(
+        cells, lambda c: F.when(c.startswith('"'), F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).otherwise(c)
+    )
+
+
+def _split_csv(spark: SparkSession, path, recursive: bool) -> DataFrame:
+    reader = spark.read.option("pathGlobFilter", _glob(EXTENSIONS["csv"])).option("recursiveFileLookup", str(recursive).lower())
     meta = F.col("_metadata")
-    rows = table.select(
-        row_text(table.columns).alias("content"), meta["file_path"].alias("file_path"),
-        meta["file_name"].alias("file_name"), meta["file_size"].alias("file_size"),
-        meta["file_modification_time"].alias("modified_at"), meta["file_block_start"].alias("block"),
-        F.monotonically_increasing_id().alias("at"),
+    lines = reader.text(path).filter(F.trim("value") != "").select(
+        "value", meta["file_path"].alias("file_path"), meta["file_name"].alias("file_name"), meta["file_size"].alias("file_size"),
+        meta["file_modification_time"].alias("modified_at"), meta["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("at"),
     )
-    # Row numbers: place in the split plus the rows of the file's earlier splits.
-    splits = rows.groupBy("file_path", "block").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
-    earlier = Window.partitionBy("file_path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
-    rows = rows.join(splits, ["file_path", "block"])
-    rows = rows.withColumn("row_number", F.col("at") - F.col("first") + F.col("before"))
+    # A row for each split: where its lines start in the file, and the header, which is the file's first line.
+    splits = lines.groupBy("file_path", "block").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"), F.min_by("value", "at").alias("top"))
+    so_far = Window.partitionBy("file_path").orderBy("block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    header = F.transform(csv_cells(F.first("top").over(so_far)), lambda name, i: F.when(name == "", F.concat(F.lit("_c"), i)).otherwise(name))
+    splits = splits.select("file_path", "block", "first", (F.sum("n").over(so_far) - F.col("n")).alias("before"), header.alias("header"))
+    rows = lines.join(splits, ["file_path", "block"])
+    number = F.col("at") - F.col("first") + F.col("before") - 1
+
+    def cell(pair: Column) -> Column:
+        return F.when(~pair["value"].isin(NO_VALUE) & pair["name"].isNotNull(), F.concat(pair["name"], F.lit(": "), pair["value"]))
+
+    pairs = F.arrays_zip(F.col("header").alias("name"), csv_cells(F.col("value")).alias("value"))
     source = F.struct(
         "file_path", "file_name", "file_size", F.lit(".csv").alias("file_type"), F.lit("utf-8").alias("encoding"),
         F.lit(None).cast("string").alias("hash_value"), "modified_at",
     )
-    rows = rows.select(source.alias("source"), "content", "row_number").filter(strip(F.col("content")) != "")
-    return _chunks(rows, "csv", "row_number")
+    return rows.select(source.alias("source"), F.concat_ws(" | ", F.transform(pairs, cell)).alias("content"), number.alias("row_number")).filter("row_number >= 0")
 
 
 def json_leaves(df: DataFrame, json_col: str, min_length: int = 10) -> DataFrame:

@@ -45,6 +45,21 @@ def test_csv_with_different_headers(spark, tmp_path):
         (0, "name: x | note: one, two"), (1, "name: y"), (3, "name: z | note: line\nbreak"), (0, "note: hello | name: q")]
 
 
+def test_csv_without_line_breaks_and_many_headers(spark, tmp_path):
+    write(tmp_path, "a.csv", 'name,note,,"a ""b"""\nx,"one, ""two""",3,4,5\n\n,,\n"","",,z\n')
+    for i in range(150):
+        write(tmp_path, f"many/f{i}.csv", f"h{i},k\nv{i},\n")
+    want = [(0, 'name: x | note: one, "two" | _c2: 3 | a "b": 4'), (2, 'a "b": z')]
+    for multi_line in (True, False):
+        rows = files.read_csv_rows(spark, str(tmp_path), multi_line=multi_line)
+        got = rows.filter("source.file_name = 'a.csv'").orderBy("row_number").collect()
+        assert [(r["row_number"], r["content"]) for r in got] == want
+        many = {r["content"] for r in rows.filter("source.file_name != 'a.csv'").collect()}
+        assert many == {f"h{i}: v{i}" for i in range(150)}
+    (tmp_path / "none").mkdir()
+    assert files.read_csv_rows(spark, str(tmp_path / "none")).count() == files.read_csv_rows(spark, str(tmp_path / "none"), multi_line=False).count() == 0
+
+
 def test_csv_row_numbers_across_splits(spark, tmp_path):
     write(tmp_path, "big.csv", "id,text\n" + "".join(f"{i},some words {i}\n" for i in range(3000)))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "10k")
