@@ -54,9 +54,10 @@ class DocumentLimits:
     min_entropy_unigram: float = 2.0
 
 
-def auto_generated(lines: Column, head: int = 5) -> Column:
-    """No generator notice in the first lines."""
-    return ~F.exists(F.slice(lines, F.lit(1), F.lit(head)), lambda s: s.rlike(GENERATED_MARKS))
+def auto_generated(lines: Column, head: int | None = 5) -> Column:
+    """No generator notice in the first ``head`` lines, or in any without it."""
+    some = lines if head is None else F.slice(lines, F.lit(1), F.lit(head))
+    return ~F.exists(some, lambda s: s.rlike(GENERATED_MARKS))
 
 
 def length_sample(lines: Column, max_lines: int = 100_000, max_mean: float = 100, max_line: int = 1000) -> Column:
