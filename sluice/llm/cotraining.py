@@ -308,7 +308,8 @@ def cotrain(
     one. For each target at most ``labelled`` of its ids, picked by a hash, are
     used: four fifths train, one fifth calibrates. Every round scores all other
     rows with both views; all those to which a view gives a label with a
-    calibrated probability of at least ``SURE`` teach the other view. The
+    calibrated probability of at least ``SURE`` teach the other view (rows without
+    id are scored, but teach nothing). The
     views are probabilities by one view alone, the score combines both. Null
     texts are empty, null metadata is a value of its own; an id that labels
     give twice counts once, with the larger value. Where labels are missing
