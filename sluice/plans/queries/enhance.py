@@ -9,6 +9,7 @@ from sluice.functions.text import CJK, CJK_RUN, barrier
 from sluice.operators import enhance as E
 from sluice.operators.reports import category_counts
 from sluice.plans.queries.clean import s_marked
+from sluice.operators.dictionary import dictionary_table, extract_terms_by_table
 from sluice.plans.queries.registry import (
     ZH, query, s_list, s_pick, s_str, s_strip, table, zh_documents,
 )
@@ -55,6 +56,19 @@ def _(spark, sf):
                        F.when(F.col("entity_info").isNotNull(), _map_text(F.col("entity_info"))).alias("facts"))
 
 
+@query("terms_from_dictionary_table", f"""
+with {TERMS}, flat as (select doc_id, names, unnest(names) as w from named)
+select doc_id, list_position(names, w) - 1 as ordinal, w as term, {KIND} as type, {TRUST} as confidence, {ALIASES} as aliases, {FACTS} as facts from flat""")
+def _(spark, sf):
+    # The knowledge base among a word for every part, which no text holds.
+    parts = table(spark, sf, "part").select(F.concat(F.lit("零件"), "p_partkey").alias("term"), F.lit("term").alias("kind"), F.array("p_brand").alias("aliases"))
+    words = dictionary_table(spark, KB).unionByName(parts, allowMissingColumns=True)
+    rows = E.term_rows(extract_terms_by_table(zh_documents(spark, sf), words), "doc_id")
+    return rows.select("doc_id", "ordinal", "term", "type", "confidence",
+                       F.when(F.col("aliases").isNotNull(), F.array_join("aliases", "|")).alias("aliases"),
+                       F.when(F.col("entity_info").isNotNull(), _map_text(F.col("entity_info"))).alias("facts"))
+
+
 ENGLISH = ["the", "and", "with", "this", "water", "river", "for", "that", "water quality", "from"]
 
 

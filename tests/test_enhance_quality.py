@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 from sluice.functions import values as V
 from sluice.operators import enhance as E
 from sluice.operators import quality as Q
+from sluice.operators.dictionary import dictionary_table, extract_terms_by_table
 
 HIGH = ("长江流域水文监测系统包括水文站和雨量站。由于2023年汛期降雨量达到1200mm，水库调度采用新的技术方法，因此防洪效果明显。"
         "首先，监测数据显示水位上升2.5m；其次，径流增加15%。最后，生态保护和水质治理措施得到应用，大坝运行稳定！工程管理制度和规划正在完善？")
@@ -99,3 +100,21 @@ def test_median_by_histogram_equals_percentile(spark):
     assert Q.exact_median(counts).first()["median"] == exact
     even = spark.createDataFrame([("m", 0.1, 1), ("m", 0.2, 1), ("m", 0.4, 1), ("m", 0.9, 1)], "metric string, score double, n bigint")
     assert abs(Q.exact_median(even).first()["median"] - 0.3) < 1e-12
+
+
+def test_dictionary_table_gives_the_same_terms(spark):
+    kb = E.Knowledge().updated(terms={"水文监测": ["甲"], "水文监": ["乙"], "测系": [], "the": [], "三峡": ["丙"]}, entities={"三峡": {"a": "b"}, "预警系统": {"k": "v"}})
+    texts = [HIGH, "水文监测系统与水文监", "", None, "the 三峡预警系统 the", "测系测系统", HIGH]
+    df = spark.createDataFrame([(i % 5, t) for i, t in enumerate(texts)], "id int, content string").repartition(3)
+    want = df.select("id", "content", E.chinese_terms(F.coalesce("content", F.lit("")), kb).alias("extracted_terms"))
+    got = extract_terms_by_table(df, dictionary_table(spark, kb).unionByName(dictionary_table(spark, kb).limit(2)))
+    assert got.columns == want.columns
+
+    def plain(df):
+        return sorted(str((r.id, r.content, [(t.term, t.type, t.confidence, t.aliases, sorted((t.entity_info or {}).items())) for t in r.extracted_terms])) for r in df.collect())
+
+    assert plain(got) == plain(want)
+    assert extract_terms_by_table(df.limit(0), dictionary_table(spark, kb)).count() == 0
+    more = spark.range(100_000).selectExpr("concat('词', id) as term", "'term' as kind", "array('x') as aliases", "cast(null as map<string,string>) as entity_info")
+    (row,) = extract_terms_by_table(df.limit(1).withColumn("content", F.lit("有词777和词99999")), more).collect()
+    assert [t["term"] for t in row["extracted_terms"]] == []
