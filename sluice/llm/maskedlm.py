@@ -27,14 +27,14 @@ from sluice.session import durable
 SINGLE, GROUPS, MEMBERS, HIDDEN = 3072, 64, 64, 16
 CLASSES = GROUPS * MEMBERS
 # Common words whose counts every task holds; the counts of all others are joined.
-KNOWN = 1 << 17
+KNOWN = 1 << 18
 # Places seen: offsets from the masked word.
 AROUND = (-2, -1, 1, 2)
 # Tokens of one shard of documents, which one network sees between two averages. A shard depends on ids and texts
 # alone, so files and partitions do not change what is learnt.
 SHARD_TOKENS = 1 << 18
 # A round trains on one shard in ``ROUNDS``, the next round on others: every token trains once.
-ROUNDS, BATCH, RATE = 4, 4096, 0.02
+ROUNDS, BATCH, RATE = 4, 8192, 0.03
 # Parts in which networks are averaged, and shards that one task trains on.
 PARTS, SHARDS_PER_TASK = 64, 4
 
@@ -173,62 +173,63 @@ class Network:
         found, rows = np.empty(len(target)), np.arange(len(target))
         total = 0
         for out, at in ((hidden @ self.parts[2] + self.parts[3], group), (self.members(hidden, group)[0], member)):
-            out -= out.max(axis=1, keepdims=True)
-            total = total + out[rows, at] - np.log(np.exp(out).sum(axis=1))
+            own = out[rows, at]
+            total = total + own - np.log(np.exp(out, out=out).sum(axis=1))
         found[order] = total
         return found
 
-    def gradient(self, context: np.ndarray, target: np.ndarray) -> tuple[list[np.ndarray], list[tuple[np.ndarray, np.ndarray]]]:
-        """Of the mean loss: for each part but the first, and for each place the rows of its table that are met, with theirs."""
+    def gradient(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """Of the mean loss, by all parameters."""
         order = np.argsort(target, kind="stable")
         context, target = context[:, order], target[order]
         group, member = np.divmod(target, MEMBERS)
         hidden, rows = self.hidden(context), np.arange(len(target))
         first = hidden @ self.parts[2] + self.parts[3]
         second, runs = self.members(hidden, group)
+        share = np.float32(1 / len(target))
         for out, at in ((first, group), (second, member)):
-            out -= out.max(axis=1, keepdims=True)
+            # Hidden values lie between -1 and 1, so no weight that learning gives makes this overflow.
             np.exp(out, out=out)
-            out /= out.sum(axis=1, keepdims=True)
-            out[rows, at] -= 1
-            out /= len(target)
-        layers, layer_bias = np.zeros_like(self.parts[4]), np.zeros_like(self.parts[5])
+            out *= (share / out.sum(axis=1))[:, None]
+            out[rows, at] -= share
+        gradient = np.zeros(len(self.values), dtype=np.float32)
+        tables, bias, groups, group_bias, layers, layer_bias = self.split(gradient)
         back = first @ self.parts[2].T
         for g, run in runs:
             back[run] += second[run] @ self.parts[4][g].T
             layers[g] = hidden[run].T @ second[run]
             layer_bias[g] = second[run].sum(axis=0)
+        groups[:], group_bias[:] = hidden.T @ first, first.sum(axis=0)
         back *= 1 - hidden**2
-        places = []
-        for classes in context:
-            by = np.argsort(classes, kind="stable")
-            classes = classes[by]
-            starts = np.flatnonzero(np.diff(classes, prepend=-1))
-            places.append((classes[starts], np.add.reduceat(back[by], starts, axis=0)))
-        return [back.sum(axis=0), hidden.T @ first, first.sum(axis=0), layers, layer_bias], places
+        bias[:] = back.sum(axis=0)
+        flat, columns = back.ravel(), np.arange(HIDDEN)
+        for table, classes in zip(tables, context):
+            at = classes.astype(np.int64)[:, None] * HIDDEN + columns
+            table.ravel()[:] = np.bincount(at.ravel(), flat, minlength=table.size)
+        return gradient
 
 
 class Adam:
-    """Steps by running means of gradients and of their squares; rows of the tables move when they are met."""
+    """Steps by running means of gradients and of their squares."""
 
     def __init__(self, network: Network):
-        empty = np.zeros_like(network.values)
         self.network, self.time = network, 0
-        self.mean, self.square = network.split(empty), network.split(empty.copy())
+        self.mean, self.square, self.room = (np.zeros_like(network.values) for _ in range(3))
 
-    def step(self, dense: list[np.ndarray], places: list[tuple[np.ndarray, np.ndarray]], rate: float) -> None:
+    def step(self, gradient: np.ndarray, rate: float) -> None:
         self.time += 1
         rate *= np.sqrt(1 - 0.99**self.time) / (1 - 0.9**self.time)
-        for part, mean, square, gradient in zip(self.network.parts[1:], self.mean[1:], self.square[1:], dense):
-            mean *= 0.9
-            mean += 0.1 * gradient
-            square *= 0.99
-            square += 0.01 * gradient * gradient
-            part -= rate * mean / (np.sqrt(square) + 1e-6)
-        for table, means, squares, (rows, gradient) in zip(self.network.parts[0], self.mean[0], self.square[0], places):
-            mean = means[rows] = 0.9 * means[rows] + 0.1 * gradient
-            square = squares[rows] = 0.99 * squares[rows] + 0.01 * gradient * gradient
-            table[rows] -= rate * mean / (np.sqrt(square) + 1e-6)
+        room = self.room
+        self.mean *= 0.9
+        self.mean += np.multiply(gradient, np.float32(0.1), out=room)
+        self.square *= 0.99
+        gradient *= gradient
+        self.square += np.multiply(gradient, np.float32(0.01), out=room)
+        np.sqrt(self.square, out=room)
+        room += 1e-6
+        np.divide(self.mean, room, out=room)
+        room *= rate
+        self.network.values -= room
 
 
 def contexts(classes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -319,7 +320,7 @@ def train(shards: DataFrame, network: Network, number: int) -> Network:
         around, target = around[:, chosen], classes[chosen]
         steps_ = range(0, len(target), size)
         for done, at in enumerate(steps_):
-            adam.step(*own.gradient(around[:, at : at + size], target[at : at + size]), rate * (1 - 0.9 * done / len(steps_)))
+            adam.step(own.gradient(around[:, at : at + size], target[at : at + size]), rate * (1 - 0.9 * done / len(steps_)))
         return own.values
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
