@@ -11,6 +11,7 @@ the merges leave ``p t`` as it is.
 from __future__ import annotations
 
 import json
+import re
 from array import array
 from collections.abc import Iterable, Iterator
 from itertools import chain
@@ -21,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 from sluice.llm.workers import lists, once, steps
 
@@ -28,6 +30,10 @@ from sluice.llm.workers import lists, once, steps
 REMEMBERED = 250_000
 
 
+# Latin letters in lower case with at most one mark behind them.
+_LATIN = re.compile(r"([a-z\u00df-\u00f6\u00f8-\u012f\u0131-\u024f]+)([!-/:-@\[-`{-~]?)").fullmatch
+
+
 class TrieEncoder:
     """Encodes texts with the vocabulary and merges of a tokenizer file."""
 
@@ -50,12 +56,14 @@ class TrieEncoder:
         self.sizes = _sizes_by_tail(vocab, self.end)
         library = Tokenizer.from_file(path)
         self.normalizer, self.pre_tokenizer = library.normalizer, library.pre_tokenizer
+        # How Latin letters are written in byte-level words.
+        bytes_of = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.latin = {c: bytes_of.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x250)}
         self.pairs: dict[tuple[int, int], bool] = {}
         self.single: dict[int, bool] = {}
-        # Of each spelling its ids, as 32-bit numbers, and their tokens joined by spaces.
-        self.known: tuple[dict[str, bytes], dict[str, str]] = ({}, {})
-        self.older: tuple[dict[str, bytes], dict[str, str]] = ({}, {})
-        self.blank: set[str] = set()
+        # Of each spelling its ids, as 32-bit numbers.
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     # ---- which tokens may stand side by side
 
@@ -171,17 +179,17 @@ class TrieEncoder:
                 if text[:-1].isalpha() and text[-1].isprintable() and not text[-1].isdigit():
                     yield [text[:-1], text[-1]]
                     continue
+            elif found := _LATIN(text):
+                letters = found[1].translate(self.latin)
+                yield [letters, found[2]] if found[2] else [letters]
+                continue
             yield [w for w, _ in self.pre_tokenizer.pre_tokenize_str(text)]
 
-    def _learn(self, spellings: list[str]) -> None:
+    def _learn(self, spellings: list[str]) -> dict[str, bytes]:
         """Encodings of pieces of text that are not remembered."""
         cut = dict(zip(spellings, self._parts(spellings)))
-        words = self.words(set(chain.from_iterable(cut.values())))
-        tokens = self.tokens
-        ids = {w: array("i", found).tobytes() for w, found in words.items()}
-        texts = {w: " ".join([tokens[i] for i in found]) for w, found in words.items()}
-        self.known[0].update((s, ids[p[0]] if len(p) == 1 else b"".join([ids[w] for w in p])) for s, p in cut.items())
-        self.known[1].update((s, texts[p[0]] if len(p) == 1 else " ".join([texts[w] for w in p])) for s, p in cut.items())
+        words = {w: array("i", ids).tobytes() for w, ids in self.words(set(chain.from_iterable(cut.values()))).items()}
+        return {s: words[p[0]] if len(p) == 1 else b"".join([words[w] for w in p]) for s, p in cut.items()}
 
     def _segments(self, text: str) -> list[list[str] | int]:
         """Spellings between white space, and ids of special tokens written in the text."""
@@ -198,48 +206,28 @@ class TrieEncoder:
         return parts
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text, as the tokenizer gives them without added special tokens."""
-        return [np.frombuffer(ids, np.int32) for ids, _ in self.encode_and_decode(texts)]
-
-    def encode_and_decode(self, texts: list[str]) -> list[tuple[bytes, str]]:
-        """Ids of each text, as 32-bit numbers, and what they decode to.
+        """Ids of each text, as the tokenizer gives them without added special tokens.
 
         Spellings are remembered in two generations of bounded size, so that
         frequent ones stay.
         """
         cut = [self._segments(t) for t in texts]
         met = set(chain.from_iterable(p for parts in cut for p in parts if isinstance(p, list)))
-        known, texts_of = self.known
+        known, old = self.known, self.older
         fresh = [s for s in met if s not in known]
-        old, old_texts = self.older
-        back = [s for s in fresh if s in old]
-        known.update((s, old[s]) for s in back)
-        texts_of.update((s, old_texts[s]) for s in back)
-        self._learn([s for s in fresh if s not in old])
-        # A spelling that the tokenizer drops has no tokens.
-        none = {s for s in fresh if not known[s]}
-        self.blank |= none
-        out = []
-        for parts in cut:
-            ids, words = [], []
-            for p in parts:
-                if isinstance(p, list):
-                    if self.blank and not self.blank.isdisjoint(p):
-                        p = [s for s in p if s not in self.blank]
-                    ids.append(b"".join(map(known.__getitem__, p)))
-                    words.append(" ".join(map(texts_of.__getitem__, p)))
-                else:
-                    ids.append(array("i", [p]).tobytes())
-                    words.append(self.tokens[p])
-            out.append((b"".join(ids), " ".join(filter(None, words))))
+        known |= {s: old[s] for s in fresh if s in old}
+        known |= self._learn([s for s in fresh if s not in old])
+        find = known.__getitem__
+        out = [
+            b"".join([b"".join(map(find, p)) if isinstance(p, list) else array("i", [p]).tobytes() for p in parts]) for parts in cut
+        ]
         if len(known) > REMEMBERED:
-            self.known, self.older, self.blank = ({}, {}), self.known, set()
-        return out
+            self.known, self.older = {}, known
+        return [np.frombuffer(ids, np.int32) for ids in out]
 
     def decode(self, ids: Iterable[int]) -> str:
         """Tokens joined by one space: the tokenizer names no decoder."""
-        tokens = self.tokens
-        return " ".join([tokens[i] for i in ids])
+        return " ".join(map(self.tokens.__getitem__, ids))
 
 
 def _sizes_by_tail(vocab: Iterable[str], end: str) -> dict[str, tuple[int, ...]]:
@@ -290,10 +278,10 @@ def encode(df: DataFrame, text_col: str, id_col: str, path: str, *, round_trip:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = once(("bpe", path), lambda: TrieEncoder(path))
         for part in steps(batches, "_text"):
-            found = encoder.encode_and_decode(part.column("_text").to_pylist())
-            columns = [part.column("_id"), lists([np.frombuffer(ids, np.int32) for ids, _ in found], np.int32)]
+            ids = encoder.encode(part.column("_text").to_pylist())
+            columns = [part.column("_id"), lists(ids, np.int32)]
             if round_trip:
-                columns.append(pa.array([text for _, text in found], pa.string()))
+                columns.append(pa.array([encoder.decode(i.tolist()) for i in ids], pa.string()))
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = f"_id {kind}, token_ids array<int>" + ", decoded string" * round_trip

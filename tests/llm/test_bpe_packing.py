@@ -120,9 +120,10 @@ def test_spellings_cut_here_have_the_ids_of_the_library(path, library):
     rng = random.Random(8)
     letters = "abcXYZäöÜßéÀÿŁİıǅɏ×÷µªʰж中'-,.!?`{0٣́­"
     texts = [" ".join("".join(rng.choice(letters) for _ in range(rng.randrange(1, 9))) + rng.choice(["", ",", "'", "s'", "..", "'s"]) for _ in range(400)) for _ in range(40)]
-    ids = packing.Ids(path)
-    for text, data in zip(texts, ids.encode(texts)):
-        assert np.frombuffer(data, np.uint32).tolist() == library.encode(text, add_special_tokens=False).ids
+    ids, own = packing.Ids(path), bpe.TrieEncoder(path)
+    for text, data, found in zip(texts, ids.encode(texts), own.encode(texts)):
+        want = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(data, np.uint32).tolist() == found.tolist() == want
 
 
 def test_names_of_columns_do_not_clash(spark):
