@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -11,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions.text import WORD
+from sluice.session import intermediates
 
 
 def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
@@ -29,7 +32,8 @@ def train_scorer(
     iterations: int = 40, penalty: float = 0.1,
 ) -> PipelineModel:
     """The fitted pipeline. Features are hashed to a fixed width, so nothing on the driver grows with the words; gradients
-    are summed in a tree over the partitions."""
+    are summed in a tree over the partitions. The model is stored in the shared folder and read back, without the table
+    and the session that a freshly fitted one still holds on to."""
     rows = labelled(docs, labels, id_col, text_col, label_col)
     stages = [
         RegexTokenizer(inputCol="_text", outputCol="_words", pattern=WORD, gaps=False),
@@ -42,7 +46,9 @@ def train_scorer(
             regParam=penalty, aggregationDepth=3,
         ),
     ]
-    return Pipeline(stages=stages).fit(rows)
+    folder = f"{intermediates(docs.sparkSession)}/model-{uuid.uuid4().hex}"
+    Pipeline(stages=stages).fit(rows).save(folder)
+    return PipelineModel.load(folder)
 
 
 def score_texts(model: PipelineModel, df: DataFrame, text_col: str, output: str = "score") -> DataFrame:

@@ -83,6 +83,8 @@ def test_scorer_on_held_out_rows(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     assert scorer.held_out_auc(docs, labels, "doc_id", "text", "quality") > 0.9
     few = labels.unionByName(labels.limit(1).select(F.lit(None).cast("long").alias("doc_id"), F.lit(1).alias("quality"), F.lit(None).cast("int").alias("toxic")).select(labels.columns))
+    # A session that has observed something can't be sent along with a model.
+    reports.watch(few, "labels seen")[0].count()
     model = scorer.train_scorer(docs, few, "doc_id", "text", "quality", iterations=5)
     odd = spark.createDataFrame([(1, None, 5), (2, "", 6)], "doc_id long, text string, label int")
     got = scorer.score_texts(model, odd, "text").collect()
