@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -10,8 +10,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.operators.similarity import dot
-from sluice.operators.skew import hot_keys, skew_join
 from sluice.session import durable
 
 # Floats of one block of queries and of one block of rows.
@@ -20,6 +18,8 @@ QUERY_FLOATS, ROW_FLOATS = 1 << 21, 1 << 20
 RUN_BLOCKS = 8
 # Queries multiplied with a block of rows at once.
 SLICE = 512
+# Queries looked up in the hash tables of a block at once, and blocks that rows are dealt to at least.
+HASH_SLICE, LEAST_BLOCKS = 128, 16
 # Scores are compared to so many digits, so that ties do not hang on the order of additions.
 DIGITS = 9
 
@@ -59,34 +59,58 @@ def top_k_neighbours(
     """
     asked = df if queries is None else df.filter(queries)
     rows, asking = durable(_vectors(df, id_col, vector_col)), durable(_vectors(asked, id_col, vector_col))
-    schema = "id long, run long, ids array<long>, scores array<double>"
     head, total, wanted = rows.first(), rows.count(), asking.count()
     width = len(head["v"]) if head else 1
-    best = _best(k)
     base = _blocks(rows, width, ROW_FLOATS, total)
-    blocks = max(1, -(-total * width // ROW_FLOATS))
-    ask = _blocks(asking, width, QUERY_FLOATS, wanted).select(
-        F.col("block").alias("query_block"), F.col("ids").alias("query_ids"), F.col("flat").alias("query_flat")
-    )
-    runs = -(-blocks // RUN_BLOCKS)
-    base = base.withColumn("run", F.floor(F.col("block") / RUN_BLOCKS))
+    return _met(base, _blocks(asking, width, QUERY_FLOATS, wanted), -(-total * width // ROW_FLOATS), RUN_BLOCKS, k, id_col)
+
+
+Candidates = Callable[[np.ndarray], Callable[[np.ndarray], np.ndarray]]
+
+
+def _met(
+    base: DataFrame, ask: DataFrame, blocks: int, run_blocks: int, k: int, id_col: str, candidates: Candidates | None = None
+) -> DataFrame:
+    """Every block of queries through every run of row blocks, and the best ``k`` of the lists that come of it.
+
+    ``candidates`` takes the rows of a block and gives a function from some
+    queries to a table of truth values, which row is to be compared with which
+    query; without it all are.
+    """
+    schema = "id long, run long, ids array<long>, scores array<double>"
+    best = _best(k)
+    ask = ask.select(F.col("block").alias("query_block"), F.col("ids").alias("query_ids"), F.col("flat").alias("query_flat"))
+    runs = max(1, -(-blocks // run_blocks))
+    base = base.withColumn("run", F.floor(F.col("block") / run_blocks))
     ask = ask.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(runs - 1).cast("long"))))
 
+    def compared(own: np.ndarray, rows: np.ndarray, step: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Number of a query, rows it is compared with, and their scores."""
+        chosen = candidates(rows) if candidates else None
+        for at in range(0, len(own), step):
+            part = own[at : at + step]
+            if chosen is None:
+                every = np.arange(len(rows))
+                for i, scores in enumerate(np.round(part @ rows.T, DIGITS), at):
+                    yield i, every, scores
+            else:
+                for i, met in enumerate(chosen(part), at):
+                    met = np.flatnonzero(met)
+                    yield i, met, np.round(rows[met] @ own[i], DIGITS)
+
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out: dict[str, list] = {"id": [], "run": [], "ids": [], "scores": []}
         for own_ids, own_flat in zip(left["query_ids"], left["query_flat"]):
-            own_ids, own = np.asarray(own_ids), np.asarray(own_flat).reshape(len(own_ids), -1)
+            own_ids, own = np.asarray(own_ids), np.asarray(own_flat, dtype=np.float64).reshape(len(own_ids), -1)
             lists = [(np.zeros(0, np.int64), np.zeros(0))] * len(own_ids)
             for ids, flat in zip(right["ids"], right["flat"]):
-                ids, base_rows = np.asarray(ids), np.asarray(flat).reshape(len(ids), -1)
-                for at in range(0, len(own), SLICE):
-                    scores = np.round(own[at : at + SLICE] @ base_rows.T, DIGITS)
-                    scores[own_ids[at : at + SLICE, None] == ids[None, :]] = -np.inf
-                    for i, row in enumerate(scores, at):
-                        # Everything at least as good as the k-th best, so that ties are settled by id.
-                        least = np.partition(row, len(row) - k)[len(row) - k] if len(row) > k else -np.inf
-                        near = np.flatnonzero((row >= least) & np.isfinite(row))
-                        lists[i] = best(np.append(lists[i][0], ids[near]), np.append(lists[i][1], row[near]))
+                ids, rows = np.asarray(ids), np.asarray(flat, dtype=np.float64).reshape(len(ids), -1)
+                for i, met, scores in compared(own, rows, SLICE if candidates is None else HASH_SLICE):
+                    scores[ids[met] == own_ids[i]] = -np.inf
+                    # Everything at least as good as the k-th best, so that ties are settled by id.
+                    least = np.partition(scores, len(scores) - k)[len(scores) - k] if len(scores) > k else -np.inf
+                    near = np.flatnonzero((scores >= least) & np.isfinite(scores))
+                    lists[i] = best(np.append(lists[i][0], ids[met[near]]), np.append(lists[i][1], scores[near]))
             out["id"] += own_ids.tolist()
             out["run"] += [int(left["run"].iloc[0])] * len(own_ids)
             out["ids"] += [found for found, _ in lists]
@@ -123,56 +147,68 @@ def approximate_neighbours(
     under the keys that flip up to ``flips`` of the planes it lies nearest to.
     Candidates are verified by their exact dot product. Rows with one vector
     are entered once, under their smallest ids, ``k`` and one at most: no
-    result can name more of them. Keys that hold very many rows are spread
-    over tasks, and no bucket is cut. ``bits`` follows the number of rows.
+    result can name more of them. ``bits`` follows the number of rows.
+
+    Rows and queries are dealt in blocks as for the exact search, by a hash of
+    the id, so a key that holds very many rows is spread over all tasks. A task
+    enters its rows in the tables and looks its queries up there: keys, probes
+    and candidate pairs are made where they are used and never shuffled, only
+    vectors and short lists are. No bucket is cut.
     """
-    rows = durable(_vectors(df, id_col, vector_col))
-    asking = _vectors(df if queries is None else df.filter(queries), id_col, vector_col)
-    head, total = rows.first(), rows.count()
+    kind = "float" if df.schema[vector_col].dataType.simpleString() == "array<float>" else "double"
+
+    def vectors(rows: DataFrame) -> DataFrame:
+        return _vectors(rows, id_col, vector_col).withColumn("v", F.col("v").cast(f"array<{kind}>"))
+
+    asking = durable(vectors(df if queries is None else df.filter(queries)))
+    # Of equal vectors the smallest ids stand for all.
+    groups = vectors(df).groupBy("v").agg(F.slice(F.array_sort(F.collect_list("id")), 1, k + 1).alias("ids"), F.count(F.lit(1)).alias("rows"))
+    groups = durable(groups)
+    total, kept = groups.agg(F.sum("rows"), F.sum(F.size("ids"))).first()
+    total, kept, wanted, head = total or 0, kept or 0, asking.count(), groups.first()
     width = len(head["v"]) if head else 1
     bits = bits or max(4, int(np.log2(max(total, 2) / 64)))
     planes = hash_planes(width, tables, bits)
     masks = [sum(1 << i for i in c) for r in range(flips + 1) for c in combinations(range(min(bits, 6)), r)]
 
-    def keys(probe: bool):
-        @F.pandas_udf("array<long>")
-        def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            for batch in batches:
-                v = np.stack(batch.to_numpy()) if len(batch) else np.zeros((0, width))
-                sides = np.einsum("tbw,nw->ntb", planes, v)
-                home = ((sides > 0) << np.arange(bits)).sum(axis=2)
-                if probe:
-                    # Bit i of a mask flips the plane that is i-th nearest.
-                    near = np.argsort(np.abs(sides), axis=2)[:, :, : min(bits, 6)]
-                    turned = np.zeros(home.shape + (len(masks),), dtype=np.int64)
-                    for m, mask in enumerate(masks):
-                        for i in range(near.shape[2]):
-                            if mask >> i & 1:
-                                turned[:, :, m] ^= 1 << near[:, :, i]
-                    home = home[:, :, None] ^ turned
-                    home += (np.arange(tables) << 32)[None, :, None]
-                else:
-                    home = home + (np.arange(tables) << 32)[None, :]
-                yield pd.Series(list(home.reshape(len(v), -1).astype(np.int64)), dtype=object)
-
-        return of
-
-    # Of equal vectors the smallest ids stand for all.
-    groups = rows.groupBy("v").agg(F.min("id").alias("lead"), F.slice(F.array_sort(F.collect_list("id")), 1, k + 1).alias("ids"))
-    groups = durable(groups)
-    entered = groups.select("lead", F.explode(keys(False)("v")).alias("key"))
-    looked = durable(asking.select("id", F.explode(keys(True)("v")).alias("key")))
-    met = skew_join(entered, looked, ["key"], hot=hot_keys(entered, ["key"])).select("id", "lead").distinct()
-    scored = met.join(asking.withColumnRenamed("v", "own"), "id").join(groups, "lead")
-    scored = scored.select("id", F.explode("ids").alias("neighbour"), F.round(dot(F.col("own"), F.col("v")), DIGITS).alias("score"))
-    near = F.struct((-F.col("score")).alias("low"), "neighbour")
-    # Of each partition's candidates the best k leave it.
-    part = F.pmod(F.xxhash64("neighbour"), F.lit(64))
-    best = scored.filter("id != neighbour").groupBy("id", part.alias("part")).agg(F.slice(F.array_sort(F.collect_list(near)), 1, k).alias("near"))
-    best = best.groupBy("id").agg(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k).alias("near"))
-    return best.select(F.col("id").alias(id_col), F.posexplode("near").alias("at", "near")).select(
-        id_col, (F.col("at") + 1).alias("rank"), F.col("near.neighbour").alias("neighbour"), (-F.col("near.low")).alias("score")
-    )
+    def homes(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Key of every vector in every table, and the sides of the planes it follows from."""
+        sides = np.einsum("tbw,nw->ntb", planes, v, optimize=True)
+        return ((sides > 0) << np.arange(bits)).sum(axis=2), sides
+
+    def probes(v: np.ndarray) -> np.ndarray:
+        home, sides = homes(v)
+        # Bit i of a mask flips the plane that is i-th nearest.
+        near = np.argsort(np.abs(sides), axis=2)[:, :, : min(bits, 6)]
+        turned = np.zeros(home.shape + (len(masks),), dtype=np.int64)
+        for m, mask in enumerate(masks):
+            for i in range(near.shape[2]):
+                if mask >> i & 1:
+                    turned[:, :, m] ^= 1 << near[:, :, i]
+        return home[:, :, None] ^ turned
+
+    def entered(rows: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
+        """The hash tables of a block of rows."""
+        home = np.concatenate([homes(rows[at : at + SLICE])[0] for at in range(0, len(rows), SLICE)])
+        order = np.argsort(home, axis=0, kind="stable")
+        keys = np.take_along_axis(home, order, axis=0)
+
+        def looked(own: np.ndarray) -> np.ndarray:
+            met = np.zeros((len(own), len(rows)), dtype=bool)
+            asked = probes(own)
+            for t in range(tables):
+                low = np.searchsorted(keys[:, t], asked[:, t].ravel(), "left")
+                many = np.searchsorted(keys[:, t], asked[:, t].ravel(), "right") - low
+                places = np.arange(many.sum()) + np.repeat(low - np.cumsum(many) + many, many)
+                met[np.repeat(np.arange(len(own)), many.reshape(len(own), -1).sum(axis=1)), order[places, t]] = True
+            return met
+
+        return looked
+
+    # Of few rows, too, there are blocks enough for many tasks.
+    floats = max(1, min(ROW_FLOATS, -(-kept * width // LEAST_BLOCKS)))
+    base = _blocks(groups.select(F.explode("ids").alias("id"), "v"), width, floats, kept)
+    return _met(base, _blocks(asking, width, QUERY_FLOATS, wanted), -(-kept * width // floats), 1, k, id_col, entered)
 
 
 def recall(found: DataFrame, exact: DataFrame, id_col: str) -> float:

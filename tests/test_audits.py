@@ -79,6 +79,20 @@ def test_hash_tables_reach_their_recall(spark):
     assert N.approximate_neighbours(df.limit(0), "vec_id", "embedding").count() == 0
 
 
+def test_hash_tables_shuffle_no_pairs(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(600, 16)))]
+    # Ids and vectors that come twice, a vector under two ids, and rows that neither ask nor answer.
+    rows += rows[:40] + [(600, rows[3][1]), (None, rows[5][1]), (601, None)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = N.approximate_neighbours(df, "vec_id", "embedding", 4, F.col("vec_id") % 50 == 0, flips=6)
+    # Vectors and lists of results are dealt, candidate pairs are not.
+    made = found._jdf.queryExecution().optimizedPlan().toString()
+    assert made.count("Join ") == 1 and "CoGroupsInPandas" in made
+    exact = N.top_k_neighbours(df, "vec_id", "embedding", 4, F.col("vec_id") % 50 == 0)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, exact.collect()))
+
+
 def test_scorer_on_held_out_rows(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     assert scorer.held_out_auc(docs, labels, "doc_id", "text", "quality") > 0.9
