@@ -13,6 +13,10 @@ from sluice.functions.text import WORD_CHARS, find_all, let
 from sluice.session import durable
 
 BLOCK_FLOATS = 1 << 20
+# Blocks travel in bundles of at most so many floats; of few rows, too, there are bundles enough for many tasks.
+BUNDLE_FLOATS, LEAST_BUNDLES = 1 << 22, 4
+# Scores that a task holds at once.
+SCORES = 1 << 21
 MAX_SUMMARY_FLOATS = 1 << 24
 
 
@@ -32,8 +36,11 @@ def most_similar(df: DataFrame, id_col: str, vector_col: str, block_rows: int |
     Rows are grouped with their nearest pivot and cut into blocks of a few
     megabytes. Each block finds its own best matches first, which gives a lower
     bound; a pair of blocks is compared only if centre and radius of the two
-    allow a better match. Comparisons are matrix products inside tasks and
-    only the best match per row leaves a task. Ties go to the smaller id.
+    allow a better match. Blocks travel in bundles of some megabytes: a task
+    meets two bundles and compares those of their blocks that need it, so what
+    is shuffled grows with the number of bundles, not of pairs of blocks.
+    Comparisons are matrix products inside tasks and only the best match per
+    row leaves a task. Ties go to the smaller id.
     """
     rows = df.filter(F.col(vector_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<float>").alias("v")
@@ -55,22 +62,28 @@ def most_similar(df: DataFrame, id_col: str, vector_col: str, block_rows: int |
     placed = placed.join(splits, "cluster").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     packed = durable(
         placed.groupBy("cluster", "part").applyInPandas(
-            _pack(), "block string, ids array<long>, flat array<float>, center array<float>, radius float, "
+            _pack(), "block string, cluster int, part int, ids array<long>, flat array<float>, center array<float>, radius float, "
                      "best array<float>, best_id array<long>"
         )
     )
     own = packed.select(F.inline(F.arrays_zip(
         F.col("ids").alias("id"), F.col("best").alias("score"), F.col("best_id").alias("other"))))
     own = own.toDF("id", "score", "other").filter("other is not null")
-    summary = packed.select("block", "center", "radius").toPandas()
+    summary = packed.select("block", "cluster", "part", "center", "radius").toPandas()
     if len(summary) > 1:
-        links = packed.select("block", "center", "radius", "best").mapInPandas(
-            _links(summary), "block string, target string"
-        )
-        left = packed.select("block", "ids", "flat", "best")
-        right = packed.select(F.col("block").alias("target"), F.col("ids").alias("ids_t"), F.col("flat").alias("flat_t"))
-        crossed = links.join(left, "block").join(right, "target").select("ids", "flat", "best", "ids_t", "flat_t")
-        own = own.unionByName(crossed.mapInPandas(_compare(), "id long, score float, other long"))
+        # Blocks of a cluster stay together, so that bundles far apart need not meet.
+        summary = summary.sort_values(["cluster", "part"], ignore_index=True)
+        bundles = min(len(summary), max(LEAST_BUNDLES, -(-total * width // BUNDLE_FLOATS)))
+        summary["bundle"] = summary.index * bundles // len(summary)
+        links = durable(packed.mapInPandas(_links(summary), "block string, bundle int, targets array<int>"))
+        met = links.select("bundle", F.explode("targets").alias("target")).distinct()
+        blocks = packed.join(links.select("block", "bundle"), "block").select("block", "bundle", "ids", "flat", "best", "center", "radius")
+        left = blocks.join(met, "bundle")
+        met = met.select(F.col("bundle").alias("bundle_t"), F.col("target").alias("target_t"))
+        right = blocks.select(F.col("bundle").alias("target_t"), *[F.col(c).alias(f"{c}_t") for c in ("block", "ids", "flat", "center", "radius")])
+        right = right.join(met, "target_t")
+        crossed = left.groupBy("bundle", "target").cogroup(right.groupBy("bundle_t", "target_t")).applyInPandas(_compare(), "id long, score float, other long")
+        own = own.unionByName(crossed)
     best = own.groupBy("id").agg(F.max(F.struct(F.col("score"), (-F.col("other")).alias("neg"))).alias("b"))
     return best.select(
         F.col("id").alias(id_col), (-F.col("b.neg")).alias("similar_id"), F.col("b.score").cast("double").alias("score")
@@ -106,15 +119,23 @@ def _pack():
                 top = scores.argmax(axis=1)
                 best[at : at + 1024] = scores[np.arange(len(scores)), top]
                 other[at : at + 1024] = [int(ids[t]) for t in top]
-        name = f"{frame['cluster'].iloc[0]}-{frame['part'].iloc[0]}"
-        return pd.DataFrame({"block": [name], "ids": [ids], "flat": [v.ravel()], "center": [center],
+        cluster, part = frame["cluster"].iloc[0], frame["part"].iloc[0]
+        return pd.DataFrame({"block": [f"{cluster}-{part}"], "cluster": [cluster], "part": [part], "ids": [ids], "flat": [v.ravel()], "center": [center],
                              "radius": [radius], "best": [best], "best_id": [other]})
 
     return pack
 
 
+def _allowed(center, radius: float, best, centers: np.ndarray, radii: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Which blocks may hold a better match for a row of the block given first."""
+    c = np.asarray(center, dtype=np.float64)
+    bound = centers @ c + np.sqrt((c**2).sum()) * radii + lengths * radius + radii * radius
+    return bound * (1 + 1e-4) + 1e-4 >= np.min(best)
+
+
 def _links(summary: pd.DataFrame):
-    names = summary["block"].to_numpy()
+    names, bundles = summary["block"].to_numpy(), summary["bundle"].to_numpy()
+    bundle_of = dict(zip(names, bundles))
     centers = np.stack(summary["center"].to_numpy()).astype(np.float64)
     radii = summary["radius"].to_numpy(dtype=np.float64)
     lengths = np.sqrt((centers**2).sum(axis=1))
@@ -122,30 +143,43 @@ def _links(summary: pd.DataFrame):
     def links(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for name, center, radius, best in zip(frame["block"], frame["center"], frame["radius"], frame["best"]):
-                c = np.asarray(center, dtype=np.float64)
-                bound = centers @ c + np.sqrt((c**2).sum()) * radii + lengths * radius + radii * radius
-                need = (bound * (1 + 1e-4) + 1e-4 >= np.min(best)) & (names != name)
-                yield pd.DataFrame({"block": name, "target": names[need]})
+                need = _allowed(center, radius, best, centers, radii, lengths) & (names != name)
+                yield pd.DataFrame({"block": [name], "bundle": [bundle_of[name]], "targets": [np.unique(bundles[need])]})
 
     return links
 
 
 def _compare():
-    def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for ids, flat, best, ids_t, flat_t in zip(
-                frame["ids"], frame["flat"], frame["best"], frame["ids_t"], frame["flat_t"]
-            ):
-                ids, ids_t = np.asarray(ids), np.asarray(ids_t)
-                v = np.asarray(flat, dtype=np.float32).reshape(len(ids), -1)
-                t = np.asarray(flat_t, dtype=np.float32).reshape(len(ids_t), -1)
-                floor = np.asarray(best, dtype=np.float32)
-                for at in range(0, len(ids), 1024):
-                    scores = v[at : at + 1024] @ t.T
+    def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out: list[pd.DataFrame] = []
+        sizes = [len(ids) for ids in right["ids_t"]]
+        ids_t, number = np.concatenate(right["ids_t"].to_list()), np.repeat(np.arange(len(right)), sizes)
+        # In the order of ids, so that of equal scores the first counts.
+        order = np.argsort(ids_t, kind="stable")
+        t = np.concatenate(right["flat_t"].to_list()).astype(np.float32, copy=False).reshape(len(ids_t), -1)[order]
+        ids_t, number = ids_t[order], number[order]
+        centers, radii = np.stack(right["center_t"].to_list()).astype(np.float64), right["radius_t"].to_numpy(dtype=np.float64)
+        lengths, names = np.sqrt((centers**2).sum(axis=1)), right["block_t"].to_numpy()
+        for name, ids, flat, floor, center, radius in zip(*(left[c] for c in ("block", "ids", "flat", "best", "center", "radius"))):
+            ids, floor = np.asarray(ids), np.asarray(floor, dtype=np.float32)
+            v = np.asarray(flat, dtype=np.float32).reshape(len(ids), -1)
+            # A block was compared with itself before.
+            need = _allowed(center, radius, floor, centers, radii, lengths) & (names != name)
+            places = np.flatnonzero(need[number])
+            for at in range(0, len(v), 1024):
+                rows = v[at : at + 1024]
+                score, other = np.full(len(rows), -np.inf, dtype=np.float32), np.zeros(len(rows), dtype=np.int64)
+                step = max(1, SCORES // len(rows))
+                for begin in range(0, len(places), step):
+                    here = places[begin : begin + step]
+                    scores = rows @ t[here].T
                     top = scores.argmax(axis=1)
-                    score = scores[np.arange(len(scores)), top]
-                    good = score >= floor[at : at + 1024]
-                    yield pd.DataFrame({"id": ids[at : at + 1024][good], "score": score[good], "other": ids_t[top][good]})
+                    found = scores[np.arange(len(rows)), top]
+                    better = found > score
+                    score[better], other[better] = found[better], ids_t[here][top[better]]
+                good = (score >= floor[at : at + 1024]) & (score > -np.inf)
+                out.append(pd.DataFrame({"id": ids[at : at + 1024][good], "score": score[good], "other": other[good]}))
+        return pd.concat(out, ignore_index=True)
 
     return compare
 

@@ -98,6 +98,22 @@ def test_most_similar_blocks_equal_full_product(spark):
         assert [got[i] for i in range(len(v))] == scores.argmax(axis=1).tolist()
 
 
+def test_blocks_travel_in_bundles(spark, monkeypatch):
+    rng = np.random.RandomState(6)
+    v = rng.randint(-3, 4, (900, 8)).astype(np.float32)
+    v[500:600] = v[7]
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)] + [(900, None)], "id bigint, v array<float>")
+    written, write = [], N.durable
+    monkeypatch.setattr(N, "durable", lambda t: written.append(write(t)) or written[-1])
+    found = N.most_similar(df, "id", "v", block_rows=4)
+    scores = v @ v.T
+    np.fill_diagonal(scores, -np.inf)
+    assert {r["id"]: r["similar_id"] for r in found.collect()} == dict(enumerate(scores.argmax(axis=1).tolist()))
+    # All pairs of some hundred blocks are compared, but a block is sent to few places.
+    sent = written[-1].selectExpr("count(*) as blocks", "max(size(targets)) as most").first()
+    assert sent["blocks"] > 200 and sent["most"] <= N.LEAST_BUNDLES
+
+
 def test_k_center(spark):
     df = spark.createDataFrame([(0, [0.0]), (1, [10.0]), (2, [4.0]), (3, [10.0])], "id bigint, v array<float>")
     assert [r["id"] for r in N.k_center(df, "id", "v", 3).orderBy("rank").collect()] == [0, 1, 2]
