@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from sluice.functions import values as V
 from sluice.operators import enhance as E
 from sluice.operators import quality as Q
-from sluice.operators.dictionary import dictionary_table, extract_terms_by_table
+from sluice.operators.dictionary import candidates, dictionary_table, extract_terms_by_table, word_bits
 
 HIGH = ("长江流域水文监测系统包括水文站和雨量站。由于2023年汛期降雨量达到1200mm，水库调度采用新的技术方法，因此防洪效果明显。"
         "首先，监测数据显示水位上升2.5m；其次，径流增加15%。最后，生态保护和水质治理措施得到应用，大坝运行稳定！工程管理制度和规划正在完善？")
@@ -118,3 +118,20 @@ def test_dictionary_table_gives_the_same_terms(spark):
     more = spark.range(100_000).selectExpr("concat('词', id) as term", "'term' as kind", "array('x') as aliases", "cast(null as map<string,string>) as entity_info")
     (row,) = extract_terms_by_table(df.limit(1).withColumn("content", F.lit("有词777和词99999")), more).collect()
     assert [t["term"] for t in row["extracted_terms"]] == []
+
+
+def test_only_likely_words_leave_a_text(spark):
+    words = dictionary_table(spark, E.Knowledge()).unionByName(
+        spark.range(50_000).selectExpr("concat('零件', id) as term", "'term' as kind", "array('x') as aliases", "cast(null as map<string,string>) as entity_info"))
+    known = {r.term for r in words.select("term").collect()}
+    sizes = sorted({len(w) for w in known})
+    texts = [(0, "零件" * 3000 + "零件49999和大坝水库"), (1, ""), (2, "水"), (3, "𠀀三峡" * 50)]
+    rows = spark.createDataFrame(texts, "_row long, _text string")
+    found = {(r._row, r.term): list(r.places) for r in candidates(rows, sizes, word_bits(words)).collect()}
+    want = {}
+    for row, text in texts:
+        for size in sizes:
+            for at in range(len(text) - size + 1):
+                if text[at : at + size] in known:
+                    want.setdefault((row, text[at : at + size]), []).append(at)
+    assert want.items() <= found.items() and len(found) <= len(want) + 5
