@@ -1,3 +1,4 @@
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from sluice.functions import values as V
@@ -38,6 +39,17 @@ def test_answer_window_prefers_longest_then_first(spark):
     assert short == "-"
 
 
+def test_windows_leave_a_worker_in_small_batches(spark):
+    texts = ["水位" + "上升了" * i if i % 7 else None for i in range(300)]
+    words = [["水位", "了", "无", None] if i % 5 else None for i in range(300)]
+    found = list(E.window_batches(iter([(pa.array(texts), pa.array(words))]), 3, None))
+    assert max(map(len, found)) <= 64 and sum(map(len, found)) == 300
+    df = spark.createDataFrame(list(zip(range(300), texts, words)), "id long, t string, w array<string>").coalesce(1)
+    got = [r.x for r in df.select("id", E.windows_around(F.col("t"), F.col("w"), 3).alias("x")).orderBy("id").collect()]
+    assert got == [x for batch in found for x in batch.to_pylist()]
+    assert got[0] is None and got[5] is None and got[1] == ["水位上升了", "位上升了", None, None]
+
+
 def test_overlapping_positions(spark):
     got = frame(spark, "x水水水y").select(E.find_positions(F.col("content"), F.lit("水水")).alias("x")).first()["x"]
     assert got == [1, 2]
