@@ -54,6 +54,8 @@ def apply_model(requests: DataFrame, fn: Callable[[list[str]], list[str]], batch
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
+            answered: list[str | None] = []
+            failed: list[str | None] = []
             for at in range(0, len(frame), batch):
                 part = frame.iloc[at : at + batch]
                 try:
@@ -61,10 +63,13 @@ def apply_model(requests: DataFrame, fn: Callable[[list[str]], list[str]], batch
                     if len(answers) != len(part):
                         raise ValueError("the function must return one response per prompt")
                 except Exception as error:
-                    answers, errors = None, str(error)
-                yield pd.DataFrame(
-                    {"request_id": part["request_id"], "response": answers, "ok": errors is None, "error": errors}
-                )
+                    answers, errors = [None] * len(part), str(error)
+                answered += answers
+                failed += [errors] * len(part)
+            yield pd.DataFrame(
+                {"request_id": frame["request_id"], "response": pd.Series(answered, frame.index, object),
+                 "ok": [e is None for e in failed], "error": pd.Series(failed, frame.index, object)}
+            )
 
     schema = "request_id string, response string, ok boolean, error string"
     return requests.select("request_id", "prompt").mapInPandas(run, schema)

@@ -17,6 +17,7 @@ from sluice.operators import similarity as N
 from sluice.operators import sqlcorpus as Q
 from sluice.plans import recipes
 from sluice.plans.queries.registry import query, r6, s_count, s_strip, table
+from sluice.session import durable
 
 # ---- relational steps -------------------------------------------------------
 
@@ -524,8 +525,9 @@ def _(spark, sf):
             raise RuntimeError("no answer")
         return ["fine"] * len(prompts)
 
-    requests = asked(spark, sf)
-    answers = M.apply_model(M.pending(requests), careful, batch=1, concurrency=16)
+    # Rendered once and sent once, though both are read several times.
+    requests = durable(asked(spark, sf))
+    answers = durable(M.apply_model(M.pending(requests), careful, batch=1, concurrency=16))
     out = M.attach_balanced(requests, answers).join(answers.select("request_id", "error"), "request_id", "left")
     return out.select("doc_id", F.col("response").isNotNull().alias("answered"), F.col("error").alias("why"))
 

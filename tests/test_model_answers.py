@@ -5,6 +5,7 @@ from sluice.operators import modelstage as M
 from sluice.operators import reasoning as A
 from sluice.operators import similarity as N
 from sluice.plans import recipes
+from sluice.plans.queries import registry as queries
 
 
 def value(spark, text, column):
@@ -114,7 +115,27 @@ def test_blocks_travel_in_bundles(spark, monkeypatch):
     assert sent["blocks"] > 200 and sent["most"] <= N.LEAST_BUNDLES
 
 
+def test_answers_of_single_prompts_leave_together(spark):
+    requests = spark.range(500).selectExpr("string(id) as request_id", "string(id % 9) as prompt").coalesce(1)
+
+    def model(prompts):
+        if prompts == ["4"]:
+            raise RuntimeError("none")
+        return [p + "!" for p in prompts]
+
+    out = M.apply_model(requests, model, batch=1)
+    got = {(r.request_id, r.response, r.ok, r.error) for r in out.collect()}
+    assert got == {(str(i), None, False, "none") if i % 9 == 4 else (str(i), f"{i % 9}!", True, None) for i in range(500)}
+
+
 def test_k_center(spark):
     df = spark.createDataFrame([(0, [0.0]), (1, [10.0]), (2, [4.0]), (3, [10.0])], "id bigint, v array<float>")
     assert [r["id"] for r in N.k_center(df, "id", "v", 3).orderBy("rank").collect()] == [0, 1, 2]
     assert N.k_center(df, "id", "v", 9).count() == 4
+
+
+def test_failed_requests_are_sent_once(spark):
+    out = queries.QUERIES["model_failed_requests"](spark, "/root/testdata/sf0.001")
+    # The answers are stored before they are read twice.
+    assert "MapInPandas" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert out.filter("answered").count() + out.filter("why = 'no answer'").count() == out.count()
