@@ -5,7 +5,7 @@ from sluice.operators import modelstage as M
 from sluice.operators import reasoning as A
 from sluice.operators import similarity as N
 from sluice.plans import recipes
-from sluice.plans.queries import registry as queries
+from sluice.plans.queries import all_queries
 
 
 def value(spark, text, column):
@@ -135,7 +135,7 @@ def test_k_center(spark):
 
 
 def test_failed_requests_are_sent_once(spark):
-    out = queries.QUERIES["model_failed_requests"](spark, "/root/testdata/sf0.001")
+    out = all_queries()["model_failed_requests"](spark, "/root/testdata/sf0.001")
     # The answers are stored before they are read twice.
     assert "MapInPandas" not in out._jdf.queryExecution().optimizedPlan().toString()
     assert out.filter("answered").count() + out.filter("why = 'no answer'").count() == out.count()
