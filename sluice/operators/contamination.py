@@ -49,7 +49,9 @@ def contamination(
         met = have.join(F.broadcast(wanted), ["h", "g"])
         sizes = F.broadcast(sizes)
     else:
-        met = skew_join(have, wanted, ["h", "g"], hot=hot_keys(have.join(wanted.select("h", "g").distinct(), ["h", "g"], "left_semi"), ["h", "g"]))
+        # Grams are worked out and dealt once; few are left after this.
+        have = durable(have.join(wanted.select("h", "g").distinct(), ["h", "g"], "left_semi"))
+        met = skew_join(have, wanted, ["h", "g"], hot=hot_keys(have, ["h", "g"]))
     # What a document says twice counts once; few of its grams are left here.
     shared = met.distinct().groupBy("_doc", "_item").agg(F.count(F.lit(1)).alias("shared"))
     return shared.join(sizes, "_item").select(
