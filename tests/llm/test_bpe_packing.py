@@ -126,6 +126,21 @@ def test_spellings_cut_here_have_the_ids_of_the_library(path, library):
         assert np.frombuffer(data, np.uint32).tolist() == found.tolist() == want
 
 
+def test_a_word_is_asked_for_once_whatever_marks_follow(path, library):
+    ids, asked = packing.Ids(path), []
+    learn = ids._learn_words
+    ids._learn_words = lambda new: (asked.extend(new), learn(new))
+    texts = ["Straße straße, STRASSE? (straße)", " straße!? Straße... straße\u3000straße", "", "<|endoftext|> Straße"]
+    got = ids.encode(texts)
+    assert [np.frombuffer(g, np.uint32).tolist() for g in got] == [ids_of(library, t) for t in texts]
+    assert sorted(asked) == ["strasse", "straße"]
+
+
+def test_every_plain_letter_has_the_ids_of_the_library(path, library):
+    text = " ".join(f"{c} x{c}y{m}{m}" for c in map(chr, range(0x250)) for m in "!'|~" if c.isprintable())
+    assert np.frombuffer(packing.Ids(path).encode([text])[0], np.uint32).tolist() == ids_of(library, text)
+
+
 def test_names_of_columns_do_not_clash(spark):
     names = ["size", "row", "key", "bin", "at", "open", "_bin", "_at", "_open", "sequence_id", "offset"]
     df = spark.range(50).select("id", (F.col("id") % 7 + 1).alias("length"), *[F.lit(f"own {c}").alias(c) for c in names])
