@@ -13,11 +13,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,20 +43,20 @@ def text_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     """Row, feature and value of texts: damped counts of words and word heads of length one, and shares of
     kinds of characters."""
     width = 1 << TEXT_BITS
-    words = [t.lower().encode().split() for t in texts]
-    sizes = np.array([len(w) for w in words], dtype=np.int64)
-    number = {w: i for i, w in enumerate(set(chain.from_iterable(words)))}
-    hashed = np.empty((2, len(number)), dtype=np.int64)
-    for w, i in number.items():
-        hashed[0, i] = xxhash.xxh64_intdigest(w.strip(b".,!?;:")) % width
-        hashed[1, i] = xxhash.xxh64_intdigest(w.decode()[:HEAD], 1) % width
-    ids = np.fromiter(map(number.__getitem__, chain.from_iterable(words)), np.int64, int(sizes.sum()))
-    of = np.tile(np.repeat(np.arange(len(texts)), sizes), 2)
-    ids = hashed[:, ids].ravel()
-    cells, counts = np.unique(of * width + ids, return_counts=True)
+    # Empty pieces at the ends of a text are no words.
+    cut = pc.ascii_split_whitespace(pa.array([t.lower() for t in texts], pa.string()))
+    met = cut.values.dictionary_encode()
+    ids, pieces = met.indices.to_numpy(), np.diff(cut.offsets.to_numpy())
+    is_word = pc.greater(pc.binary_length(met.dictionary), 0).to_numpy(zero_copy_only=False)[ids]
+    of, ids = np.repeat(np.arange(len(texts)), pieces)[is_word], ids[is_word].astype(np.int64)
+    plain, head = pc.utf8_trim(met.dictionary, characters=".,!?;:"), pc.utf8_slice_codeunits(met.dictionary, 0, HEAD)
+    hashed = np.stack([_hashed(plain, 0), _hashed(head, 1)])[:, ids].ravel()
+    cells, counts = np.unique(np.tile(of * width, 2) + hashed, return_counts=True)
     row, value = cells // width, np.log1p(counts)
     value /= np.sqrt(np.bincount(row, value**2, minlength=len(texts)))[row]
-    shape = np.array([_shape(t, w) for t, w in zip(texts, words)]).reshape(-1, SHAPES)
+    own = np.sort(of * len(met.dictionary) + ids)
+    first = np.diff(own, prepend=-1) > 0
+    shape = _shapes(texts, *(np.bincount(x, minlength=len(texts)) for x in (of, of[first])))
     return (
         np.concatenate([row, np.repeat(np.arange(len(texts)), SHAPES)]),
         np.concatenate([cells % width, np.tile(width + np.arange(SHAPES), len(texts))]),
@@ -64,15 +64,56 @@ def text_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     )
 
 
-def _shape(text: str, words: list[bytes]) -> list[float]:
-    n, w = max(len(text), 1), max(len(words), 1)
-    marks = sum(map(text.count, "#*$%&|<>{}[]@\\~^=_"))
-    lines = text.split("\n")
-    return [
-        1.0, np.log1p(len(words)) / 5, len(set(words)) / w, n / w / 10, marks / n * 10,
-        sum(map(text.count, "0123456789")) / n * 5, sum(map(text.count, ".,!?")) / w,
-        len(set(lines)) / len(lines), text.count("http") / w * 10,
-    ]
+def _hashed(values: pa.Array, seed: int) -> np.ndarray:
+    """Features of strings, each different one hashed once."""
+    met = values.dictionary_encode()
+    return (hashes(met.dictionary, seed) % np.uint64(1 << TEXT_BITS)).astype(np.int64)[met.indices.to_numpy()]
+
+
+def hashes(values: pa.Array, seed: int) -> np.ndarray:
+    """XXH64 of strings, those of one length below 32 bytes at once."""
+    one, two, three, four, five = np.array(
+        [0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5], dtype=np.uint64
+    )
+
+    def turned(x: np.ndarray, by: int) -> np.ndarray:
+        return (x << np.uint64(by)) | (x >> np.uint64(64 - by))
+
+    out = np.zeros(len(values), dtype=np.uint64)
+    data = np.frombuffer(values.buffers()[2] or b"", np.uint8)
+    starts = np.frombuffer(values.buffers()[1] or bytes(4), np.int32)[values.offset :][: len(values) + 1]
+    starts, sizes = starts[:-1], np.diff(starts)
+    for size in np.flatnonzero(np.bincount(sizes[sizes < 32])):
+        at = np.flatnonzero(sizes == size)
+        text = data[starts[at, None] + np.arange(size)]
+        h, done = np.full(len(at), np.uint64(seed + size) + five), 0
+        while done + 8 <= size:
+            lane = turned(text[:, done : done + 8].copy().view("<u8")[:, 0] * two, 31) * one
+            h, done = turned(h ^ lane, 27) * one + four, done + 8
+        if done + 4 <= size:
+            h, done = turned(h ^ text[:, done : done + 4].copy().view("<u4")[:, 0] * one, 23) * two + three, done + 4
+        for byte in text.T[done:]:
+            h = turned(h ^ byte * five, 11) * one
+        h = (h ^ (h >> np.uint64(33))) * two
+        h = (h ^ (h >> np.uint64(29))) * three
+        out[at] = h ^ (h >> np.uint64(32))
+    for at in np.flatnonzero(sizes >= 32):
+        out[at] = xxhash.xxh64_intdigest(values[at].as_py(), seed)
+    return out
+
+
+def _shapes(texts: list[str], words: np.ndarray, different: np.ndarray) -> np.ndarray:
+    """Shares of kinds of characters in texts of so many words and different words."""
+    w = np.maximum(words, 1)
+    kinds = ("#*$%&|<>{}[]@\\~^=_", "0123456789", ".,!?", ["http"])
+    marks, digits, ends, links = (np.array([sum(map(t.count, k)) for t in texts], dtype=np.int64) for k in kinds)
+    n = np.array([max(len(t), 1) for t in texts], dtype=np.int64)
+    lines = [t.split("\n") for t in texts]
+    lines = np.array([len(set(x)) / len(x) for x in lines])
+    return np.stack([
+        np.ones(len(texts)), np.log1p(words) / 5, different / w, n / w / 10, marks / n * 10,
+        digits / n * 5, ends / w, lines, links / w * 10,
+    ], axis=1)
 
 
 def meta_features(values: list[list[str]], numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

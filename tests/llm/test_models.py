@@ -191,3 +191,38 @@ def test_a_row_may_have_labels_for_some_targets(spark):
         assert 0 <= got[i].good_score <= 1
     assert np.mean([(got[i].good_score >= 0.5) == bool(g) for i, *_, g in rows[600:]]) > 0.85
     assert np.mean([(got[i].bad_score < 0.5) == bool(g) for i, *_, g in rows[600:]]) > 0.85
+
+
+def test_words_of_one_length_are_hashed_at_once(monkeypatch):
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdefgh\u00e9\u4e2d.") for _ in range(rng.randrange(45))) for _ in range(4000)]
+    want = [[cotraining.xxhash.xxh64_intdigest(w, seed) for w in words] for seed in (0, 1)]
+    asked = []
+    digest = cotraining.xxhash.xxh64_intdigest
+    monkeypatch.setattr(cotraining.xxhash, "xxh64_intdigest", lambda w, seed=0: asked.append(w) or digest(w, seed))
+    for seed in (0, 1):
+        assert cotraining.hashes(cotraining.pa.array(words), seed).tolist() == want[seed]
+        assert cotraining.hashes(cotraining.pa.array(words).slice(7), seed).tolist() == want[seed][7:]
+    assert cotraining.hashes(cotraining.pa.array([], "string"), 0).tolist() == []
+    # Only long words are asked for one by one.
+    assert asked and all(len(w.encode()) >= 32 for w in asked)
+
+
+def test_features_of_a_text_by_counting():
+    texts = ["", " ", "One two. TWO, twofold\nOne two. \x1cx\u3000y\u0130", "a http://b.c 12\n\n{}", "....", "\n a b\t"]
+    row, feature, value = cotraining.text_features(texts)
+    width = 1 << cotraining.TEXT_BITS
+    for i, text in enumerate(texts):
+        counts, words = {}, text.lower().encode().split()
+        for w in words:
+            for h in (cotraining.xxhash.xxh64_intdigest(w.strip(b".,!?;:")), cotraining.xxhash.xxh64_intdigest(w.decode()[:5], 1)):
+                counts[h % width] = counts.get(h % width, 0) + 1
+        norm = np.sqrt(sum(np.log1p(c) ** 2 for c in counts.values()))
+        own = (row == i) & (feature < width)
+        assert dict(zip(feature[own].tolist(), value[own])) == pytest.approx({f: np.log1p(c) / norm for f, c in counts.items()})
+        n, w, lines = max(len(text), 1), max(len(words), 1), text.split("\n")
+        assert value[(row == i) & (feature >= width)] == pytest.approx([
+            1, np.log1p(len(words)) / 5, len(set(words)) / w, n / w / 10, sum(c in "#*$%&|<>{}[]@\\~^=_" for c in text) / n * 10,
+            sum(c in "0123456789" for c in text) / n * 5, sum(c in ".,!?" for c in text) / w, len(set(lines)) / len(lines),
+            text.count("http") / w * 10,
+        ])
