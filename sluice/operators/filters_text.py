@@ -22,6 +22,7 @@ from sluice.functions.text import (
     WORD_CHARS,
     barrier,
     contains_any,
+    count_if,
     count_of,
     find_all,
     let,
@@ -59,11 +60,13 @@ def view_of(text: Column) -> View:
 
 
 def remove_extra_spaces(text: Column) -> Column:
-    return strip(F.regexp_replace(text, f"[{BLANK}]+", " "))
+    # A run that is one plain blank stays as it is.
+    return strip(F.regexp_replace(text, f"[{BLANK}&&[^ ]][{BLANK}]*| [{BLANK}]+", " "))
 
 
 def remove_emoji(text: Column) -> Column:
-    return F.regexp_replace(text, EMOJI, "")
+    # Texts of one byte a character have none.
+    return let(text, lambda t: F.when(F.octet_length(t) > F.length(t), F.regexp_replace(t, EMOJI, "")).otherwise(t))
 
 
 def remove_html_url(text: Column) -> Column:
@@ -103,7 +106,8 @@ def colon_end() -> Predicate:
 
 
 def sentence_number(low: int = 3, high: int = 7500) -> Predicate:
-    return lambda v: count_of(v.text, SENTENCE_MARK).between(low, high)
+    # One part more than there are runs of marks.
+    return lambda v: (F.size(F.split(v.text, SENTENCE_MARK)) - 1).between(low, high)
 
 
 def line_end_with_ellipsis(limit: float = 0.3) -> Predicate:
@@ -123,22 +127,25 @@ def mean_word_length(low: float = 3, high: float = 10) -> Predicate:
 
 
 def symbol_word_ratio(limit: float = 0.4) -> Predicate:
-    return lambda v: ratio(count_of(v.text, r"#|\.\.\.|…"), F.size(v.words)) < limit
+    return lambda v: ratio(count_if(v.text, ["#", "...", "…"], r"#|\.\.\.|…"), F.size(v.words)) < limit
 
 
 def html_entity() -> Predicate:
-    return lambda v: ~v.text.rlike(HTML_ENTITY)
+    return lambda v: ~(F.contains(v.text, F.lit(";")) & v.text.rlike(HTML_ENTITY))
 
 
 def no_punc(limit: int = 112) -> Predicate:
-    """Longest stretch without a sentence mark, in words."""
-    return lambda v: F.coalesce(
-        F.array_max(F.transform(F.split(v.text, SENTENCE_MARK), lambda s: count_of(s, WORD))), F.lit(0)
-    ) <= limit
+    """Longest stretch without a sentence mark, in words; more words than the limit need more than twice as many characters."""
+    def test(v: View) -> Column:
+        long = F.filter(F.split(v.text, SENTENCE_MARK), lambda s: F.length(s) > 2 * limit)
+        return F.coalesce(F.array_max(F.transform(long, lambda s: count_of(s, WORD))), F.lit(0)) <= limit
+
+    return test
 
 
 def special_character() -> Predicate:
-    return lambda v: ~v.text.rlike(ODD_CHARACTER)
+    # Plain characters are told first.
+    return lambda v: ~v.text.rlike(f"[[^ -~]&&{ODD_CHARACTER}]")
 
 
 def watermark(marks: list[str] = V.WATERMARKS) -> Predicate:
@@ -146,7 +153,7 @@ def watermark(marks: list[str] = V.WATERMARKS) -> Predicate:
 
 
 def curly_bracket(limit: float = 0.025) -> Predicate:
-    return lambda v: ratio(count_of(v.text, r"[{}]"), F.length(v.text)) < limit
+    return lambda v: ratio(count_if(v.text, ["{", "}"], r"[{}]"), F.length(v.text)) < limit
 
 
 def capital_words(limit: float = 0.2) -> Predicate:
@@ -164,7 +171,8 @@ def unique_words(limit: float = 0.1) -> Predicate:
 
 
 def char_number(low: int = 100) -> Predicate:
-    return lambda v: F.length(F.regexp_replace(v.text, f"[{BLANK}]+", "")) >= low
+    # Words are all that is not blank.
+    return lambda v: total_length(v.words) >= low
 
 
 def line_start_with_bullet(limit: float = 0.9) -> Predicate:

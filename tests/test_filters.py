@@ -1,4 +1,7 @@
+import random
+
 import pytest
+from pyspark.sql import functions as F
 
 from sluice.operators import filters_code as G
 from sluice.operators import filters_text as T
@@ -81,3 +84,40 @@ def test_comparison_names(spark):
     assert G.generic_score(df, "s", 8).count() == 1
     with pytest.raises(ValueError):
         G.generic_score(df, "s", 8, "1=1 or")
+
+
+def test_cheap_forms_of_filters_equal_the_plain_ones(spark):
+    from sluice.functions.text import BLANK, SENTENCE_MARK, WORD, count_of, find_all
+    rng = random.Random(6)
+    parts = ["a", "Bc", "\u00e9\u4e2d", " ", "  ", "\t", "\n", "\u3000", "\x1c", "\x85", ".", "...", "!?", "\u3002", "\u2026", "#", "{", "}", "&nbsp;", "amp;", ";",
+             "\U0001F600", "\u2600", "\uFE0F", "\uFFFD", "\x00", "\x7f", "\u200b", "lorem "]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(40))) for _ in range(1500)] + ["", " ", "x " * 112, "x " * 113, "x." * 113, None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, text string")
+    t = F.col("text")
+    words = find_all(t, WORD)
+    plain = {
+        "spaces": T.strip(F.regexp_replace(t, f"[{BLANK}]+", " ")),
+        "emoji": F.regexp_replace(t, T.EMOJI, ""),
+        "symbols": T.ratio(count_of(t, r"#|\.\.\.|\u2026"), F.size(words)) < 0.4,
+        "entity": ~t.rlike(T.HTML_ENTITY),
+        "punc": F.coalesce(F.array_max(F.transform(F.split(t, SENTENCE_MARK), lambda s: count_of(s, WORD))), F.lit(0)) <= 112,
+        "punc2": F.coalesce(F.array_max(F.transform(F.split(t, SENTENCE_MARK), lambda s: count_of(s, WORD))), F.lit(0)) <= 2,
+        "brackets": T.ratio(count_of(t, r"[{}]"), F.length(t)) < 0.025,
+        "chars": F.length(F.regexp_replace(t, f"[{BLANK}]+", "")) >= 20,
+        "sentences": count_of(t, SENTENCE_MARK).between(3, 7),
+        "odd": ~t.rlike(T.ODD_CHARACTER),
+    }
+    view = T.view_of(t)
+    cheap = {
+        "spaces": T.remove_extra_spaces(t), "emoji": T.remove_emoji(t), "symbols": T.symbol_word_ratio(0.4)(view), "entity": T.html_entity()(view),
+        "punc": T.no_punc(112)(view), "punc2": T.no_punc(2)(view), "brackets": T.curly_bracket(0.025)(view), "chars": T.char_number(20)(view),
+        "sentences": T.sentence_number(3, 7)(view), "odd": T.special_character()(view),
+    }
+    unlike = df.select(*[F.count_if(~plain[n].eqNullSafe(cheap[n])).alias(n) for n in plain]).first().asDict()
+    assert not any(unlike.values()), unlike
+
+
+def test_a_single_blank_is_not_replaced():
+    # A plain blank between words is no match, so texts of words are not built anew.
+    pattern = str(T.remove_extra_spaces(F.col("text")))
+    assert "&&[^ ]" in pattern
