@@ -2,9 +2,12 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from sluice.functions import values as V
+from sluice.functions.text import CJK_RUN
 from sluice.operators import enhance as E
 from sluice.operators import quality as Q
+from sluice.operators.cleaning import segment_marked
 from sluice.operators.dictionary import candidates, dictionary_table, extract_terms_by_table, word_bits
+from sluice.plans.queries.registry import WORDS, derived_texts
 
 HIGH = ("长江流域水文监测系统包括水文站和雨量站。由于2023年汛期降雨量达到1200mm，水库调度采用新的技术方法，因此防洪效果明显。"
         "首先，监测数据显示水位上升2.5m；其次，径流增加15%。最后，生态保护和水质治理措施得到应用，大坝运行稳定！工程管理制度和规划正在完善？")
@@ -147,3 +150,29 @@ def test_only_likely_words_leave_a_text(spark):
                 if text[at : at + size] in known:
                     want.setdefault((row, text[at : at + size]), []).append(at)
     assert want.items() <= found.items() and len(found) <= len(want) + 5
+
+
+def test_pieces_are_cut_as_by_the_marked_text(spark):
+    words = ["水文", "水文站", "pH值", "大坝", "水(a", "H2O"]
+    texts = ["水文站和水文，大坝大坝修好了 pH值高了些H2O水位水(a文", "", None, "没有词的一段很长的文字。短句\n水", "水文水文站x水位", "a\x01水文b"]
+    df = frame(spark, *texts).select("id", E.short_pieces(F.col("content"), words, 4).alias("p"),
+                                     E.find_all(segment_marked(F.col("content"), words), CJK_RUN).alias("m"))
+    for row in df.collect():
+        want = None if row.m is None else [p for p in dict.fromkeys(row.m) if len(p) > 1 and (len(p) < 5 or p in words)]
+        assert row.p == want
+    none = frame(spark, "水位 上升了很多很多").select(E.short_pieces(F.col("content"), [], 4).alias("p")).first().p
+    assert none == ["水位"]
+
+
+def test_derived_texts_follow_the_words(spark):
+    texts = ["", None, " ", "é. 𝒳a ,\n é", "\n", "  a", "词 ßx 𝒳 ퟿.,"] + [f"w{i} é{i}, 中{i}.\n" for i in range(300)]
+
+    def word(w):
+        at = (len(w) * 7 + (ord(w[0]) * 3 + ord(w[-1]) if w else 0)) % len(WORDS)
+        return WORDS[at] + ("。" if "." in w else "，" if "," in w else "") + ("\n" if "\n" in w else "")
+
+    want = [None if t is None else "".join(map(word, t.split(" "))) for t in texts]
+    batches = [pa.array(texts, pa.string()), pa.array([], pa.string()), pa.array([None], pa.string()), pa.array(texts, pa.string()).slice(3)]
+    got = [list(derived_texts(iter([b]))) for b in batches]
+    assert [[x for a in g for x in a.to_pylist()] for g in got] == [want, [], [None], want[3:]]
+    assert max(len(a) for g in got for a in g) <= 256
