@@ -164,6 +164,14 @@ def test_pieces_are_cut_as_by_the_marked_text(spark):
     assert none == ["水位"]
 
 
+def test_texts_are_worked_on_in_small_batches():
+    texts = pa.array(["水文站" * (i % 9) if i % 7 else None for i in range(300)])
+    terms = pa.array([["水文"] if i % 5 else None for i in range(300)])
+    for found in (E.piece_batches(iter([texts]), ["水文"], 4), E.explained_batches(iter([(texts, terms)]), V.EXPLANATIONS)):
+        sizes = list(map(len, found))
+        assert max(sizes) <= 64 and sum(sizes) == 300
+
+
 def test_derived_texts_follow_the_words(spark):
     texts = ["", None, " ", "é. 𝒳a ,\n é", "\n", "  a", "词 ßx 𝒳 ퟿.,"] + [f"w{i} é{i}, 中{i}.\n" for i in range(300)]
 
