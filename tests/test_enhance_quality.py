@@ -1,8 +1,9 @@
+import re
+
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 from sluice.functions import values as V
-from sluice.functions.text import CJK_RUN
 from sluice.operators import enhance as E
 from sluice.operators import quality as Q
 from sluice.operators.cleaning import segment_marked
@@ -152,24 +153,32 @@ def test_only_likely_words_leave_a_text(spark):
     assert want.items() <= found.items() and len(found) <= len(want) + 5
 
 
-def test_pieces_are_cut_as_by_the_marked_text(spark):
-    words = ["水文", "水文站", "pH值", "大坝", "水(a", "H2O"]
-    texts = ["水文站和水文，大坝大坝修好了 pH值高了些H2O水位水(a文", "", None, "没有词的一段很长的文字。短句\n水", "水文水文站x水位", "a\x01水文b"]
-    df = frame(spark, *texts).select("id", E.short_pieces(F.col("content"), words, 4).alias("p"),
-                                     E.find_all(segment_marked(F.col("content"), words), CJK_RUN).alias("m"))
-    for row in df.collect():
-        want = None if row.m is None else [p for p in dict.fromkeys(row.m) if len(p) > 1 and (len(p) < 5 or p in words)]
-        assert row.p == want
-    none = frame(spark, "水位 上升了很多很多").select(E.short_pieces(F.col("content"), [], 4).alias("p")).first().p
-    assert none == ["水位"]
+def test_words_are_marked_where_one_may_begin(spark):
+    words = ["水文", "水文站", "pH值", "大坝", "]水", "^a", "-b", "H2O", "𝒳y", "&&c", "\\d"]
+    texts = ["水文站和水文，大坝大坝 pH值高H2O水位]水^a-b&&c\\d𝒳y", "", None, "没有词的 text", "水文水文站x水位"]
+    got = frame(spark, *texts).select("id", segment_marked(F.col("content"), words).alias("m")).orderBy("id")
+    plain = re.compile("(" + "|".join(map(re.escape, sorted(words, key=lambda w: (-len(w), w)))) + ")")
+    assert [r.m for r in got.collect()] == [t and plain.sub("\x01\\1\x01", t) for t in texts]
+    pattern = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "(?=[" in pattern
+    assert frame(spark, "水ab").select(segment_marked(F.col("content"), ["水", ""]).alias("m")).first().m.startswith("\x01水\x01")
 
 
-def test_texts_are_worked_on_in_small_batches():
-    texts = pa.array(["水文站" * (i % 9) if i % 7 else None for i in range(300)])
+def test_pairs_and_explanations_take_few_workers(spark):
+    # Windows of terms and measurements by one worker, explanations by another; texts leave in small batches.
+    df = E.enhance(frame(spark, HIGH, "水文"), "id")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 2
+    texts = pa.array(["水文站12mm" * (i % 9) if i % 7 else None for i in range(300)])
     terms = pa.array([["水文"] if i % 5 else None for i in range(300)])
-    for found in (E.piece_batches(iter([texts]), ["水文"], 4), E.explained_batches(iter([(texts, terms)]), V.EXPLANATIONS)):
+    facts = pa.array([["12mm"] * (i % 9) for i in range(300)])
+    pairs = list(E.pair_window_batches(iter([(texts, terms, facts)])))
+    for found in (pairs, list(E.explained_batches(iter([(texts, terms)]), V.EXPLANATIONS))):
         sizes = list(map(len, found))
         assert max(sizes) <= 64 and sum(sizes) == 300
+    rows = [x for a in pairs for x in a.to_pylist()]
+    assert [r["terms"] for r in rows] == [x for a in E.window_batches(iter([(texts, terms)]), 100, 20) for x in a.to_pylist()]
+    assert [r["facts"] for r in rows] == [x for a in E.window_batches(iter([(texts, facts)]), 50, None) for x in a.to_pylist()]
 
 
 def test_derived_texts_follow_the_words(spark):
