@@ -18,10 +18,15 @@ QUERY_FLOATS, ROW_FLOATS = 1 << 21, 1 << 20
 RUN_BLOCKS = 8
 # Queries multiplied with a block of rows at once.
 SLICE = 512
-# Queries looked up in the hash tables of a block at once, and blocks that rows are dealt to at least.
-HASH_SLICE, LEAST_BLOCKS = 128, 16
+# Queries looked up in the hash tables of a block at once, a bit of a word each; blocks that many queries are dealt to at
+# least, and pairs of blocks there are at least.
+HASH_SLICE, QUERY_BLOCKS, LEAST_BLOCKS = 64, 8, 16
+# From this share of candidates on, one matrix product costs less than products with the candidates alone.
+DENSE = 0.15
 # Scores are compared to so many digits, so that ties do not hang on the order of additions.
 DIGITS = 9
+# Scores that are equal in so many digits lie no farther apart.
+NEAR = 2 * 10.0**-DIGITS
 
 
 def _vectors(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -46,6 +51,14 @@ def _best(k: int):
     return best
 
 
+def _floor(scores: np.ndarray, k: int) -> float:
+    """A number that at least ``k`` of the scores reach, found from the best of each 64."""
+    if len(scores) > 64 * k:
+        whole = scores[: len(scores) // 64 * 64].reshape(-1, 64).max(axis=1)
+        return np.partition(whole, len(whole) - k)[len(whole) - k]
+    return np.partition(scores, len(scores) - k)[len(scores) - k] if len(scores) > k else -np.inf
+
+
 def top_k_neighbours(
     df: DataFrame, id_col: str, vector_col: str, k: int = 10, queries: Column | None = None
 ) -> DataFrame:
@@ -84,19 +97,29 @@ def _met(
     base = base.withColumn("run", F.floor(F.col("block") / run_blocks))
     ask = ask.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(runs - 1).cast("long"))))
 
-    def compared(own: np.ndarray, rows: np.ndarray, step: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """Number of a query, rows it is compared with, and their scores."""
+    def compared(own: np.ndarray, own_ids: np.ndarray, rows: np.ndarray, ids: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Number of a query, rows it is compared with, and their scores; its own rows are left out."""
         chosen = candidates(rows) if candidates else None
+        lengths, step = np.sqrt(np.einsum("ij,ij->i", rows, rows)), SLICE if chosen is None else HASH_SLICE
         for at in range(0, len(own), step):
             part = own[at : at + step]
             if chosen is None:
-                every = np.arange(len(rows))
-                for i, scores in enumerate(np.round(part @ rows.T, DIGITS), at):
-                    yield i, every, scores
-            else:
-                for i, met in enumerate(chosen(part), at):
-                    met = np.flatnonzero(met)
-                    yield i, met, np.round(rows[met] @ own[i], DIGITS)
+                for i, scores in enumerate(part @ rows.T, at):
+                    met = np.flatnonzero(ids != own_ids[i])
+                    yield i, met, scores[met]
+                continue
+            table, size = chosen(part), np.sqrt(np.einsum("ij,ij->i", part, part)) * lengths.max()
+            if dense := table.mean() > DENSE:
+                # Rough scores tell which rows are far from the best; the others are scored exactly.
+                kind = np.float32 if size.max() < 1e30 else np.float64
+                rough, slack = part.astype(kind) @ rows.astype(kind).T, 2 * (rows.shape[1] + 2) * np.finfo(kind).eps * size + NEAR
+            for i, met in enumerate(table):
+                met = np.flatnonzero(met)
+                met = met[ids[met] != own_ids[at + i]]
+                if dense:
+                    scores = rough[i, met]
+                    met = met[scores >= _floor(scores, k) - slack[i]]
+                yield at + i, met, rows[met] @ part[i]
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out: dict[str, list] = {"id": [], "run": [], "ids": [], "scores": []}
@@ -105,12 +128,11 @@ def _met(
             lists = [(np.zeros(0, np.int64), np.zeros(0))] * len(own_ids)
             for ids, flat in zip(right["ids"], right["flat"]):
                 ids, rows = np.asarray(ids), np.asarray(flat, dtype=np.float64).reshape(len(ids), -1)
-                for i, met, scores in compared(own, rows, SLICE if candidates is None else HASH_SLICE):
-                    scores[ids[met] == own_ids[i]] = -np.inf
-                    # Everything at least as good as the k-th best, so that ties are settled by id.
-                    least = np.partition(scores, len(scores) - k)[len(scores) - k] if len(scores) > k else -np.inf
-                    near = np.flatnonzero((scores >= least) & np.isfinite(scores))
-                    lists[i] = best(np.append(lists[i][0], ids[met[near]]), np.append(lists[i][1], scores[near]))
+                for i, met, scores in compared(own, own_ids, rows, ids):
+                    # Everything that is at least as good as the k-th best when rounded, so that ties are settled by id.
+                    near = np.flatnonzero(scores >= _floor(scores, k) - NEAR)
+                    near = near[np.isfinite(scores[near])]
+                    lists[i] = best(np.append(lists[i][0], ids[met[near]]), np.append(lists[i][1], np.round(scores[near], DIGITS)))
             out["id"] += own_ids.tolist()
             out["run"] += [int(left["run"].iloc[0])] * len(own_ids)
             out["ids"] += [found for found, _ in lists]
@@ -190,25 +212,34 @@ def approximate_neighbours(
     def entered(rows: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
         """The hash tables of a block of rows."""
         home = np.concatenate([homes(rows[at : at + SLICE])[0] for at in range(0, len(rows), SLICE)])
-        order = np.argsort(home, axis=0, kind="stable")
-        keys = np.take_along_axis(home, order, axis=0)
+        # The different keys of each table in order, and the place of each row's key among them.
+        keys, places = zip(*(np.unique(home[:, t], return_inverse=True) for t in range(tables)))
 
         def looked(own: np.ndarray) -> np.ndarray:
-            met = np.zeros((len(own), len(rows)), dtype=bool)
             asked = probes(own)
+            # A bit of each row tells whether a query meets it in some table.
+            met = np.zeros(len(rows), dtype=np.uint64)
+            bit = np.uint64(1) << np.arange(len(own), dtype=np.uint64)
             for t in range(tables):
-                low = np.searchsorted(keys[:, t], asked[:, t].ravel(), "left")
-                many = np.searchsorted(keys[:, t], asked[:, t].ravel(), "right") - low
-                places = np.arange(many.sum()) + np.repeat(low - np.cumsum(many) + many, many)
-                met[np.repeat(np.arange(len(own)), many.reshape(len(own), -1).sum(axis=1)), order[places, t]] = True
-            return met
+                at = np.minimum(np.searchsorted(keys[t], asked[:, t]), len(keys[t]) - 1)
+                there = keys[t][at] == asked[:, t]
+                asking = np.zeros(len(keys[t]), dtype=np.uint64)
+                np.bitwise_or.at(asking, at[there], np.broadcast_to(bit[:, None], at.shape)[there])
+                met |= asking[places[t]]
+            bits_of = np.unpackbits(met.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            return bits_of[:, : len(own)].T.astype(bool)
 
         return looked
 
-    # Of few rows, too, there are blocks enough for many tasks.
-    floats = max(1, min(ROW_FLOATS, -(-kept * width // LEAST_BLOCKS)))
+    # Of few rows, too, there are blocks enough for many tasks. Many queries are cut first, as each costs its lookups again
+    # in every block of rows; runs of row blocks keep the copies of the queries few.
+    query_floats = min(QUERY_FLOATS, max(HASH_SLICE * width, -(-wanted * width // QUERY_BLOCKS)))
+    query_blocks = max(1, -(-wanted * width // query_floats))
+    floats = max(1, min(ROW_FLOATS, -(-kept * width // -(-LEAST_BLOCKS // query_blocks))))
+    blocks = -(-kept * width // floats)
+    run_blocks = max(1, min(RUN_BLOCKS, blocks * query_blocks // (4 * LEAST_BLOCKS)))
     base = _blocks(groups.select(F.explode("ids").alias("id"), "v"), width, floats, kept)
-    return _met(base, _blocks(asking, width, QUERY_FLOATS, wanted), -(-kept * width // floats), 1, k, id_col, entered)
+    return _met(base, _blocks(asking, width, query_floats, wanted), blocks, run_blocks, k, id_col, entered)
 
 
 def recall(found: DataFrame, exact: DataFrame, id_col: str) -> float:

@@ -7,6 +7,7 @@ from sluice.operators import contamination as C
 from sluice.operators import neighbours as N
 from sluice.operators import relational as R
 from sluice.operators import relations, reports, scorer
+from sluice.plans.queries import all_queries
 from sluice.streaming import counters
 from sluice.streaming.incremental import run_available, stream_text
 
@@ -93,6 +94,18 @@ def test_hash_tables_shuffle_no_pairs(spark):
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, exact.collect()))
 
 
+def test_every_row_asks_for_its_neighbours(spark, tmp_path):
+    v = vectors(np.random.default_rng(6), 130)
+    rows = [(i, x.tolist()) for i, x in enumerate(v)] + [(130, v[7].tolist()), (None, v[8].tolist()), (131, None)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    found = all_queries()["approximate_neighbours"](spark, str(tmp_path)).collect()
+    ranks = {}
+    for r in found:
+        ranks.setdefault(r.vec_id, []).append(r["rank"])
+    assert {i: sorted(r) for i, r in ranks.items()} == {i: list(range(1, 11)) for i in range(131)}
+    assert all(r.neighbour != r.vec_id for r in found)
+
+
 def test_scorer_on_held_out_rows(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     assert scorer.held_out_auc(docs, labels, "doc_id", "text", "quality") > 0.9
