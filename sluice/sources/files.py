@@ -6,18 +6,22 @@
 from __future__ import annotations
 
 import csv
+import hashlib
 import io
 from collections.abc import Iterator
 from functools import reduce
 from itertools import islice
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluice.functions.language import language_tag
-from sluice.functions.text import strip
+from sluice.functions.text import BLANKS, strip
 from sluice.session import durable
 
 EXTENSIONS = {
@@ -26,6 +30,8 @@ EXTENSIONS = {
     "csv": ["csv"],
     "json": ["json"],
 }
+# Files of this many bytes are read in pieces of about so many.
+LONG_FILE, PIECE = 4 << 20, 1 << 20
 SOURCE_FIELDS = ["file_path", "file_name", "file_size", "file_type", "encoding", "hash_value", "modified_at"]
 
 
@@ -59,24 +65,25 @@ def charset_of(content: Column) -> Column:
     return F.when(F.is_valid_utf8(text), "utf-8").otherwise(odd["charset"])
 
 
-def _other_charset():
-    def read(data: bytes) -> tuple[str, str]:
-        try:
-            return data.decode("gbk"), "gbk"
-        except UnicodeDecodeError:
-            return data.decode("latin-1"), "latin-1"
+def _read_other(data: bytes) -> tuple[str, str]:
+    try:
+        return data.decode("gbk"), "gbk"
+    except UnicodeDecodeError:
+        return data.decode("latin-1"), "latin-1"
+
 
+def _other_charset():
     @F.pandas_udf("text string, charset string")
     def decode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [(None, None) if data is None else read(data) for data in batch]
+            found = [(None, None) if data is None else _read_other(data) for data in batch]
             yield pd.DataFrame(found, columns=["text", "charset"], dtype="object")
 
     return decode
 
 
-def with_source_metadata(df: DataFrame) -> DataFrame:
-    """``source`` struct for rows of a binary file scan."""
+def with_source_metadata(df: DataFrame, encoding: Column | None = None, digest: Column | None = None) -> DataFrame:
+    """``source`` struct for rows of a binary file scan; ``encoding`` and ``digest`` if the caller knows them."""
     name = F.element_at(F.split("path", "/"), -1)
     return df.withColumn(
         "source",
@@ -85,8 +92,8 @@ def with_source_metadata(df: DataFrame) -> DataFrame:
             name.alias("file_name"),
             F.col("length").alias("file_size"),
             F.lower(F.regexp_extract(name, r"(\.[^.]*)\z", 1)).alias("file_type"),
-            charset_of(F.col("content")).alias("encoding"),
-            F.md5("content").alias("hash_value"),
+            (charset_of(F.col("content")) if encoding is None else encoding).alias("encoding"),
+            (F.md5("content") if digest is None else digest).alias("hash_value"),
             F.col("modificationTime").alias("modified_at"),
         ),
     )
@@ -108,12 +115,136 @@ def _chunks(df: DataFrame, kind: str, *extra: str) -> DataFrame:
 
 
 def read_text(spark: SparkSession, path, recursive: bool = True, min_length: int = 10, kind: str = "text") -> DataFrame:
-    """One chunk per file with at least ``min_length`` characters."""
-    df = with_source_metadata(_files(spark, path, EXTENSIONS[kind], recursive))
-    df = df.select("source", strip(decode_bytes(F.col("content"))).alias("content"))
+    """One chunk per file with at least ``min_length`` characters.
+
+    Long files are read in pieces that meet in one task each, which holds a
+    file's text some four times; a cell, so a file, has 2 GB at most.
+    """
+    whole = with_source_metadata(_files(spark, path, EXTENSIONS[kind], recursive).filter(F.col("length") < LONG_FILE))
+    whole = whole.select("source", strip(decode_bytes(F.col("content"))).alias("content"))
+    df = whole.unionByName(_long_texts(spark, path, EXTENSIONS[kind], recursive))
     return _chunks(df.filter(F.length("content") >= min_length), kind)
 
 
+def _long_texts(spark: SparkSession, path, extensions: list[str], recursive: bool) -> DataFrame:
+    """``source`` and stripped ``content`` of the long files, as ``read_text`` has them of others.
+
+    Splits give their lines as compressed pieces. A file's pieces are laid end
+    to end in a Python worker, where charset, digest and ends of the text are
+    looked at in place: on the way of the other files a text is copied by each
+    step, and stripping it takes eight bytes more for each of its bytes.
+    """
+    reader = spark.read.option("pathGlobFilter", _glob(extensions)).option("recursiveFileLookup", str(recursive).lower())
+    at = F.col("_metadata.file_path").alias("at")
+    lines = reader.option("lineSep", "\n").text(path).filter(F.col("_metadata.file_size") >= LONG_FILE)
+    lines = lines.select(at, F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("line"))
+    known = _files(spark, path, extensions, recursive).filter(F.col("length") >= LONG_FILE)
+    known = known.select(at, "path", "length", "modificationTime")
+    pieces = lines.mapInArrow(_pieces, "at string, block long, number long, piece binary").join(F.broadcast(known), "at")
+    dealt = pieces.repartition("path").sortWithinPartitions("path", "block", "number")
+    names = ["path", "length", "modificationTime"]
+    kinds = ", ".join(f"{c} {dealt.schema[c].dataType.simpleString()}" for c in names)
+    texts = dealt.select(*names, "piece").mapInArrow(_joined, f"{kinds}, charset string, digest string, content string")
+    return with_source_metadata(texts, F.col("charset"), F.col("digest")).select("source", "content")
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines of each split, line breaks added, as numbered pieces of zstandard frames."""
+    place, number, held = None, 0, bytearray()
+
+    def piece() -> pa.RecordBatch:
+        packed = pa.array([zstandard.ZstdCompressor(level=3).compress(held)], pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array([place[0]]), pa.array([place[1]]), pa.array([number]), packed], names=["at", "block", "number", "piece"])
+
+    for batch in batches:
+        n, ends = batch.num_rows, np.cumsum(pc.add(pc.binary_length(batch.column("line")), 1).to_numpy(), dtype=np.int64)
+        changes = [pc.not_equal(batch.column(c).slice(1), batch.column(c).slice(0, max(n - 1, 0))) for c in ("at", "block")]
+        stops = [*(np.flatnonzero(pc.or_(*changes).to_numpy(zero_copy_only=False)) + 1).tolist(), n]
+        begin = 0
+        while begin < n:
+            here = (batch.column("at")[begin].as_py(), batch.column("block")[begin].as_py())
+            if held and (here != place or len(held) >= PIECE):
+                yield piece()
+                number, held = number + 1 if here == place else 0, bytearray()
+            place = here
+            # Lines of one split, as many as a piece still takes.
+            room = PIECE - len(held) + (ends[begin - 1] if begin else 0)
+            stop = min(next(x for x in stops if x > begin), max(begin + 1, int(np.searchsorted(ends, room, side="right"))))
+            some = pa.ListArray.from_arrays(pa.array([0, stop - begin], pa.int32()), batch.column("line").slice(begin, stop - begin))
+            held += pc.binary_join(some, b"\n")[0].as_buffer()
+            held += b"\n"
+            begin = stop
+    if held:
+        yield piece()
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Files of pieces in order, a row each: charset, digest of the bytes, text without blanks at its ends."""
+    own, data = None, bytearray()
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = batch.slice(i, 1)
+            if own is not None and row.column("path")[0] != own.column("path")[0]:
+                yield _text_row(own, data)
+                data = bytearray()
+            # The row is kept for its first columns only.
+            own = row.select(["path", "length", "modificationTime"])
+            data += zstandard.ZstdDecompressor().decompress(row.column("piece")[0].as_buffer())
+    if own is not None:
+        yield _text_row(own, data)
+
+
+def _text_row(own: pa.RecordBatch, data: bytearray) -> pa.RecordBatch:
+    length = own.column("length")[0].as_py()
+    # Lines are read without the mark of UTF-8 at the start of a file, and the last one may have had no line break.
+    if length - len(data) in (2, 3):
+        data[:0] = b"\xef\xbb\xbf"
+    del data[length:]
+    digest, charset, size = hashlib.md5(data).hexdigest(), "utf-8", len(data)
+    try:
+        _string(data, 0, size).validate(full=True)
+    except pa.ArrowInvalid:
+        text, charset = _read_other(bytes(data))
+        data = text.encode()
+    start, end = _ends(memoryview(data))
+    columns = [*own.columns, pa.array([charset]), pa.array([digest]), _string(data, start, end)]
+    return pa.RecordBatch.from_arrays(columns, names=[*own.schema.names, "charset", "digest", "content"])
+
+
+def _string(data: bytes | bytearray, start: int, end: int) -> pa.StringArray:
+    """One cell of the bytes from ``start`` to ``end``, which are not copied."""
+    if end - start > 2**31 - 1:
+        raise ValueError(f"a text of {end - start} bytes does not fit a cell")
+    offsets = pa.array([0, end - start], pa.int32()).buffers()[1]
+    return pa.StringArray.from_buffers(1, offsets, pa.py_buffer(memoryview(data)[start:end]))
+
+
+def _ends(data: memoryview, step: int = 4096) -> tuple[int, int]:
+    """Where UTF-8 text begins and ends without the blanks around it."""
+
+    def is_inside(at: int) -> bool:
+        return at < len(data) and data[at] & 0xC0 == 0x80
+
+    start, end = 0, len(data)
+    while start < end:
+        stop = min(start + step, end)
+        while is_inside(stop):
+            stop += 1
+        rest = len(bytes(data[start:stop]).decode().lstrip(BLANKS).encode())
+        start = stop - rest
+        if rest:
+            break
+    while end > start:
+        begin = max(start, end - step)
+        while begin > start and is_inside(begin):
+            begin -= 1
+        rest = len(bytes(data[begin:end]).decode().rstrip(BLANKS).encode())
+        end = begin + rest
+        if rest:
+            break
+    return start, end
+
+
 def read_markdown(spark: SparkSession, path, recursive: bool = True, min_length: int = 10) -> DataFrame:
     return read_text(spark, path, recursive, min_length, "markdown")
 

@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -37,6 +38,33 @@ def test_gbk_is_read_and_named(spark, tmp_path):
     assert rows["u.txt"]["content"] == "水文监测数据显示水位下降" and rows["u.txt"]["source"]["encoding"] == "utf-8"
 
 
+def test_long_files_are_read_in_pieces(spark, tmp_path, monkeypatch):
+    rng = random.Random(3)
+    lines = ["".join(rng.choice("ab é水\t\r") for _ in range(rng.randrange(60))) for _ in range(3000)]
+    texts = {
+        "a.txt": "\n".join(lines).encode(), "b.txt": ("\ufeff" + "\n".join(lines) + "\n\n").encode(), "c.txt": ("x" * 40_000).encode(),
+        "d.txt": (" \u3000\n" * 9000 + "the middle of it" + "\x85\t" * 9000).encode(), "e e.txt": ("水文监测数据\n" * 3000).encode("gbk"),
+        "f.txt": ("caf\xe9 au lait\n" * 3000).encode("latin-1"), "g.txt": b"\n" * 30_000, "h.txt": b"\n\n" + b"small one\n", "i.txt": b"",
+        "j.txt": ("\ufeff" + "z" * 30_000).encode(),
+    }
+    for name, data in texts.items():
+        (tmp_path / name).write_bytes(data)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "7k")
+    try:
+        want = {r["chunk_id"]: r for r in files.read_text(spark, str(tmp_path), min_length=0).collect()}
+        monkeypatch.setattr(files, "LONG_FILE", 20_000)
+        monkeypatch.setattr(files, "PIECE", 500)
+        found = files.read_text(spark, str(tmp_path), min_length=0)
+        got = {r["chunk_id"]: r for r in found.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "8m")
+    # Files without a byte are not read.
+    assert len(want) == len(texts) - 1 and got == want
+    # A long text is neither queued beside a Python step nor stripped with an array of its places.
+    plan = files._long_texts(spark, str(tmp_path), ["txt"], True)._jdf.queryExecution().optimizedPlan().toString()
+    assert "ArrowEvalPython" not in plan and "trim(" not in plan
+
+
 def test_csv_with_different_headers(spark, tmp_path):
     write(tmp_path, "a.csv", 'name,note\nx,"one, two"\ny,\n,\nz,"line\nbreak"\n')
     write(tmp_path, "b.csv", "note,size,name\nhello,NA,q\n")
