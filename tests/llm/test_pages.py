@@ -192,3 +192,14 @@ def test_lines_beside_an_article_are_aligned(spark):
     got = {r.page_id: r.text for r in pages.main_text(df, "html", "url", "page_id").collect()}
     # What an article shares with its neighbour stays, and what frame does not share goes.
     assert got == {i: f"Intro {i}\n\nStory\n\nBody {i}" for i in range(3)} | dict.fromkeys((10, 20, 21), "Story\n\nBody 0")
+
+
+def test_pages_with_an_article_are_aligned_too(spark):
+    page = "<nav>Home</nav><article><p>{}</p><p>Said by all</p></article><footer>Legal</footer>"
+    rows = [(i, f"https://x.org/{i}", page.format(f"Story {i}")) for i in range(3)]
+    rows += [(10, "https://y.org/1", rows[0][2]), (20, "https://z.org/1", rows[0][2]), (21, "https://z.org/2", rows[0][2]), (30, None, None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: (r.text, r.n_shared) for r in pages.main_text(df, "html", "url", "page_id").collect()}
+    # The nearest page has all lines but one; a page alone is compared with nothing, and a copy has all lines.
+    assert got == {i: (f"Story {i}\n\nSaid by all", 3) for i in range(3)} | {
+        10: ("Story 0\n\nSaid by all", 0), 20: ("Story 0\n\nSaid by all", 4), 21: ("Story 0\n\nSaid by all", 4), 30: ("", 0)}
