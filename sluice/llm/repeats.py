@@ -15,7 +15,8 @@ different bytes is a maximal repeat, with all its occurrences.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import functools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +28,11 @@ from pyspark.sql.types import ArrayType, StructType
 from sluice.session import durable
 
 GRAM = 24
-# Text of one stored chunk of rows, and suffixes of one suffix array, both about.
-CHUNK_BYTES = 3_000_000
+# Text of one stored chunk of rows, and suffixes of one suffix array, both about. Windows whose anchors are found at once:
+# few, as their arrays then stay in a cache.
+CHUNK_BYTES = 10_000_000
 SUFFIXES = 300_000
+BLOCK = 1 << 14
 # Anchors are told apart by this many bits.
 KEY_BITS = 48
 # An anchor with more contexts than this, over all chunks, is split into single windows.
@@ -62,16 +65,16 @@ def gram_hashes(data: np.ndarray, n: int) -> np.ndarray:
 
 
 def lowest_in_window(values: np.ndarray, width: int) -> np.ndarray:
-    """Position of the smallest of each ``width`` values in a row, the leftmost of equals."""
-    at = np.arange(len(values), dtype=np.int32)
+    """Position of the smallest of each ``width`` values in a row, by all but their last bits, the leftmost of equals."""
+    bits = np.uint64(len(values).bit_length())
+    # The position stands in for the last bits, so that one minimum finds both.
+    packed = values >> bits << bits | np.arange(len(values), dtype=np.uint64)
     size = 1
     while size < width:
         step = min(size, width - size)
-        right = values[step:] < values[:-step]
-        at = np.where(right, at[step:], at[:-step])
-        values = np.where(right, values[step:], values[:-step])
+        packed = np.minimum(packed[:-step], packed[step:])
         size += step
-    return at
+    return (packed & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
 
 
 def contexts(data: np.ndarray, ends: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -83,25 +86,30 @@ def contexts(data: np.ndarray, ends: np.ndarray, size: int) -> tuple[np.ndarray,
     windows = len(data) - size + 1
     if windows < 1:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    anchor = np.empty(windows, dtype=np.int32)
-    keys = np.empty(windows + size - GRAM, dtype=np.uint64)
-    step = 1 << 20
-    for at in range(0, windows, step):
-        part = data[at : at + step + size - 1]
-        hashes = gram_hashes(part, GRAM)
-        keys[at : at + len(hashes)] = hashes
+    # Runs of windows that name one anchor.
+    runs, keys, last = [], [], -1
+    for at in range(0, windows, BLOCK):
+        hashes = gram_hashes(data[at : at + BLOCK + size - 1], GRAM)
         low = lowest_in_window(hashes, size - GRAM + 1)
-        anchor[at : at + len(low)] = low + at
-    crossing = np.zeros(windows + 1, dtype=np.int32)
-    np.add.at(crossing, np.clip(ends[:-1] - size + 1, 0, windows), 1)
-    np.add.at(crossing, np.clip(ends[:-1], 0, windows), -1)
-    anchor[np.cumsum(crossing[:-1], dtype=np.int32) > 0] = -1
-    first = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
+        head = np.flatnonzero(np.diff(low, prepend=last - at))
+        runs.append(head + at)
+        # The smallest of many hashes is small; mixed again, anchors spread evenly.
+        keys.append(hashes[low[head]] * _MIX >> np.uint64(64 - KEY_BITS))
+        last = int(low[-1]) + at
+    first, key = np.concatenate(runs), np.concatenate(keys)
+    # Windows of which some begin or end to cross an end of a text; a run is cut there.
+    edges = [np.clip(ends[:-1] - by, 0, windows) for by in (size - 1, 0)]
+    more = np.unique(np.concatenate(edges))
+    more = more[more < windows]
+    at = np.searchsorted(first, more, side="right")
+    fresh = first[at - 1] != more
+    first, key = np.insert(first, at[fresh], more[fresh]), np.insert(key, at[fresh], key[at[fresh] - 1])
     count = np.diff(np.append(first, windows))
-    inside = anchor[first] >= 0
-    first, count = first[inside], count[inside]
-    # The smallest of many hashes is small; mixed again, anchors spread evenly.
-    return keys[anchor[first]] * _MIX >> np.uint64(64 - KEY_BITS), first, count
+    crossing = np.zeros(len(first) + 1, dtype=np.int64)
+    for edge, step in zip(edges, (1, -1)):
+        np.add.at(crossing, np.searchsorted(first, edge), step)
+    inside = np.cumsum(crossing[:-1]) == 0
+    return key[inside], first[inside], count[inside]
 
 
 def slice_hashes(data: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -196,15 +204,21 @@ def lowest_documents(texts: list[bytes], counts: np.ndarray, docs: np.ndarray, s
 # ---- stored chunks and what travels between them and the buckets --------------
 
 
+@functools.cache
+def _codec() -> tuple[Callable[[bytes], bytes], Callable[[bytes], bytes]]:
+    """What compresses and what restores; kept, as many short pieces go through it."""
+    return zstandard.ZstdCompressor(level=3).compress, zstandard.ZstdDecompressor().decompress
+
+
 def packed(values: np.ndarray) -> bytes:
     """Numbers as compressed byte planes."""
     planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.dtype.itemsize).T
-    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
+    return _codec()[0](planes.tobytes())
 
 
 def unpacked(data: bytes, kind) -> np.ndarray:
     kind = np.dtype(kind)
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(kind.itemsize, -1)
+    planes = np.frombuffer(_codec()[1](data), np.uint8).reshape(kind.itemsize, -1)
     return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
@@ -326,7 +340,7 @@ class Chunk:
             (
                 bucket, number, packed(np.diff(self.text_keys[s], prepend=np.uint64(0))),
                 packed(self.counts[s].astype(np.uint8)), packed(self.low[s]),
-                zstandard.ZstdCompressor(level=3).compress(b"".join(self.texts[s])),
+                _codec()[0](b"".join(self.texts[s])),
             )
             for bucket, s in self.buckets(self.text_keys)
         ]
@@ -386,7 +400,7 @@ def resolve(group: pa.Table, size: int) -> pa.Table:
         keys.append(np.cumsum(unpacked(row["keys"], np.uint64), dtype=np.uint64))
         counts.append(unpacked(row["counts"], np.uint8).astype(np.int64))
         docs.append(unpacked(row["docs"], np.int64))
-        data = zstandard.ZstdDecompressor().decompress(row["texts"])
+        data = _codec()[1](row["texts"])
         stops = np.cumsum(counts[-1] + size - 1).tolist()
         texts.append([number.setdefault(data[a:b], len(number)) for a, b in zip([0, *stops], stops)])
     cuts = np.cumsum([len(k) for k in keys])[:-1]
@@ -399,17 +413,15 @@ def resolve(group: pa.Table, size: int) -> pa.Table:
     windows = np.repeat(low[:, None], int(count.max()), axis=1)
     order = np.argsort(key[pick], kind="stable")
     heads = np.flatnonzero(np.concatenate([[True], np.diff(key[pick][order]) > 0]))
-    several = np.diff(np.append(heads, len(order))) > 1
+    sizes = np.diff(np.append(heads, len(order)))
+    several = sizes > 1
     names = list(number)
-    wait: list[np.ndarray] = []
-    groups = [order[a:b] for a, b in zip(heads[several], np.append(heads[1:], len(order))[several])]
-    for at, members in enumerate(groups):
-        # Anchors with one context have nothing to compare it with.
-        wait.append(members)
-        if at == len(groups) - 1 or sum(len(w) for w in wait) * (size - GRAM) > 2 * SUFFIXES:
-            part = np.concatenate(wait)
-            wait = []
-            found = lowest_documents([names[i] for i in part], count[pick][part], low[part], size)
+    # Anchors with one context have nothing to compare it with. The others go a share at a time, an anchor in one of them.
+    members = order[np.repeat(several, sizes)]
+    share = (np.cumsum(sizes[several]) - 1) * (size - GRAM) // (2 * SUFFIXES)
+    for part in np.split(members, np.cumsum(np.bincount(share, sizes[several]).astype(np.int64))[:-1]):
+        if len(part):
+            found = lowest_documents([names[i] for i in part.tolist()], count[pick][part], low[part], size)
             windows[part, : found.shape[1]] = found
     shift = np.arange(windows.shape[1])
     gone = (windows[of] < doc[:, None]) & (shift < count[:, None])
@@ -442,7 +454,8 @@ def remove_repeats(
     if not 2 * GRAM < size + 1 or size - GRAM + 1 > 32:
         raise ValueError(f"size must lie between {2 * GRAM} and {GRAM + 31}")
     chunks = chunked(df)
-    bits = min(KEY_BITS, max(3, chunks.count().bit_length() + 1))
+    # A chunk leaves a row for each bucket, so few large chunks and buckets keep these rows from growing as their product.
+    bits = min(KEY_BITS, max(3, chunks.count().bit_length()))
     text_at, id_at = df.columns.index(text_col), df.columns.index(id_col)
     stay = [i for i, c in enumerate(df.columns) if c not in added]
 
@@ -490,13 +503,18 @@ def _cut_rows(chunk: Chunk, gone: np.ndarray, whole_chars: bool, stay: list[int]
         head = np.flatnonzero((data & 0xC0) != 0x80)
         gone = np.repeat(np.logical_and.reduceat(gone, head), np.diff(np.append(head, len(data))))
     starts = chunk.ends - np.diff(chunk.ends, prepend=0)
+    so_far = np.concatenate([[0], np.cumsum(gone)])
     sizes, spans, kept = [], [], []
-    for a, b in zip(starts.tolist(), chunk.ends.tolist()):
-        part = gone[a:b]
-        edge = np.flatnonzero(np.diff(part.astype(np.int8), prepend=0, append=0)).reshape(-1, 2)
+    for a, b, cut in zip(starts.tolist(), chunk.ends.tolist(), (so_far[chunk.ends] > so_far[starts]).tolist()):
         sizes.append(b - a)
-        spans.append([{"start": s, "length": e - s} for s, e in edge.tolist()])
-        kept.append(data[a:b][~part].tobytes() if len(edge) else chunk.text[a:b])
+        if cut:
+            part = gone[a:b]
+            edge = np.flatnonzero(np.diff(part.astype(np.int8), prepend=0, append=0)).reshape(-1, 2)
+            spans.append([{"start": s, "length": e - s} for s, e in edge.tolist()])
+            kept.append(data[a:b][~part].tobytes())
+        else:
+            spans.append([])
+            kept.append(chunk.text[a:b])
     kind = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
     new = [pa.array(sizes, pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary())]
     names = [*(chunk.rows.column_names[i] for i in stay), *added]

@@ -104,3 +104,36 @@ def test_maximal_repeats_have_all_occurrences():
     suffixes, found = repeats.maximal_repeats(texts, repeats.np.array(counts), 50)
     got = {(length, tuple(sorted(map(tuple, suffixes[a : b + 1].tolist())))) for a, b, length in found}
     assert got == {(61, ((0, 1), (1, 1))), (55, ((0, 1), (1, 1), (2, 1)))}
+
+
+def test_rows_between_chunks_and_buckets_grow_with_the_text(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "CHUNK_BYTES", 20_000)
+    rows = {}
+    for many in (300, 1200):
+        df = spark.range(many).selectExpr("id as doc_id", "repeat(md5(cast(id as string)), 40) as text").repartition(1)
+        kept = []
+        monkeypatch.setattr(repeats, "durable", lambda d, own=repeats.durable: kept.append(own(d)) or kept[-1])
+        repeats.remove_repeats(df, "text", "doc_id")
+        monkeypatch.undo()
+        monkeypatch.setattr(repeats, "CHUNK_BYTES", 20_000)
+        chunks, flags = kept[0].count(), kept[1].groupBy("chunk").count().agg(F.max("count")).first()[0]
+        rows[many] = (chunks, flags)
+        assert chunks > 15 and flags <= 2 * chunks
+    assert rows[1200][0] > 3 * rows[300][0]
+
+
+def test_contexts_by_blocks(monkeypatch):
+    rng = random.Random(5)
+    for block in (7, 64, 1 << 14):
+        monkeypatch.setattr(repeats, "BLOCK", block)
+        texts = [bytes(rng.choice(b"abc de") for _ in range(rng.choice([0, 0, 1, 20, 49, 50, 51, 90, 400]))) for _ in range(60)]
+        data, ends = repeats.np.frombuffer(b"".join(texts), "u1"), repeats.np.cumsum([len(t) for t in texts])
+        key, first, count = repeats.contexts(data, ends, 50)
+        starts = ends - [len(t) for t in texts]
+        inside = [p for a, b in zip(starts.tolist(), ends.tolist()) for p in range(a, b - 49)]
+        assert [p for f, n in zip(first.tolist(), count.tolist()) for p in range(f, f + n)] == inside
+        # Equal windows name equal anchors.
+        named = {}
+        for k, f, n in zip(key.tolist(), first.tolist(), count.tolist()):
+            for p in range(f, f + n):
+                assert named.setdefault(data[p : p + 50].tobytes(), k) == k
