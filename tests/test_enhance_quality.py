@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions import values as V
 from sluice.operators import enhance as E
+from sluice.operators import dictionary as D
 from sluice.operators import quality as Q
 from sluice.operators.cleaning import segment_marked
 from sluice.operators.dictionary import candidates, dictionary_table, extract_terms_by_table, word_bits
@@ -136,6 +137,17 @@ def test_dictionary_table_gives_the_same_terms(spark):
     assert [t["term"] for t in row["extracted_terms"]] == []
 
 
+def test_a_worker_holds_few_rows_of_pieces(spark):
+    bits = word_bits(dictionary_table(spark, E.Knowledge().updated(terms={"水文": []})))
+    rows = pa.table({"_row": range(1000), "_text": ["水文" * 5] * 1000}).to_batches()
+    found = list(D.found_pieces(iter(rows), [2], bits))
+    assert sum(b.num_rows for b in found) == 1000 and max(len(set(b.column("_row").to_pylist())) for b in found) <= D.SOME_ROWS
+    words = pa.array([[{"term": "水文", "places": [0, 2]}], None] * 500)
+    texts = list(D.marked([(rows[0].column("_text"), words)]))
+    assert max(map(len, texts)) <= D.SOME_ROWS
+    assert pa.concat_arrays(texts).to_pylist() == ["\x01水文\x01" * 2 + "水文" * 3, "水文" * 5] * 500
+
+
 def test_only_likely_words_leave_a_text(spark):
     words = dictionary_table(spark, E.Knowledge()).unionByName(
         spark.range(50_000).selectExpr("concat('零件', id) as term", "'term' as kind", "array('x') as aliases", "cast(null as map<string,string>) as entity_info"))
