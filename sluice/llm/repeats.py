@@ -30,7 +30,7 @@ from sluice.session import durable
 GRAM = 24
 # Text of one stored chunk of rows, and suffixes of one suffix array, both about. Windows whose anchors are found at once:
 # few, as their arrays then stay in a cache.
-CHUNK_BYTES = 10_000_000
+CHUNK_BYTES = 6_000_000
 SUFFIXES = 300_000
 BLOCK = 1 << 14
 # Anchors are told apart by this many bits.
@@ -354,13 +354,14 @@ class Chunk:
         first, doc, count = self.chosen_first, self.chosen_doc, self.chosen_count
         # A context that a smaller document of the chunk also has goes whole.
         gone = np.where(doc > self.low[self.local], np.uint32(0xFFFFFFFF), bits[self.local])
-        edges = np.zeros(len(self.text) + 1, dtype=np.int32)
+        # No two windows begin at one byte, and no more than ``size`` cover one.
+        edges = np.zeros(len(self.text) + 1, dtype=np.int8)
         for shift in range(int(count.max(initial=0))):
             hit = (shift < count) & ((gone >> np.uint32(shift)) & np.uint32(1)).astype(bool)
             start = first[hit] + shift
             np.add.at(edges, start, 1)
             np.add.at(edges, start + self.size, -1)
-        return np.cumsum(edges[:-1], dtype=np.int32) > 0
+        return np.cumsum(edges[:-1], dtype=np.int8) > 0
 
 
 KEY_ROWS = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("keys", pa.binary()), ("marks", pa.binary())])
@@ -499,13 +500,22 @@ def remove_repeats(
 def _cut_rows(chunk: Chunk, gone: np.ndarray, whole_chars: bool, stay: list[int], added: tuple[str, ...]) -> pa.Table:
     data = np.frombuffer(chunk.text, np.uint8)
     if whole_chars and len(data):
-        # A character goes only if all its bytes do.
-        head = np.flatnonzero((data & 0xC0) != 0x80)
-        gone = np.repeat(np.logical_and.reduceat(gone, head), np.diff(np.append(head, len(data))))
+        # A character goes only if all its bytes do; those of several bytes are the ones to look at.
+        inner = (data & 0xC0) == 0x80
+        flips = np.flatnonzero(inner[1:] != inner[:-1])[int(inner[0]) :] + 1
+        flips = np.append(flips, len(data)) if len(flips) % 2 else flips
+        bounds = np.stack([flips[::2] - 1, flips[1::2]], axis=1)
+        if len(bounds):
+            each = np.append(gone, False)
+            some, every = (f.reduceat(each, bounds.ravel())[::2] for f in (np.logical_or, np.logical_and))
+            for a, b in bounds[some & ~every].tolist():
+                gone[a:b] = False
     starts = chunk.ends - np.diff(chunk.ends, prepend=0)
-    so_far = np.concatenate([[0], np.cumsum(gone)])
+    # Rows in which some byte goes: one that the first byte of a row is, or that follows one which stays.
+    flips = np.flatnonzero(gone[1:] != gone[:-1]) + 1
+    cuts = np.append(gone, False)[starts] | (np.searchsorted(flips, chunk.ends) > np.searchsorted(flips, starts, side="right"))
     sizes, spans, kept = [], [], []
-    for a, b, cut in zip(starts.tolist(), chunk.ends.tolist(), (so_far[chunk.ends] > so_far[starts]).tolist()):
+    for a, b, cut in zip(starts.tolist(), chunk.ends.tolist(), cuts.tolist()):
         sizes.append(b - a)
         if cut:
             part = gone[a:b]
