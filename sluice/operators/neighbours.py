@@ -14,6 +14,8 @@ from sluice.session import durable
 
 # Floats of one block of queries and of one block of rows.
 QUERY_FLOATS, ROW_FLOATS = 1 << 21, 1 << 20
+# Floats of a block of rows that has hash tables: larger, as each query is looked up anew in each block.
+HASH_FLOATS = 1 << 21
 # Blocks of rows that one task meets with a block of queries before it lets its best matches go.
 RUN_BLOCKS = 8
 # Queries multiplied with a block of rows at once.
@@ -235,7 +237,7 @@ def approximate_neighbours(
     # in every block of rows; runs of row blocks keep the copies of the queries few.
     query_floats = min(QUERY_FLOATS, max(HASH_SLICE * width, -(-wanted * width // QUERY_BLOCKS)))
     query_blocks = max(1, -(-wanted * width // query_floats))
-    floats = max(1, min(ROW_FLOATS, -(-kept * width // -(-LEAST_BLOCKS // query_blocks))))
+    floats = max(1, min(HASH_FLOATS, -(-kept * width // -(-LEAST_BLOCKS // query_blocks))))
     blocks = -(-kept * width // floats)
     run_blocks = max(1, min(RUN_BLOCKS, blocks * query_blocks // (4 * LEAST_BLOCKS)))
     base = _blocks(groups.select(F.explode("ids").alias("id"), "v"), width, floats, kept)
