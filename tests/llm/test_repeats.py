@@ -110,7 +110,7 @@ def test_rows_between_chunks_and_buckets_grow_with_the_text(spark, monkeypatch):
     monkeypatch.setattr(repeats, "CHUNK_BYTES", 20_000)
     rows = {}
     for many in (300, 1200):
-        df = spark.range(many).selectExpr("id as doc_id", "repeat(md5(cast(id as string)), 40) as text").repartition(1)
+        df = spark.range(many).selectExpr("id as doc_id", "array_join(transform(sequence(1, 40), i -> md5(concat(id, '-', i))), '') as text").repartition(1)
         kept = []
         monkeypatch.setattr(repeats, "durable", lambda d, own=repeats.durable: kept.append(own(d)) or kept[-1])
         repeats.remove_repeats(df, "text", "doc_id")
